@@ -1,0 +1,9 @@
+"""Queries over the reference's own operators."""
+
+
+def queries():
+    return {}
+
+
+def oracle_sql():
+    return {}
