@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, packing, sharding, url_filter
+from . import decontamination, packing, sharding, simhash, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ URL_RULES = [
 ]
 
 
+def op3_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, bits=3)
+
+
 def op4_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontamination.summary(decontamination.scan(docs, table(spark, sf_dir, "benchmark"), window=10))
@@ -48,7 +52,7 @@ def op10_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_suffix_automaton, op8_best_fit_packing, op9_sampled_splitters, op10_url_digests)}
+    return {f.__name__: f for f in (op3_simhash_variants, op4_suffix_automaton, op8_best_fit_packing, op9_sampled_splitters, op10_url_digests)}
 
 
 URL_SQL = r"""
