@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, packing, sharding, simhash, url_filter
+from . import decontamination, packing, sharding, simhash, toxicity, url_filter
+from .common import held_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +31,13 @@ URL_RULES = [
 ]
 
 
+def op2_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = toxicity.training_rows(docs, table(spark, sf_dir, "labels"), lambda i: ~held_out(i))
+    scored = toxicity.score(docs, toxicity.train(rows))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op3_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, bits=3)
 
@@ -52,7 +60,7 @@ def op10_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_simhash_variants, op4_suffix_automaton, op8_best_fit_packing, op9_sampled_splitters, op10_url_digests)}
+    return {f.__name__: f for f in (op2_boosted_toxicity, op3_simhash_variants, op4_suffix_automaton, op8_best_fit_packing, op9_sampled_splitters, op10_url_digests)}
 
 
 URL_SQL = r"""
