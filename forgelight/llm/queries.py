@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, packing, sharding, simhash, toxicity, url_filter
+from . import decontamination, langid, packing, sharding, simhash, toxicity, url_filter
 from .common import held_out
 
 
@@ -47,6 +47,12 @@ def op4_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.summary(decontamination.scan(docs, table(spark, sf_dir, "benchmark"), window=10))
 
 
+def op5_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.train(docs, lambda i: ~held_out(i)))
+    return found.withColumn("held_out", held_out(F.col("doc_id")))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -60,7 +66,7 @@ def op10_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_boosted_toxicity, op3_simhash_variants, op4_suffix_automaton, op8_best_fit_packing, op9_sampled_splitters, op10_url_digests)}
+    return {f.__name__: f for f in (op2_boosted_toxicity, op3_simhash_variants, op4_suffix_automaton, op5_nearest_centroid, op8_best_fit_packing, op9_sampled_splitters, op10_url_digests)}
 
 
 URL_SQL = r"""
