@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, langid, packing, sharding, simhash, toxicity, url_filter
+from . import decontamination, langid, packing, sharding, simhash, topk, toxicity, url_filter
 from .common import held_out
 
 
@@ -31,6 +31,11 @@ URL_RULES = [
 ]
 
 
+def op1_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0, k=20, scale=64.0)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 def op2_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = toxicity.training_rows(docs, table(spark, sf_dir, "labels"), lambda i: ~held_out(i))
@@ -66,7 +71,7 @@ def op10_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_boosted_toxicity, op3_simhash_variants, op4_suffix_automaton, op5_nearest_centroid, op8_best_fit_packing, op9_sampled_splitters, op10_url_digests)}
+    return {f.__name__: f for f in (op1_threshold_topk, op2_boosted_toxicity, op3_simhash_variants, op4_suffix_automaton, op5_nearest_centroid, op8_best_fit_packing, op9_sampled_splitters, op10_url_digests)}
 
 
 URL_SQL = r"""
@@ -90,5 +95,19 @@ SELECT page_id, host, path, hit.rule AS rule, coalesce(hit.verdict, 'allow') AS
 """
 
 
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS z
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.z, c.z), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.z) = len(c.z)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_url_digests": URL_SQL}
+    return {"op1_threshold_topk": TOPK_SQL, "op10_url_digests": URL_SQL}
