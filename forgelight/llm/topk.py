@@ -157,6 +157,6 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col
         found = seeded
     else:
         floors = seeded.groupBy("query_id", "row").agg(F.when(F.count("*") >= k, F.min("score").cast("double")).alias("floor"))
-        rest = queries.join(floors, ["query_id", "row"], "left").withColumn("cb", F.explode(_numbers(1, cbs - 1)).cast("long"))
+        rest = queries.join(floors, ["query_id", "row"], "left").withColumn("cb", F.explode(_numbers(1, cbs - 1)))
         found = seeded.union(_runs(rest, cands.filter(~first), k))
     return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", "row")
