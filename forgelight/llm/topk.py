@@ -117,6 +117,8 @@ def _numbers(first: int, last: int) -> Column:
 
 def _runs(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     keys = ["dim", "qb", "cb"]
+    # both sides come from one table: new names for its columns keep them apart
+    queries, candidates = (x.select(*[F.col(c).alias(c) for c in x.columns]) for x in (queries, candidates))
     return queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(lambda a, b: _search_blocks(k)(a, b), FOUND)
 
 
