@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, langid, packing, sharding, simhash, topk, toxicity, url_filter
+from . import decontamination, langid, licenses, packing, pii, sharding, simhash, topk, toxicity, url_filter
 from .common import held_out
 
 
@@ -22,6 +22,9 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: The key of the surrogates here; a user's own is a secret of theirs.
+PII_KEY = b"forgelight queries"
+
 URL_RULES = [
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -58,6 +61,15 @@ def op5_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", held_out(F.col("doc_id")))
 
 
+def op6_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymize(docs, PII_KEY).withColumn("n_entities", F.size("entities"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -71,7 +83,7 @@ def op10_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_threshold_topk, op2_boosted_toxicity, op3_simhash_variants, op4_suffix_automaton, op5_nearest_centroid, op8_best_fit_packing, op9_sampled_splitters, op10_url_digests)}
+    return {f.__name__: f for f in (op1_threshold_topk, op2_boosted_toxicity, op3_simhash_variants, op4_suffix_automaton, op5_nearest_centroid, op6_license_digests, op7_surrogates, op8_best_fit_packing, op9_sampled_splitters, op10_url_digests)}
 
 
 URL_SQL = r"""
