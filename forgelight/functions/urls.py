@@ -45,15 +45,22 @@ def _path(u: Column) -> Column:
 SSH = r"^git@([^:]+):(.+)$"
 
 
-def domain(u: Column) -> Column:
-    s = _trimmed(u)
-    ssh = F.regexp_replace(F.lower(F.regexp_extract(s, SSH, 1)), r"^www\.", "")
-    return F.when(s.rlike(SSH), ssh).otherwise(_authority(_schemed(F.regexp_replace(s, r"(?i)^git\+", ""))))
+def _parts(urls: Column) -> Column:
+    """struct(d, p) of domain and path for each URL; d is null for what is no URL.
 
+    Every step is a transform of its own, so that each looks at the values of the step before
+    instead of repeating its expressions.
+    """
+    known = F.transform(urls, lambda u: F.struct(_trimmed(u).alias("s"), _trimmed(u).rlike(SSH).alias("ssh")))
+    full = F.transform(known, lambda x: F.struct(x["s"].alias("s"), x["ssh"].alias("ssh"), _schemed(F.regexp_replace(x["s"], r"(?i)^git\+", "")).alias("u")))
+    ssh = lambda x: F.regexp_replace(F.lower(F.regexp_extract(x["s"], SSH, 1)), r"^www\.", "")
+    path = lambda x: F.when(x["ssh"], F.concat(F.lit("/"), F.regexp_extract(x["s"], SSH, 2))).otherwise(_path(x["u"]))
+    return F.transform(full, lambda x: F.struct(F.when(x["ssh"], ssh(x)).otherwise(_authority(x["u"])).alias("d"), path(x).alias("p")))
 
-def path(u: Column) -> Column:
-    s = _trimmed(u)
-    return F.when(s.rlike(SSH), F.concat(F.lit("/"), F.regexp_extract(s, SSH, 2))).otherwise(_path(_schemed(F.regexp_replace(s, r"(?i)^git\+", ""))))
+
+def domains(urls: Column) -> Column:
+    """Domain of each URL, null where there is none."""
+    return F.transform(_parts(urls), lambda x: x["d"])
 
 
 def is_denied(d: Column) -> Column:
@@ -78,30 +85,27 @@ def _bare_name(x: Column) -> Column:
     return F.regexp_replace(x, r"\.git$", "")
 
 
-def parse_repo(u: Column) -> Column:
-    """struct(host, host_domain, owner, name) of a repository URL, else null."""
-    d, p = domain(u), path(u)
-    known = F.try_element_at(F.create_map(*[F.lit(x) for kv in rules.KNOWN_FORGES.items() for x in kv]), d)
-    host = F.when(d.endswith(rules.PAGES_SUFFIX), None).otherwise(F.coalesce(known, F.when(~is_denied(d) & looks_like_forge(d), F.lit("other"))))
-    project = F.regexp_replace(F.regexp_replace(p, r"/-/.*$", ""), r"/(issues|merge_requests|wiki)(/.*)?$", "")
-    segs = F.when(host == "gitlab", _segments(project)).otherwise(_segments(p))
-    deep = F.array_join(F.slice(segs, 1, F.greatest(F.size(segs) - 1, F.lit(0))), "/")
-    owner = F.when(host == "gitlab", deep).otherwise(F.try_element_at(segs, F.lit(1)))
-    name = _bare_name(F.when(host == "gitlab", F.try_element_at(segs, F.lit(-1))).otherwise(F.try_element_at(segs, F.lit(2))))
-    good = host.isNotNull() & (F.size(segs) >= 2) & (owner != "") & (name != "")
-    return F.when(good, F.struct(host.alias("host"), d.alias("host_domain"), owner.alias("owner"), name.alias("name"))).cast(REPO)
-
-
-def parse_pages(u: Column) -> Column:
-    """The repository behind a pages site, as parse_repo() gives it: owner and first path segment, or the owner's own site."""
-    s = _trimmed(u)
-    full = F.when(~s.startswith("//"), _schemed(s))
-    d = _authority(full)
-    owner = F.substring(d, F.lit(1), F.length(d) - F.lit(len(rules.PAGES_SUFFIX)))
-    segs = _segments(_path(full))
-    name = F.coalesce(_bare_name(F.try_element_at(segs, F.lit(1))), F.concat(owner, F.lit(rules.PAGES_SUFFIX)))
-    good = d.endswith(rules.PAGES_SUFFIX) & (owner != "")
-    return F.when(good, F.struct(F.lit("github").alias("host"), F.lit("github.com").alias("host_domain"), owner.alias("owner"), name.alias("name"))).cast(REPO)
+def parse_repos(urls: Column) -> Column:
+    """struct(host, host_domain, owner, name) of each URL that is a repository, else null, in order."""
+    table = F.create_map(*[F.lit(x) for kv in rules.KNOWN_FORGES.items() for x in kv])
+    known = lambda x: F.coalesce(F.try_element_at(table, x["d"]), F.when(~is_denied(x["d"]) & looks_like_forge(x["d"]), F.lit("other")))
+    hosted = F.transform(_parts(urls), lambda x: F.struct(x["d"].alias("d"), x["p"].alias("p"), F.when(~x["d"].endswith(rules.PAGES_SUFFIX), known(x)).alias("h")))
+    project = lambda p: F.regexp_replace(F.regexp_replace(p, r"/-/.*$", ""), r"/(issues|merge_requests|wiki)(/.*)?$", "")
+    cut = F.transform(hosted, lambda x: F.struct(x["d"].alias("d"), x["h"].alias("h"), _segments(F.when(x["h"] == "gitlab", project(x["p"])).otherwise(x["p"])).alias("g")))
+    deep = lambda g: F.array_join(F.slice(g, 1, F.greatest(F.size(g) - 1, F.lit(0))), "/")
+    owner = lambda x: F.when(x["h"] == "gitlab", deep(x["g"])).otherwise(F.try_element_at(x["g"], F.lit(1)))
+    name = lambda x: _bare_name(F.when(x["h"] == "gitlab", F.try_element_at(x["g"], F.lit(-1))).otherwise(F.try_element_at(x["g"], F.lit(2))))
+    named = F.transform(cut, lambda x: F.when(x["h"].isNotNull() & (F.size(x["g"]) >= 2), F.struct(x["h"].alias("host"), x["d"].alias("host_domain"), owner(x).alias("owner"), name(x).alias("name"))))
+    return F.transform(named, lambda r: F.when((r["owner"] != "") & (r["name"] != ""), r).cast(REPO))
+
+
+def parse_pages(urls: Column) -> Column:
+    """The repository behind each pages site, as parse_repos() gives it: owner and first path segment, or the owner's own site."""
+    full = F.transform(urls, lambda u: F.when(~_trimmed(u).startswith("//"), _schemed(_trimmed(u))))
+    parts = F.transform(full, lambda u: F.struct(_authority(u).alias("d"), _segments(_path(u)).alias("g")))
+    owned = F.transform(parts, lambda x: F.struct(F.when(x["d"].endswith(rules.PAGES_SUFFIX), F.substring(x["d"], F.lit(1), F.length(x["d"]) - F.lit(len(rules.PAGES_SUFFIX)))).alias("o"), x["g"].alias("g")))
+    name = lambda x: F.coalesce(_bare_name(F.try_element_at(x["g"], F.lit(1))), F.concat(x["o"], F.lit(rules.PAGES_SUFFIX)))
+    return F.transform(owned, lambda x: F.when(x["o"] != "", F.struct(F.lit("github").alias("host"), F.lit("github.com").alias("host_domain"), x["o"].alias("owner"), name(x).alias("name"))).cast(REPO))
 
 
 def is_mirror(repo: Column) -> Column:
@@ -114,7 +118,8 @@ def slug(repo: Column) -> Column:
     return F.lower(F.concat_ws("/", repo["host_domain"], repo["owner"], repo["name"]))
 
 
-def classify(u: Column) -> Column:
-    """repo, mirror, denied or other."""
-    repo = parse_repo(u)
-    return F.when(repo.isNotNull(), F.when(is_mirror(repo), "mirror").otherwise("repo")).when(is_denied(domain(u)), "denied").otherwise("other")
+def classify(urls: Column) -> Column:
+    """struct(url, kind) of each URL; kind is repo, mirror, denied or other."""
+    kind = lambda r, d: F.when(r.isNotNull(), F.when(is_mirror(r), "mirror").otherwise("repo")).when(is_denied(d), "denied").otherwise("other")
+    both = F.arrays_zip(urls.alias("url"), parse_repos(urls).alias("repo"), domains(urls).alias("domain"))
+    return F.transform(both, lambda x: F.struct(x["url"].alias("url"), kind(x["repo"], x["domain"]).alias("kind")))

@@ -34,8 +34,8 @@ def measures(tables: dict[str, DataFrame], watched: list[tuple[str, str]] = WATC
     parts = []
     for name, df in tables.items():
         own = [c for t, c in watched if t == name and c in df.columns]
-        got = df.agg(F.count("*").alias("*"), *[F.count(c).alias(c) for c in own])
-        parts.append(got.unpivot([], ["*", *own], "column", "n").select(F.lit(name).alias("table"), "column", "n"))
+        counts = [F.struct(F.lit(c).alias("column"), F.count(c).alias("n")) for c in ("*", *own)]
+        parts.append(df.agg(F.array(*counts).alias("c")).select(F.lit(name).alias("table"), F.inline("c")))
     return reduce(DataFrame.union, parts)
 
 

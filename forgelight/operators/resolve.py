@@ -23,8 +23,9 @@ def resolve_packages(packages: DataFrame) -> DataFrame:
     fields wins (by order in the URL field), then the first on github, then the first; without any,
     the first pages site. Packages without a hit are left out. Row by row, so nothing is shuffled.
     """
-    found = lambda field: F.filter(F.transform(urls.split_urls(field), urls.parse_repo), lambda r: r.isNotNull() & ~urls.is_mirror(r))
-    pages = lambda field: F.filter(F.transform(urls.split_urls(field), urls.parse_pages), lambda r: r.isNotNull() & ~urls.is_mirror(r))
+    own = lambda repos: F.filter(repos, lambda r: r.isNotNull() & ~urls.is_mirror(r))
+    found = lambda field: own(urls.parse_repos(urls.split_urls(field)))
+    pages = lambda field: own(urls.parse_pages(urls.split_urls(field)))
     rows = packages.select("package", "origin", "ord", found(F.col("url_raw")).alias("u"), found(F.col("bugreports_raw")).alias("b"), F.concat(pages(F.col("url_raw")), pages(F.col("bugreports_raw"))).alias("p"))
     bug_slugs = F.transform("b", urls.slug)
     tag = lambda r, t: F.when(r.isNotNull(), F.struct(r["host"].alias("host"), r["host_domain"].alias("host_domain"), r["owner"].alias("owner"), r["name"].alias("name"), F.lit(t).alias("resolved_from")))
@@ -35,7 +36,8 @@ def resolve_packages(packages: DataFrame) -> DataFrame:
     hit = F.coalesce(
         tag(first(both), "both"), tag(first(github(u)), "url"), tag(first(github(b)), "bugreports"), tag(first(u), "url"), tag(first(b), "bugreports"), tag(first(F.col("p")), "pages"),
     )
-    return rows.select("package", "origin", "ord", hit.alias("hit")).filter("hit is not null").select("package", "origin", "ord", "hit.*")
+    # inline drops packages without a hit; a filter would be pushed below and compute it all twice
+    return rows.select("package", "origin", "ord", F.inline(F.array_compact(F.array(hit))))
 
 
 def repo_index(resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -52,8 +54,8 @@ def repo_index(resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
 def classify_candidates(packages: DataFrame) -> DataFrame:
     """package, origin, url, kind (repo, mirror, denied, other) of every URL of both fields."""
     every = F.concat(urls.split_urls(F.col("url_raw")), urls.split_urls(F.col("bugreports_raw")))
-    rows = packages.select("package", "origin", F.explode(every).alias("url"))
-    return rows.withColumn("kind", urls.classify(F.col("url")))
+    fields = packages.select("package", "origin", every.alias("urls"))
+    return fields.select("package", "origin", F.explode(urls.classify(F.col("urls"))).alias("u")).select("package", "origin", "u.*")
 
 
 def coverage(packages: DataFrame, resolved: DataFrame) -> DataFrame:
