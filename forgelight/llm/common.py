@@ -25,6 +25,18 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Rows and bytes of text that an Arrow batch may hold on its way to Python, in place of Spark's 10,000 rows.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Make Arrow batches small enough for whole texts; smaller ones that a user has set stay."""
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = int(spark.conf.get(name).rstrip("bB"))
+        if now <= 0 or now > most:
+            spark.conf.set(name, str(most))
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 

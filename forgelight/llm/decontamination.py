@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bound_batches
+
 #: Words of test items in one automaton, about 300 bytes each in a Python worker. A larger benchmark
 #: takes several automata, one after the other, over the same documents.
 WORDS_PER_AUTOMATON = 1_000_000
@@ -156,14 +158,14 @@ class Automaton:
         return spans, found
 
 
-def _scanner(automaton, names: list[str]) -> Callable:
-    """For mapInArrow over (..., text, spans, items): adds what one automaton finds."""
+def _scanner(automaton, names: list[str], max_span: int | None) -> Callable:
+    """For mapInArrow over (..., text, spans, items): adds what one automaton finds, and cuts spans of over max_span words out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = automaton.value
         for batch in batches:
             at = {n: i for i, n in enumerate(batch.schema.names)}
-            n_words, spans, items = [], [], []
+            n_words, spans, items, left = [], [], [], []
             texts = batch.column(at["__text"]).cast(pa.large_binary())
             for text, old, had in zip(texts, batch.column(at["__spans"]).to_pylist(), batch.column(at["__items"]).to_pylist(), strict=True):
                 words = words_of(text.as_py())
@@ -171,11 +173,14 @@ def _scanner(automaton, names: list[str]) -> Callable:
                 n_words.append(len(words))
                 spans.append(union([*(tuple(x) for x in old or ()), *got]))
                 items.append(sorted(found.union(had or ())))
+                if max_span is not None:
+                    long = [s for s in spans[-1] if s[1] - s[0] > max_span]
+                    left.append(cut(text.as_py(), long) if long else text.as_py())
             new = {
                 "__n_words": pa.array(n_words, pa.int64()),
                 "__spans": pa.array([[list(x) for x in s] for s in spans], pa.list_(pa.list_(pa.int64()))),
                 "__items": pa.array(items, pa.list_(pa.string())),
-            }
+            } | ({} if max_span is None else {"__text": pa.array(left, pa.large_binary()).cast(batch.schema.field("__text").type)})
             yield pa.RecordBatch.from_arrays([new[n] if n in new else batch.column(at[n]) for n in names], names)
 
     return run
@@ -214,13 +219,15 @@ def scan(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     words_per_automaton: int = WORDS_PER_AUTOMATON,
+    cut_over: int | None = None,
 ) -> DataFrame:
     """Add to each document where benchmark windows occur in it.
 
     Every column of ``docs`` is kept; ``found`` is added, a struct of n_words, spans (word ranges
     [a, b) covered by windows) and items (ids of items with occurring windows, sorted as strings).
     A column of that name is replaced. Documents are streamed through the broadcast automaton and
-    never shuffled. Null and empty texts and items have no words; a null item id counts as ''.
+    never shuffled. With ``cut_over``, spans of more words than that are cut out of the text (the
+    struct tells where they were). Null and empty texts and items have no words; a null item id counts as ''.
     """
     spark = docs.sparkSession
     keep = docs.drop("found")
@@ -232,8 +239,10 @@ def scan(
         F.array().cast("array<array<long>>").alias("__spans"),
         F.array().cast("array<string>").alias("__items"),
     )
-    for a in automata(benchmark, window, item_id_col, item_text_col, words_per_automaton):
-        rows = rows.mapInArrow(_scanner(spark.sparkContext.broadcast(a), rows.columns), rows.schema)
+    bound_batches(spark)
+    found = automata(benchmark, window, item_id_col, item_text_col, words_per_automaton)
+    for i, a in enumerate(found, 1):
+        rows = rows.mapInArrow(_scanner(spark.sparkContext.broadcast(a), rows.columns, cut_over if i == len(found) else None), rows.schema)
     return rows.select(
         *[F.col("__text" if c == text_col else f"__row.`{c}`").alias(c) for c in keep.columns],
         F.struct(F.col("__n_words").alias("n_words"), F.col("__spans").alias("spans"), F.col("__items").alias("items")).alias("found"),
@@ -247,15 +256,14 @@ def word_offsets(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-def cut(text: str, spans: list[list[int]]) -> str:
+def cut(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     """The text without the words of these spans and what stands between them."""
-    data = text.encode()
     starts, ends = word_offsets(data)
     keep, at = [], 0
     for a, b in spans:
         keep.append(data[at : starts[a]])
         at = ends[b - 1]
-    return b"".join([*keep, data[at:]]).decode()
+    return b"".join([*keep, data[at:]])
 
 
 def decontaminate(
@@ -274,16 +282,9 @@ def decontaminate(
     kept, in order; names and cases are as in :func:`scan`. Documents without a hit stay as they are.
     """
 
-    @F.udf("string")
-    def clean(text: str, spans: list) -> str:
-        return cut(text, spans)
-
-    found = scan(docs, benchmark, window, text_col, **names)
-    long = F.filter("found.spans", lambda s: s[1] - s[0] > max_span)
-    hit = F.aggregate(long, F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
-    found = found.filter(hit <= F.lit(max_coverage) * F.col("found.n_words"))
-    text = F.when(F.size(long) > 0, clean(F.col(text_col), long)).otherwise(F.col(text_col))
-    return found.withColumn(text_col, text).select(*[f"`{c}`" for c in docs.columns])
+    found = scan(docs, benchmark, window, text_col, cut_over=max_span, **names)
+    hit = F.aggregate("found.spans", F.lit(0).cast("long"), lambda n, s: n + F.when(s[1] - s[0] > max_span, s[1] - s[0]).otherwise(0))
+    return found.filter(hit <= F.lit(max_coverage) * F.col("found.n_words")).select(*[f"`{c}`" for c in docs.columns])
 
 
 def summary(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

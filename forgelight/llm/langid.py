@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import bound_batches, settle
 
 #: Labelled rows of each language that centroids are learned from, about; all if there are fewer.
 MAX_ROWS_PER_LANG = 2_000
@@ -176,6 +176,7 @@ def identify(docs: DataFrame, model: Centroids, id_col: str = "doc_id", text_col
     the distance is above that of nearly all rows learned from: the text may be of no learned
     language. Rows are not shuffled; repeated rows get equal results; other columns are not read.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # CENTROIDS x languages x DIM numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

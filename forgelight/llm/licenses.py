@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import bound_batches, settle
 from .license_texts import EQUIVALENT, KNOWN
 
 WORD = re.compile(r"[^\W_]+")
@@ -62,6 +62,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
     is joined by a shuffle.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     known = known_digests(spark) if known is None else known
     small = known.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
     shapes = {(r[0], r[1], r[2]) for r in known.select("n_words", "head", "tail").collect()} if small else None

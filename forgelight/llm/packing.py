@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import bound_batches, settle
 
 #: How a byte-level BPE of this family cuts a text into words.
 WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
@@ -226,6 +226,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, id_col: str = "
     one, whose only id is 0. Null ids and repeated rows are documents like others; an empty table
     gives an empty result. Other columns are not read.
     """
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     pieces = settle(texts.mapInArrow(cut_pieces(tokenizer_path, size), PIECES), "pack-pieces")
     return place(pieces, size)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import forget, settle
+from .common import bound_batches, forget, settle
 
 #: Entities whose surrogate had to be drawn again that may be broadcast; more are joined to the texts that hold them.
 MAX_BROADCAST = 100_000
@@ -278,6 +278,7 @@ def pseudonymize(docs: DataFrame, key: bytes, text_col: str = "text", max_broadc
     texts, repeated rows and empty tables are as usual.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     keep = docs.drop("entities")
     held = settle(mentions(keep, text_col), "pii-mentions")
     again = settle(redrawn(settle(held.select("kind", "value").distinct(), "pii-entities"), key), "pii-again")

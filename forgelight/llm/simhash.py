@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import bound_batches, settle
 from .graph import components
 
 SEED = 42
@@ -239,6 +239,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 3, id_col: str
     Copies share a fingerprint and are one node, however many. A null id is passed over for the
     component unless all of it are null. Repeated rows stay. Other columns are not read.
     """
+    bound_batches(docs.sparkSession)
     rows = settle(fingerprints(docs, width, id_col, text_col), "simhash-rows")
     nodes = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
     member = settle(components(near_links(nodes, bits)), "simhash-members")

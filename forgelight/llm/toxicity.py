@@ -16,7 +16,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import bound_batches, settle
 
 #: About how many labelled rows are learned from; all if there are fewer.
 MAX_TRAINING_ROWS = 24_000
@@ -41,8 +41,6 @@ DISGUISE = str.maketrans("013457@$!", "oieastasi")
 
 WORD = re.compile(r"[^\W_]+(?:[*@$!]+[^\W_]+)*")
 MIXED = re.compile(r"[^\W\d_][0-9@$!*]+[^\W\d_]")
-LONG_RUN = re.compile(r"(.)\1{3,}")
-SPACED = re.compile(r"\b(?:[^\W\d_][ .*-]){3,}[^\W\d_]\b")
 
 FEATURES = [
     "log_words", "insult_density", "insults", "learned_density", "learned_words", "learned_weight", "learned_most",
@@ -70,48 +68,68 @@ class Lexicon:
 def features(text: str | None, lexicon: Lexicon) -> list[float]:
     """The FEATURES of a whole text; an empty or null one has zeros."""
     text = text or ""
+    data = text.encode(errors="surrogatepass")
     found = WORD.findall(text)
-    n, size = max(1, len(found)), max(1, len(text))
-    low = [w.lower() for w in found]
-    counts = Counter(low)
-    insults = sum(counts[w] for w in counts.keys() & INSULT_SET)
-    hits = [(lexicon.words[w], c) for w, c in counts.items() if w in lexicon.words]
-    stems = sum(c for w, c in counts.items() if w[:STEM] in lexicon.stems and len(w) > STEM)
-    learned = sum(c for _, c in hits)
-    persons = [i for i, w in enumerate(low) if w in PERSON_SET]
+    n, size = max(1, len(found)), max(1, len(data))
+    written = Counter(found)
+    counts: Counter[str] = Counter()
+    for w, c in written.items():
+        counts[w.lower()] += c
+    insulting, known = counts.keys() & INSULT_SET, counts.keys() & lexicon.words.keys()
+    insults, learned = sum(map(counts.__getitem__, insulting)), sum(map(counts.__getitem__, known))
+    weights = [lexicon.words[w] for w in known]
+    stems = sum(c for w, c in counts.items() if len(w) > STEM and w[:STEM] in lexicon.stems)
+    addressed = counts.keys() & PERSON_SET
     near = 0
-    if persons and (insults or learned):
-        at = np.array([i for i, w in enumerate(low) if w in INSULT_SET or w in lexicon.words])
-        p = np.array(persons)
+    if addressed and (insulting or known):
+        low = [w.lower() for w in found]
+        p = np.array([i for i, w in enumerate(low) if w in addressed])
+        at = np.array([i for i, w in enumerate(low) if w in insulting or w in known])
         spot = np.searchsorted(p, at)
-        left = at - p[np.maximum(spot - 1, 0)]
-        right = p[np.minimum(spot, len(p) - 1)] - at
+        left, right = at - p[np.maximum(spot - 1, 0)], p[np.minimum(spot, len(p) - 1)] - at
         near = int(((np.abs(left) <= NEAR) | (np.abs(right) <= NEAR)).sum())
     disguised = hidden = 0
-    if MIXED.search(text):
-        odd = {w: c for w, c in counts.items() if MIXED.search(w)}
-        disguised = sum(odd.values())
-        for w, c in odd.items():
-            plain = w.translate(DISGUISE)
-            hidden += c * (plain in INSULT_SET or plain in lexicon.words or w.replace("*", "") in INSULT_SET)
-    letters = max(1, sum(map(len, found)))
-    capitals = size - len(text.translate(CAPITALS))
-    marks = size - len(text.translate(MARKS))
-    symbols = size - len(text.translate(SYMBOLS))
+    if len(data.translate(None, ODD)) < len(data):
+        for w, c in counts.items():
+            if MIXED.search(w):
+                plain = w.translate(DISGUISE)
+                disguised += c
+                hidden += c * (plain in INSULT_SET or plain in lexicon.words or w.replace("*", "") in INSULT_SET)
+    left_of = lambda marks: (size - len(data.translate(None, marks))) if data else 0
     return [
         math.log1p(len(found)),
-        insults / n, float(insults), learned / n, float(learned), sum(w * c for w, c in hits) / n,
-        max((w for w, _ in hits), default=0.0), stems / n, float(stems), len(persons) / n, near / n,
-        capitals / letters, sum(c for w, c in Counter(found).items() if len(w) > 1 and w.isupper()) / n,
-        text.count("!") / size, text.count("?") / size, marks / size, symbols / size, disguised / n, float(hidden),
-        sum(1 for _ in LONG_RUN.finditer(text)) / n, sum(1 for _ in SPACED.finditer(text)) / n, len(counts) / n,
+        insults / n, float(insults), learned / n, float(learned), sum(lexicon.words[w] * counts[w] for w in known) / n,
+        max(weights, default=0.0), stems / n, float(stems), sum(map(counts.__getitem__, addressed)) / n, near / n,
+        left_of(CAPITALS) / max(1, sum(len(w) * c for w, c in written.items())),
+        sum(c for w, c in written.items() if len(w) > 1 and w.isupper()) / n,
+        data.count(b"!") / size, data.count(b"?") / size, left_of(MARKS) / size, left_of(SYMBOLS) / size, disguised / n, float(hidden),
+        long_runs(data) / n, spaced_letters(found, counts) / n, len(counts) / n,
     ]
 
 
+def long_runs(data: bytes) -> int:
+    """Stretches of four or more equal bytes."""
+    x = np.frombuffer(data, "u1")
+    if len(x) < 4:
+        return 0
+    same = x[1:] == x[:-1]
+    runs = same[:-2] & same[1:-1] & same[2:]
+    return int(runs[0]) + int((runs[1:] & ~runs[:-1]).sum())
+
+
+def spaced_letters(found: list[str], counts: Counter[str]) -> int:
+    """Stretches of four or more words of one letter, as in s p a c e d words."""
+    if sum(c for w, c in counts.items() if len(w) == 1) < 4:
+        return 0
+    one = np.fromiter((len(w) == 1 for w in found), bool, len(found))
+    if len(one) < 4:
+        return 0
+    runs = one[:-3] & one[1:-2] & one[2:-1] & one[3:]
+    return int(runs[0]) + int((runs[1:] & ~runs[:-1]).sum())
+
+
 INSULT_SET, PERSON_SET = frozenset(INSULTS), frozenset(SECOND_PERSON)
-CAPITALS = dict.fromkeys(map(ord, "ABCDEFGHIJKLMNOPQRSTUVWXYZÄÖÜÉÈÊÀÇÑÁÍÓÚ"))
-MARKS = dict.fromkeys(map(ord, ".,;:!?'\"()-"))
-SYMBOLS = dict.fromkeys(map(ord, "*#@$%&^~+=<>|\\/{}[]_"))
+CAPITALS, MARKS, SYMBOLS, ODD = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b".,;:!?'\"()-", b"*#@$%&^~+=<>|\\/{}[]_", b"0123456789@$!*"
 
 
 def learn_lexicon(rows: DataFrame) -> Lexicon:
@@ -146,6 +164,7 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
 
 def with_features(docs: DataFrame, lexicon: Lexicon, text_col: str) -> DataFrame:
     """All columns of docs (but one named features), and the feature array."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # MAX_LEARNED_WORDS at most
     keep = docs.drop("features")
     own = F.struct(F.lit(0).alias("__none"), *[F.col(f"`{c}`") for c in keep.columns if c != text_col])
