@@ -46,7 +46,7 @@ def instant(ts: Column, floor: Column | bool = False) -> Column:
 
 def metadata(table: DataFrame, origin: str) -> DataFrame:
     """Package metadata rows (package, url_raw, bugreports_raw, ord) of one registry: the first row of each package, tagged."""
-    return conform(first_per_package(table.withColumn("origin", F.lit(origin)).withColumn("_ord", F.col("ord"))).withColumnRenamed("_ord", "ord"), PACKAGE_INPUT)
+    return conform(first_per_package(table.withColumn("origin", F.lit(origin))), PACKAGE_INPUT)
 
 
 def stanzas(spark: SparkSession, paths: list[str], origin: str) -> DataFrame:
