@@ -1,0 +1,232 @@
+"""Operators over documents, against brute force on small tables with awkward rows."""
+
+import hashlib
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from tokenizers import Tokenizer
+
+from forgelight.llm import decontamination, licenses, packing, pii, sharding, simhash
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, found string, rng string"
+WORDS = ["alpha", "beta", "gamma", "delta", "Épsilon", "zeta", "eta", "theta"]
+
+
+def prose(r, n):
+    return " ".join(WORDS[i] for i in r.integers(0, len(WORDS), n))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    r = np.random.default_rng(5)
+    base = prose(r, 80)
+    near = [re.sub(r"\w+", "changed", base, count=i) for i in range(1, 6)]
+    return [None, "", " \n ", "one", "a b", *[base] * 12, *near, *[prose(r, int(n)) for n in r.integers(1, 60, 60)], prose(r, 30_000), "x" * 50_000, "A\u00a0b, c!\n\n" * 3]
+
+
+@pytest.fixture()
+def docs(spark, texts):
+    rows = [(i, t, None, "s", None, "clash", "clash") for i, t in enumerate(texts)]
+    return spark.createDataFrame([*rows, rows[7], (None, "null id", None, None, None, None, None)], SCHEMA)
+
+
+def test_simhash_components_equal_brute_force(docs):
+    def fp(t):
+        w = re.findall("[^\x20\x09-\x0d]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+        sh = [" ".join(w[j : j + 3]) for j in range(max(1, len(w) - 2))] if w else []
+        h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    rows = [(r["doc_id"], fp(r["text"])) for r in docs.collect()]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, (_, a) in enumerate(rows):
+        for j in range(i):
+            if (a ^ rows[j][1]).bit_count() <= 3:
+                parent[root(i)] = root(j)
+    group = defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        group[root(i)].append(d)
+    want = [(d, f"{f:016x}", min((x for x in group[root(i)] if x is not None), default=None)) for i, (d, f) in enumerate(rows)]
+    assert sorted(map(tuple, simhash.near_duplicates(docs).collect()), key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("bits", [2, 3, 5])
+def test_frequent_signatures_are_cut_again(spark, bits):
+    r = np.random.default_rng(bits)
+    base = int(r.integers(0, 2**63))
+    fps = {base} | {base ^ sum(1 << int(b) for b in r.choice(64, int(k), replace=False)) for k in r.integers(1, 9, 150)} | {int(x) for x in r.integers(-(2**63), 2**63, 50)}
+    fps = [f - (1 << 64) if f >= 1 << 63 else f for f in fps]
+    nodes = spark.createDataFrame([(f,) for f in fps], "fp long")
+
+    def components(links):
+        of = {f: f for f in fps}
+        root = lambda x: x if of[x] == x else root(of[x])
+        for a, b in links:
+            of[root(a)] = root(b)
+        groups = defaultdict(set)
+        for f in fps:
+            groups[root(f)].add(f)
+        return sorted(map(sorted, groups.values()))
+
+    mask = (1 << 64) - 1
+    want = components([(a, b) for i, a in enumerate(fps) for b in fps[:i] if ((a ^ b) & mask).bit_count() <= bits])
+    for most in (8192, 4):
+        assert components([tuple(x) for x in simhash.near_links(nodes, bits, most).collect()]) == want
+
+
+def test_deduplicate_keeps_one_of_each_group(docs):
+    found = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+    kept = simhash.deduplicate(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted({c for d, c in found.items() if d is not None})
+    assert simhash.deduplicate(docs.limit(0)).count() == 0
+
+
+def test_decontamination(spark, docs):
+    r = np.random.default_rng(9)
+    passage = prose(r, 14)
+    item = spark.createDataFrame([(10, passage), (9, "Short, item"), (8, None), (7, ""), (None, passage + " more"), (6, passage)], "item_id long, text string")
+    extra = [(900, f"Start here! {passage.upper()} and so on and on with very many words more that are not any benchmark", None, None, None, None, None), (901, "a short ITEM here and many other words", None, None, None, None, None), (902, passage, None, None, None, None, None)]
+    both = docs.union(spark.createDataFrame(extra, SCHEMA))
+    for most in (1_000_000, 15):
+        rows = {r["doc_id"]: r for r in decontamination.summary(decontamination.scan(both, item, 10, words_per_automaton=most)).collect()}
+        assert (rows[900]["n_hit"], rows[900]["n_items"]) == (14, 3)
+        assert rows[901]["n_hit"] == 2 and rows[901]["items_sha256"] == hashlib.sha256(b"9").hexdigest()
+        assert rows[902]["n_hit"] == rows[902]["n_words"] == 14
+        assert (rows[0]["n_words"], rows[0]["contaminated"]) == (0, False)
+    clean = decontamination.decontaminate(both, item)
+    got = {r["doc_id"]: r["text"] for r in clean.collect()}
+    assert clean.columns == both.columns and 902 not in got and got[901] == "a  here and many other words" and got[0] is None
+    assert "so on and on" in got[900] and passage.upper() not in got[900]
+    assert decontamination.scan(both.limit(0), item).count() == 0 and decontamination.scan(docs, item.limit(0)).count() == docs.count()
+
+
+def test_encoder_gives_the_ids_of_tokenizers(texts):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, ref = packing.Encoder(path), Tokenizer.from_file(path)
+    ref.encode_special_tokens = True
+    for t in [*[t or "" for t in texts if t is None or len(t) < 5000], "<|endoftext|> don't  we'll\u3000x \n\n y 12a ²½ 東京 \t", "\u2028 a\u00a0 b", "😀 é\u0301"]:
+        assert np.frombuffer(own(t), "u4").tolist() == ref.encode(t, add_special_tokens=False).ids, t
+
+
+@pytest.mark.parametrize("size", [64, 2048])
+def test_packing_is_a_gapless_exact_cover(docs, size):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = packing.pack(docs, path, size).collect()
+    encode = packing.Encoder(path)
+    want = defaultdict(int)
+    for r in docs.collect():
+        ids = encode(r["text"] or "") + bytes(4)
+        for p, s, n, c in packing.pieces_of(ids, size):
+            assert c == zlib.crc32(ids[4 * s : 4 * (s + n)])
+            want[r["doc_id"], p, s, n, c] += 1
+    got = defaultdict(int)
+    sequences = defaultdict(list)
+    for r in rows:
+        got[r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]] += 1
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert got == want
+    for s in sequences.values():
+        at = 0
+        for offset, length in sorted(s):
+            assert offset == at
+            at += length
+        assert at <= size
+    total = sum(n for *_, n, _ in (k for k, c in got.items() for _ in range(c)))
+    assert len(sequences) <= -(-total // size) * 1.02 + 2
+    assert packing.pack(docs.limit(0), path).count() == 0
+
+
+def test_plan_covers_counts_and_finds_exact_triples():
+    assert packing.plan({50: 1, 30: 1, 20: 1, 60: 2, 40: 2, 100: 3}, 100) == [((100,), 3), ((60, 40), 2), ((50, 30, 20), 1)]
+    assert packing.plan({}, 10) == []
+
+
+@pytest.mark.parametrize("n", [1, 7, 40])
+def test_shards(docs, n):
+    rows = sharding.shard(docs, n).collect()
+    assert len(rows) == docs.count()
+    by = defaultdict(list)
+    for r in rows:
+        by[r["shard"]].append(r)
+    for s in by.values():
+        assert sorted(r["slot"] for r in s) == list(range(len(s)))
+    text = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    assert all(r["size"] == len(text[r["doc_id"]].encode()) + 16 and r["text_crc32"] == zlib.crc32(text[r["doc_id"]].encode()) for r in rows)
+    largest = max(r["size"] for r in rows)
+    mean = sum(r["size"] for r in rows) / n
+    assert max(sum(r["size"] for r in s) for s in by.values()) <= mean + largest + 0.02 * mean
+    assert sharding.shard(docs.limit(0), n).count() == 0
+
+
+def test_a_hot_text_is_spread(spark):
+    r = np.random.default_rng(2)
+    rows = [(i, "same text " * 5 if i % 3 == 0 else prose(r, int(r.integers(1, 40)))) for i in range(3000)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), 10).groupBy("shard").sum("size").collect()
+    sizes = [x[1] for x in got]
+    assert len(sizes) == 10 and max(sizes) < 1.03 * min(sizes)
+
+
+PII = [
+    (1, "Write to jo.doe42@mail8.example.com or JO.DOE42@MAIL8.EXAMPLE.COM, call +1 (988) 555-2485."),
+    (2, "call 988-555-2485 or jo.doe42@mail8.example.com; host 55.63.178.142, version 1.2.3.4.5"),
+    (3, "card 4417744280351547 and order 9807915762804490, iban DE89 3704 0044 0532 0130 00, ssn 123-45-6789"),
+    (4, 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"; Mr. John Smith met Frau Anna Müller, г-жа Ольга Петрова'),
+    (5, None), (6, ""), (7, "nothing here"), (7, "nothing here"), (8, "Mr. Smith again; so said Mr SMITH"),
+]
+
+
+@pytest.mark.parametrize("most", [100_000, -1])
+def test_surrogates_keep_type_format_and_identity(spark, most):
+    df = spark.createDataFrame([(i, t, "x") for i, t in PII], "doc_id long, text string, entities string")
+    got = pii.pseudonymize(df, b"key", max_broadcast=most)
+    assert got.columns == ["doc_id", "text", "entities"]
+    out = {r["doc_id"]: r for r in got.collect()}
+    text = {k: r["text"] for k, r in out.items()}
+    for secret in ("jo.doe42", "988", "2485", "55.63.178.142", "4417744280351547", "0532 0130", "123-45-6789", "04dbebab", "John", "Smith", "Müller", "Петрова"):
+        assert not any(secret.lower() in (t or "").lower() for t in text.values()), secret
+    assert text[5] is None and text[6] == "" and text[7] == "nothing here" and got.count() == len(PII)
+    assert "9807915762804490" in text[3] and "1.2.3.4.5" in text[2]
+    mail = re.search(r"[a-z]{2}\.[a-z]{3}\d\d@[a-z]{4}\d\.example\.com", text[1])[0]
+    assert mail in text[2] and mail.upper() in text[1]
+    assert re.search(r"\+1 \((\d{3})\) (\d{3}-\d{4})", text[1]).groups() == re.search(r"(\d{3})-(\d{3}-\d{4})", text[2]).groups()
+    assert pii.luhn(re.search(r"card (\d{16})", text[3])[1]) and pii.iban_valid(re.search(r"iban (.*?),", text[3])[1].replace(" ", ""))
+    family = re.search(r"Mr\. (\w+) (\w+) met", text[4])
+    assert f"Mr. {family[2]} again" in text[8] and pii.GENDER[family[1].casefold()] == ("latin", "m") and re.search(r"г-жа [А-Я][а-я]+ [А-Я][а-я]+", text[4])
+    for r in out.values():
+        assert all(r["text"][e["start"] : e["end"]] for e in r["entities"])
+    assert pii.pseudonymize(df.limit(0), b"key").count() == 0
+    assert {r["text"] for r in pii.pseudonymize(df, b"other").collect()} != set(text.values())
+
+
+def test_colliding_surrogates_are_drawn_again(spark):
+    names = [("given-greek-f", f"ν{i}") for i in range(40)] + [("given-greek-f", n.casefold()) for n in pii.GIVEN["greek", "f"]]
+    df = spark.createDataFrame(names, "kind string, value string")
+    attempts = {(r[0], r[1]): r[2] for r in pii.redrawn(df, b"k").collect()}
+    new = [pii.surrogate(b"k", k, v, attempts.get((k, v), 0)) for k, v in names]
+    assert len(set(new)) == len(new) and not set(new) & {v for _, v in names}
+
+
+def test_licences(spark):
+    mit = next(t for n, t in licenses.KNOWN if n == "MIT")
+    rows = [(1, f"Copyright (c) 2024 Someone\n\n{mit.replace('license', 'licence').upper()}"), (2, f"{mit} and more"), (3, "prose\n* Licenced under the MIT licence!\nprose"), (4, None), (5, ""), (6, "Released under the MIT License."), (6, "Released under the MIT License.")]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, digest string")
+    got = licenses.scan(df)
+    assert sorted((r["doc_id"], r["license"], tuple(r["notices"])) for r in got.collect()) == [(1, "MIT", ()), (2, None, ()), (3, None, ("MIT",)), (4, None, ()), (5, None, ()), (6, "MIT", ("MIT",)), (6, "MIT", ("MIT",))]
+    assert licenses.scan(df.limit(0)).count() == 0
+    old, licenses.MAX_BROADCAST = licenses.MAX_BROADCAST, 0
+    try:
+        assert sorted(map(str, licenses.scan(df).collect())) == sorted(map(str, got.collect()))
+    finally:
+        licenses.MAX_BROADCAST = old
