@@ -121,5 +121,23 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 """
 
 
+WORDS_SQL = r"coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+CONTAMINATED_SQL = f"""
+WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS_SQL} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item, least(10, len(w)) AS k, array_to_string(w[p : p + least(10, len(w)) - 1], ' ') AS t
+  FROM i, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS x(p) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT k FROM win),
+dw AS (SELECT doc_id, k, p, array_to_string(w[p : p + k - 1], ' ') AS t FROM (SELECT * FROM d, sizes) s, unnest(range(1, len(w) - k + 2)) AS x(p)),
+hit AS (SELECT doc_id, dw.k, p, item FROM dw JOIN win ON dw.t = win.t AND dw.k = win.k),
+pos AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hit) GROUP BY 1),
+its AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY 1)
+SELECT d.doc_id, len(w) AS n_words, coalesce(pos.n, 0) AS n_hit, coalesce(its.n, 0) AS n_items, sha256(coalesce(its.s, '')) AS items_sha256,
+       coalesce(pos.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos ON d.doc_id = pos.doc_id LEFT JOIN its ON d.doc_id = its.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_threshold_topk": TOPK_SQL, "op10_url_digests": URL_SQL}
+    return {"op1_threshold_topk": TOPK_SQL, "op4_suffix_automaton": CONTAMINATED_SQL, "op10_url_digests": URL_SQL}
