@@ -15,8 +15,10 @@ from .common import settle
 #: Candidates whose sorted lists are held together, and queries that run over them in one task.
 CANDIDATES = 4096
 QUERIES = 2048
-#: Entries read from each list in the first round; each later round reads twice as many.
-DEPTH = 16
+#: Entries read from each list in the first round; after each later round STEP times as many have been read.
+DEPTH, STEP = 16, 4
+#: Queries whose scores of a whole block are held at a time.
+CHUNK = 256
 #: Values from here on can't be held as a long; vectors with such values take no part.
 LIMIT = 2.0**62
 #: Sums below this are exact in double precision.
@@ -54,7 +56,7 @@ class SortedLists:
         best, at = np.empty(0, "i8"), np.empty(0, "i8")
         depth = 0
         while depth < n:
-            deep = min(n, max(DEPTH, 2 * depth))
+            deep = min(n, max(DEPTH, STEP * depth))
             head = self.order[depth:deep][:, used[up]]
             tail = self.order[n - deep : n - depth][:, used[~up]]
             hit = np.zeros(n, bool)
@@ -82,6 +84,51 @@ class SortedLists:
         return self.ids[at][order], best[order]
 
 
+    def search_all(self, q_ids: np.ndarray, q: np.ndarray, k: int, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number of the query, id, score) of the k best of each query that reach its floor, a score that k candidates are known to have.
+
+        The bounds of all queries are held against their floors at the depths of search(). A query
+        whose bound falls below its floor reads its lists to that depth; for one whose lists would
+        have to be read to where they hold the block a few times over, all of the block is scored.
+        """
+        n, width = self.x.shape
+        if np.abs(self.x).max(initial=0) * np.abs(q).max(initial=0) * max(1, width) >= EXACT or not np.isfinite(floors).all():
+            each = [self.search(int(i), v, k, float(f)) for i, v, f in zip(q_ids, q, floors, strict=True)]
+            return np.repeat(np.arange(len(q)), [len(x[0]) for x in each]), np.concatenate([x[0] for x in each]), np.concatenate([x[1] for x in each])
+        depth, up, down = np.full(len(q), n), np.maximum(q, 0), np.minimum(q, 0)
+        t = DEPTH
+        while t * width < 4 * n and t < n:
+            bound = up @ self.values[t - 1] + down @ self.values[n - t]
+            depth[(depth == n) & (bound < floors)] = t
+            t *= STEP
+        first, last = np.searchsorted(self.ids, q_ids, "left"), np.searchsorted(self.ids, q_ids, "right")
+        parts = []
+        whole = np.flatnonzero(depth == n)
+        for at in range(0, len(whole), CHUNK):
+            own = whole[at : at + CHUNK]
+            scores = q[own] @ self.x.T
+            for j, (a, b) in enumerate(zip(first[own], last[own], strict=True)):
+                scores[j, a:b] = -np.inf
+            j, i = np.nonzero(scores >= floors[own, None])
+            parts.append((own[j], self.ids[i], scores[j, i].astype("i8")))
+        for j in np.flatnonzero(depth < n):
+            seen = np.zeros(n, bool)
+            seen[self.order[: depth[j]][:, q[j] > 0].ravel()] = True
+            seen[self.order[n - depth[j] :][:, q[j] < 0].ravel()] = True
+            seen[first[j] : last[j]] = False
+            i = np.flatnonzero(seen)
+            scores = exact_scores(self.x[i], q[j])
+            good = scores >= floors[j]
+            parts.append((np.full(int(good.sum()), j), self.ids[i[good]], scores[good]))
+        if not parts:
+            return np.empty(0, "i8"), np.empty(0, "i8"), np.empty(0, "i8")
+        row, ids, scores = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((ids, -scores, row))
+        row, ids, scores = row[order], ids[order], scores[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row, "left") < k
+        return row[keep], ids[keep], scores[keep]
+
+
 def _matrix(values: pd.Series) -> np.ndarray:
     return np.array(values.tolist(), "f8").reshape(len(values), -1)
 
@@ -94,10 +141,9 @@ def _search_blocks(k: int) -> Callable:
         if len(queries) and len(candidates):
             candidates = candidates.sort_values("vec_id", kind="stable")
             lists = SortedLists(candidates["vec_id"].to_numpy("i8"), _matrix(candidates["x"]))
-            q = _matrix(queries["q"])
-            for i, (query_id, row, floor) in enumerate(zip(queries["query_id"], queries["row"], queries["floor"], strict=True)):
-                ids, scores = lists.search(int(query_id), q[i], k, -math.inf if floor is None or floor != floor else float(floor))
-                out.append(pd.DataFrame({"query_id": int(query_id), "row": int(row), "vec_id": ids, "score": scores}))
+            floors = queries["floor"].astype("f8").fillna(-math.inf).to_numpy()
+            j, ids, scores = lists.search_all(queries["query_id"].to_numpy("i8"), _matrix(queries["q"]), k, floors)
+            out.append(pd.DataFrame({"query_id": queries["query_id"].to_numpy("i8")[j], "row": queries["row"].to_numpy("i8")[j], "vec_id": ids, "score": scores}))
         return pd.concat(out)
 
     return run
