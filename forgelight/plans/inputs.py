@@ -88,13 +88,13 @@ select cast(user_id as string) as repo_id, event_type as tool,
        case when event_id % 4 = 0 then event_id % 6 end as authored_commits,
        case when event_id % 5 = 0 then event_id % 9 end as assisted_commits,
        cast(cast(ts as date) as string) as last_confirmed_date
-from events where event_id % 7 = 0
+from events
 """
 EVIDENCE = """
 select distinct cast(user_id as string) as repo_id, event_type as tool,
        case cast(event_id % 5 as int) when 0 then 'A' when 1 then 'B' when 2 then 'C' when 3 then 'PR' else 'D' end as tier,
        'm' || cast(event_id % 4 as string) as marker, event_type = 'error' as agnostic
-from events where event_id % 11 = 0
+from events
 """
 
 #: Commits: turns of conversations with a trailer or author by turns.
@@ -119,19 +119,19 @@ select cast(c_custkey % 60 as string) as repo_id,
 from customer
 """
 
-#: Trees: entries of a repository's root and .github folder, and lines of ignore files, one to a row.
+#: Trees: entries of a repository's root and .github folder, and lines of ignore files, one to a row; most are no marker.
 ENTRIES = """
 select cast(l_suppkey as string) as repo_id, case cast(l_partkey % 3 as int) when 0 then 'github' else 'root' end as place,
-       case cast(l_partkey % 16 as int) when 0 then 'CLAUDE.md' when 1 then 'copilot-instructions.md' when 2 then '.cursor' when 3 then 'AGENTS.md'
+       case case when l_partkey % 5 = l_suppkey % 5 then cast(l_partkey % 16 as int) end when 0 then 'CLAUDE.md' when 1 then 'copilot-instructions.md' when 2 then '.cursor' when 3 then 'AGENTS.md'
          when 4 then 'workflows' when 5 then 'README.md' when 6 then 'README.Rmd' when 7 then 'x.Rproj' when 8 then '.positai' when 9 then 'SECURITY.md'
          when 10 then 'renv' when 11 then '_pkgdown.yml' when 12 then '.travis.yml' when 13 then 'dependabot.yml' else 'f' || cast(l_partkey as string) end as entry
-from lineitem where l_partkey % 5 = l_suppkey % 5
+from lineitem
 """
 IGNORE_LINES = r"""
 select cast(l_suppkey as string) as repo_id, case when l_partkey % 2 = 0 then 'gitignore' else 'rbuildignore' end as file,
-       case cast(l_partkey % 8 as int) when 0 then '^\.cursor$' when 1 then './CLAUDE.md  # ours' when 2 then '.claude/' when 3 then 'AGENTS.md'
-         when 4 then '.positai' when 5 then '.cursorish' when 6 then '# .gemini' else '^.aider.conf.yml' end as line
-from lineitem where l_partkey % 17 = l_suppkey % 17
+       case case when l_partkey % 17 = l_suppkey % 17 then cast(l_partkey % 8 as int) end when 0 then '^\.cursor$' when 1 then './CLAUDE.md  # ours' when 2 then '.claude/' when 3 then 'AGENTS.md'
+         when 4 then '.positai' when 5 then '.cursorish' when 6 then '# .gemini' when 7 then '^.aider.conf.yml' else 'f' || cast(l_partkey as string) end as line
+from lineitem
 """
 
 #: Repositories of an older generation and what a new run finds.

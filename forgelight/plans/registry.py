@@ -545,7 +545,7 @@ def marker_evidence(spark, d):
 @query(
     f"""
 select distinct repo_id, case m when 0 then 'cursor' when 7 then 'aider' else 'claude' end as tool, 'D' as tier, file || ':' || case m when 0 then '.cursor' when 1 then 'CLAUDE.md' when 2 then '.claude' else '.aider.conf.yml' end as marker, false as agnostic
-from (select cast(l_suppkey as varchar) as repo_id, case when l_partkey % 2 = 0 then 'gitignore' else 'rbuildignore' end as file, l_partkey % 8 as m from lineitem where l_partkey % 17 = l_suppkey % 17) where m in (0, 1, 2, 7)
+from (select cast(l_suppkey as varchar) as repo_id, case when l_partkey % 2 = 0 then 'gitignore' else 'rbuildignore' end as file, case when l_partkey % 17 = l_suppkey % 17 then l_partkey % 8 end as m from lineitem) where m in (0, 1, 2, 7)
 """
 )
 def ignore_evidence(spark, d):
@@ -580,7 +580,7 @@ def tooling_merge(spark, d):
     return tooling.merge_snapshots(prior, incoming).select("repo_id", "last_scanned", "has_ci", "has_old")
 
 
-PATHS = "select cast(l_suppkey as string) as repo_id, case cast(l_partkey % 4 as int) when 0 then '.cursor' when 1 then '.cursorrules' when 2 then 'CLAUDE.md' else '.github/copilot-instructions.md' end as path, cast(cast(l_shipdate as date) as string) as committed_at from lineitem where l_partkey % 3 = 0"
+PATHS = "select cast(l_suppkey as string) as repo_id, case cast(l_partkey % 4 as int) when 0 then '.cursor' when 1 then '.cursorrules' when 2 then 'CLAUDE.md' else '.github/copilot-instructions.md' end as path, cast(cast(l_shipdate as date) as string) as committed_at from lineitem"
 HOLES = "select distinct cast(l_suppkey as string) as repo_id, 'CLAUDE.md' as path from lineitem where l_suppkey % 5 = 0"
 MARKED = "select cast(s_suppkey as string) as repo_id, 'D' as tier, m.marker from supplier join (select '.cursor' as marker union all select 'CLAUDE.md' union all select 'copilot-instructions.md') m on s_suppkey % 9 <> 0"
 
@@ -610,11 +610,11 @@ def ignore_onset(spark, d):
 
 
 FORKS = "select cast(c_custkey as string) as repo_id, case when c_custkey % 4 = 0 then true when c_custkey % 4 = 1 then null else false end as is_fork from customer"
-FIRST = "select distinct repo_id, marker from (select cast(user_id as string) as repo_id, concat('m', event_id % 4) as marker from events where event_id % 22 = 0) x"
+FIRST = "select distinct repo_id, marker from (select cast(user_id as string) as repo_id, case when event_id % 22 = 0 then concat('m', event_id % 4) else concat('x', event_id % 4) end as marker from events) x"
 
 
 @query(
-    f"with t as (select distinct cast(user_id as varchar) as repo_id, 'm' || event_id % 4 as marker from events where event_id % 22 = 0) select e.repo_id, e.tool, e.tier, e.marker, cast(e.tier = 'D' and (coalesce(f.is_fork, false) or t.marker is not null) as int) as first_seen_censored from ({inputs.EVIDENCE}) e left join ({FORKS}) f on e.repo_id = f.repo_id left join t on e.repo_id = t.repo_id and e.marker = t.marker"
+    f"with t as (select distinct cast(user_id as varchar) as repo_id, case when event_id % 22 = 0 then 'm' else 'x' end || event_id % 4 as marker from events) select e.repo_id, e.tool, e.tier, e.marker, cast(e.tier = 'D' and (coalesce(f.is_fork, false) or t.marker is not null) as int) as first_seen_censored from ({inputs.EVIDENCE}) e left join ({FORKS}) f on e.repo_id = f.repo_id left join t on e.repo_id = t.repo_id and e.marker = t.marker"
 )
 def fork_guard(spark, d):
     return adoption.fork_guard(derive(spark, d, inputs.EVIDENCE), derive(spark, d, FORKS), derive(spark, d, FIRST)).select("repo_id", "tool", "tier", "marker", "first_seen_censored")
