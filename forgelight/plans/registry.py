@@ -710,12 +710,12 @@ def top_packages(spark, d):
     return health.top_packages(_summary(spark, d))
 
 
-# ---- ingest: responses are written from the tables as JSON, then read back ----
+# ---- ingest: responses are written from the tables as JSON, 50 rows to one at most, then read back ----
 
 TOTALS = ["watchers", "issues_open", "issues_closed", "prs_open", "prs_closed", "mergedPRs", "releases"]
 GAUGE_ROWS = """
 select concat('n', s_suppkey) as id, concat('o', s_nationkey, '/r', s_suppkey) as nwo, s_suppkey * 7 as stars, s_suppkey % 3 as forks, s_suppkey % 4 = 0 as hole,
-       s_suppkey % 5 as total, s_suppkey % 2 = 0 as archived, s_suppkey % 10 as batch from supplier
+       s_suppkey % 5 as total, s_suppkey % 2 = 0 as archived, s_suppkey % 10 + 10 * (s_suppkey div 500) as batch from supplier
 """
 
 
@@ -767,14 +767,16 @@ def deferred_connections(spark, d):
     return ingest.connection_items(_pages(spark, d))[1]
 
 
-REQUESTS = "select c_custkey % 20 as batch, concat('r', c_custkey) as alias, concat('github.com/a/', c_custkey) as repo_id from customer"
+#: Batches of 50 keys with the same remainder by 20, on which it depends how a batch fails.
+BATCH = "c_custkey % 20 + 20 * (c_custkey div 1000)"
+REQUESTS = f"select {BATCH} as batch, concat('r', c_custkey) as alias, concat('github.com/a/', c_custkey) as repo_id from customer"
 
 
 @query("select 'github.com/a/' || c_custkey as repo_id, case when c_custkey % 3 <> 0 then 'n' || c_custkey end as node_id, case when c_custkey % 3 <> 0 then 'o' end as owner, case when c_custkey % 3 <> 0 then 'm' || c_custkey end as name, case when c_custkey % 3 <> 0 then 'active' else 'gone' end as status from customer where c_custkey % 20 not in (5, 6)")
 def identity_rows(spark, d):
     item = """concat('"r', k, '":', case when k % 3 <> 0 then concat('{"id":"n', k, '","nameWithOwner":"o/m', k, '"}') else 'null' end)"""
-    raw = _bodies(spark, d, "select c_custkey as k, c_custkey % 20 as batch from customer where c_custkey % 20 <> 5", item, ('{"data":{', "}"), "batch")
-    errors = F.when(F.col("batch") == 6, ',"errors":[{"type":"TIMEOUT","path":["r1"]}]}').otherwise(',"errors":[{"type":"NOT_FOUND","path":["r3"]}]}')
+    raw = _bodies(spark, d, f"select c_custkey as k, {BATCH} as batch from customer where c_custkey % 20 <> 5", item, ('{"data":{', "}"), "batch")
+    errors = F.when(F.col("batch") % 20 == 6, ',"errors":[{"type":"TIMEOUT","path":["r1"]}]}').otherwise(',"errors":[{"type":"NOT_FOUND","path":["r3"]}]}')
     got, _ = ingest.identities(raw.withColumn("body", F.concat("body", errors)), derive(spark, d, REQUESTS))
     return got.select("repo_id", "node_id", "owner", "name", "status")
 
@@ -782,7 +784,7 @@ def identity_rows(spark, d):
 @query("select 'github.com/a/' || c_custkey as repo_id, case when c_custkey % 3 = 0 then '' else 'R,f' || c_custkey || ',.claude/skills,inst/skills' end as root_entries, case when c_custkey % 3 = 0 then '' else 'workflows' end as github_entries, case when c_custkey % 3 = 0 then '' else 'a,b' end as gitignore, case when c_custkey % 3 <> 0 then c_custkey % 2 = 0 end as is_fork from customer")
 def tree_rows(spark, d):
     item = """concat('"r', k, '":', case when k % 3 <> 0 then concat('{"isFork":', k % 2 = 0, ',"root":{"entries":[{"name":"R"},{"name":"f', k, '"}]},"github":{"entries":[{"name":"workflows"}]},"claude":{"entries":[{"name":"skills"}]},"inst":{"entries":[{"name":"skills"}]},"gitignore":{"text":"a\\\\nb"}}') else 'null' end)"""
-    raw = _bodies(spark, d, "select c_custkey as k, c_custkey % 20 as batch from customer", item, ('{"data":{', "}}"), "batch")
+    raw = _bodies(spark, d, f"select c_custkey as k, {BATCH} as batch from customer", item, ('{"data":{', "}}"), "batch")
     rows = ingest.trees(raw, derive(spark, d, REQUESTS))
     return rows.select("repo_id", F.array_join("root_entries", ",").alias("root_entries"), F.array_join("github_entries", ",").alias("github_entries"), F.array_join("gitignore_lines", ",").alias("gitignore"), "is_fork")
 
@@ -790,7 +792,7 @@ def tree_rows(spark, d):
 @query("select 'github.com/a/' || c_custkey as repo_id, case when i = 1 then 'cursor' end as login, case when i = 1 then 'Bot' end as typename, '2024-01-0' || i || 'T00:00:00Z' as created_at, false as has_next from customer, (values (1), (2)) v(i) where c_custkey % 3 <> 0")
 def pull_request_rows(spark, d):
     item = """concat('"r', k, '":', case when k % 3 <> 0 then '{"pullRequests":{"pageInfo":{"hasNextPage":false},"nodes":[{"createdAt":"2024-01-01T00:00:00Z","author":{"login":"cursor","__typename":"Bot"}},{"createdAt":"2024-01-02T00:00:00Z","author":null}]}}' else 'null' end)"""
-    raw = _bodies(spark, d, "select c_custkey as k, c_custkey % 20 as batch from customer", item, ('{"data":{', "}}"), "batch")
+    raw = _bodies(spark, d, f"select c_custkey as k, {BATCH} as batch from customer", item, ('{"data":{', "}}"), "batch")
     return ingest.pull_requests(raw, derive(spark, d, REQUESTS))
 
 

@@ -114,6 +114,15 @@ def only_not_found(errors: Column) -> Column:
     return F.coalesce((F.size(errors) > 0) & F.forall(errors, lambda e: F.coalesce((e["type"] == "NOT_FOUND") & (F.size(e["path"]) > 0), F.lit(False))), F.lit(False))
 
 
+def _answers(responses: DataFrame, requests: DataFrame) -> DataFrame:
+    """Every request (batch, alias, repo_id) whose batch is in responses (batch, data), with x, what data has under its alias.
+
+    x is null for a null or missing alias. Rows carry what they asked for alone, never the data of their batch.
+    """
+    said = responses.select("batch", F.explode("data").alias("alias", "x"))
+    return requests.join(responses.select("batch"), "batch", "left_semi").join(said, ["batch", "alias"], "left")
+
+
 def identities(raw: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(identities, deferred) of batches: raw (batch, body), requests (batch, alias, repo_id).
 
@@ -123,7 +132,7 @@ def identities(raw: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFram
     r = raw.select("batch", F.from_json("body", IDENTITY).alias("r"))
     usable = F.col("r.data").isNotNull() & (F.coalesce(F.size("r.errors"), F.lit(0)).isin(0, -1) | only_not_found(F.col("r.errors")))
     good = r.filter(usable).select("batch", "r.data")
-    rows = requests.join(good, "batch").withColumn("x", F.try_element_at("data", F.col("alias")))
+    rows = _answers(good, requests)
     owner = F.split_part("x.nameWithOwner", F.lit("/"), F.lit(1))
     name = F.split_part("x.nameWithOwner", F.lit("/"), F.lit(2))
     got = rows.select("repo_id", F.col("x.id").alias("node_id"), owner.alias("owner"), name.alias("name"), F.col("x.nameWithOwner").alias("name_with_owner"), F.when(F.col("x").isNull(), "gone").otherwise("active").alias("status"), F.col("x.isFork").cast("int").alias("is_fork"))
@@ -136,7 +145,7 @@ def trees(raw: DataFrame, requests: DataFrame) -> DataFrame:
     Names of subtrees are written below them (dir/name); a repository that is gone has no entries and a null fork flag.
     """
     r = raw.select("batch", F.from_json("body", TREE)["data"].alias("data"))
-    rows = requests.join(r, "batch").withColumn("x", F.try_element_at("data", F.col("alias")))
+    rows = _answers(r, requests)
     none = F.array().cast("array<string>")
     names = lambda c, pre="": F.coalesce(F.transform(F.col(f"x.{c}.entries"), lambda e: F.concat(F.lit(pre), e["name"])), none)
     root = F.concat(names("root"), *[names(s, f"{SUBTREE_NAMES[s]}/") for s in SUBTREES])
@@ -147,7 +156,7 @@ def trees(raw: DataFrame, requests: DataFrame) -> DataFrame:
 def pull_requests(raw: DataFrame, requests: DataFrame) -> DataFrame:
     """(repo_id, login, typename, created_at, has_next) of pull-request responses."""
     r = raw.select("batch", F.from_json("body", PRS)["data"].alias("data"))
-    x = requests.join(r, "batch").select("repo_id", F.try_element_at("data", F.col("alias"))["pullRequests"].alias("p"))
+    x = _answers(r, requests).select("repo_id", F.col("x.pullRequests").alias("p"))
     rows = x.select("repo_id", F.col("p.pageInfo.hasNextPage").alias("has_next"), F.explode("p.nodes").alias("n"))
     return rows.select("repo_id", F.col("n.author.login").alias("login"), F.col("n.author.__typename").alias("typename"), F.col("n.createdAt").alias("created_at"), "has_next")
 

@@ -98,3 +98,18 @@ def test_stream_is_safe_to_replay(spark, tmp_path, rows):
     assert rows(gauge_stream.read_series(spark, root)) == want
     gauge_stream.apply_batch(root, spark.createDataFrame([("r", "stars", 2, "2024-01-04"), ("q", "forks", 0, "2024-01-04")], schema), 1)
     assert rows(gauge_stream.read_series(spark, root)) == [("q", "2024-01-04", "forks", 0), *want]
+
+
+def test_requests_carry_their_own_answer_alone(spark, rows):
+    bodies = [(1, '{"data":{"a":{"id":"n1","nameWithOwner":"o/p","isFork":true},"b":null}}'), (2, '{"data":{"a":{"id":"n2","nameWithOwner":"q/r"}},"errors":[{"type":"TIMEOUT"}]}'), (3, "junk")]
+    raw = spark.createDataFrame(bodies, "batch long, body string")
+    asked = spark.createDataFrame([(b, a, f"{b}{a}") for b, a in [(1, "a"), (1, "b"), (1, "c"), (2, "a"), (3, "a"), (4, "a")]], "batch long, alias string, repo_id string")
+    got, deferred = ingest.identities(raw, asked)
+    assert rows(got.select("repo_id", "node_id", "owner", "status")) == [("1a", "n1", "o", "active"), ("1b", None, None, "gone"), ("1c", None, None, "gone")]
+    assert rows(deferred) == [("2a",), ("3a",), ("4a",)]
+    found = ingest.trees(raw, asked)
+    assert rows(found.select("repo_id", "is_fork")) == [("1a", True), ("1b", None), ("1c", None), ("2a", None), ("3a", None)]
+    prs = ingest.pull_requests(spark.createDataFrame([(1, '{"data":{"a":{"pullRequests":{"pageInfo":{"hasNextPage":false},"nodes":[{"createdAt":"d","author":null}]}},"b":null}}')], "batch long, body string"), asked)
+    assert rows(prs.select("repo_id", "created_at")) == [("1a", "d")]
+    for joined in (got, found, prs):
+        assert "try_element_at" not in joined._jdf.queryExecution().analyzed().toString()

@@ -29,3 +29,11 @@ def test_distinct_inputs_leave_no_event_out(spark, folder):
     assert inputs.derive(spark, folder, inputs.EVIDENCE).count() == kinds
     kinds = events.select("user_id", F.col("event_id") % 22 == 0, F.col("event_id") % 4).distinct().count()
     assert inputs.derive(spark, folder, registry.FIRST).count() == kinds
+
+
+@pytest.mark.parametrize(("sql", "keys"), [(registry.GAUGE_ROWS, 1200), (registry.REQUESTS, 2400)], ids=["suppliers", "customers"])
+def test_responses_do_not_grow_with_the_table(spark, tmp_path, sql, keys):
+    spark.range(1, keys + 1).selectExpr("id as s_suppkey", "id % 25 as s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(1, keys + 1).selectExpr("id as c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    sizes = [r["count"] for r in inputs.derive(spark, str(tmp_path), sql).groupBy("batch").count().collect()]
+    assert max(sizes) <= 50 and sum(sizes) == keys
