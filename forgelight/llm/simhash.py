@@ -26,20 +26,24 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def fingerprint(words: list[bytes], width: int) -> int:
-    """64-bit SimHash: a bit is 1 if over half of the shingles' XXH64 hashes have it.
-
-    Shingles are ``width`` words joined by spaces, repeats included; fewer words are one shingle;
-    no words give 0.
-    """
+def shingles(words: list[bytes], width: int) -> np.ndarray:
+    """XXH64 hashes of the shingles: ``width`` words joined by spaces, repeats included; fewer words are one shingle."""
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     ends = [e - 1 for e in accumulate(len(w) + 1 for w in words)]
     starts = [0, *[e + 1 for e in ends[:-1]]]
     n = max(1, len(words) - width + 1)
     parts = map(joined.__getitem__, map(slice, starts[:n], ends[min(width, len(words)) - 1 :]))
-    h = np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(SEED)), "<u8", n)
+    return np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(SEED)), "<u8", n)
+
+
+def fingerprint(words: list[bytes], width: int) -> int:
+    """64-bit SimHash: a bit is 1 if over half of the shingles' hashes have it; no words give 0."""
+    if not words:
+        return 0
+    h = shingles(words, width)
+    n = len(h)
     ones = np.zeros(64, "int64")
     for at in range(0, n, BLOCK):
         ones += np.unpackbits(h[at : at + BLOCK].view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype="int64")
@@ -116,10 +120,11 @@ def forest(fp: np.ndarray, bits: int) -> list[tuple[int, int]]:
 OUT = "key long, sub long, a long, b long"
 
 
-def _links_of_runs(bits: int, most: int | None) -> Callable:
+def _links_of_runs(bits: int, most: int | None, small: int = 2) -> Callable:
     """For mapInArrow over rows (key, sub, fp) in order of key and sub: verified links as (a, b).
 
-    A run of over ``most`` fingerprints is not compared but passed on, as rows without b.
+    A run of over ``most`` fingerprints is not compared but passed on, as rows without b. Of runs of
+    up to ``small`` all links are given, of others a forest.
     """
 
     def compared(held: list[np.ndarray], key: int) -> list[tuple[int, int]]:
@@ -146,13 +151,16 @@ def _links_of_runs(bits: int, most: int | None) -> Callable:
             edge = np.flatnonzero((key[1:] != key[:-1]) | (sub[1:] != sub[:-1])) + 1
             starts, ends = np.concatenate(([0], edge)), np.concatenate((edge, [len(key)]))
             pairs: list[tuple[int, int]] = []
-            # Whole runs of two, the most frequent, are compared together.
+            # Whole runs of a few, the most frequent, are compared together: each row with that so many places on.
             inner = np.arange(len(starts))
-            inner = inner[(inner > 0) & (inner < len(starts) - 1) & (ends - starts == 2)]
-            x, y = fp[starts[inner]], fp[starts[inner] + 1]
-            near = np.bitwise_count((x ^ y).view("u8")) <= bits
-            pairs += zip(x[near].tolist(), y[near].tolist(), strict=True)
-            for i in np.flatnonzero((ends - starts != 2) & (ends - starts > 1) | (np.arange(len(starts)) % max(1, len(starts) - 1) == 0)):
+            inner = (inner > 0) & (inner < len(starts) - 1) & (ends - starts <= small)
+            left = np.where(inner, ends - starts, 0).repeat(ends - starts) - (np.arange(len(key)) - starts.repeat(ends - starts))
+            for step in range(1, small):
+                at = np.flatnonzero(left > step)
+                x, y = fp[at], fp[at + step]
+                near = np.bitwise_count((x ^ y).view("u8")) <= bits
+                pairs += zip(x[near].tolist(), y[near].tolist(), strict=True)
+            for i in np.flatnonzero((ends - starts > small) | (np.arange(len(starts)) % max(1, len(starts) - 1) == 0)):
                 a, b = starts[i], ends[i]
                 if name != (int(key[a]), int(sub[a])):
                     if held and not hot:
@@ -210,7 +218,7 @@ def _keyed_again(n: int) -> Callable:
     return run
 
 
-def near_links(nodes: DataFrame, bits: int = 3, max_run: int = MAX_RUN) -> DataFrame:
+def near_links(nodes: DataFrame, bits: int = 3, max_run: int = MAX_RUN, small: int = 2) -> DataFrame:
     """Links (a, b) among distinct fingerprints (fp) that connect whatever differs by ``bits`` or fewer bits.
 
     Deletion variants: the 64 bits are cut into bits // 2 + 1 segments, so of two fingerprints that
@@ -221,7 +229,7 @@ def near_links(nodes: DataFrame, bits: int = 3, max_run: int = MAX_RUN) -> DataF
     """
     n = cuts(bits)
     flat = nodes.select("fp").mapInArrow(_keyed(n), "key long, sub long, fp long")
-    found = flat.repartition("key").sortWithinPartitions("key").mapInArrow(_links_of_runs(bits, max_run), OUT)
+    found = flat.repartition("key").sortWithinPartitions("key").mapInArrow(_links_of_runs(bits, max_run, small), OUT)
     found = settle(found, "simhash-runs")
     links = found.filter("b is not null").select("a", "b")
     hot = found.filter("b is null").select("key", F.col("a").alias("fp"))
@@ -260,3 +268,152 @@ def deduplicate(docs: DataFrame, width: int = 3, bits: int = 3, id_col: str = "d
     keep = settle(found.filter("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct(), "simhash-keep")
     kept = docs.join(keep, F.col(id_col) == F.col("__id"), "left_semi").dropDuplicates([id_col])
     return kept.union(docs.filter(F.col(id_col).isNull()))
+
+
+#: Five-word shingles that two texts have in common, of those that either has, to be copies; bits by which their fingerprints may differ.
+RESEMBLANCE, SHINGLE, COPY_BITS = 0.8, 5, 7
+#: Runs compared all with all: with signatures of 16 bits, most are of a few fingerprints.
+SMALL_RUN = 16
+
+
+def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
+    """(text_id, n, hashes) of rows (text_id, text): the distinct hashes of the text's shingles, and their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(shingles(words_of(t.as_py()), width)).view("i8") for t in batch.column(1).cast(pa.large_binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(f) for f in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["text_id", "n", "hashes"])
+
+    return texts.select("text_id", "text").mapInArrow(run, "text_id long, n long, hashes array<long>")
+
+
+def resembling(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Those pairs (a, b) of texts whose sets have a Jaccard similarity of ``least`` or more; two empty ones have 1."""
+    side = lambda c, *cols: sets.select(F.col("text_id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols])
+    sized = pairs.join(side("a", "n"), "a").join(side("b", "n"), "b").filter(F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b"))
+    both = sized.join(side("a", "hashes"), "a").join(side("b", "hashes"), "b")
+    common = F.size(F.array_intersect("hashes_a", "hashes_b"))
+    return both.withColumn("k", common).filter((F.col("n_a") + F.col("n_b") == 0) | (F.try_divide("k", F.col("n_a") + F.col("n_b") - F.col("k")) >= least)).select("a", "b")
+
+
+def _pairs_across(bits: int, n: int) -> Callable:
+    """For mapInArrow over rows (key, part, fp, text_id) in order of key: pairs of texts of unlike parts that differ by ``bits`` or fewer.
+
+    A pair is given by one signature only: that of the first segment in which it differs by one bit at most.
+    """
+    edges = [64 * i // n for i in range(n + 1)]
+
+    def across(key: int, part: np.ndarray, fp: np.ndarray, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        names, count = np.unique(part, return_counts=True)
+        if len(names) < 2:
+            return
+        i = key % n
+        wild = (key // n) >> (edges[i + 1] - edges[i])
+        most, u, place = names[count.argmax()], fp.view("u8"), np.arange(len(fp))
+        for j in np.flatnonzero(part != most):
+            d = u ^ u[j]
+            at = np.flatnonzero((np.bitwise_count(d) <= bits) & (part != part[j]) & ((part == most) | (place > j)))
+            cut = [(d[at] >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1) for a, b in zip(edges, edges[1:], strict=False)]
+            mine = cut[i] == (0 if not wild else 1 << (wild - 1))
+            for before in cut[:i]:
+                mine &= np.bitwise_count(before) > 1
+            yield np.full(mine.sum(), ids[j]), ids[at[mine]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        name = None
+
+        def found() -> Iterator[pa.RecordBatch]:
+            for a, b in across(name, *map(np.concatenate, zip(*held, strict=True))) if held else ():
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+        for batch in batches:
+            key, *rest = (c.to_numpy() for c in batch.columns)
+            if not len(key):
+                continue
+            edge = np.flatnonzero(key[1:] != key[:-1]) + 1
+            for a, b in zip([0, *edge], [*edge, len(key)], strict=True):
+                if name != int(key[a]):
+                    yield from found()
+                    held, name = [], int(key[a])
+                held.append([x[a:b] for x in rest])
+        yield from found()
+
+    return run
+
+
+def pairs_across(nodes: DataFrame, bits: int) -> DataFrame:
+    """Every pair (a, b), a < b, of text_id in nodes (fp, text_id, part) of unlike parts whose fingerprints differ by ``bits`` or fewer."""
+    n = cuts(bits)
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp, ids, part = (c.to_numpy() for c in batch.columns)
+            keys = signatures(fp, n)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *[pa.array(np.repeat(x, keys.shape[1])) for x in (part, fp, ids)]], ["key", "part", "fp", "text_id"])
+
+    flat = nodes.select("fp", "text_id", "part").mapInArrow(keyed, "key long, part long, fp long, text_id long")
+    return flat.repartition("key").sortWithinPartitions("key").mapInArrow(_pairs_across(bits, n), "a long, b long")
+
+
+def copies(docs: DataFrame, width: int, bits: int, shingle: int, least: float, id_col: str, text_col: str) -> DataFrame:
+    """(text_id, root) of each text that is a near copy of another: the component of verified links that it is in.
+
+    text_id is the hash of the text. Two texts are linked if their fingerprints differ by ``bits`` or
+    fewer and the Jaccard similarity of their sets of ``shingle`` words is ``least`` or more. To
+    verify all such pairs without making all pairs of a large group: of what fingerprints connect,
+    each text is first held against the least one, if that is near, then along the links of the runs; of what still
+    falls apart, all pairs between the parts are held against each other.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_id"), F.col(text_col).alias("text"))
+    texts = settle(fingerprints(rows, width, "text_id", "text").withColumnRenamed("doc_id", "text_id").distinct(), "simhash-texts")
+    heads = settle(texts.groupBy("fp").agg(F.min("text_id").alias("head")), "simhash-nodes")
+    head = lambda c: heads.select(F.col("fp").alias(c), F.col("head").alias(f"head_{c}"))
+    links = near_links(heads, bits, small=SMALL_RUN).distinct().join(head("a"), "a").join(head("b"), "b").select(F.least("head_a", "head_b").alias("a"), F.greatest("head_a", "head_b").alias("b"))
+    same = texts.join(heads, "fp").filter("text_id <> head").select(F.col("head").alias("a"), F.col("text_id").alias("b"))
+    links = settle(links.union(same).distinct(), "simhash-links")
+    near = settle(components(links), "simhash-near")
+
+    one = rows.groupBy("text_id").agg(F.min("id").alias("id")).join(near, F.col("text_id") == F.col("node"), "left_semi")
+    one = one.select(F.col("text_id").alias("t"), F.col("id").alias("i"))
+    chosen = rows.join(one, (rows.text_id == one.t) & rows.id.eqNullSafe(one.i), "left_semi").dropDuplicates(["text_id"])
+    sets = settle(shingle_sets(chosen, shingle), "simhash-sets")
+
+    def parts(verified: DataFrame) -> DataFrame:
+        of = components(verified).select("node", F.col("root").alias("part"))
+        return settle(near.join(of, "node", "left").select("node", "root", F.coalesce("part", "node").alias("part")), "simhash-parts")
+
+    def apart(pairs: DataFrame, of: DataFrame) -> DataFrame:
+        side = lambda c: of.select(F.col("node").alias(c), F.col("part").alias(f"part_{c}"))
+        return pairs.join(side("a"), "a").join(side("b"), "b").filter("part_a <> part_b").select("a", "b")
+
+    of = lambda c: texts.select(F.col("text_id").alias(c), F.col("fp").alias(f"fp_{c}"))
+    star = near.filter("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")).join(of("a"), "a").join(of("b"), "b")
+    star = star.filter(F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= bits).select("a", "b")
+    verified = settle(resembling(star, sets, least), "simhash-verified")
+    verified = settle(verified.union(resembling(apart(links, parts(verified)), sets, least)), "simhash-verified")
+    now = parts(verified)
+    broken = now.groupBy("root").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("root")
+    open_ = now.join(broken, "root", "left_semi").join(texts, F.col("node") == F.col("text_id")).select("fp", "text_id", "part")
+    rest = settle(pairs_across(open_, bits).join(links, ["a", "b"], "left_anti"), "simhash-rest")
+    verified = settle(verified.union(resembling(rest, sets, least)), "simhash-verified")
+    return settle(components(verified), "simhash-members").select(F.col("node").alias("text_id"), "root")
+
+
+def deduplicate_copies(
+    docs: DataFrame, width: int = 3, bits: int = COPY_BITS, shingle: int = SHINGLE, least: float = RESEMBLANCE, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Keep one document of each group of near copies, as :func:`copies` links them: that with the smallest id.
+
+    All columns are kept. Ids may repeat over unlike texts: a row is known by its id and text. Rows with
+    a null id are all kept.
+    """
+    bound_batches(docs.sparkSession)
+    found = copies(docs, width, bits, shingle, least, id_col, text_col)
+    ids = docs.filter(F.col(id_col).isNotNull()).groupBy(F.xxhash64(text_col).alias("text_id")).agg(F.min(id_col).alias("__id"))
+    ids = ids.join(found, "text_id", "left").groupBy(F.coalesce("root", "text_id").alias("root")).agg(F.min(F.struct("__id", F.col("text_id").alias("__text"))).alias("k"))
+    keep = settle(ids.select("k.*"), "simhash-keep")
+    rows = docs.withColumn("__t", F.xxhash64(text_col))
+    kept = rows.join(keep, (F.col(id_col) == F.col("__id")) & (F.col("__t") == F.col("__text")), "left_semi").dropDuplicates([id_col, "__t"]).drop("__t")
+    return kept.union(docs.filter(F.col(id_col).isNull()))
