@@ -261,12 +261,22 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 3, id_col: str
 def deduplicate(docs: DataFrame, width: int = 3, bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Keep one document of each component of near-duplicates: the one with the smallest id.
 
-    All columns are kept; cases are as in :func:`near_duplicates`. Of several rows with that id one
-    is kept. Rows with a null id cannot be told from each other and are all kept.
+    All columns are kept; cases are as in :func:`near_duplicates`. Ids may repeat over unlike texts: a
+    row is known by its id and text, so every component keeps one row of its own. Rows with a null id
+    cannot be told from each other and are all kept.
     """
-    found = near_duplicates(docs, width, bits, id_col, text_col)
-    keep = settle(found.filter("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct(), "simhash-keep")
-    kept = docs.join(keep, F.col(id_col) == F.col("__id"), "left_semi").dropDuplicates([id_col])
+    hashed = docs.select(F.xxhash64(text_col).alias("text_id"), F.col(text_col).alias("text"))
+    found = near_duplicates(hashed, width, bits, "text_id", "text").select(F.col("doc_id").alias("text_id"), F.col("component_id").alias("root")).distinct()
+    return first_of_each(docs, found, id_col, text_col)
+
+
+def first_of_each(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Of the rows of each root in found (text_id, root), and of each text that is not in it, the one with the smallest id; of rows with a null id, all."""
+    ids = docs.filter(F.col(id_col).isNotNull()).groupBy(F.xxhash64(text_col).alias("text_id")).agg(F.min(id_col).alias("__id"))
+    ids = ids.join(found, "text_id", "left").groupBy(F.coalesce("root", "text_id").alias("root")).agg(F.min(F.struct("__id", F.col("text_id").alias("__text"))).alias("k"))
+    keep = settle(ids.select("k.*"), "simhash-keep")
+    rows = docs.withColumn("__t", F.xxhash64(text_col))
+    kept = rows.join(keep, (F.col(id_col) == F.col("__id")) & (F.col("__t") == F.col("__text")), "left_semi").dropDuplicates([id_col, "__t"]).drop("__t")
     return kept.union(docs.filter(F.col(id_col).isNull()))
 
 
@@ -411,9 +421,4 @@ def deduplicate_copies(
     """
     bound_batches(docs.sparkSession)
     found = copies(docs, width, bits, shingle, least, id_col, text_col)
-    ids = docs.filter(F.col(id_col).isNotNull()).groupBy(F.xxhash64(text_col).alias("text_id")).agg(F.min(id_col).alias("__id"))
-    ids = ids.join(found, "text_id", "left").groupBy(F.coalesce("root", "text_id").alias("root")).agg(F.min(F.struct("__id", F.col("text_id").alias("__text"))).alias("k"))
-    keep = settle(ids.select("k.*"), "simhash-keep")
-    rows = docs.withColumn("__t", F.xxhash64(text_col))
-    kept = rows.join(keep, (F.col(id_col) == F.col("__id")) & (F.col("__t") == F.col("__text")), "left_semi").dropDuplicates([id_col, "__t"]).drop("__t")
-    return kept.union(docs.filter(F.col(id_col).isNull()))
+    return first_of_each(docs, found, id_col, text_col)

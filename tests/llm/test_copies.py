@@ -59,3 +59,11 @@ def test_every_pair_across_parts_is_given_once(spark):
     nodes = spark.createDataFrame([(f, i, p) for i, (f, p) in enumerate(zip(fps, part, strict=True))], "fp long, text_id long, part long")
     want = [(i, j) for j in range(len(fps)) for i in range(j) if part[i] != part[j] and (fps[i] ^ fps[j]).bit_count() <= 7]
     assert sorted(map(tuple, simhash.pairs_across(nodes, 7).collect())) == sorted(want)
+
+
+def test_an_id_over_two_texts_keeps_the_one_that_is_no_copy(spark):
+    texts = [" ".join(np.random.default_rng(i).choice(WORDS, 90)) for i in range(3)]
+    rows = [(1, texts[0]), (2, texts[0]), (2, texts[1]), (3, texts[2]), (3, texts[0]), (3, texts[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for run in (simhash.deduplicate, simhash.deduplicate_copies):
+        assert sorted(map(tuple, run(docs).collect())) == sorted([(1, texts[0]), (2, texts[1]), (3, texts[2])])
