@@ -28,14 +28,15 @@ def components(links: DataFrame) -> DataFrame:
     state = _state(now)
     for _ in range(MAX_ROUNDS):
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
+        # settled, so that a join of a node with very many links can be split
+        least = settle(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m")), "links")
         large = both.filter("b > a").join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = settle(large, "links")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = settle(large.groupBy("a").agg(F.min("b").alias("m")), "links")
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))
         after = settle(small.select("x.a", "x.b").filter("a <> b").distinct(), "links")
-        forget(now)
-        forget(large)
+        for done in (now, least, large, low):
+            forget(done)
         now, before, state = after, state, _state(after)
         if state == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
 from itertools import accumulate, repeat
 
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, settle
+from .common import bound_batches, join_by_key, settle
 from .graph import components
 
 SEED = 42
@@ -62,74 +63,108 @@ def fingerprints(docs: DataFrame, width: int, id_col: str, text_col: str) -> Dat
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
-def variants(values: np.ndarray, width: int) -> np.ndarray:
-    """Signatures of segments of ``width`` bits: the value itself, then each with one bit as a wildcard.
+def cuts(bits: int) -> int:
+    """Segments to cut into, so that one of them differs by one bit at most (two at least, for the size of the keys)."""
+    return max(2, bits // 2 + 1)
 
-    Segments that differ by one bit at most share the signature with that bit as the wildcard, or
-    the first. The number of the signature stands above the value's bits.
-    """
-    masks = np.array([0, *(1 << np.arange(width))], "i8")
-    return (values[:, None] & ~masks) | (np.arange(width + 1, dtype="i8") << width)
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Numbers of 64 bits well mixed; an equal pair of unlike ones only brings more fingerprints together."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-def segments(fp: np.ndarray, n: int, low: int, size: int) -> list[tuple[np.ndarray, int]]:
-    """Cut ``size`` bits of fp from bit ``low`` on into n segments: (values, width) of each."""
-    edges = [low + size * i // n for i in range(n + 1)]
-    u = fp.view("u8")
-    return [(((u >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1)).view("i8"), b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
+def segments(used: int, n: int) -> list[list[int]]:
+    """The bits that ``used`` does not have, in order, cut into n runs of near-equal length."""
+    free = [i for i in range(64) if not used >> i & 1]
+    return [own for i in range(n) if (own := free[len(free) * i // n : len(free) * (i + 1) // n])]
 
-def signatures(fp: np.ndarray, n: int, low: int = 0, size: int = 64) -> np.ndarray:
-    """All signatures of each fingerprint; those of different segments differ."""
-    return np.concatenate([variants(v, w) * n + i for i, (v, w) in enumerate(segments(fp, n, low, size))], axis=1)
 
+def signatures(fp: np.ndarray, key: np.ndarray, used: int, n: int) -> Iterator[tuple[np.ndarray, int]]:
+    """(keys, bits used) for each segment of the bits not yet used; keys has a row for each fingerprint.
 
-def cuts(bits: int) -> int:
-    """Segments to cut into, so that one of them differs by one bit at most (two at least, for the size of the keys)."""
-    return max(2, bits // 2 + 1)
+    The first key of a row is of the segment as it is, the others of it with one bit as a wildcard.
+    Fingerprints whose segment differs by one bit at most have the key with that bit as the
+    wildcard in common, or the first. Wildcard keys are odd, others even.
+    """
+    u = fp.view("u8")
+    for own in segments(used, n):
+        mask = sum(1 << i for i in own)
+        wild = np.array([0, *(1 << i for i in own)], "u8")
+        value = (u[:, None] & np.uint64(mask)) & ~wild
+        seed = mixed(key.view("u8")[:, None] ^ mixed(np.array([mask], "u8")) ^ mixed(wild + np.uint64(1))[None])
+        out = (mixed(value ^ seed) & ~np.uint64(1)) | (wild != 0).astype("u8")
+        yield out.view("i8"), used | mask
+
+
+def one_sided(key: int, used: int, fp: np.ndarray) -> bool:
+    """True for a wildcard key whose fingerprints differ in no used bit: the keys without a wildcard have them together."""
+    if not key & 1:
+        return False
+    u = fp.view("u8")
+    return not (np.bitwise_or.reduce(u ^ u[0]) & np.uint64(used & (1 << 64) - 1))
 
 
-def one_sided(key: int, fp: np.ndarray, n: int) -> bool:
-    """True if no two of these fingerprints differ in the wildcard bit of their signature: the plain one has them together."""
-    i = key % n
-    low, high = 64 * i // n, 64 * (i + 1) // n
-    wild = (key // n) >> (high - low)
-    if not wild:
-        return False
-    bit = (fp.view("u8") >> np.uint64(low + wild - 1)) & np.uint64(1)
-    return bool((bit == bit[0]).all())
+#: Fingerprints that are compared all at once.
+AT_ONCE = 1024
 
 
 def forest(fp: np.ndarray, bits: int) -> list[tuple[int, int]]:
-    """Links that connect what links of ``bits`` or fewer differing bits connect, one less than nodes at most."""
+    """Links that connect what links of ``bits`` or fewer differing bits connect, one less than nodes at most.
+
+    Fingerprints come in the order of a hash, so that the same ones are linked to first wherever they occur.
+    """
+    u = fp.view("u8")  # bits of a negative number would be counted on its absolute value
+    if len(u) <= AT_ONCE:
+        u = u[(np.bitwise_count(u[:, None] ^ u) <= bits).sum(1) > 1]
     out: list[tuple[int, int]] = []
-    rest = fp.view("u8")  # bits of a negative number would be counted on its absolute value
+    rest = u[np.argsort(mixed(u), kind="stable")]
     while len(rest) > 1:
-        edge, rest = [rest[0]], rest[1:]
+        edge, rest = deque(rest[:1]), rest[1:]
         while edge and len(rest):
-            x = edge.pop()
+            x = edge.popleft()
             near = np.bitwise_count(rest ^ x) <= bits
             if near.any():
                 new = rest[near]
                 out += zip(repeat(int(x.astype("i8"))), new.view("i8").tolist(), strict=False)
-                edge += list(new)
+                edge.extend(new)
                 rest = rest[~near]
     return out
 
 
-OUT = "key long, sub long, a long, b long"
+KEYED = "key long, used long, fp long"
+OUT = "key long, used long, a long, b long"
+#: A signature of more fingerprints than this is cut again by signatures of their other bits, before it is compared in blocks.
+RECUT = 1 << 18
+
+
+def _keyed(n: int, names: list[str]) -> Callable:
+    """For mapInArrow over (key, used, fp, ...): a row for each signature of the bits not yet used, other columns as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, used, fp, *rest = (c.to_numpy() for c in batch.columns)
+            for own in np.unique(used):
+                mine = used == own
+                for keys, now in signatures(fp[mine], key[mine], int(own) & (1 << 64) - 1, n):
+                    width = keys.shape[1]
+                    taken = np.full(keys.size, now, "u8").view("i8")
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(taken), *[pa.array(np.repeat(c[mine], width)) for c in (fp, *rest)]], names)
+
+    return run
 
 
 def _links_of_runs(bits: int, most: int | None, small: int = 2) -> Callable:
-    """For mapInArrow over rows (key, sub, fp) in order of key and sub: verified links as (a, b).
+    """For mapInArrow over rows (key, used, fp) in order of key: verified links as (a, b).
 
     A run of over ``most`` fingerprints is not compared but passed on, as rows without b. Of runs of
     up to ``small`` all links are given, of others a forest.
     """
 
-    def compared(held: list[np.ndarray], key: int) -> list[tuple[int, int]]:
+    def compared(held: list[np.ndarray], name: tuple[int, int]) -> list[tuple[int, int]]:
         fp = np.concatenate(held)
-        return [] if most is not None and one_sided(key, fp, cuts(bits)) else forest(fp, bits)
+        return [] if one_sided(*name, fp) else forest(fp, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []  # fingerprints of the last run, which may go on
@@ -138,17 +173,17 @@ def _links_of_runs(bits: int, most: int | None, small: int = 2) -> Callable:
 
         def passed(fp: np.ndarray) -> pa.RecordBatch:
             n = len(fp)
-            return pa.RecordBatch.from_arrays([pa.array(np.full(n, name[0])), pa.array(np.full(n, name[1])), pa.array(fp), pa.nulls(n, pa.int64())], ["key", "sub", "a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(np.full(n, name[0])), pa.array(np.full(n, name[1])), pa.array(fp), pa.nulls(n, pa.int64())], ["key", "used", "a", "b"])
 
         def linked(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
             a, b = np.array(pairs, "i8").reshape(-1, 2).T
-            return pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b)], ["key", "sub", "a", "b"])
+            return pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b)], ["key", "used", "a", "b"])
 
         for batch in batches:
-            key, sub, fp = (batch.column(i).to_numpy() for i in range(3))
+            key, used, fp = (batch.column(i).to_numpy() for i in range(3))
             if not len(key):
                 continue
-            edge = np.flatnonzero((key[1:] != key[:-1]) | (sub[1:] != sub[:-1])) + 1
+            edge = np.flatnonzero(key[1:] != key[:-1]) + 1
             starts, ends = np.concatenate(([0], edge)), np.concatenate((edge, [len(key)]))
             pairs: list[tuple[int, int]] = []
             # Whole runs of a few, the most frequent, are compared together: each row with that so many places on.
@@ -162,10 +197,10 @@ def _links_of_runs(bits: int, most: int | None, small: int = 2) -> Callable:
                 pairs += zip(x[near].tolist(), y[near].tolist(), strict=True)
             for i in np.flatnonzero((ends - starts > small) | (np.arange(len(starts)) % max(1, len(starts) - 1) == 0)):
                 a, b = starts[i], ends[i]
-                if name != (int(key[a]), int(sub[a])):
+                if name is None or name[0] != int(key[a]):
                     if held and not hot:
-                        pairs += compared(held, name[0])
-                    held, name, hot = [], (int(key[a]), int(sub[a])), False
+                        pairs += compared(held, name)
+                    held, name, hot = [], (int(key[a]), int(used[a])), False
                 held.append(fp[a:b])
                 if most is not None and (hot or sum(map(len, held)) > most):
                     hot = True
@@ -174,68 +209,61 @@ def _links_of_runs(bits: int, most: int | None, small: int = 2) -> Callable:
             if pairs:
                 yield linked(pairs)
         if held and not hot:
-            yield linked(compared(held, name[0]))
-
-    return run
-
-
-def _keyed(n: int) -> Callable:
-    """For mapInArrow over (fp): its signatures in n segments, as rows (key, sub, fp)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fp = batch.column(0).to_numpy()
-            keys = signatures(fp, n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel()), pa.array(np.zeros(keys.size, "i8")), pa.array(np.repeat(fp, keys.shape[1]))], ["key", "sub", "fp"]
-            )
+            yield linked(compared(held, name))
 
     return run
 
 
-def _keyed_again(n: int) -> Callable:
-    """For mapInArrow over (key, fp) of frequent signatures: signatures of all other bits, in segments as before."""
+def _in_blocks(rows: DataFrame, max_run: int) -> DataFrame:
+    """Rows (key, used, ..., size) of long runs, dealt to groups of two blocks each, so that any two rows of a run meet in one."""
+    blocks = F.ceil(F.col("size") / F.lit(max_run))
+    own = rows.withColumn("__b", F.pmod(F.xxhash64(*[c for c in rows.columns if c not in ("key", "used", "size")]), blocks))
+    met = own.withColumn("__o", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    return met.withColumn("key", F.xxhash64("key", F.least("__b", "__o"), F.greatest("__b", "__o")).bitwiseAND(F.lit(-2))).drop("__b", "__o", "size")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = [64 * i // n for i in range(n + 1)]
-        for batch in batches:
-            key, fp = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for i in range(n):
-                mine = key % n == i
-                if not mine.any():
-                    continue
-                k, f = key[mine], fp[mine]
-                u, low, high = f.view("u8"), edges[i], edges[i + 1]
-                # the other bits, moved together: those above the segment follow those below it
-                below = u & np.uint64((1 << low) - 1)
-                above = u >> np.uint64(high) if high < 64 else np.zeros_like(u)
-                rest, size = (below | (above << np.uint64(low))).view("i8"), 64 - high + low
-                subs = signatures(rest, n, 0, size)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(k, subs.shape[1])), pa.array(subs.ravel()), pa.array(np.repeat(f, subs.shape[1]))], ["key", "sub", "fp"]
-                )
-
-    return run
 
+def _compared(nodes: DataFrame, n: int, schema: str, compare: Callable, out: str, max_run: int, recut: int) -> DataFrame:
+    """What ``compare`` (with the longest run that it may take) finds among nodes (fp, ...) of equal signature: rows whose b is not null.
 
-def near_links(nodes: DataFrame, bits: int = 3, max_run: int = MAX_RUN, small: int = 2) -> DataFrame:
+    Runs that are too long come back without b. Up to ``recut`` rows, they are dealt to tasks in
+    blocks that meet two and two; longer ones are cut once more by signatures of the bits not yet used.
+    """
+    names = [c.split()[0] for c in schema.split(", ")]
+    back = [F.col("a").alias("fp") if c == "fp" and "fp" not in out else c for c in names]
+    grouped = lambda rows: rows.repartition("key").sortWithinPartitions("key")
+    signed = lambda rows: grouped(rows.select(names).mapInArrow(_keyed(n, names), schema)).mapInArrow(compare(max_run), out)
+
+    def long_runs(made: DataFrame) -> DataFrame | None:
+        hot = made.filter("b is null").select(back)
+        if hot.isEmpty():
+            return None
+        sizes = settle(hot.groupBy("key").agg(F.count("*").alias("n")), "simhash-sizes")
+        return settle(join_by_key(hot, sizes.withColumn("size", F.col("n")), "key"), "simhash-hot")
+
+    zero = F.lit(0).cast("long")
+    made = settle(signed(nodes.withColumns({"key": zero, "used": zero})), "simhash-runs")
+    found, hot = made, long_runs(made)
+    if hot is not None:
+        again = settle(signed(hot.filter(F.col("size") > recut)), "simhash-runs")
+        still = long_runs(again)
+        rest = hot.filter(F.col("size") <= recut)
+        rest = rest if still is None else rest.union(still.select(rest.columns))
+        found = made.union(again).union(grouped(_in_blocks(rest, max_run).select(names)).mapInArrow(compare(None), out))
+    return found.filter("b is not null")
+
+
+def near_links(nodes: DataFrame, bits: int = 3, max_run: int = MAX_RUN, small: int = 2, recut: int = RECUT) -> DataFrame:
     """Links (a, b) among distinct fingerprints (fp) that connect whatever differs by ``bits`` or fewer bits.
 
     Deletion variants: the 64 bits are cut into bits // 2 + 1 segments, so of two fingerprints that
     near one segment differs by one bit at most. Every segment is indexed as it is and with each of
     its bits as a wildcard; equal signatures meet by a shuffle on them and are verified. Of a
     signature's verified links a spanning forest is kept, which has the same components. Signatures
-    of over ``max_run`` fingerprints are cut again by signatures of their other bits.
+    of over ``max_run`` fingerprints are compared in blocks of that size, two at a time in a task; those
+    of over ``recut`` are first cut again by signatures of their other bits.
     """
-    n = cuts(bits)
-    flat = nodes.select("fp").mapInArrow(_keyed(n), "key long, sub long, fp long")
-    found = flat.repartition("key").sortWithinPartitions("key").mapInArrow(_links_of_runs(bits, max_run, small), OUT)
-    found = settle(found, "simhash-runs")
-    links = found.filter("b is not null").select("a", "b")
-    hot = found.filter("b is null").select("key", F.col("a").alias("fp"))
-    again = hot.mapInArrow(_keyed_again(n), "key long, sub long, fp long")
-    again = again.repartition("key", "sub").sortWithinPartitions("key", "sub").mapInArrow(_links_of_runs(bits, None), OUT)
-    return links.union(again.select("a", "b"))
+    found = _compared(nodes.select("fp"), cuts(bits), KEYED, lambda most: _links_of_runs(bits, most, small), OUT, max_run, recut)
+    return found.select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -249,13 +277,13 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 3, id_col: str
     """
     bound_batches(docs.sparkSession)
     rows = settle(fingerprints(docs, width, id_col, text_col), "simhash-rows")
-    nodes = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
+    nodes = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "simhash-nodes")
     member = settle(components(near_links(nodes, bits)), "simhash-members")
     reached = member.join(nodes, member.node == nodes.fp).select("root", "fp", "first")
     best = reached.groupBy("root").agg(F.min("first").alias("best"))
     linked = reached.join(best, "root").select("fp", "best")
-    whole = nodes.join(linked, "fp", "left").select("fp", F.coalesce("best", "first").alias("component_id"))
-    return rows.join(whole, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    whole = settle(nodes.join(linked, "fp", "left").select("fp", F.coalesce("best", "first").alias("component_id"), "n"), "simhash-whole")
+    return join_by_key(rows, whole, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def deduplicate(docs: DataFrame, width: int = 3, bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -281,9 +309,9 @@ def first_of_each(docs: DataFrame, found: DataFrame, id_col: str, text_col: str)
 
 
 #: Five-word shingles that two texts have in common, of those that either has, to be copies; bits by which their fingerprints may differ.
-RESEMBLANCE, SHINGLE, COPY_BITS = 0.8, 5, 7
-#: Runs compared all with all: with signatures of 16 bits, most are of a few fingerprints.
-SMALL_RUN = 16
+RESEMBLANCE, SHINGLE, COPY_BITS = 0.8, 5, 9
+#: Words in a shingle of the fingerprints by which copies are sought: a changed word changes fewer shingles than with three.
+COPY_WIDTH = 2
 
 
 def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
@@ -306,113 +334,116 @@ def resembling(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.withColumn("k", common).filter((F.col("n_a") + F.col("n_b") == 0) | (F.try_divide("k", F.col("n_a") + F.col("n_b") - F.col("k")) >= least)).select("a", "b")
 
 
-def _pairs_across(bits: int, n: int) -> Callable:
-    """For mapInArrow over rows (key, part, fp, text_id) in order of key: pairs of texts of unlike parts that differ by ``bits`` or fewer.
+ACROSS = "key long, used long, fp long, part long, n long, text_id long"
+ACROSS_OUT = ACROSS + ", a long, b long"
+
 
-    A pair is given by one signature only: that of the first segment in which it differs by one bit at most.
+def _pairs_across(bits: int, least: float, most: int | None) -> Callable:
+    """For mapInArrow over rows ACROSS in order of key: pairs (a, b) of texts of unlike parts that differ by ``bits`` or fewer, their sizes n by no more than ``least``.
+
+    A run of over ``most`` rows is passed on, as rows without a and b. Pairs come in batches of one text
+    against the rest of its run.
     """
-    edges = [64 * i // n for i in range(n + 1)]
+    names = [c.split()[0] for c in ACROSS_OUT.split(", ")]
 
-    def across(key: int, part: np.ndarray, fp: np.ndarray, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        names, count = np.unique(part, return_counts=True)
-        if len(names) < 2:
+    def across(name: tuple[int, int], fp: np.ndarray, part: np.ndarray, n: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if (part == part[0]).all() or one_sided(*name, fp):
+            return
+        u = fp.view("u8")
+        if len(u) <= AT_ONCE:
+            near = np.bitwise_count(u[:, None] ^ u) <= bits
+            if near.sum() > len(u):
+                near &= (part[:, None] != part) & (np.minimum(n[:, None], n) >= least * np.maximum(n[:, None], n))
+                yield from given(ids, *np.nonzero(np.triu(near)))
             return
-        i = key % n
-        wild = (key // n) >> (edges[i + 1] - edges[i])
-        most, u, place = names[count.argmax()], fp.view("u8"), np.arange(len(fp))
-        for j in np.flatnonzero(part != most):
-            d = u ^ u[j]
-            at = np.flatnonzero((np.bitwise_count(d) <= bits) & (part != part[j]) & ((part == most) | (place > j)))
-            cut = [(d[at] >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1) for a, b in zip(edges, edges[1:], strict=False)]
-            mine = cut[i] == (0 if not wild else 1 << (wild - 1))
-            for before in cut[:i]:
-                mine &= np.bitwise_count(before) > 1
-            yield np.full(mine.sum(), ids[j]), ids[at[mine]]
+        parts, count = np.unique(part, return_counts=True)
+        largest, place = parts[count.argmax()], np.arange(len(u))
+        for j in np.flatnonzero(part != largest):
+            near = (np.bitwise_count(u ^ u[j]) <= bits) & (part != part[j]) & ((part == largest) | (place > j))
+            at = np.flatnonzero(near & (np.minimum(n, n[j]) >= least * np.maximum(n, n[j])))
+            yield from given(ids, at, np.full(len(at), j))
+
+    def given(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(i):
+            a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(i), pa.int64())] * 6, pa.array(a), pa.array(b)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
-        name = None
+        name: tuple[int, int] | None = None
+        hot, size = False, 0
 
-        def found() -> Iterator[pa.RecordBatch]:
-            for a, b in across(name, *map(np.concatenate, zip(*held, strict=True))) if held else ():
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+        def together() -> list[np.ndarray]:
+            return list(map(np.concatenate, zip(*held, strict=True)))
 
         for batch in batches:
-            key, *rest = (c.to_numpy() for c in batch.columns)
+            key, used, *rest = (c.to_numpy() for c in batch.columns)
             if not len(key):
                 continue
             edge = np.flatnonzero(key[1:] != key[:-1]) + 1
             for a, b in zip([0, *edge], [*edge, len(key)], strict=True):
-                if name != int(key[a]):
-                    yield from found()
-                    held, name = [], int(key[a])
+                if name is None or name[0] != int(key[a]):
+                    if held and not hot:
+                        yield from across(name, *together())
+                    held, name, hot, size = [], (int(key[a]), int(used[a])), False, 0
                 held.append([x[a:b] for x in rest])
-        yield from found()
+                size += b - a
+                if most is not None and size > most:
+                    hot = True
+                    own = together()
+                    n = len(own[0])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, name[0])), pa.array(np.full(n, name[1])), *map(pa.array, own), *[pa.nulls(n, pa.int64())] * 2], names)
+                    held = []
+        if held and not hot:
+            yield from across(name, *together())
 
     return run
 
 
-def pairs_across(nodes: DataFrame, bits: int) -> DataFrame:
-    """Every pair (a, b), a < b, of text_id in nodes (fp, text_id, part) of unlike parts whose fingerprints differ by ``bits`` or fewer."""
-    n = cuts(bits)
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fp, ids, part = (c.to_numpy() for c in batch.columns)
-            keys = signatures(fp, n)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *[pa.array(np.repeat(x, keys.shape[1])) for x in (part, fp, ids)]], ["key", "part", "fp", "text_id"])
+def pairs_across(nodes: DataFrame, bits: int, least: float, max_run: int = MAX_RUN, recut: int = RECUT) -> DataFrame:
+    """Every pair (a, b), a < b, of text_id in nodes (fp, text_id, n, part) of unlike parts whose fingerprints differ by ``bits`` or fewer.
 
-    flat = nodes.select("fp", "text_id", "part").mapInArrow(keyed, "key long, part long, fp long, text_id long")
-    return flat.repartition("key").sortWithinPartitions("key").mapInArrow(_pairs_across(bits, n), "a long, b long")
+    Pairs whose smaller n is below ``least`` times the larger are left out.
+    """
+    rows = nodes.select("fp", "part", "n", "text_id")
+    found = _compared(rows, cuts(bits), ACROSS, lambda most: _pairs_across(bits, least, most), ACROSS_OUT, max_run, recut)
+    return found.select("a", "b").distinct()
 
 
 def copies(docs: DataFrame, width: int, bits: int, shingle: int, least: float, id_col: str, text_col: str) -> DataFrame:
     """(text_id, root) of each text that is a near copy of another: the component of verified links that it is in.
 
     text_id is the hash of the text. Two texts are linked if their fingerprints differ by ``bits`` or
-    fewer and the Jaccard similarity of their sets of ``shingle`` words is ``least`` or more. To
-    verify all such pairs without making all pairs of a large group: of what fingerprints connect,
-    each text is first held against the least one, if that is near, then along the links of the runs; of what still
-    falls apart, all pairs between the parts are held against each other.
+    fewer and the Jaccard similarity of their sets of ``shingle`` words is ``least`` or more. All such
+    links count, but not all pairs of a large group are made: the forests that fingerprints form are
+    verified first; then, of what these leave apart, every pair between two parts.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_id"), F.col(text_col).alias("text"))
     texts = settle(fingerprints(rows, width, "text_id", "text").withColumnRenamed("doc_id", "text_id").distinct(), "simhash-texts")
     heads = settle(texts.groupBy("fp").agg(F.min("text_id").alias("head")), "simhash-nodes")
     head = lambda c: heads.select(F.col("fp").alias(c), F.col("head").alias(f"head_{c}"))
-    links = near_links(heads, bits, small=SMALL_RUN).distinct().join(head("a"), "a").join(head("b"), "b").select(F.least("head_a", "head_b").alias("a"), F.greatest("head_a", "head_b").alias("b"))
+    links = near_links(heads, bits).distinct().join(head("a"), "a").join(head("b"), "b").select(F.least("head_a", "head_b").alias("a"), F.greatest("head_a", "head_b").alias("b"))
     same = texts.join(heads, "fp").filter("text_id <> head").select(F.col("head").alias("a"), F.col("text_id").alias("b"))
     links = settle(links.union(same).distinct(), "simhash-links")
-    near = settle(components(links), "simhash-near")
+    near = settle(links.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "simhash-near")
 
     one = rows.groupBy("text_id").agg(F.min("id").alias("id")).join(near, F.col("text_id") == F.col("node"), "left_semi")
     one = one.select(F.col("text_id").alias("t"), F.col("id").alias("i"))
     chosen = rows.join(one, (rows.text_id == one.t) & rows.id.eqNullSafe(one.i), "left_semi").dropDuplicates(["text_id"])
     sets = settle(shingle_sets(chosen, shingle), "simhash-sets")
 
-    def parts(verified: DataFrame) -> DataFrame:
-        of = components(verified).select("node", F.col("root").alias("part"))
-        return settle(near.join(of, "node", "left").select("node", "root", F.coalesce("part", "node").alias("part")), "simhash-parts")
-
-    def apart(pairs: DataFrame, of: DataFrame) -> DataFrame:
-        side = lambda c: of.select(F.col("node").alias(c), F.col("part").alias(f"part_{c}"))
-        return pairs.join(side("a"), "a").join(side("b"), "b").filter("part_a <> part_b").select("a", "b")
-
-    of = lambda c: texts.select(F.col("text_id").alias(c), F.col("fp").alias(f"fp_{c}"))
-    star = near.filter("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")).join(of("a"), "a").join(of("b"), "b")
-    star = star.filter(F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= bits).select("a", "b")
-    verified = settle(resembling(star, sets, least), "simhash-verified")
-    verified = settle(verified.union(resembling(apart(links, parts(verified)), sets, least)), "simhash-verified")
-    now = parts(verified)
-    broken = now.groupBy("root").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("root")
-    open_ = now.join(broken, "root", "left_semi").join(texts, F.col("node") == F.col("text_id")).select("fp", "text_id", "part")
-    rest = settle(pairs_across(open_, bits).join(links, ["a", "b"], "left_anti"), "simhash-rest")
-    verified = settle(verified.union(resembling(rest, sets, least)), "simhash-verified")
-    return settle(components(verified), "simhash-members").select(F.col("node").alias("text_id"), "root")
+    verified = settle(resembling(links, sets, least), "simhash-verified")
+    part = components(verified).select(F.col("node").alias("text_id"), F.col("root").alias("part"))
+    # fingerprints that some link joins may hold texts that fall apart; so may those that one text shares with others
+    open_ = near.select(F.col("node").alias("text_id")).join(texts, "text_id").join(sets.select("text_id", "n"), "text_id").join(part, "text_id", "left")
+    open_ = settle(open_.select("fp", "text_id", "n", F.coalesce("part", "text_id").alias("part")), "simhash-parts")
+    rest = settle(pairs_across(open_, bits, least).join(links, ["a", "b"], "left_anti"), "simhash-rest")
+    more = settle(resembling(rest, sets, least), "simhash-verified")
+    return settle(components(verified.union(more)), "simhash-members").select(F.col("node").alias("text_id"), "root")
 
 
 def deduplicate_copies(
-    docs: DataFrame, width: int = 3, bits: int = COPY_BITS, shingle: int = SHINGLE, least: float = RESEMBLANCE, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, width: int = COPY_WIDTH, bits: int = COPY_BITS, shingle: int = SHINGLE, least: float = RESEMBLANCE, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Keep one document of each group of near copies, as :func:`copies` links them: that with the smallest id.
 

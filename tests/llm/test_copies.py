@@ -23,9 +23,9 @@ def corpus():
     return [*rows, (200, None), (201, ""), (None, rows[0][1])]
 
 
-def kept(rows, bits):
+def kept(rows, bits, width=simhash.COPY_WIDTH):
     words = [simhash.words_of((t or "").encode()) for _, t in rows]
-    fps = [simhash.fingerprint(w, 3) for w in words]
+    fps = [simhash.fingerprint(w, width) for w in words]
     sets = [{b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
     group = list(range(len(rows)))
     for i in range(len(rows)):
@@ -41,14 +41,14 @@ def kept(rows, bits):
     return sorted(best.values())
 
 
-def test_copies_within_seven_bits_go_and_unlike_texts_stay(spark):
+def test_copies_within_nine_bits_go_and_unlike_texts_stay(spark):
     import corpus_pipeline
 
     rows = corpus()
     docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = [r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
-    assert sorted(i for i in got if i is not None) == kept(rows, 7) and got.count(None) == 1
-    assert len(kept(rows, 7)) < len(kept(rows, 3))
+    assert sorted(i for i in got if i is not None) == kept(rows, 9) and got.count(None) == 1
+    assert len(kept(rows, 9)) < len(kept(rows, 7)) < len(kept(rows, 3))
 
 
 def test_every_pair_across_parts_is_given_once(spark):
@@ -56,9 +56,12 @@ def test_every_pair_across_parts_is_given_once(spark):
     base = int(r.integers(0, 2**62))
     fps = list({base ^ sum(1 << int(b) for b in r.choice(63, int(k), replace=False)) for k in r.integers(0, 7, 120)})
     part = [int(x) for x in r.integers(0, 4, len(fps))]
-    nodes = spark.createDataFrame([(f, i, p) for i, (f, p) in enumerate(zip(fps, part, strict=True))], "fp long, text_id long, part long")
-    want = [(i, j) for j in range(len(fps)) for i in range(j) if part[i] != part[j] and (fps[i] ^ fps[j]).bit_count() <= 7]
-    assert sorted(map(tuple, simhash.pairs_across(nodes, 7).collect())) == sorted(want)
+    size = [int(x) for x in r.integers(8, 12, len(fps))]
+    nodes = spark.createDataFrame([(f, i, n, p) for i, (f, n, p) in enumerate(zip(fps, size, part, strict=True))], "fp long, text_id long, n long, part long")
+    alike = lambda i, j: min(size[i], size[j]) >= 0.8 * max(size[i], size[j])
+    want = [(i, j) for j in range(len(fps)) for i in range(j) if part[i] != part[j] and alike(i, j) and (fps[i] ^ fps[j]).bit_count() <= 7]
+    for most, recut in ((8192, 1 << 18), (30, 1 << 18), (30, 60)):
+        assert sorted(map(tuple, simhash.pairs_across(nodes, 7, 0.8, most, recut).collect())) == sorted(want)
 
 
 def test_an_id_over_two_texts_keeps_the_one_that_is_no_copy(spark):
