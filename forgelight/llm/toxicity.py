@@ -192,7 +192,7 @@ class Classifier:
 def training_rows(docs: DataFrame, labels: DataFrame, allowed: Callable[[Column], Column], most: int = MAX_TRAINING_ROWS) -> DataFrame:
     """(doc_id, text, toxic) of about ``most`` rows that may be learned from, drawn by the hash of the id; all if there are fewer.
 
-    Rows without an id or a label are left out; of a repeated id one text counts, with its highest label.
+    Rows without an id or a label are left out; of a repeated id the text with the smallest hash counts, with its highest label.
     """
     marks = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
     marks = marks.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & allowed(F.col("doc_id")))
@@ -200,7 +200,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, allowed: Callable[[Column]
     drawn = marks.filter(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) < F.lit(share * (1 << 30)))
     drawn = drawn.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    return texts.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"])  # about ``most`` small rows
+    found = texts.join(F.broadcast(drawn), "doc_id")  # about ``most`` small rows
+    first = F.min_by("text", F.struct(F.xxhash64("text"), F.md5("text")))
+    return found.groupBy("doc_id", "toxic").agg(first.alias("text")).select("doc_id", "text", "toxic")
 
 
 def train(labelled: DataFrame, seed: int = 7) -> Classifier | None:
