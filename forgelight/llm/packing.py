@@ -119,24 +119,28 @@ def byte_alphabet() -> dict[str, int]:
 class Encoder:
     """Ids of whole texts by a byte-level BPE vocabulary in the JSON form of the tokenizers library.
 
-    The ids are those that ``tokenizers`` gives with add_special_tokens=False, the strings of
-    special tokens being ordinary text; tests hold one against the other. tiktoken computes them
-    from the same vocabulary, whose ids are the ranks of its merges, at five times the speed.
+    The ids are those that ``tokenizers`` gives with add_special_tokens=False. tiktoken computes them
+    from the same vocabulary, whose ids are the ranks of its merges, at five times the speed; texts
+    that hold the string of an added token, which ``tokenizers`` makes one id, go to ``tokenizers`` itself.
     """
 
     def __init__(self, tokenizer_path: str):
         import tiktoken
+        from tokenizers import Tokenizer
 
         with open(tokenizer_path, encoding="utf-8") as f:
             model = json.load(f)
-        special = {x["content"] for x in model.get("added_tokens", [])}
+        self._added = [x["content"] for x in model.get("added_tokens", [])]
         alphabet = byte_alphabet()
-        ranks = {bytes(alphabet[c] for c in word): i for word, i in model["model"]["vocab"].items() if word not in special}
-        self._encode = tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        ranks = {bytes(alphabet[c] for c in word): i for word, i in model["model"]["vocab"].items() if word not in self._added}
+        self._plain = tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self._whole = Tokenizer.from_file(tokenizer_path)
 
     def __call__(self, text: str) -> bytes:
         """The ids of a text as unsigned 32-bit integers in this machine's order."""
-        return array("I", self._encode(text)).tobytes()
+        if any(x in text for x in self._added):
+            return array("I", self._whole.encode(text, add_special_tokens=False).ids).tobytes()
+        return array("I", self._plain(text)).tobytes()
 
 
 def pieces_of(ids: bytes, size: int) -> list[tuple[int, int, int, int]]:
