@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import json
 import mmap
 import os
@@ -63,7 +64,10 @@ class DigestIndex:
         digests = np.fromiter((_digest(*p) for p in pairs), "<u8", len(pairs))
         at = np.searchsorted(self.keys, digests)
         out = np.full(len(pairs), -1, "int64")
-        for i in np.flatnonzero(at < len(self.keys)):
+        if not len(self.keys):
+            return out
+        met = (at < len(self.keys)) & (self.keys[np.minimum(at, len(self.keys) - 1)] == digests)
+        for i in np.flatnonzero(met):
             j = int(at[i])
             while j < len(self.keys) and self.keys[j] == digests[i]:
                 if self.rule(j) == pairs[i]:
@@ -138,6 +142,7 @@ def filter_urls(
         os.unlink(local)
         raise ValueError(f"the rule index has {size} bytes; max_index_bytes is {max_index_bytes}")
     pages.sparkSession.sparkContext.addFile(local)
+    atexit.register(lambda: os.path.exists(local) and os.unlink(local))  # tasks get it from the driver as long as that lives
     name = os.path.basename(local)
 
     @F.pandas_udf("rule string, verdict string")
