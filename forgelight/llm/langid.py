@@ -15,8 +15,8 @@ from .common import bound_batches, settle
 
 #: Labelled rows of each language that centroids are learned from, about; all if there are fewer.
 MAX_ROWS_PER_LANG = 2_000
-#: Most languages that are learned: those with the most rows.
-MAX_LANGS = 500
+#: Bytes of centroids that may be sent to every executor, 4 x 32 KB a language; a lang column with more values than that allows is refused.
+MAX_MODEL_BYTES = 1 << 30
 #: Size of an n-gram vector; n-grams are hashed to a place.
 DIM = 1 << 13
 #: Letters in an n-gram.
@@ -30,42 +30,51 @@ BLOCK = 1 << 18
 
 
 def letters_of(text: str) -> np.ndarray:
-    """Code points of the lower-case text, each stretch of other characters than letters made one 0, with a 0 at both ends."""
+    """Code points of a lower-case text, 0 for all but letters."""
     if text.isascii():
-        code = np.frombuffer(text.lower().encode(), "u1")
+        code = np.frombuffer(text.encode(), "u1")
         keep = (code >= 0x61) & (code <= 0x7A)
     else:
-        code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
         keep = ((code >= 0x61) & (code <= 0x7A)) | ((code >= 0xC0) & (code < 0x250) & (code != 0xD7) & (code != 0xF7))
         for other in np.unique(code[code >= 0x250]).tolist():
             if chr(other).isalpha():
                 keep |= code == other
         for one in (0xAA, 0xB5, 0xBA):
             keep |= code == one
-    code = np.concatenate(([0], np.where(keep, code, 0), [0])).astype("u4")
-    first = np.ones(len(code), bool)
-    first[1:] = (code[1:] != 0) | (code[:-1] != 0)
-    return code[first]
+    return np.where(keep, code, 0).astype("u4")
 
 
-def counts_of(text: str | None) -> np.ndarray | None:
-    """How often each hashed n-gram occurs in the whole text; None if the text has no letter."""
+def counts_of(text: str | None, block: int = BLOCK) -> np.ndarray | None:
+    """How often each hashed n-gram occurs in the whole text; None if the text has no letter.
+
+    Each stretch of other characters than letters counts as one edge, as do both ends of the text. A
+    text is taken in blocks; each begins with the last letters of the one before, whose own n-grams
+    are not counted again.
+    """
     if not text:
         return None
-    out, seen = np.zeros(DIM), False
-    step = BLOCK
-    for at in range(0, len(text), step):
-        # blocks overlap by the letters that an n-gram may reach back
-        code = letters_of(text[max(0, at - max(ORDERS) + 1) : at + step] if at else text[:step])
-        if not code.any():
-            continue
-        seen = True
+    text = text.lower()
+    out, seen, reach = np.zeros(DIM), False, max(ORDERS) - 1
+    carry = np.zeros(1, "u4")  # the edge before the text, which ends no n-gram but itself
+    counted = 0  # of the carried codes, those whose n-grams have been counted
+    for at in range(0, len(text), block):
+        last = at + block >= len(text)
+        fresh = np.concatenate([letters_of(text[at : at + block]), np.zeros(int(last), "u4")])
+        seen = seen or bool(fresh.any())
+        code = np.concatenate([carry, fresh])
+        first = np.ones(len(code), bool)
+        first[1:] = (code[1:] != 0) | (code[:-1] != 0)
+        code = code[first]  # the carried part has no two edges in a row, so it stays as it is
         h = np.zeros(len(code), "u8")
-        for k in range(max(ORDERS)):
+        for k in range(reach + 1):
             h = h[: len(code) - k] * np.uint64(0x9E3779B97F4A7C15) + code[k:] + np.uint64(1)
-            if k + 1 in ORDERS and len(h):
-                mixed = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            new = h[max(0, counted - k) :]  # n-grams that end after what was counted
+            if k + 1 in ORDERS and len(new):
+                mixed = (new ^ (new >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
                 out += np.bincount((mixed >> np.uint64(40)).astype("i8") % DIM, minlength=DIM)
+        carry = code[-max(1, reach) :]
+        counted = len(carry)
     return out if seen else None
 
 
@@ -111,7 +120,7 @@ class Centroids:
         x = vector_of(text)
         if x is None or not self.langs:
             return None
-        near = self.centres @ unit(x * self.idf)
+        near = (self.centres @ unit(x * self.idf).astype("f4")).astype("f8")
         best = int(near.argmax())
         each: dict[str, float] = {}
         for lang, c in zip(self.langs, near.tolist(), strict=True):
@@ -123,17 +132,21 @@ class Centroids:
 def train(docs: DataFrame, allowed: Callable[[Column], Column], seed: int = 11, most: int = MAX_ROWS_PER_LANG) -> Centroids:
     """Learn from text and lang of (doc_id, text, lang) rows that may be learned from and whose lang is not null.
 
-    About ``most`` rows of each language are drawn by the hash of the id; MAX_LANGS languages at
-    most. Tasks make their vectors and one task per language clusters its rows, a bounded number;
-    the inverse frequencies come from the same rows.
+    About ``most`` rows of each language are drawn by the hash of the id. Tasks make their vectors and
+    one task per language clusters its rows, a bounded number; the inverse frequencies come from the
+    same rows. All languages are learned; so many that the model would exceed MAX_MODEL_BYTES are an error.
     """
+    spark = docs.sparkSession
     rows = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & allowed(F.col("doc_id")))
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    most_langs = MAX_MODEL_BYTES // (4 * DIM * CENTROIDS)
+    sizes = rows.groupBy("lang").count().limit(most_langs + 1).collect()
     if not sizes:
-        return Centroids(np.ones(DIM), np.zeros((0, DIM)), [], 1.0)
-    share = F.create_map(*[F.lit(v) for r in sizes for v in (r[0], min(1.0, most / r[1]) * (1 << 30))])
+        return Centroids(np.ones(DIM, "f4"), np.zeros((0, DIM), "f4"), [], 1.0)
+    if len(sizes) > most_langs:
+        raise ValueError(f"more than {most_langs} languages to learn")
+    share = spark.createDataFrame([(r[0], min(1.0, most / r[1]) * (1 << 30)) for r in sizes], "lang string, share double")
     # by id and text, so that a repeated id or text is no more than its share
-    drawn = rows.filter(F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(1 << 30)) < F.try_element_at(share, F.col("lang")))
+    drawn = rows.join(F.broadcast(share), "lang").filter(F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(1 << 30)) < F.col("share"))
     drawn = settle(drawn.select("lang", "text").distinct(), "lang-sample")
 
     def frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,8 +177,8 @@ def train(docs: DataFrame, allowed: Callable[[Column], Column], seed: int = 11,
     got = drawn.groupBy("lang").applyInPandas(centres, "lang string, centre array<double>, distances array<double>").collect()
     got = sorted(got, key=lambda r: r["lang"])
     if not got:
-        return Centroids(idf, np.zeros((0, DIM)), [], 1.0)
-    return Centroids(idf, np.array([r["centre"] for r in got]), [r["lang"] for r in got], max(r["distances"][0] for r in got))
+        return Centroids(idf.astype("f4"), np.zeros((0, DIM), "f4"), [], 1.0)
+    return Centroids(idf.astype("f4"), np.array([r["centre"] for r in got], "f4"), [r["lang"] for r in got], max(r["distances"][0] for r in got))
 
 
 def identify(docs: DataFrame, model: Centroids, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

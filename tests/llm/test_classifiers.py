@@ -39,6 +39,30 @@ def test_digest_collisions_are_told_apart(tmp_path, monkeypatch):
 SYLLABLES = {"en": ["the", "ing", "and", "wh", "sh"], "de": ["sch", "ung", "ein", "ü", "cht"], "fr": ["eau", "oi", "é", "qu", "le"]}
 
 
+def plain_counts(text):
+    """n-grams of the text one by one, over a list."""
+    codes = [0]
+    for c in text.lower():
+        letter = c.isalpha()
+        if letter or codes[-1]:
+            codes.append(ord(c) if letter else 0)
+    codes += [0] * bool(codes[-1])
+    mask, want = (1 << 64) - 1, np.zeros(langid.DIM)
+    for k in langid.ORDERS:
+        for i in range(len(codes) - k + 1):
+            h = 0
+            for c in codes[i : i + k]:
+                h = (h * 0x9E3779B97F4A7C15 + c + 1) & mask
+            want[((h ^ h >> 29) * 0xBF58476D1CE4E5B9 & mask) >> 40 & langid.DIM - 1] += 1
+    return want
+
+
+@pytest.mark.parametrize("text", ["Hello, World", "a", "!?x", "Ünïcödé — straße, ловить 東京  the end!", "ab  " * 40 + "é"])
+def test_ngrams_do_not_depend_on_blocks(text):
+    for block in (1, 2, 3, 7, 1 << 18):
+        assert (langid.counts_of(text, block) == plain_counts(text)).all(), block
+
+
 def documents(spark, n=400):
     r = np.random.default_rng(4)
     rows = []
@@ -47,7 +71,7 @@ def documents(spark, n=400):
         words = ["".join(r.choice(SYLLABLES[lang], r.integers(1, 4))) for _ in range(r.integers(3, 60))]
         rows.append((i, " ".join(words), lang if i % 10 else None, "s", 0.5))
     rows += [(1000, None, "en", "s", None), (1001, "", "en", "s", None), (1002, "12 !? 34", "en", "s", None), (1003, "東京 ловить", None, "s", None), (1004, "the " * 100_000, "en", "s", None), (None, "the and", "en", "s", None), (5, "repeated the", "en", "s", None)]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, score double")
+    return spark.createDataFrame([(*r, "clash", 7) for r in rows], "doc_id long, text string, lang string, source string, score double, lang_pred string, share int")
 
 
 def test_languages(spark):
@@ -82,6 +106,8 @@ def test_toxicity(spark):
     marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     sample = toxicity.training_rows(docs, marks, lambda i: ~held_out(i))
     assert sample.filter(held_out(F.col("doc_id"))).count() == 0
+    again = toxicity.training_rows(docs.orderBy(F.desc("text")).repartition(7), marks, lambda i: ~held_out(i))
+    assert sorted(map(tuple, sample.collect())) == sorted(map(tuple, again.collect())) and len({x["doc_id"] for x in sample.collect()}) == sample.count()
     got = toxicity.score(docs.select("doc_id", "text"), toxicity.train(sample))
     rows = {x["doc_id"]: x for x in got.withColumn("h", held_out(F.col("doc_id"))).collect()}
     assert got.count() == docs.count() and all(0 <= x["score"] <= 1 and x["predicted"] == (x["score"] >= 0.5) for x in rows.values())
