@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from .common import settle
 
-#: Sampled weight units per shard, over all rows; the driver holds about n_shards times as many key pairs.
-SAMPLES_PER_SHARD = 256
-#: Ranges cut per shard. A range of more than twice its share is cut again.
+#: Ranges are as many as RANGES_PER_SHARD for each shard, or one for every ROWS_PER_RANGE rows if that is more, so that a
+#: task's range does not grow with the input. The driver holds two numbers for each. A range of more than twice its share is cut again.
 RANGES_PER_SHARD = 16
+ROWS_PER_RANGE = 1 << 20
+#: Sampled weight units for each range, over all rows.
+SAMPLES_PER_RANGE = 16
 #: Rounds of cutting; a range that is still overfull then holds few, very large rows.
 ROUNDS = 8
 #: Equal texts stay in one shard if together they are no more than this part of a shard.
@@ -59,12 +61,12 @@ def _sample(keys: DataFrame, step: float, salt: int) -> pd.DataFrame:
     return drawn.select("h", "u", F.greatest(F.lit(1.0), F.col("size") / F.lit(step)).alias("w")).toPandas()
 
 
-def _cuts(sample: pd.DataFrame, pieces: int, whole_texts: bool) -> pd.DataFrame:
-    """Keys at the weight quantiles of a sample. whole_texts: only cut between different h."""
+def _cuts(sample: pd.DataFrame, pieces: int, heavy: np.ndarray) -> pd.DataFrame:
+    """Keys at the weight quantiles of a sample; between rows of one text only if it is a heavy one, else before its first row."""
     s = sample.sort_values(["h", "u"], kind="stable")
     at = np.searchsorted(s["w"].cumsum().to_numpy(), np.arange(1, pieces) * s["w"].sum() / pieces)
     cut = s[["h", "u"]].iloc[np.minimum(at, len(s) - 1)] if len(s) else s[["h", "u"]]
-    return cut.assign(u=LOWEST) if whole_texts else cut
+    return cut.assign(u=np.where(np.isin(cut["h"], heavy), cut["u"], LOWEST))
 
 
 def _merged(*cuts: pd.DataFrame) -> Splitters:
@@ -73,24 +75,29 @@ def _merged(*cuts: pd.DataFrame) -> Splitters:
 
 
 def find_splitters(keys: DataFrame, n_shards: int) -> tuple[Splitters, pd.DataFrame]:
-    """Splitters and the exact totals of their ranges, none overfull unless a few rows make it so."""
-    m, k = n_shards * SAMPLES_PER_SHARD, n_shards * RANGES_PER_SHARD
-    total = keys.agg(F.sum("size")).first()[0] or 0
-    drawn = _sample(keys, max(1.0, total / m), 0)
-    splitters = _merged(_cuts(drawn, k, whole_texts=True))
+    """Splitters and the exact totals of their ranges; one stays overfull only if it holds a single row or the copies of one text that is not heavy.
+
+    Heavy texts are those whose rows together exceed GROUP_PART of a shard, n_shards / GROUP_PART of them at most.
+    """
+    n, total = keys.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    k = max(n_shards * RANGES_PER_SHARD, -(-n // ROWS_PER_RANGE))
+    m = k * SAMPLES_PER_RANGE
+    groups = keys.groupBy("h").agg(F.sum("size").alias("size")).filter(F.col("size") > F.lit(GROUP_PART * total / n_shards))
+    heavy = np.array([r["h"] for r in groups.select("h").collect()], "int64")
+    splitters = _merged(_cuts(_sample(keys, max(1.0, total / m), 0), k, heavy))
     totals = _totals(keys, splitters)
     for turn in range(1, ROUNDS + 1):
         over = totals[(totals["bytes"] > 2 * total / k) & (totals["rows"] > 1)]
         if over.empty:
             break
-        # One range may hold a single text many times, so these cuts also go between its rows.
-        rows = _ranged(keys, splitters).filter(F.col("rng").isin([int(x) for x in over.index]))
+        numbers = keys.sparkSession.createDataFrame([(int(x),) for x in over.index], "rng long")
+        rows = _ranged(keys, splitters).join(F.broadcast(numbers), "rng", "left_semi")  # some of the ranges
         drawn = _sample(rows, max(1.0, over["bytes"].sum() / m), turn)
         number = ranges_of(drawn["h"].to_numpy("int64"), drawn["u"].to_numpy("int64"), splitters)
         cuts = [pd.DataFrame({"h": splitters[0], "u": splitters[1]})]
         for rng, part in drawn.groupby(number):
             pieces = int(np.ceil(totals["bytes"].get(rng, 0) * k / total)) + 1
-            cuts.append(_cuts(part, pieces, whole_texts=part["h"].nunique() > 1 and turn < 3))
+            cuts.append(_cuts(part, pieces, heavy))
         before, splitters = len(splitters[0]), _merged(*cuts)
         if len(splitters[0]) == before and turn >= 3:
             break
@@ -103,8 +110,9 @@ def shard(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col:
 
     Sampled splitters: a bounded sample of keys, drawn by size, gives quantile boundaries; rows are
     range-partitioned by (hash of the text, hash of the row); overfull ranges are sampled and cut
-    again, between rows of one text if need be. Exact running sums within the ranges then set the
-    shard of every row, so shards differ by about one row's size or GROUP_PART of a shard.
+    again, between rows of one text only where these exceed GROUP_PART of a shard. Exact running sums
+    within the ranges then set the shard of every row, so shards differ by about one row's size or
+    GROUP_PART of a shard.
 
     Returns doc_id, size (UTF-8 bytes + 16), text_crc32, law, shard, slot (gapless from 0 in a
     shard). Equal texts share a shard unless they exceed GROUP_PART of one. A null text has no
@@ -133,7 +141,7 @@ def shard(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col:
         .withColumn("at", F.row_number().over(order))
         .withColumn("g_start", F.min(F.col("end") - F.col("size")).over(same))
         .withColumn("g_size", F.sum("size").over(same))
-        .join(F.broadcast(bases), "rng")  # a row for each range: bounded by the parameters above
+        .join(F.broadcast(bases), "rng")  # a row for each range, one in a million rows beyond the first
     )
     whole = F.col("g_size") <= F.lit(GROUP_PART * total / n_shards)
     middle = F.col("bytes") + F.when(whole, F.col("g_start") + F.col("g_size") / 2).otherwise(F.col("end") - F.col("size") / 2)
