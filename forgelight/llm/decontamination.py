@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches
+from .common import bound_batches, settle
 
-#: Words of test items in one automaton, about 300 bytes each in a Python worker. A larger benchmark
-#: takes several automata, one after the other, over the same documents.
-WORDS_PER_AUTOMATON = 1_000_000
+#: Bytes of item texts in one automaton, about; it takes some fifty times as many in a Python worker. A larger
+#: benchmark takes several automata, one after the other, over the same documents.
+BYTES_PER_AUTOMATON = 4 << 20
+#: Bytes of item texts that are refused: every automaton is a pass over the documents.
+MAX_BENCHMARK_BYTES = 1 << 30
+#: Bytes of a pickled automaton in one row of its table.
+CHUNK = 8 << 20
 
 #: A-Z to a-z, other ASCII but digits and a-z to space; bytes of non-ASCII characters stay.
 FOLD = bytes(
@@ -28,7 +35,7 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class Automaton:
-    """Suffix automaton of all items, and for each state which windows end there.
+    """Suffix automaton of all texts of items (ids of the items that have it, words), and for each state which windows end there.
 
     A window is ``window`` consecutive words of an item; an item of fewer words is one window.
     State 0 is the start. For a state, ``length`` is its longest match and ``link`` its suffix
@@ -37,13 +44,13 @@ class Automaton:
     the matching length that each of them needs (``short``).
     """
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
+    def __init__(self, items: list[tuple[tuple[str, ...], list[bytes]]], window: int):
         self.window = window
         self.ids: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
         own: dict[int, set[str]] = {}
-        short: dict[int, list[tuple[int, str]]] = {}
+        short: dict[int, list[tuple[int, tuple[str, ...]]]] = {}
         pairs: set[int] = set()
         self.least = window
         for item, words in items:
@@ -65,7 +72,7 @@ class Automaton:
                 while at and self.length[self.link[at]] >= window:
                     at = self.link[at]
                 if i >= window:
-                    own.setdefault(at, set()).add(item)
+                    own.setdefault(at, set()).update(item)
             if 0 < len(words) < window:
                 at = state
                 while at and self.length[self.link[at]] >= len(words):
@@ -74,7 +81,7 @@ class Automaton:
         self.pairs = np.array(sorted(pairs), "int64")
         n = len(self.length)
         self.full: list[frozenset[str]] = [frozenset()] * n
-        self.short: list[tuple[tuple[int, str], ...]] = [()] * n
+        self.short: list[tuple[tuple[int, tuple[str, ...]], ...]] = [()] * n
         for s in sorted(range(1, n), key=self.length.__getitem__):
             up = self.link[s]
             self.full[s] = frozenset(own[s]) if s in own else self.full[up]
@@ -149,7 +156,7 @@ class Automaton:
                 for k, item in self.short[state]:
                     if matched >= k:
                         size = max(size, k)
-                        found.add(item)
+                        found.update(item)
                 if size:
                     start = i - size
                     while spans and spans[-1][1] >= start:
@@ -158,11 +165,17 @@ class Automaton:
         return spans, found
 
 
+@lru_cache(maxsize=1)
+def _loaded(data: bytes) -> Automaton:
+    """The automaton of these bytes; the tasks of one worker load it once."""
+    return pickle.loads(data)
+
+
 def _scanner(automaton, names: list[str], max_span: int | None) -> Callable:
     """For mapInArrow over (..., text, spans, items): adds what one automaton finds, and cuts spans of over max_span words out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = automaton.value
+        own = _loaded(automaton.value)
         for batch in batches:
             at = {n: i for i, n in enumerate(batch.schema.names)}
             n_words, spans, items, left = [], [], [], []
@@ -197,18 +210,28 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def automata(benchmark: DataFrame, window: int, id_col: str, text_col: str, most: int = WORDS_PER_AUTOMATON) -> list[Automaton]:
-    """The automata of a benchmark, each of about ``most`` words at most; items come to the driver one by one."""
-    rows = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).toLocalIterator()
-    out, part, size = [], [], 0
-    for r in rows:
-        words = words_of((r["t"] or "").encode())
-        if part and size + len(words) > most:
-            out.append(Automaton(part, window))
-            part, size = [], 0
-        part.append((r["i"] if r["i"] is not None else "", words))
-        size += len(words)
-    return [*out, Automaton(part, window)]
+def automata(benchmark: DataFrame, window: int, id_col: str, text_col: str, part_bytes: int, most: int) -> tuple[DataFrame, int]:
+    """(part, piece, data) of the pickled automata, and how many there are: items are dealt to parts of about ``part_bytes`` by the hash of their text.
+
+    Each part is built in a task of its own and written to the shared folder in pieces. Items over
+    ``most`` bytes together are refused.
+    """
+    items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > most:
+        raise ValueError(f"the benchmark has {size} bytes; max_benchmark_bytes is {most}")
+    parts = max(1, -(-size // part_bytes))
+    # a text that many items have is one, whose ids are told afterwards
+    texts = items.filter("text <> ''").groupBy("text").agg(F.array_sort(F.collect_set("item")).alias("items"))
+
+    def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        own = Automaton([(tuple(i), words_of(t.encode())) for i, t in zip(rows["items"], rows["text"], strict=True)], window)
+        data = pickle.dumps(own, pickle.HIGHEST_PROTOCOL)
+        at = range(0, len(data), CHUNK)
+        return pd.DataFrame({"part": key[0], "piece": range(len(at)), "data": [data[x : x + CHUNK] for x in at]})
+
+    dealt = texts.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(parts)).cast("int")).groupBy("part")
+    return settle(dealt.applyInPandas(build, "part int, piece int, data binary"), "automata"), parts
 
 
 def scan(
@@ -218,7 +241,8 @@ def scan(
     text_col: str = "text",
     item_id_col: str = "item_id",
     item_text_col: str = "text",
-    words_per_automaton: int = WORDS_PER_AUTOMATON,
+    part_bytes: int = BYTES_PER_AUTOMATON,
+    max_benchmark_bytes: int = MAX_BENCHMARK_BYTES,
     cut_over: int | None = None,
 ) -> DataFrame:
     """Add to each document where benchmark windows occur in it.
@@ -226,7 +250,9 @@ def scan(
     Every column of ``docs`` is kept; ``found`` is added, a struct of n_words, spans (word ranges
     [a, b) covered by windows) and items (ids of items with occurring windows, sorted as strings).
     A column of that name is replaced. Documents are streamed through the broadcast automaton and
-    never shuffled. With ``cut_over``, spans of more words than that are cut out of the text (the
+    never shuffled. Automata are built in tasks; of a benchmark of over ``part_bytes`` bytes, the
+    driver and every task hold one at a time, and what the documents have so far is written to the
+    shared folder in between. Over ``max_benchmark_bytes`` it is refused. With ``cut_over``, spans of more words than that are cut out of the text (the
     struct tells where they were). Null and empty texts and items have no words; a null item id counts as ''.
     """
     spark = docs.sparkSession
@@ -240,9 +266,16 @@ def scan(
         F.array().cast("array<string>").alias("__items"),
     )
     bound_batches(spark)
-    found = automata(benchmark, window, item_id_col, item_text_col, words_per_automaton)
-    for i, a in enumerate(found, 1):
-        rows = rows.mapInArrow(_scanner(spark.sparkContext.broadcast(a), rows.columns, cut_over if i == len(found) else None), rows.schema)
+    table, parts = automata(benchmark, window, item_id_col, item_text_col, part_bytes, max_benchmark_bytes)
+    for i in range(parts):
+        pieces = table.filter(F.col("part") == i).orderBy("piece").toLocalIterator()
+        data = b"".join(bytes(r["data"]) for r in pieces) or pickle.dumps(Automaton([], window))
+        shared = spark.sparkContext.broadcast(data)  # one automaton, whose bound is part_bytes
+        last = i + 1 == parts
+        rows = rows.mapInArrow(_scanner(shared, rows.columns, cut_over if last else None), rows.schema)
+        if not last:
+            rows = settle(rows, "automaton-hits")
+            shared.destroy()
     return rows.select(
         *[F.col("__text" if c == text_col else f"__row.`{c}`").alias(c) for c in keep.columns],
         F.struct(F.col("__n_words").alias("n_words"), F.col("__spans").alias("spans"), F.col("__items").alias("items")).alias("found"),
