@@ -1,4 +1,10 @@
-"""Texts of common licences and short notices, by SPDX identifier, and spellings that count as equal."""
+"""Texts of common licences and short notices, by SPDX identifier, and spellings that count as equal.
+
+Longer licences stand whole in known_licenses, a file for each, named by the identifier.
+"""
+
+from pathlib import Path
+
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
@@ -126,6 +132,22 @@ KNOWN = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 
+#: What ends the terms of a licence; a text that ends there is the licence, too.
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """All known (identifier, text): KNOWN, the files, and what of these ends with the terms, with that line and without."""
+    out = list(KNOWN)
+    for file in sorted((Path(__file__).parent / "known_licenses").glob("*.txt")):
+        text = file.read_text(encoding="utf-8")
+        out.append((file.stem, text))
+        terms, end, _ = text.partition(END_OF_TERMS)
+        if end:
+            out += [(file.stem, terms + end), (file.stem, terms)]
+    return out
+
+
 #: Words that count as the other.
 EQUIVALENT = {
     "acknowledgement": "acknowledgment", "analogue": "analog", "analyse": "analyze", "artefact": "artifact",

@@ -7,11 +7,12 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import license_texts
 from .common import bound_batches, settle
-from .license_texts import EQUIVALENT, KNOWN
+from .license_texts import EQUIVALENT
 
 WORD = re.compile(r"[^\W_]+")
 #: A line that only says whose copyright it is, of which year.
@@ -24,7 +25,7 @@ MAX_BROADCAST = 100_000
 
 def line_words(line: str) -> list[str]:
     """Canonical words of a line: case, punctuation, list marks and equivalent spellings do not matter; a copyright line has none."""
-    if ("opyright" in line or "OPYRIGHT" in line or "(c)" in line or "(C)" in line or "©" in line or "eserved" in line) and COPYRIGHT.fullmatch(line.strip()):
+    if ("opyright" in line or "OPYRIGHT" in line or "(c)" in line or "(C)" in line or "©" in line or "eserved" in line or "ESERVED" in line) and COPYRIGHT.fullmatch(line.strip()):
         return []
     return [EQUIVALENT.get(w, w) for w in WORD.findall(BULLET.sub("", line.lower()))]
 
@@ -38,65 +39,80 @@ def canonical_words(text: str | None) -> list[str]:
     return [w for line in (text or "").splitlines() for w in line_words(line)]
 
 
-def known_digests(spark, texts: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """(digest, license, n_words, head, tail) of known texts; a digest that several identifiers share has the first in order."""
-    rows: dict[str, tuple] = {}
-    for name, text in sorted(texts):
-        words = canonical_words(text)
-        if words:
-            rows.setdefault(digest(words), (name, len(words), words[0], words[-1]))
-    return spark.createDataFrame([(d, *r) for d, r in rows.items()], "digest string, license string, n_words int, head string, tail string")
+def known_texts(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """(license, text) of known texts: a Parquet table at ``path``, or those that come with the library."""
+    return spark.read.parquet(path).select("license", "text") if path else spark.createDataFrame(license_texts.known_texts(), "license string, text string")
+
+
+def known_digests(texts: DataFrame) -> DataFrame:
+    """(digest, license, n_words, head, tail) of known texts (license, text); a digest that several identifiers share has the first in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [canonical_words(t.as_py()) for t in batch.column(1)]
+            columns = [[digest(w) for w in words], batch.column(0), [len(w) for w in words], [w[0] if w else None for w in words], [w[-1] if w else None for w in words]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) if isinstance(c, list) else c for c, t in zip(columns, (pa.string(), None, pa.int32(), pa.string(), pa.string()), strict=True)], ["digest", "license", "n_words", "head", "tail"])
+
+    found = texts.filter("license is not null").select("license", "text").mapInArrow(run, "digest string, license string, n_words int, head string, tail string")
+    return found.filter("n_words > 0").groupBy("digest").agg(F.min(F.struct("license", "n_words", "head", "tail")).alias("x")).select("digest", "x.*")
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Find known licences in documents: by the digest of the whole canonical text, and of each of its lines.
+    """Find known licences in documents: by the digest of the whole canonical text, and of each of its lines and paragraphs.
 
     Texts are normalised (case, punctuation, white space, copyright lines, list marks, equivalent
-    spellings) and their digests joined to the known ones by equality. A line whose length, first
-    and last word fit no known text cannot be one, so it gets no digest.
+    spellings) and their digests joined to the known ones by equality; ``known`` is a table as
+    known_digests() gives it. A line or paragraph (lines up to a blank one) whose length, first and
+    last word fit no known text cannot be one, so it gets no digest.
 
     Returns doc_id, digest (of the whole text), license (the one that the whole text is, else null)
-    and notices (identifiers of licences that a line of it is, sorted, without repeats). Null and
-    empty texts have the digest of no words, no licence and no notices. Repeated rows stay; an empty
-    table gives an empty result. Other columns are not read. A known table of over MAX_BROADCAST rows
-    is joined by a shuffle.
+    and notices (identifiers of licences that a line or paragraph of it is, sorted, without repeats).
+    Null and empty texts have the digest of no words, no licence and no notices. Repeated rows stay;
+    an empty table gives an empty result. Other columns are not read. Of a known table of over
+    MAX_BROADCAST rows the shapes are not used: every line and paragraph gets a digest, and the joins shuffle.
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    known = known_digests(spark) if known is None else known
-    small = known.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
+    known = settle(known_digests(known_texts(spark)) if known is None else known, "license-known")
+    small = known.count() <= MAX_BROADCAST
     shapes = {(r[0], r[1], r[2]) for r in known.select("n_words", "head", "tail").collect()} if small else None
     shared = spark.sparkContext.broadcast(shapes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fit = shared.value
         for batch in batches:
-            whole, lines = [], []
+            whole, parts = [], []
             for text in batch.column(1):
-                words, own = hashlib.sha256(), set()
-                first = True
+                words, own, first = hashlib.sha256(), set(), True
+                block: list[str] = []
+                lines = 0
+
+                def close(words: list[str]) -> None:
+                    if words and (fit is None or (len(words), words[0], words[-1]) in fit):
+                        own.add(digest(words))  # noqa: B023
+
                 for line in (text.as_py() or "").splitlines():
                     found = line_words(line)
                     if found:
                         words.update(("" if first else " ").encode() + " ".join(found).encode(errors="surrogatepass"))
                         first = False
-                        if fit is None or (len(found), found[0], found[-1]) in fit:
-                            own.add(digest(found))
+                        close(found)
+                        block += found
+                        lines += 1
+                    elif not line.strip():
+                        if lines > 1:
+                            close(block)
+                        block, lines = [], 0
+                if lines > 1:
+                    close(block)
                 whole.append(words.hexdigest())
-                lines.append(sorted(own))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(whole, pa.string()), pa.array(lines, pa.list_(pa.string()))], ["doc_id", "digest", "lines"])
+                parts.append(sorted(own))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(whole, pa.string()), pa.array(parts, pa.list_(pa.string()))], ["doc_id", "digest", "parts"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, digest string, lines array<string>")
-    names = known.select("digest", "license")
-    if small:
-        # one map of digests, whose size was checked, instead of a join for each line
-        table = {r[0]: r[1] for r in names.collect()}
-        pairs = F.create_map(*[F.lit(x) for item in table.items() for x in item]) if table else F.create_map().cast("map<string,string>")
-        notices = F.array_sort(F.array_distinct(F.transform("lines", lambda d: F.try_element_at(pairs, d))))
-        rows = rows.withColumn("notices", F.filter(notices, lambda x: x.isNotNull()))
-        return rows.join(F.broadcast(names), "digest", "left").select("doc_id", "digest", "license", "notices")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, digest string, parts array<string>")
     rows = settle(rows.withColumn("u", F.monotonically_increasing_id()), "license-rows")
-    lines = rows.select("u", F.explode("lines").alias("digest")).join(names, "digest")
-    lines = lines.groupBy("u").agg(F.array_sort(F.collect_set("license")).alias("notices"))
-    out = rows.join(lines, "u", "left").join(names, "digest", "left")
+    names = known.select("digest", "license")
+    names = F.broadcast(names) if small else names
+    hits = rows.select("u", F.explode("parts").alias("digest")).join(names, "digest").groupBy("u").agg(F.array_sort(F.collect_set("license")).alias("notices"))
+    out = rows.join(names, "digest", "left").join(hits, "u", "left")
     return out.select("doc_id", "digest", "license", F.coalesce("notices", F.array().cast("array<string>")).alias("notices"))
