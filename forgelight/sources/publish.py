@@ -1,18 +1,23 @@
-"""Publishing tables as generations: write, verify, then switch a small pointer."""
+"""Publishing tables as generations: write, verify, then switch a pointer. Nothing that is published is ever written over."""
 
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality, series
-from ..schemas import KEYS
+from ..schemas import KEYS, SERIES, empty
 
 #: Tables that a build must hold, besides the series.
 DECLARED = ["summary", "repos", "repo_packages", "latest", "adoption", "models", "tooling", "rule_inventory", "silent_channels", "state"]
-POINTER = "current"
+#: Folder of pointers: files named by rising numbers, each the name of a generation. The last one holds.
+POINTERS = "pointers"
+#: What the pointer holds before anything is published.
+NONE = "-"
+COLUMNS = [c.split()[0] for c in SERIES.split(", ")]
 
 
 def _fs(spark: SparkSession, path: str):
@@ -20,10 +25,44 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds, but for hidden files; nothing if it is not there."""
+    fs, p = _fs(spark, path)
+    return sorted(n for x in (fs.listStatus(p) if fs.exists(p) else []) if (n := x.getPath().getName())[0] not in "._")
+
+
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole or not at all: under a hidden name, then renamed to one that is not taken."""
+    folder, name = path.rsplit("/", 1)
+    fs, hidden = _fs(spark, f"{folder}/.{name}-{uuid.uuid4().hex}")
+    out = fs.create(hidden, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    target = _fs(spark, path)[1]
+    if fs.exists(target) or not fs.rename(hidden, target):
+        fs.delete(hidden, False)
+        raise quality.GateError(f"{path} is there already")
+
+
+def _get(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
 def current(spark: SparkSession, root: str) -> str | None:
-    """The generation that is published; None before the first. A pointer that can't be read stops."""
-    fs, p = _fs(spark, f"{root}/{POINTER}")
-    return spark.read.text(f"{root}/{POINTER}").first()[0].strip() if fs.exists(p) else None
+    """The generation that is published; None before the first. Data without a pointer, or an unreadable one, stops."""
+    found = _names(spark, f"{root}/{POINTERS}")
+    if not found:
+        if there := _names(spark, root):
+            raise quality.GateError(f"{root} holds {there} but no pointer: its history is not overwritten")
+        return None
+    name = _get(spark, f"{root}/{POINTERS}/{found[-1]}").strip()
+    return None if name == NONE else name
+
+
+def _switch(spark: SparkSession, root: str, generation: str) -> None:
+    """Make a generation the published one. A run that ends before this leaves what was published as it was."""
+    found = _names(spark, f"{root}/{POINTERS}")
+    _put(spark, f"{root}/{POINTERS}/{int(found[-1]) + 1 if found else 0:09d}", generation)
 
 
 def read_table(spark: SparkSession, root: str, name: str, generation: str | None = None) -> DataFrame | None:
@@ -34,32 +73,49 @@ def read_table(spark: SparkSession, root: str, name: str, generation: str | None
 
 def manifest(spark: SparkSession, root: str, generation: str | None = None) -> dict:
     generation = generation or current(spark, root)
-    return json.loads(spark.read.text(f"{root}/{generation}/manifest", wholetext=True).first()[0]) if generation else {}
+    return json.loads(_get(spark, f"{root}/{generation}/manifest.json")) if generation else {}
+
+
+def read_years(spark: SparkSession, root: str, paths: dict[str, str]) -> DataFrame:
+    """Series rows of years, each from the generation that wrote it last."""
+    files = [f"{root}/{generation}/series/year={year}" for year, generation in sorted(paths.items())]
+    return spark.read.schema(SERIES).parquet(*files) if files else empty(spark, SERIES)
 
 
-def write_series(rows: DataFrame, path: str) -> None:
-    """Replace the years that the rows lie in, and no others."""
-    series.with_year(rows).repartition("year", F.pmod(F.xxhash64("repo_id"), F.lit(8))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+def read_series(spark: SparkSession, root: str, generation: str | None = None, years: list[int] | None = None) -> DataFrame:
+    """The whole series of a generation, or only some years of it: files of others are not opened."""
+    paths = manifest(spark, root, generation).get("paths", {})
+    return read_years(spark, root, {y: g for y, g in paths.items() if years is None or int(y) in years})
 
 
 def publish(spark: SparkSession, root: str, generation: str, tables: dict[str, DataFrame], working: DataFrame, today: str, purged: list[str] = (), allow_regression: bool = False) -> dict:
     """Publish a build and return its manifest.
 
-    The working series is folded over all published history; only years that it or a purge touched
-    are written anew, in place, so the others keep their files. All other tables go to a new
-    generation. Keys must be unique, no declared table may be missing or fall by more than the
-    tolerance (unless ``allow_regression``); then the pointer is switched. The generation before
-    stays readable until the next. History that is there but can't be read stops the run.
+    The working series is folded over all published history. Years that it or a purge touched are
+    written anew, into the new generation; its manifest tells for each year which generation holds
+    it, so the others keep their files. A year that a purge has emptied has no entry any more, and
+    is among the changed ones. All other tables go to the new generation. Keys must be unique, no
+    declared table and not the series may be missing or fall by more than the tolerance (unless
+    ``allow_regression``). Only then the pointer is switched: until that moment, and if the run
+    fails at any step, readers see the generation before, its series included. History that is
+    there but can't be read, and data without a pointer, stop the run.
+
+    In the manifest, ``years`` are all years that have ever been published, ``paths`` those that have rows.
     """
     missing = [t for t in DECLARED if t not in tables]
     if missing:
         raise quality.GateError(f"tables missing: {missing}")
     before = current(spark, root)
-    old = {t: read_table(spark, root, t) for t in DECLARED} if before else {}
-    last = manifest(spark, root) if before else {}
-    history = spark.read.parquet(f"{root}/series") if before else working.limit(0).transform(series.with_year)
+    if not _names(spark, f"{root}/{POINTERS}"):
+        _switch(spark, root, NONE)  # from here on, data without a pointer is lost history and not a first run that failed
+    if generation in _names(spark, root) and generation == before:
+        raise quality.GateError(f"{generation} is published already")
+    old = {t: read_table(spark, root, t, before) for t in DECLARED} if before else {}
+    last = manifest(spark, root, before) if before else {}
+    history = read_years(spark, root, last.get("paths", {}))
     gone = series.purge(history, list(purged))[1] if purged else None
-    years = sorted(r[0] for r in series.touched_years(*([working] if gone is None else [working, gone.select(F.format_string("%04d-01-01", "year").alias("date"))])).collect())
+    years = series.touched_years(working) if gone is None else series.touched_years(working).union(gone).distinct()
+    years = sorted(r[0] for r in years.collect())
     for table, key in KEYS.items():
         checked = working if table == "series" else tables.get(table)
         if checked is not None and not quality.duplicate_keys(checked, key).isEmpty():
@@ -68,29 +124,43 @@ def publish(spark: SparkSession, root: str, generation: str, tables: dict[str, D
     for name in DECLARED:
         tables[name].write.mode("overwrite").parquet(f"{target}/{name}")
     written = {n: spark.read.parquet(f"{target}/{n}") for n in DECLARED}
-    if old and not allow_regression:
-        found = quality.regressions(quality.measures(old), quality.measures(written)).collect()
+    touched = read_years(spark, root, {y: g for y, g in last.get("paths", {}).items() if int(y) in years})
+    # as many files for a year as its size asks for
+    folded = series.with_year(series.fold_history(working, touched, list(purged)).select(COLUMNS)).hint("rebalance", "year")
+    folded.write.mode("overwrite").partitionBy("year").parquet(f"{target}/series")
+    own = {n.partition("=")[2]: generation for n in _names(spark, f"{target}/series") if n.startswith("year=")}
+    paths = {y: g for y, g in last.get("paths", {}).items() if int(y) not in years} | own
+    prints = {str(r["year"]): f"{r['rows']}:{r['fingerprint']}" for r in quality.fingerprint(series.with_year(read_years(spark, root, own)), ["year"]).collect()}
+    if not allow_regression:
+        kept = touched.filter(~F.col("metric").isin(list(purged))) if purged else touched
+        was, now = old | {"series": kept}, written | {"series": read_years(spark, root, own)}
+        found = quality.regressions(quality.measures(was), quality.measures(now)).collect() if before else []
         if found:
             raise quality.GateError(f"regressions: {[tuple(r) for r in found]}")
-    touched = history.filter(F.col("year").isin(years)).drop("year")
-    folded = series.fold_history(working, touched, list(purged))
-    # Parquet can't be overwritten while it is read: the years are written beside, then put in place.
-    folded.write.mode("overwrite").parquet(f"{target}/series_part")
-    part = spark.read.parquet(f"{target}/series_part")
-    write_series(part, f"{root}/series")
-    spark.catalog.refreshByPath(f"{root}/series")
-    whole = spark.read.parquet(f"{root}/series")
-    series.recent(whole, today).drop("year").write.mode("overwrite").parquet(f"{target}/recent")
-    prints = {str(r["year"]): f"{r['rows']}:{r['fingerprint']}" for r in quality.fingerprint(series.with_year(part), ["year"]).collect()}
-    same = {k: v for k, v in last.get("series", {}).items() if int(k) not in years}
-    changed = sorted(k for k, v in prints.items() if last.get("series", {}).get(k) != v)
+    series.recent(read_years(spark, root, paths), today).write.mode("overwrite").parquet(f"{target}/recent")
+    same = {y: v for y, v in last.get("series", {}).items() if int(y) not in years}
+    emptied = [y for y in last.get("paths", {}) if y not in paths]
     counts = {r["table"]: [r["rows"], r["fingerprint"]] for r in quality.integrity(written, DECLARED).collect()}
     changed_tables = sorted(t for t, v in counts.items() if last.get("tables", {}).get(t) != v)
     out = {
-        "generation": generation, "previous": before, "data_through": today, "changed_years": changed, "changed_tables": changed_tables,
-        "years": sorted({*last.get("years", []), *years}), "series": same | prints, "tables": counts,
+        "generation": generation, "previous": before, "data_through": today, "changed_years": sorted([*emptied, *(y for y, v in prints.items() if last.get("series", {}).get(y) != v)]),
+        "changed_tables": changed_tables, "years": sorted({*last.get("years", []), *map(int, paths)}), "paths": paths, "series": same | prints, "tables": counts,
         "summary_previous": (before if "summary" in changed_tables else last.get("summary_previous")) if before else None,
     }
-    spark.createDataFrame([(json.dumps(out, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{target}/manifest")
-    spark.createDataFrame([(generation,)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/{POINTER}")
+    fs, stale = _fs(spark, f"{target}/manifest.json")
+    fs.delete(stale, False)  # of an earlier run of this generation that failed
+    _put(spark, f"{target}/manifest.json", json.dumps(out, sort_keys=True))
+    _switch(spark, root, generation)
     return out
+
+
+def prune(spark: SparkSession, root: str) -> list[str]:
+    """Delete generations that neither the current one nor the one before it needs, for a year, a table or the previous summary; returns their names."""
+    now = manifest(spark, root)
+    past = manifest(spark, root, now["previous"]) if now.get("previous") else {}
+    needed = {m.get(k) for m in (now, past) for k in ("generation", "summary_previous")} | {g for m in (now, past) for g in m.get("paths", {}).values()}
+    unused = [n for n in _names(spark, root) if n not in needed and n != POINTERS]
+    for n in unused:
+        fs, p = _fs(spark, f"{root}/{n}")
+        fs.delete(p, True)
+    return unused

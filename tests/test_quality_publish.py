@@ -42,8 +42,7 @@ def test_publish_round_trip_gates_and_purge(spark, tmp_path, rows):
     assert m["years"] == [2023, 2024] and m["changed_years"] == ["2023", "2024"] and publish.current(spark, root) == "g1"
     m = publish.publish(spark, root, "g2", build(spark), s(("r", "2024-01-03", "stars", 3)), "2024-01-03", purged=["forks"])
     assert m["changed_years"] == ["2024"] and m["changed_tables"] == [] and m["previous"] == "g1" and m["summary_previous"] is None
-    whole = spark.read.parquet(f"{root}/series").drop("year").select("repo_id", "date", "metric", "value")
-    assert rows(whole) == [("r", "2023-05-01", "stars", 1), ("r", "2024-01-01", "stars", 2), ("r", "2024-01-03", "stars", 3)]
+    assert rows(publish.read_series(spark, root)) == [("r", "2023-05-01", "stars", 1), ("r", "2024-01-01", "stars", 2), ("r", "2024-01-03", "stars", 3)]
     with pytest.raises(quality.GateError, match="regressions"):
         publish.publish(spark, root, "g3", build(spark, 150), s(), "2024-01-04")
     with pytest.raises(quality.GateError, match="regressions"):
@@ -57,6 +56,76 @@ def test_publish_round_trip_gates_and_purge(spark, tmp_path, rows):
         publish.publish(spark, root, "g4", {k: v for k, v in build(spark).items() if k != "models"}, s(), "2024-01-04")
 
 
+def series_of(spark, *rows):
+    return spark.createDataFrame(list(rows), schemas.SERIES)
+
+
+OLD = [("r", "2023-05-01", "forks", 1), ("r", "2024-01-01", "stars", 2), ("r", "2024-01-03", "stars", 3)]
+
+
+@pytest.fixture()
+def root(spark, tmp_path):
+    publish.publish(spark, f"file://{tmp_path}", "g1", build(spark), series_of(spark, *OLD), "2024-01-03")
+    return f"file://{tmp_path}"
+
+
+def test_a_lost_pointer_stops_and_loses_nothing(spark, root, tmp_path, rows):
+    (tmp_path / publish.POINTERS).rename(tmp_path / ".away")
+    with pytest.raises(quality.GateError, match="no pointer"):
+        publish.publish(spark, root, "g2", build(spark), series_of(spark, ("r", "2024-01-05", "stars", 4)), "2024-01-05")
+    with pytest.raises(quality.GateError, match="no pointer"):
+        publish.read_series(spark, root)
+    (tmp_path / ".away").rename(tmp_path / publish.POINTERS)
+    assert rows(publish.read_series(spark, root)) == OLD
+
+
+def test_a_metric_that_is_all_of_a_year_is_purged(spark, root, rows):
+    m = publish.publish(spark, root, "g2", build(spark), series_of(spark), "2024-01-04", purged=["forks"])
+    assert rows(publish.read_series(spark, root)) == OLD[1:]
+    assert m["changed_years"] == ["2023"] and sorted(m["paths"]) == sorted(m["series"]) == ["2024"] and m["years"] == [2023, 2024]
+    m = publish.publish(spark, root, "g3", build(spark), series_of(spark, ("r", "2023-06-01", "stars", 1)), "2024-01-05")
+    assert m["changed_years"] == ["2023"] and m["paths"] == {"2023": "g3", "2024": "g1"}
+
+
+@pytest.mark.parametrize("step", ["read_years", "_put", "_switch"])
+def test_a_run_that_fails_at_any_step_leaves_what_was_published(spark, root, rows, monkeypatch, step):
+    calls, real = [], getattr(publish, step)
+
+    def fail(*a):
+        calls.append(a)
+        if step != "read_years" or len(calls) > 3:
+            raise OSError("lost")
+        return real(*a)
+
+    new = series_of(spark, ("r", "2024-01-05", "stars", 4))
+    with monkeypatch.context() as m:
+        m.setattr(publish, step, fail)
+        with pytest.raises(OSError, match="lost"):
+            publish.publish(spark, root, "g2", build(spark, 300), new, "2024-01-05")
+    assert publish.current(spark, root) == "g1" and rows(publish.read_series(spark, root)) == OLD and publish.read_table(spark, root, "summary").count() == 200
+    publish.publish(spark, root, "g2", build(spark, 300), new, "2024-01-05")
+    assert rows(publish.read_series(spark, root)) == [*OLD, ("r", "2024-01-05", "stars", 4)] and publish.manifest(spark, root)["previous"] == "g1"
+
+
+def test_a_first_run_that_fails_can_be_run_again(spark, tmp_path, rows):
+    root, own = f"file://{tmp_path}/new", series_of(spark, ("r", "2024-01-03", "stars", 3))
+    with pytest.raises(quality.GateError, match="repeated"):
+        publish.publish(spark, root, "g1", build(spark), own.union(own), "2024-01-04")
+    assert publish.current(spark, root) is None
+    publish.publish(spark, root, "g1", build(spark), own, "2024-01-04")
+    assert rows(publish.read_series(spark, root)) == [("r", "2024-01-03", "stars", 3)]
+    with pytest.raises(quality.GateError, match="already"):
+        publish.publish(spark, root, "g1", build(spark), own, "2024-01-04")
+
+
+def test_prune_keeps_what_two_generations_need(spark, root, rows):
+    for i in (2, 3, 4):
+        publish.publish(spark, root, f"g{i}", build(spark), series_of(spark, ("r", f"2024-01-{i + 3:02d}", "stars", i + 2)), "2024-01-09")
+    assert publish.prune(spark, root) == ["g2"]  # g1 has the year 2023
+    assert len(rows(publish.read_series(spark, root))) == 6 and publish.read_table(spark, root, "summary", "g3").count() == 200
+    assert [r["date"] for r in publish.read_series(spark, root, years=[2023]).collect()] == ["2023-05-01"]
+
+
 def test_touched_years(spark, rows):
     a = spark.createDataFrame([("r", "2023-05-01", "stars", 1)], schemas.SERIES)
     assert rows(series.touched_years(a, a)) == [(2023,)]
