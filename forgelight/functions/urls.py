@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from .. import rules
 
-BARE = r"^[a-z0-9.-]+\.[a-z]{2,}(/|$)"
-SCHEME = r"(?i)^[a-z0-9+.-]+://"
+#: A scheme as RFC 3986 has it, and a host of dotted labels that ends in two letters or more.
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*://"
+HOST = r"^[a-z0-9\-]+(\.[a-z0-9\-]+)*\.[a-z]{2,}$"
 REPO = "struct<host:string,host_domain:string,owner:string,name:string>"
 
 
@@ -23,7 +24,7 @@ def _schemed(u: Column) -> Column:
     return (
         F.when(u.startswith("//"), F.concat(F.lit("https:"), u))
         .when(u.rlike(SCHEME), u)
-        .when(F.lower(u).rlike(BARE), F.concat(F.lit("https://"), u))
+        .when(F.lower(F.split_part(u, F.lit("/"), F.lit(1))).rlike(HOST), F.concat(F.lit("https://"), u))
     )
 
 
@@ -31,18 +32,24 @@ def _trimmed(u: Column) -> Column:
     return F.regexp_replace(F.trim(u), r"^<+|>+$", "")
 
 
+def _after_scheme(u: Column) -> Column:
+    """What stands behind the first ://."""
+    return F.substr(u, F.locate("://", u) + F.lit(3))
+
+
 def _authority(u: Column) -> Column:
     """Domain of a URL with scheme: lower case, without userinfo, port and www."""
-    host = F.regexp_extract(u, r"(?i)^[a-z0-9+.-]+://([^/]+)", 1)
-    host = F.regexp_replace(F.regexp_replace(host, r"^[^@]*@", ""), r":.*$", "")
+    host = F.split_part(_after_scheme(u), F.lit("/"), F.lit(1))
+    host = F.split_part(F.substring_index(host, "@", -1), F.lit(":"), F.lit(1))
     return F.nullif(F.regexp_replace(F.lower(host), r"^www\.", ""), F.lit(""))
 
 
 def _path(u: Column) -> Column:
-    return F.regexp_replace(F.regexp_extract(u, r"(?i)^[a-z0-9+.-]+://[^/]+(/.*)$", 1), r"[?#].*$", "")
-
-
-SSH = r"^git@([^:]+):(.+)$"
+    """From the first / behind the host on, without query and fragment; '' if there is none."""
+    rest = _after_scheme(u)
+    at = F.locate("/", rest)
+    path = F.when(at > 1, F.substr(rest, at)).when(rest.isNotNull(), "")
+    return F.substring_index(F.substring_index(path, "?", 1), "#", 1)
 
 
 def _parts(urls: Column) -> Column:
@@ -51,10 +58,12 @@ def _parts(urls: Column) -> Column:
     Every step is a transform of its own, so that each looks at the values of the step before
     instead of repeating its expressions.
     """
-    known = F.transform(urls, lambda u: F.struct(_trimmed(u).alias("s"), _trimmed(u).rlike(SSH).alias("ssh")))
+    # git@host:path, with something on both sides of the colon
+    scp = lambda s: s.startswith("git@") & (F.locate(":", s) > 5) & (F.length(s) > F.locate(":", s))
+    known = F.transform(urls, lambda u: F.struct(_trimmed(u).alias("s"), scp(_trimmed(u)).alias("ssh")))
     full = F.transform(known, lambda x: F.struct(x["s"].alias("s"), x["ssh"].alias("ssh"), _schemed(F.regexp_replace(x["s"], r"(?i)^git\+", "")).alias("u")))
-    ssh = lambda x: F.regexp_replace(F.lower(F.regexp_extract(x["s"], SSH, 1)), r"^www\.", "")
-    path = lambda x: F.when(x["ssh"], F.concat(F.lit("/"), F.regexp_extract(x["s"], SSH, 2))).otherwise(_path(x["u"]))
+    ssh = lambda x: F.regexp_replace(F.lower(F.substring_index(F.substr(x["s"], F.lit(5)), ":", 1)), r"^www\.", "")
+    path = lambda x: F.when(x["ssh"], F.concat(F.lit("/"), F.substr(x["s"], F.locate(":", x["s"]) + F.lit(1)))).otherwise(_path(x["u"]))
     return F.transform(full, lambda x: F.struct(F.when(x["ssh"], ssh(x)).otherwise(_authority(x["u"])).alias("d"), path(x).alias("p")))
 
 
