@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..operators import adoption, dimension, health, quality, resolve, series, tooling
 from ..schemas import ADOPTION, ATTRIBUTES, ROLLUPS, conform, empty
+from ..scratch import settle
+from ..sources import ingest
 
 Tables = dict[str, DataFrame]
 
@@ -18,7 +20,7 @@ def daily_update(packages: DataFrame, gauges: DataFrame, prev: Tables, today: st
     prev: repos, latest, series, summary, adoption and state of the last build. With no measured
     repository nothing is written over: all values stay as they were.
     """
-    resolved = resolve.resolve_packages(packages)
+    resolved = settle(resolve.resolve_packages(packages), "resolved")
     repos, links = resolve.repo_index(resolved)
     n_packages, n_repos = quality.universe(resolved)
     known = prev["repos"].filter("status = 'active'")
@@ -28,7 +30,7 @@ def daily_update(packages: DataFrame, gauges: DataFrame, prev: Tables, today: st
     if identities is not None:
         dim = dimension.apply_identity(dim, identities)
     ids = dimension.to_measure(dim).select("node_id", "repo_id")
-    snapshot = series.to_long(gauges, ids)
+    snapshot = settle(series.to_long(gauges, ids), "snapshot")
     if snapshot.isEmpty():
         return prev | {"repos": dim, "repo_packages": links, "working": prev["series"].limit(0)}
     working = series.change_only(prev["latest"], snapshot, today)
@@ -57,33 +59,62 @@ def weekly_update(snapshot: DataFrame, prev: Tables, today: str) -> Tables:
     return prev | {"series": series.upsert_replace(prev["series"], working, series.KEY), "latest": series.upsert_replace(prev["latest"], long, series.LATEST_KEY), "working": working}
 
 
+def _onsets_of(commits: DataFrame) -> DataFrame:
+    """(repo_id, tool, tier, onset, confirmed): the first commit by which each channel shows a tool."""
+    seen = lambda tool, tier: F.struct(tool.alias("tool"), F.lit(tier).alias("tier"))
+    bot = F.coalesce(adoption.bot_tool(F.col("author_email")), adoption.bot_tool(F.col("author_login")))
+    trailers = F.transform(adoption.trailer_tools(F.col("message")), lambda t: seen(t, "B"))
+    every = F.concat(trailers, F.array(seen(adoption.suffix_tool(F.col("author")), "C"), seen(bot, "A")))
+    rows = commits.select("repo_id", "committed_at", F.explode(every).alias("x")).filter("x.tool is not null")
+    return rows.groupBy("repo_id", "x.tool", "x.tier").agg(F.min("committed_at").alias("onset")).withColumn("confirmed", F.lit(True))
+
+
 def adoption_update(
     trees: DataFrame, prs: DataFrame, commits: DataFrame, path_commits: DataFrame, revisions: DataFrame, incomplete: DataFrame,
-    prev: Tables, known_silent: DataFrame, today: str, only_flagged: bool = False,
+    prev: Tables, known_silent: DataFrame, today: str, only_flagged: bool = False, searches: DataFrame | None = None, incremental: bool = False,
 ) -> Tables:
     """Scan trees, pull requests and commits for tools and fold what is found into adoption, models and tooling.
 
     ``only_flagged``: read commits only of repositories that trees or pull requests have flagged; the
-    default reads all, so that a repository which only signs commits is found. ``canary`` of the
-    result lists channels gone silent; publish first, then fail on them.
+    default reads all, so that a repository which only signs commits is found. ``searches``: answers
+    of commit searches (repo_id, tool, tier, body); those that verify give exact dates, counts and
+    models, others evidence with a floor, refused ones nothing. ``incremental``: of flagged
+    repositories, scan only those with a tool that is not published for them and that have not been
+    confirmed today; of the others, what is published is confirmed. ``canary`` of the result lists
+    channels gone silent; publish first, then fail on them.
     """
     spark = trees.sparkSession
     markers = rules.markers(spark)
+    published = conform(prev["adoption"], ADOPTION)
     cheap = adoption.assemble(adoption.marker_evidence(trees, markers), adoption.ignore_evidence(trees, markers), adoption.pr_evidence(prs))
     scanned = trees.select("repo_id").unionByName(prs.select("repo_id")).distinct()
     flagged, deferred = adoption.gate(cheap, scanned, trees.filter("is_fork is not null").select("repo_id").unionByName(prs.select("repo_id")))
-    own = commits.join(flagged, "repo_id", "left_semi") if only_flagged else commits
-    evidence = adoption.assemble(cheap, adoption.bot_evidence(own), adoption.trailer_evidence(own), adoption.suffix_evidence(own))
+    own, asked, confirmed = commits, cheap, empty(spark, ADOPTION)
+    if incremental:
+        todo = adoption.skip_confirmed(adoption.incremental(flagged, cheap, published), published, today).distinct()
+        own, asked = commits.join(todo, "repo_id", "left_semi"), cheap.join(todo, "repo_id", "left_semi")
+        confirmed = adoption.confirmations(cheap.join(todo, "repo_id", "left_anti"), published, today)
+    elif only_flagged:
+        own = commits.join(flagged, "repo_id", "left_semi")
+    channels = [asked, adoption.bot_evidence(own), adoption.trailer_evidence(own), adoption.suffix_evidence(own)]
+    onsets, found = _onsets_of(own), None
+    signed = own.select("repo_id", "message", F.col("committed_at").alias("date"), F.explode(adoption.trailer_tools(F.col("message"))).alias("tool"))
+    if searches is not None:
+        found = adoption.verify_hits(ingest.search_hits(searches))
+        channels.append(adoption.search_evidence(found))
+        onsets = onsets.unionByName(adoption.search_onsets(found))
+        # a repository whose commits are there is not counted from a page of a search too
+        signed = signed.unionByName(adoption.search_messages(found).join(own.select("repo_id").distinct(), "repo_id", "left_anti").select(signed.columns))
+    evidence = adoption.assemble(*channels)
     by_path = adoption.marker_onset(evidence, path_commits, markers, incomplete).withColumn("exact", F.lit(True))
     dates = by_path.unionByName(adoption.ignore_onset(revisions, markers))
-    low = own.select("repo_id", "committed_at", F.explode(F.concat(F.transform(adoption.trailer_tools(F.col("message")), lambda t: F.struct(t.alias("tool"), F.lit("B").alias("tier"))), F.array(F.struct(adoption.suffix_tool(F.col("author")).alias("tool"), F.lit("C").alias("tier")), F.struct(F.coalesce(adoption.bot_tool(F.col("author_email")), adoption.bot_tool(F.col("author_login"))).alias("tool"), F.lit("A").alias("tier"))))).alias("x"))
-    on = low.filter("x.tool is not null").groupBy("repo_id", F.col("x.tool").alias("tool"), F.col("x.tier").alias("tier")).agg(F.min("committed_at").alias("onset")).withColumn("confirmed", F.lit(True))
     counts = adoption.commit_counts(evidence, own)
+    if found is not None:
+        counts = counts.join(adoption.search_counts(found), ["repo_id", "tool"], "left").withColumn("assisted_commits", F.coalesce("assisted_commits", "searched")).drop("searched")
     guarded = adoption.fork_guard(evidence, trees.select("repo_id", "is_fork"), empty(spark, "repo_id string, marker string"))
-    fresh = adoption.detail(guarded.join(counts, ["repo_id", "tool"], "left"), adoption.onset_map(evidence, dates, on, adoption.first_agent_pr(prs)), today)
-    reduced = adoption.reduce_onsets(conform(prev["adoption"], ADOPTION).unionByName(fresh, allowMissingColumns=True))
+    fresh = adoption.detail(guarded.join(counts, ["repo_id", "tool"], "left"), adoption.onset_map(evidence, dates, onsets, adoption.first_agent_pr(prs)), today)
+    reduced = adoption.reduce_onsets(published.unionByName(fresh.drop("contradiction"), allowMissingColumns=True).unionByName(confirmed, allowMissingColumns=True))
     folded = dimension.fold_identity(reduced, prev["repos"])
-    signed = own.select("repo_id", "message", F.col("committed_at").alias("date"), F.explode(adoption.trailer_tools(F.col("message"))).alias("tool"))
     inventory = adoption.rule_inventory(markers)
     return prev | {
         "evidence": evidence, "deferred": deferred, "adoption": folded.drop("contradiction"), "contradictions": adoption.contradictions(reduced),

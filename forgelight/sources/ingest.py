@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -52,20 +54,29 @@ def metadata(table: DataFrame, origin: str) -> DataFrame:
 def stanzas(spark: SparkSession, paths: list[str], origin: str) -> DataFrame:
     """Packages of files of stanzas, parted by empty lines: the first stanza of each package by file order and place.
 
-    Continuation lines are joined to theirs; missing fields are null. A file without any stanza that
-    has a Package field is no such file (an error page, say), and reading it fails.
+    Lines may end with LF or CRLF; continuation lines are joined to theirs; missing fields are null.
+    Files are told apart by their place in ``paths``, so they may have one name. A file without any
+    stanza that has a Package field, an empty one included, is no such file (an error page, say), and
+    reading it fails.
     """
-    text = spark.read.option("lineSep", "\n\n").text(paths).select(F.col("value"), F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("place"))
-    unfolded = F.regexp_replace("value", r"\r?\n[ \t]+", " ")
+    parts = []
+    for i, path in enumerate(paths):
+        # Spark cuts at LF LF; what holds other empty lines, as files with CRLF do, is cut once more
+        text = spark.read.option("lineSep", "\n\n").text(path)
+        text = text.select(F.lit(i).alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"), "value")
+        plain = F.regexp_replace("value", r"\r\n?", "\n")
+        parts.append(text.select("file", "start", "row", F.posexplode(F.split(plain, r"\n[ \t]*(?:\n[ \t]*)+")).alias("part", "stanza")))
+    if not parts:
+        raise ValueError("no files of stanzas")
+    unfolded = F.regexp_replace("stanza", r"\n[ \t]+", " ")
     field = lambda name: F.nullif(F.trim(F.regexp_extract(unfolded, rf"(?m)^{name}:[ \t]*(.*)$", 1)), F.lit(""))
-    rows = text.select("file", "place", field("Package").alias("package"), field("URL").alias("url_raw"), field("BugReports").alias("bugreports_raw"))
-    good = rows.groupBy("file").agg(F.max(F.col("package").isNotNull()).alias("good")).filter("not good or good is null").limit(5).collect()
-    read = {r["file"] for r in rows.select("file").distinct().collect()}  # as many as files were named
-    if good or not read:
-        raise ValueError(f"no stanza in {[r['file'] for r in good] or paths}")
-    place = F.create_map(*[F.lit(x) for i, p in enumerate(paths) for x in (p.rsplit("/", 1)[-1], i)])
-    order = F.coalesce(F.try_element_at(place, F.element_at(F.split("file", "/"), -1)), F.lit(0)).cast("long") * F.lit(1 << 50)
-    return metadata(rows.filter("package is not null").withColumn("ord", order + F.col("place") % F.lit(1 << 50)), origin)
+    # of a file, rows in order of their split and place; of a row, its parts
+    order = F.col("file") * F.lit(1 << 56) + (F.col("start") + F.col("row") % F.lit(1 << 33)) * F.lit(1 << 20) + F.col("part")
+    rows = reduce(DataFrame.union, parts).select("file", order.alias("ord"), field("Package").alias("package"), field("URL").alias("url_raw"), field("BugReports").alias("bugreports_raw"))
+    good = {r["file"] for r in rows.filter("package is not null").select("file").distinct().collect()}  # as many as files were named
+    if bad := [p for i, p in enumerate(paths) if i not in good]:
+        raise ValueError(f"no stanza in {bad}")
+    return metadata(rows.filter("package is not null").drop("file"), origin)
 
 
 def gauges(raw: DataFrame) -> DataFrame:

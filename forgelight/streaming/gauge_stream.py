@@ -2,32 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import series
-from ..schemas import LATEST, SERIES
+from ..schemas import LATEST, SERIES, empty
 from ..sources.ingest import read_published
 
+#: Current values with the day on which each was measured.
+DATED = f"{LATEST}, date string"
 
-def apply_batch(root: str, batch: DataFrame, batch_id: int, buckets: int = 16) -> None:
+
+def _versions(spark: SparkSession, root: str) -> tuple:
+    """The file system, and the numbers of the batches whose current values are there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/latest")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
+    return fs, {int(n) for n in names if n.isdigit()}
+
+
+def _before(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """Current values after the batch before. Only the first batch has none; a new stream over the tables of another stops."""
+    _, there = _versions(spark, root)
+    if batch_id and batch_id - 1 not in there:
+        raise ValueError(f"{root}/latest/{batch_id - 1} is gone: batch {batch_id} can't tell what has changed")
+    if not batch_id and there - {0}:
+        raise ValueError(f"{root} holds the tables of a stream that has gone on to batch {max(there)}")
+    return read_published(spark, f"{root}/latest/{batch_id - 1}", DATED) if batch_id else empty(spark, DATED)
+
+
+def apply_batch(root: str, batch: DataFrame, batch_id: int) -> None:
     """Fold one micro-batch of (repo_id, metric, value, date) into the tables under root.
 
-    Of several values of one day the last by arrival order of dates and size stands. The batch
-    writes its changes to its own folder of the series and a new version of the current values, so
-    that a batch that runs again writes the same.
+    ``date`` is a day or a full instant, as ISO text; of several values of one day that of the last
+    instant stands, of equal instants the largest. The current value is that of the newest day,
+    however late others arrive. A value of an earlier day than the current one gets its row in the
+    series, and the current value is stated again for its own day, since it is a change again now;
+    days in between whose value was as before are not known any more. The batch writes its changes
+    to its own folder of the series and a new version of the current values, so that a batch that
+    runs again writes the same. Of the current values the last two versions stay.
     """
     spark = batch.sparkSession
-    latest = read_published(spark, f"{root}/latest/{batch_id - 1}", LATEST)
-    daily = batch.groupBy("repo_id", "metric", "date").agg(F.max("value").alias("value"))
-    before = latest.select("repo_id", "metric", F.col("value").alias("old"))
-    last = F.lag("value").over(series.Window.partitionBy("repo_id", "metric").orderBy("date"))
-    rows = daily.withColumn("prev", last).join(before, ["repo_id", "metric"], "left").withColumn("prev", F.coalesce("prev", "old"))
-    changed = rows.filter(~F.col("value").eqNullSafe(F.col("prev"))).select("repo_id", "date", "metric", "value")
-    changed.write.mode("overwrite").parquet(f"{root}/series/batch={batch_id}")
-    now = daily.groupBy("repo_id", "metric").agg(F.max_by("value", "date").alias("value"))
-    series.upsert_replace(latest, now, series.LATEST_KEY).write.mode("overwrite").parquet(f"{root}/latest/{batch_id}")
+    latest = _before(spark, root, batch_id)
+    key = series.LATEST_KEY
+    daily = batch.groupBy(*key, F.substring("date", 1, 10).alias("date")).agg(F.max_by("value", F.struct("date", "value")).alias("value"))
+    rows = daily.join(latest.select(*key, F.col("value").alias("old"), F.col("date").alias("since")), key, "left")
+    late = F.coalesce(F.col("date") < F.col("since"), F.lit(False))
+    last = F.lag("value").over(Window.partitionBy(*key, "late").orderBy("date"))
+    rows = rows.withColumn("late", late).withColumn("prev", F.coalesce(last, "old"))
+    changed = rows.filter("late or not value <=> prev").select("repo_id", "date", "metric", "value", F.lit(1).alias("rank"))
+    again = rows.filter("late").select("repo_id", F.col("since").alias("date"), "metric", F.col("old").alias("value"), F.lit(0).alias("rank")).distinct()
+    changed = changed.union(again).groupBy(*series.KEY).agg(F.max_by("value", "rank").alias("value"))
+    changed.select([c.split()[0] for c in SERIES.split(", ")]).write.mode("overwrite").parquet(f"{root}/series/batch={batch_id}")
+    both = latest.select(*key, "value", "date", F.lit(0).alias("rank")).union(daily.select(*key, "value", "date", F.lit(1)))
+    newest = both.groupBy(*key).agg(F.max_by(F.struct("value", "date"), F.struct("date", "rank")).alias("x")).select(*key, "x.*")
+    newest.write.mode("overwrite").parquet(f"{root}/latest/{batch_id}")
+    fs, there = _versions(spark, root)
+    for n in there - {batch_id, batch_id - 1}:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/latest/{n}"), True)
 
 
 def run(feed: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
