@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,10 +117,10 @@ def publish(spark: SparkSession, root: str, generation: str, tables: dict[str, D
     gone = series.purge(history, list(purged))[1] if purged else None
     years = series.touched_years(working) if gone is None else series.touched_years(working).union(gone).distinct()
     years = sorted(r[0] for r in years.collect())
-    for table, key in KEYS.items():
-        checked = working if table == "series" else tables.get(table)
-        if checked is not None and not quality.duplicate_keys(checked, key).isEmpty():
-            raise quality.GateError(f"{table}: repeated keys")
+    checked = {t: working if t == "series" else tables.get(t) for t in KEYS}
+    repeated = [quality.duplicate_keys(df, KEYS[t]).limit(1).select(F.lit(t).alias("table")) for t, df in checked.items() if df is not None]
+    if found := sorted(r["table"] for r in reduce(DataFrame.union, repeated).collect()):
+        raise quality.GateError(f"{', '.join(found)}: repeated keys")
     target = f"{root}/{generation}"
     for name in DECLARED:
         tables[name].write.mode("overwrite").parquet(f"{target}/{name}")

@@ -87,22 +87,22 @@ def test_a_metric_that_is_all_of_a_year_is_purged(spark, root, rows):
     assert m["changed_years"] == ["2023"] and m["paths"] == {"2023": "g3", "2024": "g1"}
 
 
-@pytest.mark.parametrize("step", ["read_years", "_put", "_switch"])
-def test_a_run_that_fails_at_any_step_leaves_what_was_published(spark, root, rows, monkeypatch, step):
-    calls, real = [], getattr(publish, step)
-
-    def fail(*a):
-        calls.append(a)
-        if step != "read_years" or len(calls) > 3:
-            raise OSError("lost")
-        return real(*a)
-
+def test_a_run_that_fails_at_any_step_leaves_what_was_published(spark, root, rows, monkeypatch):
     new = series_of(spark, ("r", "2024-01-05", "stars", 4))
-    with monkeypatch.context() as m:
-        m.setattr(publish, step, fail)
-        with pytest.raises(OSError, match="lost"):
-            publish.publish(spark, root, "g2", build(spark, 300), new, "2024-01-05")
-    assert publish.current(spark, root) == "g1" and rows(publish.read_series(spark, root)) == OLD and publish.read_table(spark, root, "summary").count() == 200
+    for step in ("read_years", "_put", "_switch"):
+        calls, real = [], getattr(publish, step)
+
+        def fail(*a, step=step, calls=calls, real=real):
+            calls.append(a)
+            if step != "read_years" or len(calls) > 3:
+                raise OSError("lost")
+            return real(*a)
+
+        with monkeypatch.context() as m:
+            m.setattr(publish, step, fail)
+            with pytest.raises(OSError, match="lost"):
+                publish.publish(spark, root, "g2", build(spark, 300), new, "2024-01-05")
+        assert publish.current(spark, root) == "g1" and rows(publish.read_series(spark, root)) == OLD and publish.read_table(spark, root, "summary").count() == 200
     publish.publish(spark, root, "g2", build(spark, 300), new, "2024-01-05")
     assert rows(publish.read_series(spark, root)) == [*OLD, ("r", "2024-01-05", "stars", 4)] and publish.manifest(spark, root)["previous"] == "g1"
 
