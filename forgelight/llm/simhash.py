@@ -81,7 +81,7 @@ def segments(used: int, n: int) -> list[list[int]]:
     return [own for i in range(n) if (own := free[len(free) * i // n : len(free) * (i + 1) // n])]
 
 
-def signatures(fp: np.ndarray, key: np.ndarray, used: int, n: int) -> Iterator[tuple[np.ndarray, int]]:
+def signatures(fp: np.ndarray, key: np.ndarray, used: int, n: int, plain: bool = False) -> Iterator[tuple[np.ndarray, int]]:
     """(keys, bits used) for each segment of the bits not yet used; keys has a row for each fingerprint.
 
     The first key of a row is of the segment as it is, the others of it with one bit as a wildcard.
@@ -91,7 +91,7 @@ def signatures(fp: np.ndarray, key: np.ndarray, used: int, n: int) -> Iterator[t
     u = fp.view("u8")
     for own in segments(used, n):
         mask = sum(1 << i for i in own)
-        wild = np.array([0, *(1 << i for i in own)], "u8")
+        wild = np.array([0, *(1 << i for i in own if not plain)], "u8")
         value = (u[:, None] & np.uint64(mask)) & ~wild
         seed = mixed(key.view("u8")[:, None] ^ mixed(np.array([mask], "u8")) ^ mixed(wild + np.uint64(1))[None])
         out = (mixed(value ^ seed) & ~np.uint64(1)) | (wild != 0).astype("u8")
@@ -139,15 +139,15 @@ OUT = "key long, used long, a long, b long"
 RECUT = 1 << 18
 
 
-def _keyed(n: int, names: list[str]) -> Callable:
+def _keyed(n: int, names: list[str], plain: bool = False) -> Callable:
     """For mapInArrow over (key, used, fp, ...): a row for each signature of the bits not yet used, other columns as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, used, fp, *rest = (c.to_numpy() for c in batch.columns)
+            key, used, fp, *rest = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             for own in np.unique(used):
                 mine = used == own
-                for keys, now in signatures(fp[mine], key[mine], int(own) & (1 << 64) - 1, n):
+                for keys, now in signatures(fp[mine], key[mine], int(own) & (1 << 64) - 1, n, plain):
                     width = keys.shape[1]
                     taken = np.full(keys.size, now, "u8").view("i8")
                     yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(taken), *[pa.array(np.repeat(c[mine], width)) for c in (fp, *rest)]], names)
@@ -219,10 +219,10 @@ def _in_blocks(rows: DataFrame, max_run: int) -> DataFrame:
     blocks = F.ceil(F.col("size") / F.lit(max_run))
     own = rows.withColumn("__b", F.pmod(F.xxhash64(*[c for c in rows.columns if c not in ("key", "used", "size")]), blocks))
     met = own.withColumn("__o", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    return met.withColumn("key", F.xxhash64("key", F.least("__b", "__o"), F.greatest("__b", "__o")).bitwiseAND(F.lit(-2))).drop("__b", "__o", "size")
+    return met.withColumn("key", F.xxhash64("key", F.least("__b", "__o"), F.greatest("__b", "__o")).bitwiseAND(F.lit(-2)).bitwiseOR(F.col("key").bitwiseAND(F.lit(1)))).drop("__b", "__o", "size")
 
 
-def _compared(nodes: DataFrame, n: int, schema: str, compare: Callable, out: str, max_run: int, recut: int) -> DataFrame:
+def _compared(nodes: DataFrame, n: int, schema: str, compare: Callable, out: str, max_run: int, recut: int, plain: bool = False) -> DataFrame:
     """What ``compare`` (with the longest run that it may take) finds among nodes (fp, ...) of equal signature: rows whose b is not null.
 
     Runs that are too long come back without b. Up to ``recut`` rows, they are dealt to tasks in
@@ -231,7 +231,7 @@ def _compared(nodes: DataFrame, n: int, schema: str, compare: Callable, out: str
     names = [c.split()[0] for c in schema.split(", ")]
     back = [F.col("a").alias("fp") if c == "fp" and "fp" not in out else c for c in names]
     grouped = lambda rows: rows.repartition("key").sortWithinPartitions("key")
-    signed = lambda rows: grouped(rows.select(names).mapInArrow(_keyed(n, names), schema)).mapInArrow(compare(max_run), out)
+    signed = lambda rows: grouped(rows.select(names).mapInArrow(_keyed(n, names, plain), schema)).mapInArrow(compare(max_run), out)
 
     def long_runs(made: DataFrame) -> DataFrame | None:
         hot = made.filter("b is null").select(back)
@@ -274,6 +274,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 3, id_col: str
     ASCII white space; null, empty and blank texts have fingerprint 0, which links like any other.
     Copies share a fingerprint and are one node, however many. A null id is passed over for the
     component unless all of it are null. Repeated rows stay. Other columns are not read.
+    Lowers the session's Arrow batch limits where they are larger (common.bound_batches).
     """
     bound_batches(docs.sparkSession)
     rows = settle(fingerprints(docs, width, id_col, text_col), "simhash-rows")
@@ -314,15 +315,26 @@ RESEMBLANCE, SHINGLE, COPY_BITS = 0.8, 5, 9
 COPY_WIDTH = 2
 
 
+#: Bits of the parity map of a text's shingles.
+MAP_BITS = 1024
+
+
+def parity_map(hashes: np.ndarray) -> bytes:
+    """For each of MAP_BITS buckets of hashes, whether it has an odd number of them: maps of two sets differ in no more bits than the sets in elements."""
+    bucket = (hashes >> np.uint64(64 - MAP_BITS.bit_length() + 1)).astype("i8")
+    return np.packbits((np.bincount(bucket, minlength=MAP_BITS) & 1).astype(bool)).tobytes()
+
+
 def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
-    """(text_id, n, hashes) of rows (text_id, text): the distinct hashes of the text's shingles, and their number."""
+    """(text_id, n, hashes, map) of rows (text_id, text): the distinct hashes of the text's shingles, their number and parity map."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.unique(shingles(words_of(t.as_py()), width)).view("i8") for t in batch.column(1).cast(pa.large_binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(f) for f in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["text_id", "n", "hashes"])
+            found = [np.unique(shingles(words_of(t.as_py()), width)) for t in batch.column(1).cast(pa.large_binary())]
+            columns = [pa.array([len(f) for f in found], pa.int64()), pa.array([f.view("i8") for f in found], pa.list_(pa.int64())), pa.array(list(map(parity_map, found)), pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["text_id", "n", "hashes", "map"])
 
-    return texts.select("text_id", "text").mapInArrow(run, "text_id long, n long, hashes array<long>")
+    return texts.select("text_id", "text").mapInArrow(run, "text_id long, n long, hashes array<long>, map binary")
 
 
 def resembling(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -334,39 +346,95 @@ def resembling(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.withColumn("k", common).filter((F.col("n_a") + F.col("n_b") == 0) | (F.try_divide("k", F.col("n_a") + F.col("n_b") - F.col("k")) >= least)).select("a", "b")
 
 
-ACROSS = "key long, used long, fp long, part long, n long, text_id long"
+NODES = ["fp", "part", "n", "map", "text_id"]
+ACROSS = "key long, used long, fp long, part long, n long, map binary, text_id long"
 ACROSS_OUT = ACROSS + ", a long, b long"
 
 
-def _pairs_across(bits: int, least: float, most: int | None) -> Callable:
-    """For mapInArrow over rows ACROSS in order of key: pairs (a, b) of texts of unlike parts that differ by ``bits`` or fewer, their sizes n by no more than ``least``.
+class Run:
+    """Texts of one signature, and which of them may be copies of each other.
 
-    A run of over ``most`` rows is passed on, as rows without a and b. Pairs come in batches of one text
-    against the rest of its run.
+    A pair may be if its fingerprints differ by ``bits`` or fewer and the parity maps do not show that
+    its sets have too many elements apart for a similarity of ``least``. No pair of copies is ruled out.
     """
-    names = [c.split()[0] for c in ACROSS_OUT.split(", ")]
 
-    def across(name: tuple[int, int], fp: np.ndarray, part: np.ndarray, n: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if (part == part[0]).all() or one_sided(*name, fp):
+    def __init__(self, bits: int, least: float, key: int, used: int, fp: np.ndarray, part: np.ndarray, n: np.ndarray, maps: np.ndarray, ids: np.ndarray):
+        self.bits, self.apart, self.key, self.used = bits, (1 - least) / (1 + least), key, used & (1 << 64) - 1
+        self.u, self.part, self.n, self.ids = fp.view("u8"), part, n, ids
+        self.maps = np.frombuffer(b"".join(maps), "u8").reshape(len(fp), -1)
+
+    def alike(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Of pairs whose fingerprints are near, those that may be copies."""
+        most = self.apart * (self.n[i] + self.n[j])
+        fit = np.flatnonzero(np.abs(self.n[i] - self.n[j]) <= most)
+        i, j = (np.broadcast_to(x, len(most))[fit] for x in (i, j))
+        return fit[np.bitwise_count(self.maps[i] ^ self.maps[j]).sum(1, dtype="i8") <= most[fit]]
+
+    def near(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Those of others that may be copies of text i."""
+        at = others[np.bitwise_count(self.u[others] ^ self.u[i]) <= self.bits]
+        return at[self.alike(np.full(len(at), i), at)]
+
+    def forest(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs that connect whatever pairs that may be copies connect, in the order of a hash."""
+        rest = np.argsort(mixed(self.ids.view("u8")), kind="stable")
+        while len(rest) > 1:
+            edge, rest = deque(rest[:1]), rest[1:]
+            while edge and len(rest):
+                i = edge.popleft()
+                new = self.near(i, rest)
+                if len(new):
+                    yield np.full(len(new), i), new
+                    edge.extend(new)
+                    rest = rest[~np.isin(rest, new)]
+
+    def across(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All pairs of unlike parts that may be copies, each from one of its signatures."""
+        if (self.part == self.part[0]).all():
             return
-        u = fp.view("u8")
-        if len(u) <= AT_ONCE:
-            near = np.bitwise_count(u[:, None] ^ u) <= bits
-            if near.sum() > len(u):
-                near &= (part[:, None] != part) & (np.minimum(n[:, None], n) >= least * np.maximum(n[:, None], n))
-                yield from given(ids, *np.nonzero(np.triu(near)))
+        if len(self.u) <= AT_ONCE:
+            i, j = np.nonzero(np.triu(np.bitwise_count(self.u[:, None] ^ self.u) <= self.bits, 1))
+            yield from self._own(*self._apart(i, j))
             return
-        parts, count = np.unique(part, return_counts=True)
-        largest, place = parts[count.argmax()], np.arange(len(u))
-        for j in np.flatnonzero(part != largest):
-            near = (np.bitwise_count(u ^ u[j]) <= bits) & (part != part[j]) & ((part == largest) | (place > j))
-            at = np.flatnonzero(near & (np.minimum(n, n[j]) >= least * np.maximum(n, n[j])))
-            yield from given(ids, at, np.full(len(at), j))
-
-    def given(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if len(i):
-            a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
-            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(i), pa.int64())] * 6, pa.array(a), pa.array(b)], names)
+        names, count = np.unique(self.part, return_counts=True)
+        largest, place = names[count.argmax()], np.arange(len(self.u))
+        for j in np.flatnonzero(self.part != largest):
+            i = np.flatnonzero((self.part == largest) | (place > j))
+            i = i[np.bitwise_count(self.u[i] ^ self.u[j]) <= self.bits]
+            yield from self._own(*self._apart(i, np.full(len(i), j)))
+
+    def _apart(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        other = self.part[i] != self.part[j]
+        i, j = i[other], j[other]
+        fit = self.alike(i, j)
+        return i[fit], j[fit]
+
+    def _own(self, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of pairs, those whose first segment with one bit apart at most, or none, is that of this signature; all if it was cut again."""
+        cut = [np.uint64(sum(1 << b for b in own)) for own in segments(0, cuts(self.bits))]
+        mine = np.ones(len(i), bool)
+        if self.used in cut:
+            d = self.u[i] ^ self.u[j]
+            mine = ((d & np.uint64(self.used)) == 0) == (not self.key & 1)
+            for before in cut[: cut.index(self.used)]:
+                mine &= np.bitwise_count(d & before) > 1
+        if mine.any():
+            yield i[mine], j[mine]
+
+
+def _pairs_of_runs(bits: int, least: float, most: int | None, whole: bool) -> Callable:
+    """For mapInArrow over rows ACROSS in order of key: pairs (a, b) of texts that may be copies, of each run its forest, or, if ``whole``, all across parts.
+
+    A run of over ``most`` rows is passed on, as rows without a and b.
+    """
+    names = [c.split()[0] for c in ACROSS_OUT.split(", ")]
+    kinds = [pa.binary() if c == "map" else pa.int64() for c in names]
+
+    def pairs(name: tuple[int, int], columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        own = Run(bits, least, *name, *columns)
+        for i, j in own.across() if whole else own.forest():
+            a, b = np.minimum(own.ids[i], own.ids[j]), np.maximum(own.ids[i], own.ids[j])
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(a), k) for k in kinds[:-2]], pa.array(a), pa.array(b)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -377,37 +445,37 @@ def _pairs_across(bits: int, least: float, most: int | None) -> Callable:
             return list(map(np.concatenate, zip(*held, strict=True)))
 
         for batch in batches:
-            key, used, *rest = (c.to_numpy() for c in batch.columns)
+            key, used, *rest = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             if not len(key):
                 continue
             edge = np.flatnonzero(key[1:] != key[:-1]) + 1
             for a, b in zip([0, *edge], [*edge, len(key)], strict=True):
                 if name is None or name[0] != int(key[a]):
-                    if held and not hot:
-                        yield from across(name, *together())
+                    if size > 1 and not hot:
+                        yield from pairs(name, together())
                     held, name, hot, size = [], (int(key[a]), int(used[a])), False, 0
                 held.append([x[a:b] for x in rest])
                 size += b - a
                 if most is not None and size > most:
                     hot = True
                     own = together()
-                    n = len(own[0])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, name[0])), pa.array(np.full(n, name[1])), *map(pa.array, own), *[pa.nulls(n, pa.int64())] * 2], names)
+                    columns = [np.full(len(own[0]), x) for x in name] + own
+                    yield pa.RecordBatch.from_arrays([*[pa.array(c, k) for c, k in zip(columns, kinds, strict=False)], *[pa.nulls(len(own[0]), pa.int64())] * 2], names)
                     held = []
-        if held and not hot:
-            yield from across(name, *together())
+        if size > 1 and not hot:
+            yield from pairs(name, together())
 
     return run
 
 
-def pairs_across(nodes: DataFrame, bits: int, least: float, max_run: int = MAX_RUN, recut: int = RECUT) -> DataFrame:
-    """Every pair (a, b), a < b, of text_id in nodes (fp, text_id, n, part) of unlike parts whose fingerprints differ by ``bits`` or fewer.
+def possible_copies(nodes: DataFrame, bits: int, least: float, whole: bool, max_run: int = MAX_RUN, recut: int = RECUT) -> DataFrame:
+    """Pairs (a, b), a < b, of text_id in nodes NODES that may be copies (see Run).
 
-    Pairs whose smaller n is below ``least`` times the larger are left out.
+    ``whole``: every such pair of unlike parts. Else some that connect what the segments as they are
+    (without wildcards) bring together.
     """
-    rows = nodes.select("fp", "part", "n", "text_id")
-    found = _compared(rows, cuts(bits), ACROSS, lambda most: _pairs_across(bits, least, most), ACROSS_OUT, max_run, recut)
-    return found.select("a", "b").distinct()
+    compare = lambda most: _pairs_of_runs(bits, least, most, whole)
+    return _compared(nodes.select(NODES), cuts(bits), ACROSS, compare, ACROSS_OUT, max_run, recut, plain=not whole).select("a", "b").distinct()
 
 
 def copies(docs: DataFrame, width: int, bits: int, shingle: int, least: float, id_col: str, text_col: str) -> DataFrame:
@@ -415,30 +483,27 @@ def copies(docs: DataFrame, width: int, bits: int, shingle: int, least: float, i
 
     text_id is the hash of the text. Two texts are linked if their fingerprints differ by ``bits`` or
     fewer and the Jaccard similarity of their sets of ``shingle`` words is ``least`` or more. All such
-    links count, but not all pairs of a large group are made: the forests that fingerprints form are
-    verified first; then, of what these leave apart, every pair between two parts.
+    links count, but not all pairs of a large group are made: maps of the sets' parities rule out
+    nearly all that are no copies; forests of the rest are verified first; then, of what these leave
+    apart, every pair between two parts.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_id"), F.col(text_col).alias("text"))
     texts = settle(fingerprints(rows, width, "text_id", "text").withColumnRenamed("doc_id", "text_id").distinct(), "simhash-texts")
-    heads = settle(texts.groupBy("fp").agg(F.min("text_id").alias("head")), "simhash-nodes")
-    head = lambda c: heads.select(F.col("fp").alias(c), F.col("head").alias(f"head_{c}"))
-    links = near_links(heads, bits).distinct().join(head("a"), "a").join(head("b"), "b").select(F.least("head_a", "head_b").alias("a"), F.greatest("head_a", "head_b").alias("b"))
-    same = texts.join(heads, "fp").filter("text_id <> head").select(F.col("head").alias("a"), F.col("text_id").alias("b"))
-    links = settle(links.union(same).distinct(), "simhash-links")
-    near = settle(links.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "simhash-near")
-
-    one = rows.groupBy("text_id").agg(F.min("id").alias("id")).join(near, F.col("text_id") == F.col("node"), "left_semi")
+    counts = settle(texts.groupBy("fp").agg(F.count("*").alias("n")), "simhash-nodes")
+    linked = near_links(counts, bits).select(F.explode(F.array("a", "b")).alias("fp"))
+    linked = settle(linked.union(counts.filter("n > 1").select("fp")).distinct(), "simhash-linked")
+    near = settle(texts.join(linked, "fp", "left_semi"), "simhash-near")
+
+    one = rows.groupBy("text_id").agg(F.min("id").alias("id")).join(near.select("text_id"), "text_id", "left_semi")
     one = one.select(F.col("text_id").alias("t"), F.col("id").alias("i"))
     chosen = rows.join(one, (rows.text_id == one.t) & rows.id.eqNullSafe(one.i), "left_semi").dropDuplicates(["text_id"])
     sets = settle(shingle_sets(chosen, shingle), "simhash-sets")
+    nodes = settle(near.join(sets.select("text_id", "n", "map"), "text_id").withColumn("part", F.col("text_id")).select(NODES), "simhash-nodes")
 
-    verified = settle(resembling(links, sets, least), "simhash-verified")
-    part = components(verified).select(F.col("node").alias("text_id"), F.col("root").alias("part"))
-    # fingerprints that some link joins may hold texts that fall apart; so may those that one text shares with others
-    open_ = near.select(F.col("node").alias("text_id")).join(texts, "text_id").join(sets.select("text_id", "n"), "text_id").join(part, "text_id", "left")
-    open_ = settle(open_.select("fp", "text_id", "n", F.coalesce("part", "text_id").alias("part")), "simhash-parts")
-    rest = settle(pairs_across(open_, bits, least).join(links, ["a", "b"], "left_anti"), "simhash-rest")
-    more = settle(resembling(rest, sets, least), "simhash-verified")
+    verified = settle(resembling(settle(possible_copies(nodes, bits, least, whole=False), "simhash-forest"), sets, least), "simhash-verified")
+    part = settle(components(verified).select(F.col("node").alias("text_id"), F.col("root").alias("p")), "simhash-parts")
+    apart = settle(nodes.join(part, "text_id", "left").withColumn("part", F.coalesce("p", "part")).select(NODES), "simhash-parts")
+    more = settle(resembling(settle(possible_copies(apart, bits, least, whole=True), "simhash-rest"), sets, least), "simhash-verified")
     return settle(components(verified.union(more)), "simhash-members").select(F.col("node").alias("text_id"), "root")
 
 
@@ -448,7 +513,7 @@ def deduplicate_copies(
     """Keep one document of each group of near copies, as :func:`copies` links them: that with the smallest id.
 
     All columns are kept. Ids may repeat over unlike texts: a row is known by its id and text. Rows with
-    a null id are all kept.
+    a null id are all kept. Lowers the session's Arrow batch limits where they are larger (common.bound_batches).
     """
     bound_batches(docs.sparkSession)
     found = copies(docs, width, bits, shingle, least, id_col, text_col)

@@ -52,16 +52,30 @@ def test_copies_within_nine_bits_go_and_unlike_texts_stay(spark):
 
 
 def test_every_pair_across_parts_is_given_once(spark):
+    """Against brute force: no pair that is a copy is left out, none that the maps rule out is given."""
     r = np.random.default_rng(4)
     base = int(r.integers(0, 2**62))
     fps = list({base ^ sum(1 << int(b) for b in r.choice(63, int(k), replace=False)) for k in r.integers(0, 7, 120)})
     part = [int(x) for x in r.integers(0, 4, len(fps))]
-    size = [int(x) for x in r.integers(8, 12, len(fps))]
-    nodes = spark.createDataFrame([(f, i, n, p) for i, (f, n, p) in enumerate(zip(fps, size, part, strict=True))], "fp long, text_id long, n long, part long")
-    alike = lambda i, j: min(size[i], size[j]) >= 0.8 * max(size[i], size[j])
-    want = [(i, j) for j in range(len(fps)) for i in range(j) if part[i] != part[j] and alike(i, j) and (fps[i] ^ fps[j]).bit_count() <= 7]
+    common = r.integers(0, 2**63, 60)
+    sets = [np.unique(np.concatenate([r.choice(common, 50, replace=False), r.integers(0, 2**63, int(k))])).astype("u8") for k in r.integers(0, 30, len(fps))]
+    nodes = spark.createDataFrame([(f, p, len(x), simhash.parity_map(x), i) for i, (f, p, x) in enumerate(zip(fps, part, sets, strict=True))], "fp long, part long, n long, map binary, text_id long")
+    near = [(i, j) for j in range(len(fps)) for i in range(j) if (fps[i] ^ fps[j]).bit_count() <= 7]
+    odd = lambda i, j: int(np.bitwise_count(np.frombuffer(simhash.parity_map(sets[i]), "u1") ^ np.frombuffer(simhash.parity_map(sets[j]), "u1")).sum())
+    may = [(i, j) for i, j in near if odd(i, j) <= (len(sets[i]) + len(sets[j])) / 9]
+    want = sorted((i, j) for i, j in may if part[i] != part[j])
+    alike = {(i, j) for i, j in near if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))}
+    assert {(i, j) for i, j in alike if part[i] != part[j]} <= set(want) and len(want) < len(near) / 2
     for most, recut in ((8192, 1 << 18), (30, 1 << 18), (30, 60)):
-        assert sorted(map(tuple, simhash.pairs_across(nodes, 7, 0.8, most, recut).collect())) == sorted(want)
+        assert sorted(map(tuple, simhash.possible_copies(nodes, 7, 0.8, True, most, recut).collect())) == want
+        links = {tuple(x) for x in simhash.possible_copies(nodes, 7, 0.8, False, most, recut).collect()}
+        assert links <= set(may)
+    old, simhash.AT_ONCE = simhash.AT_ONCE, 8
+    try:
+        run = simhash.Run(7, 0.8, 2, 0, np.array(fps, "i8"), np.array(part), np.array(list(map(len, sets))), [simhash.parity_map(x) for x in sets], np.arange(len(fps)))
+        assert sorted((min(i, j), max(i, j)) for a, b in run.across() for i, j in zip(a.tolist(), b.tolist(), strict=True)) == want
+    finally:
+        simhash.AT_ONCE = old
 
 
 def test_an_id_over_two_texts_keeps_the_one_that_is_no_copy(spark):
