@@ -2,28 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import forget, settle, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    It is the session's ``spark.checkpoint.dir``. Only where that is unset, and only in local mode
-    (tests), a temporary folder is made and set; on a cluster a missing setting is an error.
-    """
-    context = spark.sparkContext
-    found = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not found:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="forgelight-")
-        context.setCheckpointDir(found)
-    return found.rstrip("/")
-
+__all__ = ["bound_batches", "forget", "held_out", "join_by_key", "settle", "shared_dir"]
 
 #: Rows and bytes of text that an Arrow batch may hold on its way to Python, in place of Spark's 10,000 rows.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
@@ -37,25 +21,6 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(name, str(most))
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
-
-    This cuts the lineage: what is computed once is not computed again, by a later job or after an
-    executor is lost. Partition counts of the result follow its size.
-    """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def forget(df: DataFrame) -> None:
-    """Delete the files of a settled table that nothing reads any more."""
-    spark = df.sparkSession
-    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 #: Keys that may be broadcast, each of them on more than one in so many rows; there can be no more of these.
 HOT_KEYS = 10_000
 

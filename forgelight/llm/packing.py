@@ -228,7 +228,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, id_col: str = "
 
     Returns doc_id, piece, start, length, ids_crc32, sequence_id, offset. A null text is an empty
     one, whose only id is 0. Null ids and repeated rows are documents like others; an empty table
-    gives an empty result. Other columns are not read.
+    gives an empty result. Other columns are not read. Lowers the session's Arrow batch limits where they are larger (common.bound_batches).
     """
     bound_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

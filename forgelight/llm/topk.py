@@ -215,7 +215,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col
     id apart (0 if none). A vector that is null, empty, or holds a null or non-finite component
     takes no part, nor does one with a null id; vectors of other lengths than the query's are no
     candidates. A query with fewer candidates than k gets all. Sums beyond a long go to the nearest
-    one. An empty table gives an empty result.
+    one. An empty table gives an empty result. Lowers the session's Arrow batch limits where they are larger (common.bound_batches).
     """
     spark = vectors.sparkSession
     bound_batches(spark)

@@ -163,7 +163,10 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
 
 
 def with_features(docs: DataFrame, lexicon: Lexicon, text_col: str) -> DataFrame:
-    """All columns of docs (but one named features), and the feature array."""
+    """All columns of docs (but one named features), and the feature array.
+
+    Lowers the session's Arrow batch limits where they are larger (common.bound_batches).
+    """
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # MAX_LEARNED_WORDS at most
     keep = docs.drop("features")

@@ -1,7 +1,9 @@
+import math
 import re
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from forgelight.llm import langid, toxicity, url_filter
@@ -90,6 +92,78 @@ def test_languages(spark):
     assert {r["lang_pred"] for r in langid.identify(docs, none).collect()} == {"und"}
 
 
+def plain_vector(text, idf):
+    x = np.array([(1 + math.log(c)) * w if c else 0.0 for c, w in zip(plain_counts(text), idf, strict=True)])
+    return x / math.sqrt(sum(v * v for v in x))
+
+
+def plain_clusters(x, k):
+    """Spherical k-means by loops: the mean first, then the row furthest from all before; twelve rounds."""
+    norm = lambda v: v / math.sqrt(v @ v)
+    centre = [norm(sum(x) / len(x))]
+    while len(centre) < min(k, len(x)):
+        centre.append(min(x, key=lambda v: max(v @ c for c in centre)))
+    for _ in range(langid.ROUNDS):
+        own = [max(range(len(centre)), key=lambda i: (v @ centre[i], -i)) for v in x]
+        centre = [norm(sum(v for v, o in zip(x, own, strict=True) if o == i)) if i in own else centre[i] for i in range(len(centre))]
+    return centre
+
+
+def test_languages_equal_a_plain_run(spark):
+    """Inverse frequencies, centroids and predictions, computed one by one."""
+    docs = documents(spark, 90).filter("doc_id < 90 and text <> 'repeated the'")
+    model = langid.train(docs, lambda i: ~held_out(i))
+    rows = docs.withColumn("h", held_out(F.col("doc_id"))).collect()
+    learned = sorted({(r["lang"], r["text"]) for r in rows if r["lang"] and not r["h"]})
+    df = sum(plain_counts(t) > 0 for _, t in learned)
+    idf = [math.log((1 + len(learned)) / (1 + d)) + 1 for d in df]
+    assert np.allclose(model.idf, idf, rtol=1e-5)
+    centres = [(lang, c) for lang in sorted({x for x, _ in learned}) for c in plain_clusters([plain_vector(t, idf) for x, t in learned if x == lang], langid.CENTROIDS)]
+    assert [x for x, _ in centres] == model.langs
+    got = {r["doc_id"]: r for r in langid.identify(docs, model).collect()}
+    for r in rows:
+        v = plain_vector(r["text"], model.idf)
+        near = [(float(v @ c), lang) for c, lang in zip(model.centres, model.langs, strict=True)]
+        best, lang = max(near)
+        each = {x: max(s for s, y in near if y == x) for _, x in near}
+        assert got[r["doc_id"]]["lang_pred"] == lang and abs(got[r["doc_id"]]["distance"] - (1 - best)) < 1e-5
+        assert abs(got[r["doc_id"]]["score"] - 1 / sum(math.exp((s - best) / 0.05) for s in each.values())) < 1e-3
+    # clusters come from rows in any order, so that only their sum over a language is held against the plain run
+    for lang in {x for x, _ in centres}:
+        mine, plain = (sorted(max(float(np.dot(c, plain_vector(t, idf))) for c in own) for x, t in learned if x == lang) for own in ([c for c, x in zip(model.centres, model.langs, strict=True) if x == lang], [c for x, c in centres if x == lang]))
+        assert abs(np.mean(mine) - np.mean(plain)) < 0.05
+
+
+def test_toxicity_scores_equal_a_plain_run(spark):
+    """Features by plain loops, trees walked one by one, calibration by interpolation."""
+    r = np.random.default_rng(8)
+    rows = []
+    for i in range(600):
+        words = ["".join(r.choice(SYLLABLES["en"], r.integers(1, 4))) for _ in range(r.integers(5, 30))]
+        if i % 3 == 0:
+            words.insert(int(r.integers(0, len(words))), ["you idiot", "m0ron!!", "YOU zzvile"][i // 3 % 3])
+        rows.append((i, " ".join(words), int(i % 3 == 0)))
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(labelled)
+    got = {x["doc_id"]: x["score"] for x in toxicity.score(labelled.select("doc_id", "text"), model).collect()}
+    edges, values = model.calibration.boundaries.toArray(), model.calibration.predictions.toArray()
+    assert (np.diff(values) >= 0).all()
+    for i, text, _ in rows[::7]:
+        x = Vectors.dense(toxicity.features(text, model.lexicon))
+        margin = sum(w * t.predict(x) for w, t in zip(model.trees.treeWeights, model.trees.trees, strict=True))
+        assert abs(got[i] - np.interp(margin, edges, values)) < 1e-6
+        words = re.findall(r"[^\W_]+(?:[*@$!]+[^\W_]+)*", text)
+        name = dict(zip(toxicity.FEATURES, toxicity.features(text, model.lexicon), strict=True))
+        low = [w.lower() for w in words]
+        insult, person = [w in toxicity.INSULT_SET for w in low], [w in toxicity.PERSON_SET for w in low]
+        assert name["insults"] == sum(insult) and abs(name["second_person"] - sum(person) / len(words)) < 1e-12
+        assert abs(name["learned_weight"] - sum(model.lexicon.words.get(w, 0.0) for w in low) / len(words)) < 1e-12
+        assert abs(name["exclamations"] - text.count("!") / len(text)) < 1e-12 and abs(name["capital_words"] - sum(len(w) > 1 and w.isupper() for w in words) / len(words)) < 1e-12
+        marked = [i for i, w in enumerate(low) if insult[i] or w in model.lexicon.words]
+        near = sum(any(person[j] for j in range(max(0, i - 5), min(len(low), i + 6))) for i in marked)
+        assert abs(name["near_second_person"] - near / len(words)) < 1e-12
+
+
 def test_toxicity(spark):
     r = np.random.default_rng(6)
     rows, labels = [], []
