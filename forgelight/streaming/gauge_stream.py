@@ -2,37 +2,45 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import series
 from ..schemas import LATEST, SERIES, empty
-from ..sources.ingest import read_published
+from ..scratch import forget, settle
 
 #: Current values with the day on which each was measured.
 DATED = f"{LATEST}, date string"
+#: Batches after which all current values are written together again; those in between write only theirs.
+COMPACT = 16
 
 
 def _versions(spark: SparkSession, root: str) -> tuple:
-    """The file system, and the numbers of the batches whose current values are there."""
+    """The file system, and for each batch whose current values are there whether these are all ("full") or its own ("part")."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/latest")
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     names = [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
-    return fs, {int(n) for n in names if n.isdigit()}
+    return fs, {int(n.split("-")[0]): n.split("-")[1] for n in names if n.endswith(("-full", "-part"))}
 
 
 def _before(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    """Current values after the batch before. Only the first batch has none; a new stream over the tables of another stops."""
+    """Current values after the batch before, from the last full version on. A gap stops, as does a new stream over the tables of another."""
     _, there = _versions(spark, root)
-    if batch_id and batch_id - 1 not in there:
-        raise ValueError(f"{root}/latest/{batch_id - 1} is gone: batch {batch_id} can't tell what has changed")
-    if not batch_id and there - {0}:
+    start = max((n for n, kind in there.items() if n < batch_id and kind == "full"), default=0)
+    if lost := [n for n in range(start, batch_id) if n not in there]:
+        raise ValueError(f"current values of batches {lost} are gone from {root}: batch {batch_id} can't tell what has changed")
+    if not batch_id and there.keys() - {0}:
         raise ValueError(f"{root} holds the tables of a stream that has gone on to batch {max(there)}")
-    return read_published(spark, f"{root}/latest/{batch_id - 1}", DATED) if batch_id else empty(spark, DATED)
+    parts = [spark.read.schema(DATED).parquet(f"{root}/latest/{n}-{there[n]}").withColumn("batch", F.lit(n)) for n in range(start, batch_id)]
+    if not parts:
+        return empty(spark, DATED)
+    return reduce(DataFrame.union, parts).groupBy(*series.LATEST_KEY).agg(F.max_by(F.struct("value", "date"), "batch").alias("x")).select(*series.LATEST_KEY, "x.*")
 
 
-def apply_batch(root: str, batch: DataFrame, batch_id: int) -> None:
+def apply_batch(root: str, batch: DataFrame, batch_id: int, compact: int = COMPACT) -> None:
     """Fold one micro-batch of (repo_id, metric, value, date) into the tables under root.
 
     ``date`` is a day or a full instant, as ISO text; of several values of one day that of the last
@@ -40,27 +48,33 @@ def apply_batch(root: str, batch: DataFrame, batch_id: int) -> None:
     however late others arrive. A value of an earlier day than the current one gets its row in the
     series, and the current value is stated again for its own day, since it is a change again now;
     days in between whose value was as before are not known any more. The batch writes its changes
-    to its own folder of the series and a new version of the current values, so that a batch that
-    runs again writes the same. Of the current values the last two versions stay.
+    to its own folder of the series and the current values of its keys, or, every ``compact``
+    batches, of all keys; a batch that runs again writes the same. Versions before the last but one
+    full one are deleted.
     """
     spark = batch.sparkSession
-    latest = _before(spark, root, batch_id)
     key = series.LATEST_KEY
     daily = batch.groupBy(*key, F.substring("date", 1, 10).alias("date")).agg(F.max_by("value", F.struct("date", "value")).alias("value"))
+    latest = _before(spark, root, batch_id)
     rows = daily.join(latest.select(*key, F.col("value").alias("old"), F.col("date").alias("since")), key, "left")
     late = F.coalesce(F.col("date") < F.col("since"), F.lit(False))
     last = F.lag("value").over(Window.partitionBy(*key, "late").orderBy("date"))
-    rows = rows.withColumn("late", late).withColumn("prev", F.coalesce(last, "old"))
+    rows = settle(rows.withColumn("late", late).withColumn("prev", F.coalesce(last, "old")), "gauge-batch")
     changed = rows.filter("late or not value <=> prev").select("repo_id", "date", "metric", "value", F.lit(1).alias("rank"))
     again = rows.filter("late").select("repo_id", F.col("since").alias("date"), "metric", F.col("old").alias("value"), F.lit(0).alias("rank")).distinct()
     changed = changed.union(again).groupBy(*series.KEY).agg(F.max_by("value", "rank").alias("value"))
     changed.select([c.split()[0] for c in SERIES.split(", ")]).write.mode("overwrite").parquet(f"{root}/series/batch={batch_id}")
-    both = latest.select(*key, "value", "date", F.lit(0).alias("rank")).union(daily.select(*key, "value", "date", F.lit(1)))
-    newest = both.groupBy(*key).agg(F.max_by(F.struct("value", "date"), F.struct("date", "rank")).alias("x")).select(*key, "x.*")
-    newest.write.mode("overwrite").parquet(f"{root}/latest/{batch_id}")
-    fs, there = _versions(spark, root)
-    for n in there - {batch_id, batch_id - 1}:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/latest/{n}"), True)
+    newest = rows.groupBy(*key).agg(F.max_by(F.struct("value", "date"), F.when(F.col("late"), "").otherwise(F.col("date"))).alias("x"), F.max(F.struct("since", "old")).alias("o"))
+    newest = newest.select(*key, F.when(F.col("x.date") >= F.coalesce("o.since", F.lit("")), F.col("x")).otherwise(F.struct(F.col("o.old").alias("value"), F.col("o.since").alias("date"))).alias("x")).select(*key, "x.*")
+    full = batch_id % compact == compact - 1
+    whole = series.upsert_replace(latest, newest, key) if full else newest
+    whole.write.mode("overwrite").parquet(f"{root}/latest/{batch_id}-{'full' if full else 'part'}")
+    forget(rows)
+    if full:
+        fs, there = _versions(spark, root)
+        kept = max((n for n, kind in there.items() if kind == "full" and n < batch_id), default=0)
+        for n in [n for n in there if n < kept]:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/latest/{n}-{there[n]}"), True)
 
 
 def run(feed: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
