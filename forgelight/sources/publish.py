@@ -109,10 +109,10 @@ def publish(spark: SparkSession, root: str, generation: str, tables: dict[str, D
     before = current(spark, root)
     if not _names(spark, f"{root}/{POINTERS}"):
         _switch(spark, root, NONE)  # from here on, data without a pointer is lost history and not a first run that failed
-    if generation in _names(spark, root) and generation == before:
-        raise quality.GateError(f"{generation} is published already")
     old = {t: read_table(spark, root, t, before) for t in DECLARED} if before else {}
     last = manifest(spark, root, before) if before else {}
+    if generation in (done := last.get("published", [])) or generation == POINTERS:
+        raise quality.GateError(f"{generation} is published already")
     history = read_years(spark, root, last.get("paths", {}))
     gone = series.purge(history, list(purged))[1] if purged else None
     years = series.touched_years(working) if gone is None else series.touched_years(working).union(gone).distinct()
@@ -144,7 +144,7 @@ def publish(spark: SparkSession, root: str, generation: str, tables: dict[str, D
     counts = {r["table"]: [r["rows"], r["fingerprint"]] for r in quality.integrity(written, DECLARED).collect()}
     changed_tables = sorted(t for t, v in counts.items() if last.get("tables", {}).get(t) != v)
     out = {
-        "generation": generation, "previous": before, "data_through": today, "changed_years": sorted([*emptied, *(y for y, v in prints.items() if last.get("series", {}).get(y) != v)]),
+        "generation": generation, "previous": before, "published": [*done, generation], "data_through": today, "changed_years": sorted([*emptied, *(y for y, v in prints.items() if last.get("series", {}).get(y) != v)]),
         "changed_tables": changed_tables, "years": sorted({*last.get("years", []), *map(int, paths)}), "paths": paths, "series": same | prints, "tables": counts,
         "summary_previous": (before if "summary" in changed_tables else last.get("summary_previous")) if before else None,
     }

@@ -124,6 +124,8 @@ def test_prune_keeps_what_two_generations_need(spark, root, rows):
     assert publish.prune(spark, root) == ["g2"]  # g1 has the year 2023
     assert len(rows(publish.read_series(spark, root))) == 6 and publish.read_table(spark, root, "summary", "g3").count() == 200
     assert [r["date"] for r in publish.read_series(spark, root, years=[2023]).collect()] == ["2023-05-01"]
+    with pytest.raises(quality.GateError, match="already"):
+        publish.publish(spark, root, "g1", build(spark), series_of(spark), "2024-01-09")
 
 
 def test_touched_years(spark, rows):
