@@ -365,7 +365,7 @@ class Run:
 
     def alike(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Of pairs whose fingerprints are near, those that may be copies."""
-        most = self.apart * (self.n[i] + self.n[j])
+        most = np.floor(self.apart * (self.n[i] + self.n[j]) + 1e-6)  # elements apart; a share that is just met counts
         fit = np.flatnonzero(np.abs(self.n[i] - self.n[j]) <= most)
         i, j = (np.broadcast_to(x, len(most))[fit] for x in (i, j))
         return fit[np.bitwise_count(self.maps[i] ^ self.maps[j]).sum(1, dtype="i8") <= most[fit]]

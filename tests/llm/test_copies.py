@@ -78,6 +78,18 @@ def test_every_pair_across_parts_is_given_once(spark):
         simhash.AT_ONCE = old
 
 
+def test_a_similarity_that_is_just_met_counts():
+    """8 of 10, 20 of 25 and so on: exactly 0.8."""
+    r = np.random.default_rng(5)
+    for n in range(9, 400, 9):
+        x = np.unique(r.integers(0, 2**63, 3 * n)).astype("u8")
+        a, b = x[:n], np.concatenate([x[n // 9 : n], x[n : n + n // 9]])
+        assert len(np.intersect1d(a, b)) / len(np.union1d(a, b)) == 0.8
+        maps = [simhash.parity_map(a), simhash.parity_map(b)]
+        run = simhash.Run(9, 0.8, 2, 0, np.array([5, 7]), np.array([1, 2]), np.array([n, n]), maps, np.array([1, 2]))
+        assert [tuple(map(int, p)) for p in run.across()] == [(0, 1)] and len(list(run.forest())) == 1
+
+
 def test_an_id_over_two_texts_keeps_the_one_that_is_no_copy(spark):
     texts = [" ".join(np.random.default_rng(i).choice(WORDS, 90)) for i in range(3)]
     rows = [(1, texts[0]), (2, texts[0]), (2, texts[1]), (3, texts[2]), (3, texts[0]), (3, texts[2])]
