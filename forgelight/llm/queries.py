@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, langid, licenses, packing, pii, sharding, simhash, topk, toxicity, url_filter
+from . import decontamination, langid, licenses, merkle, packing, pii, sharding, simhash, topk, toxicity, url_filter
 from .common import held_out
 
 
@@ -82,8 +83,18 @@ def op10_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op13_slot_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.translate("text", ascii_uppercase, ascii_lowercase)).otherwise(F.col("text"))
+    rows = docs.select("doc_id", "source", merkle.leaf(*values).alias("leaf"), merkle.leaf(*values[:-1], tampered).alias("found"))
+    made = merkle.manifest(rows)
+    made = made.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), merkle.fold(F.col("found"), F.col("path")).alias("folded_root"))
+    return made.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_threshold_topk, op2_boosted_toxicity, op3_simhash_variants, op4_suffix_automaton, op5_nearest_centroid, op6_license_digests, op7_surrogates, op8_best_fit_packing, op9_sampled_splitters, op10_url_digests)}
+    return {f.__name__: f for f in (op1_threshold_topk, op2_boosted_toxicity, op3_simhash_variants, op4_suffix_automaton, op5_nearest_centroid, op6_license_digests, op7_surrogates, op8_best_fit_packing, op9_sampled_splitters, op10_url_digests, op13_slot_pivot)}
 
 
 URL_SQL = r"""
@@ -139,5 +150,53 @@ FROM d LEFT JOIN pos ON d.doc_id = pos.doc_id LEFT JOIN its ON d.doc_id = its.do
 """
 
 
+MERKLE_SQL = """
+WITH RECURSIVE
+step(b, k, v) AS (
+  SELECT b, 0, b FROM range(256) AS x(b)
+  UNION ALL SELECT b, k + 1, CASE WHEN v % 2 = 1 THEN xor(3988292384, v >> 1) ELSE v >> 1 END FROM step WHERE k < 8),
+tab AS (SELECT b, v FROM step WHERE k = 8),
+crc(doc_id, s, i, r) AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR), 0, CAST(4294967295 AS BIGINT) FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+  UNION ALL SELECT c.doc_id, c.s, c.i + 1, xor(t.v, c.r >> 8) FROM crc c JOIN tab t ON t.b = xor(c.r & 255, CAST(ascii(c.s[c.i + 1]) AS BIGINT)) WHERE c.i < length(c.s)),
+bad AS (SELECT doc_id FROM crc WHERE i = length(s) AND xor(r, 4294967295) % 5 = 0),
+src AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS g FROM (SELECT DISTINCT source FROM documents)),
+named AS (
+  SELECT s.g, d.doc_id, b.doc_id IS NOT NULL AS touched, d.text,
+         coalesce(strlen(CAST(d.doc_id AS VARCHAR)) || ':' || d.doc_id, '-') || coalesce(strlen(d.source) || ':' || d.source, '-')
+           || coalesce(strlen(d.lang) || ':' || d.lang, '-') || coalesce(strlen(CAST(d.n_chars AS VARCHAR)) || ':' || d.n_chars, '-') AS head
+  FROM documents d JOIN src s ON d.source IS NOT DISTINCT FROM s.source LEFT JOIN bad b ON d.doc_id = b.doc_id),
+hashed AS (
+  SELECT g, doc_id, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(text) || ':' || CASE WHEN touched THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-')) AS found
+  FROM named),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM hashed),
+lv(level, g, pos, n, d) AS (
+  SELECT 0, g, pos, n, leaf FROM leaves
+  UNION ALL SELECT level + 1, g, pos // 16, (n + 15) // 16, sha256(string_agg(d, '' ORDER BY pos)) FROM lv WHERE n > 1 GROUP BY level, g, pos // 16, n),
+sub AS (SELECT g, d FROM lv WHERE n = 1),
+tv(level, pos, n, d) AS (
+  SELECT 0, g, count(*) OVER (), d FROM sub
+  UNION ALL SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(d, '' ORDER BY pos)) FROM tv WHERE n > 1 GROUP BY level, pos // 16, n),
+link AS (
+  SELECT level, g, pos, coalesce(string_agg(d, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b, coalesce(string_agg(d, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a
+  FROM lv WHERE n > 1 WINDOW w AS (PARTITION BY level, g, pos // 16 ORDER BY pos)),
+toplink AS (
+  SELECT level, pos, coalesce(string_agg(d, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b, coalesce(string_agg(d, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a
+  FROM tv WHERE n > 1 WINDOW w AS (PARTITION BY level, pos // 16 ORDER BY pos)),
+walk(g, leafpos, level, pos, cur, seen) AS (
+  SELECT g, pos, 0, pos, found, '' FROM leaves
+  UNION ALL SELECT w.g, w.leafpos, w.level + 1, w.pos // 16, sha256(l.b || w.cur || l.a), w.seen || l.b || l.a FROM walk w JOIN link l ON w.level = l.level AND w.g = l.g AND w.pos = l.pos),
+ended AS (SELECT g, leafpos, arg_max(cur, level) AS cur, arg_max(seen, level) AS seen FROM walk GROUP BY g, leafpos),
+climb(g, leafpos, level, pos, cur, seen) AS (
+  SELECT g, leafpos, 0, g, cur, seen FROM ended
+  UNION ALL SELECT w.g, w.leafpos, w.level + 1, w.pos // 16, sha256(l.b || w.cur || l.a), w.seen || l.b || l.a FROM climb w JOIN toplink l ON w.level = l.level AND w.pos = l.pos),
+done AS (SELECT g, leafpos, arg_max(cur, level) AS cur, arg_max(seen, level) AS seen FROM climb GROUP BY g, leafpos)
+SELECT v.doc_id, v.leaf, s.d AS subroot, r.d AS root, sha256(e.seen) AS proof_sha256, e.cur AS folded_root, e.cur = r.d AS verified
+FROM leaves v JOIN sub s ON v.g = s.g JOIN done e ON v.g = e.g AND v.pos = e.leafpos CROSS JOIN (SELECT d FROM tv WHERE n = 1) r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_threshold_topk": TOPK_SQL, "op4_suffix_automaton": CONTAMINATED_SQL, "op10_url_digests": URL_SQL}
+    return {"op1_threshold_topk": TOPK_SQL, "op4_suffix_automaton": CONTAMINATED_SQL, "op10_url_digests": URL_SQL, "op13_slot_pivot": MERKLE_SQL}
