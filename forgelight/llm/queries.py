@@ -8,7 +8,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, langid, licenses, merkle, packing, pii, sharding, simhash, topk, toxicity, url_filter
+from . import decontamination, langid, licenses, merkle, packing, periodic, pii, sharding, simhash, topk, toxicity, url_filter
 from .common import held_out
 
 
@@ -83,6 +83,38 @@ def op10_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def _planted(doc_id, text):
+    """A tenth of texts, by their ids, with their tails made periodic, as the contract of op11 says."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(text, "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")
+
+    def tail(words):
+        n = F.size(words)
+        a = (g % F.greatest(n, F.lit(1))).cast("int")
+        p = 1 + F.floor((n - a) / (3 + g % 8)).cast("int")
+        copies = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(copies, F.lit(1), n - a)), " ")
+
+    # the words are bound to a name, so that they are made once
+    made = F.element_at(F.transform(F.array(words), tail), 1)
+    return F.when((h % 10 == 0) & text.isNotNull(), made).otherwise(text)
+
+
+def op11_maximal_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", _planted(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.find_runs(docs, min_length=12)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("collapsed", F.lit("")), 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_slot_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = ["doc_id", "source", "lang", "n_chars", "text"]
     docs = table(spark, sf_dir, "documents")
@@ -94,7 +126,7 @@ def op13_slot_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_threshold_topk, op2_boosted_toxicity, op3_simhash_variants, op4_suffix_automaton, op5_nearest_centroid, op6_license_digests, op7_surrogates, op8_best_fit_packing, op9_sampled_splitters, op10_url_digests, op13_slot_pivot)}
+    return {f.__name__: f for f in (op1_threshold_topk, op2_boosted_toxicity, op3_simhash_variants, op4_suffix_automaton, op5_nearest_centroid, op6_license_digests, op7_surrogates, op8_best_fit_packing, op9_sampled_splitters, op10_url_digests, op11_maximal_pairs, op13_slot_pivot)}
 
 
 URL_SQL = r"""
