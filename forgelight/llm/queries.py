@@ -8,7 +8,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, langid, licenses, merkle, packing, periodic, pii, sharding, simhash, topk, toxicity, url_filter
+from . import bpe, decontamination, langid, licenses, merkle, packing, periodic, pii, sharding, simhash, topk, toxicity, url_filter
 from .common import held_out
 
 
@@ -115,6 +115,16 @@ def op11_maximal_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_rank_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    found = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256")
+    decoded = bpe.decode(found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest, "ids"), path)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op13_slot_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = ["doc_id", "source", "lang", "n_chars", "text"]
     docs = table(spark, sf_dir, "documents")
@@ -126,7 +136,7 @@ def op13_slot_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_threshold_topk, op2_boosted_toxicity, op3_simhash_variants, op4_suffix_automaton, op5_nearest_centroid, op6_license_digests, op7_surrogates, op8_best_fit_packing, op9_sampled_splitters, op10_url_digests, op11_maximal_pairs, op13_slot_pivot)}
+    return {f.__name__: f for f in (op1_threshold_topk, op2_boosted_toxicity, op3_simhash_variants, op4_suffix_automaton, op5_nearest_centroid, op6_license_digests, op7_surrogates, op8_best_fit_packing, op9_sampled_splitters, op10_url_digests, op11_maximal_pairs, op12_rank_array, op13_slot_pivot)}
 
 
 URL_SQL = r"""
