@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules, schemas
@@ -190,6 +193,61 @@ def publish_manifest(spark, d):
     return spark.createDataFrame(rows, "year string, has_rows boolean, changed boolean, rows long, generation string, previous string, changed_tables string, summary_previous string")
 
 
+def _overlap(spark, d) -> tuple[str, list]:
+    """Two runs over one state: even repositories are published while the run of the odd ones is under way. That one is refused, then built anew."""
+    root, one, said = new_path(spark, "overlap"), _build(spark, d), []
+    publish.publish(spark, root, "g1", one, derive(spark, d, PUBLISHED_1), "2001-08-01")
+    more = derive(spark, d, PUBLISHED_1).withColumn("value", F.col("value") * 2)
+    even, odd = more.filter("cast(repo_id as int) % 2 = 0"), more.filter("cast(repo_id as int) % 2 <> 0")
+
+    def build(turn):
+        said.append(turn.generation)
+        if len(said) == 1:
+            publish.publish(spark, root, "even", one, even, "2001-08-02")
+        return one, odd
+
+    publish.publish_again(spark, root, "odd", build, "2001-08-02")
+    return root, said
+
+
+@query(f"select repo_id, date, metric, value * 2 as value from ({PUBLISHED_1})")
+def publish_overlap(spark, d):
+    """The series after both runs: no row of either is lost."""
+    root, said = _overlap(spark, d)
+    assert said == ["g1", "even"] and publish.current(spark, root) == "odd"
+    return publish.read_series(spark, root)
+
+
+_ROWS = {"summary": "customer", "repos": f"({inputs.OLD_REPOS})", "latest": f"({inputs.BEFORE})", "rule_inventory": "(select distinct event_type from events)"}
+
+
+@query(" union all ".join([f"select '{t}' as \"table\", (select count(*) from {_ROWS[t]}) as rows" if t in _ROWS else f"select '{t}', 0" for t in publish.DECLARED]))
+def published_tables(spark, d):
+    """Every declared table, read back by name from the generation that is published, and counted."""
+    root = new_path(spark, "published")
+    publish.publish(spark, root, "g1", _build(spark, d), derive(spark, d, PUBLISHED_1), "2001-08-01")
+    counts = [publish.read_table(spark, root, t).agg(F.count("*").alias("rows")).select(F.lit(t).alias("table"), "rows") for t in publish.DECLARED]
+    return reduce(DataFrame.union, counts)
+
+
+@query(f"select repo_id, date, metric, value, false as first_run, 'holds data but no pointer' as refused from ({PUBLISHED_1})")
+def history_guard(spark, d):
+    """A root whose pointers are lost: a run on it is refused, and all its history is there when they are back."""
+    root, one = new_path(spark, "guarded"), _build(spark, d)
+    first = publish.current(spark, root) is not None
+    publish.publish(spark, root, "g1", one, derive(spark, d, PUBLISHED_1), "2001-08-01")
+    fs, pointers = publish._fs(spark, f"{root}/{publish.POINTERS}")
+    away = publish._fs(spark, f"{root}/.away")[1]
+    fs.rename(pointers, away)
+    try:
+        publish.publish(spark, root, "g2", one, derive(spark, d, PUBLISHED_2), "2001-08-02")
+        said = None
+    except quality.GateError as e:
+        said = "holds data but no pointer" if "holds" in str(e) and "no pointer" in str(e) else str(e)
+    fs.rename(away, pointers)
+    return publish.read_series(spark, root).withColumns({"first_run": F.lit(first), "refused": F.lit(said)})
+
+
 # ---- files ----
 
 STANZAS = "select p_partkey as k, 'pkg' || cast(p_partkey % 1000 as string) as package, p_name, p_size from part"

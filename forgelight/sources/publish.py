@@ -1,11 +1,18 @@
-"""Publishing tables as generations: write, verify, then switch a pointer. Nothing that is published is ever written over."""
+"""Publishing tables as generations: write, verify, then switch a pointer. Nothing that is published is ever written over.
+
+Runs may overlap. Each takes its turn when it reads the state it builds on, writes to a folder of its own, and at the end makes
+the very next pointer; if another run has made that one, it stops and drops nothing of what the other published.
+"""
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from functools import reduce
+from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,13 +21,27 @@ from ..schemas import KEYS, SERIES, empty
 
 #: Tables that a build must hold, besides the series.
 DECLARED = ["summary", "repos", "repo_packages", "latest", "adoption", "models", "tooling", "rule_inventory", "silent_channels", "state"]
-#: Folder of pointers: files named by rising numbers, each the name of a generation. The last one holds.
+#: Folder of pointers: files named by rising numbers, each the name of a generation's folder. The last one holds.
 POINTERS = "pointers"
 #: What the pointer holds before anything is published.
 NONE = "-"
+#: In a run's folder: the number of the pointer that it builds on.
+SINCE = "_since"
 COLUMNS = [c.split()[0] for c in SERIES.split(", ")]
 
 
+class Overtaken(quality.GateError):
+    """Another run has published since this one took its turn."""
+
+
+class Turn(NamedTuple):
+    """What is published when a run begins: the number of the last pointer, and the folder and generation it names (None before the first)."""
+
+    number: int
+    folder: str | None
+    generation: str | None
+
+
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
@@ -32,66 +53,154 @@ def _names(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for x in (fs.listStatus(p) if fs.exists(p) else []) if (n := x.getPath().getName())[0] not in "._")
 
 
+def _scheme(path) -> str:
+    return path.toUri().getScheme()
+
+
+def _names_it(spark: SparkSession, hidden: str, path: str) -> bool:
+    """Give a written file a name that nothing has, in one step that fails for all but one of several runs; False if it is taken.
+
+    A local file gets a second link. HDFS renames without overwriting. In other stores a file
+    appears when it is closed, and creating it fails if it is there, so its text is written anew.
+    """
+    jvm, (fs, target) = spark._jvm, _fs(spark, path)
+    target = fs.makeQualified(target)
+    source = fs.makeQualified(_fs(spark, hidden)[1])
+    scheme = _scheme(target)
+    try:
+        if scheme == "file":
+            jvm.java.nio.file.Files.createLink(*(jvm.java.nio.file.Path.of(p.toUri()) for p in (target, source)))
+        elif scheme in ("hdfs", "webhdfs", "viewfs"):
+            options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(source, target, options)
+        else:
+            out = fs.create(target, False)
+            out.write(bytearray(_get(spark, hidden).encode()))
+            out.close()
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def _put(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file whole or not at all: under a hidden name, then renamed to one that is not taken."""
+    """Write a small file whole or not at all, under a name that is not taken."""
     folder, name = path.rsplit("/", 1)
     fs, hidden = _fs(spark, f"{folder}/.{name}-{uuid.uuid4().hex}")
     out = fs.create(hidden, False)
     out.write(bytearray(text.encode()))
     out.close()
-    target = _fs(spark, path)[1]
-    if fs.exists(target) or not fs.rename(hidden, target):
+    try:
+        if not _names_it(spark, hidden.toString(), path):
+            raise quality.GateError(f"{path} is there already")
+    finally:
         fs.delete(hidden, False)
-        raise quality.GateError(f"{path} is there already")
 
 
 def _get(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]
 
 
-def current(spark: SparkSession, root: str) -> str | None:
-    """The generation that is published; None before the first. Data without a pointer, or an unreadable one, stops."""
+def _last(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """The number of the last pointer and the folder it names; (-1, None) before the first. Data without a pointer, or an unreadable one, stops."""
     found = _names(spark, f"{root}/{POINTERS}")
     if not found:
         if there := _names(spark, root):
             raise quality.GateError(f"{root} holds {there} but no pointer: its history is not overwritten")
-        return None
+        return -1, None
     name = _get(spark, f"{root}/{POINTERS}/{found[-1]}").strip()
-    return None if name == NONE else name
+    return int(found[-1]), None if name == NONE else name
 
 
-def _switch(spark: SparkSession, root: str, generation: str) -> None:
-    """Make a generation the published one. A run that ends before this leaves what was published as it was."""
-    found = _names(spark, f"{root}/{POINTERS}")
-    _put(spark, f"{root}/{POINTERS}/{int(found[-1]) + 1 if found else 0:09d}", generation)
+def _manifest_in(spark: SparkSession, root: str, folder: str | None) -> dict:
+    return json.loads(_get(spark, f"{root}/{folder}/manifest.json")) if folder else {}
+
+
+def current(spark: SparkSession, root: str) -> str | None:
+    """The generation that is published; None before the first."""
+    return _manifest_in(spark, root, _last(spark, root)[1]).get("generation")
+
+
+def begin(spark: SparkSession, root: str) -> Turn:
+    """Take a turn: call this before reading the state that a run builds on, and hand it to publish().
+
+    Before the first publication an empty pointer is made: from then on, data without a pointer is lost history and not a first run that failed.
+    """
+    number, folder = _last(spark, root)
+    if number < 0:
+        try:
+            _put(spark, f"{root}/{POINTERS}/{0:09d}", NONE)
+        except quality.GateError:  # another first run was quicker
+            pass
+        number, folder = _last(spark, root)
+    return Turn(number, folder, _manifest_in(spark, root, folder).get("generation"))
+
+
+def _switch(spark: SparkSession, root: str, turn: Turn, folder: str) -> None:
+    """Make a run's folder the published one, if nothing was published since its turn. A run that ends before this leaves what was published as it was."""
+    try:
+        _put(spark, f"{root}/{POINTERS}/{turn.number + 1:09d}", folder)
+    except quality.GateError:
+        raise Overtaken(f"{root}: {current(spark, root)} was published after {turn.generation}, which this run builds on") from None
+
+
+def _folder(spark: SparkSession, root: str, generation: str | None) -> str | None:
+    """The folder of a generation, of the current one by default."""
+    folder = _last(spark, root)[1]
+    if generation is None or not folder:
+        return folder
+    return _manifest_in(spark, root, folder).get("folders", {}).get(generation, generation)
 
 
 def read_table(spark: SparkSession, root: str, name: str, generation: str | None = None) -> DataFrame | None:
     """A table of a generation, of the current one by default; None if there is none yet."""
-    generation = generation or current(spark, root)
-    return spark.read.parquet(f"{root}/{generation}/{name}") if generation else None
+    folder = _folder(spark, root, generation)
+    return spark.read.parquet(f"{root}/{folder}/{name}") if folder else None
 
 
 def manifest(spark: SparkSession, root: str, generation: str | None = None) -> dict:
-    generation = generation or current(spark, root)
-    return json.loads(_get(spark, f"{root}/{generation}/manifest.json")) if generation else {}
+    return _manifest_in(spark, root, _folder(spark, root, generation))
 
 
-def read_years(spark: SparkSession, root: str, paths: dict[str, str]) -> DataFrame:
+def read_years(spark: SparkSession, root: str, paths: dict[str, str], folders: dict[str, str]) -> DataFrame:
     """Series rows of years, each from the generation that wrote it last."""
-    files = [f"{root}/{generation}/series/year={year}" for year, generation in sorted(paths.items())]
+    files = [f"{root}/{folders.get(generation, generation)}/series/year={year}" for year, generation in sorted(paths.items())]
     return spark.read.schema(SERIES).parquet(*files) if files else empty(spark, SERIES)
 
 
 def read_series(spark: SparkSession, root: str, generation: str | None = None, years: list[int] | None = None) -> DataFrame:
     """The whole series of a generation, or only some years of it: files of others are not opened."""
-    paths = manifest(spark, root, generation).get("paths", {})
-    return read_years(spark, root, {y: g for y, g in paths.items() if years is None or int(y) in years})
+    m = manifest(spark, root, generation)
+    return read_years(spark, root, {y: g for y, g in m.get("paths", {}).items() if years is None or int(y) in years}, m.get("folders", {}))
+
+
+def publish_again(
+    spark: SparkSession, root: str, generation: str, build: Callable[[Turn], tuple[dict[str, DataFrame], DataFrame]], today: str, attempts: int = 3, **options
+) -> dict:
+    """Publish what build(turn) makes of what is published at a turn: (tables, working series). A run that was overtaken builds anew on what is there then.
+
+    So of runs that overlap, each sees the rows of those before it. After ``attempts`` turns in vain Overtaken is raised.
+    """
+    for attempt in range(attempts):
+        turn = begin(spark, root)
+        tables, working = build(turn)
+        try:
+            return publish(spark, root, generation, tables, working, today, turn=turn, **options)
+        except Overtaken:
+            if attempt == attempts - 1:
+                raise
+    raise ValueError("attempts must be 1 or more")
 
 
-def publish(spark: SparkSession, root: str, generation: str, tables: dict[str, DataFrame], working: DataFrame, today: str, purged: list[str] = (), allow_regression: bool = False) -> dict:
+def publish(spark: SparkSession, root: str, generation: str, tables: dict[str, DataFrame], working: DataFrame, today: str, purged: list[str] = (), allow_regression: bool = False, turn: Turn | None = None) -> dict:
     """Publish a build and return its manifest.
 
+    ``turn``: what begin() gave before the state was read that the build came from; by default it is
+    taken now. If another run publishes after it, Overtaken is raised and nothing changes: what that run
+    published is neither dropped nor mixed with this one, which was built without it (see publish_again).
+    Every run writes to a folder of its own, also of two that go by one name.
+
     The working series is folded over all published history. Years that it or a purge touched are
     written anew, into the new generation; its manifest tells for each year which generation holds
     it, so the others keep their files. A year that a purge has emptied has no entry any more, and
@@ -106,14 +215,18 @@ def publish(spark: SparkSession, root: str, generation: str, tables: dict[str, D
     missing = [t for t in DECLARED if t not in tables]
     if missing:
         raise quality.GateError(f"tables missing: {missing}")
-    before = current(spark, root)
-    if not _names(spark, f"{root}/{POINTERS}"):
-        _switch(spark, root, NONE)  # from here on, data without a pointer is lost history and not a first run that failed
-    old = {t: read_table(spark, root, t, before) for t in DECLARED} if before else {}
-    last = manifest(spark, root, before) if before else {}
+    turn = turn or begin(spark, root)
+    before = turn.generation
+    if _last(spark, root)[0] != turn.number:
+        raise Overtaken(f"{root}: {current(spark, root)} was published after {before}, which this run builds on")
+    old = {t: spark.read.parquet(f"{root}/{turn.folder}/{t}") for t in DECLARED} if before else {}
+    last = _manifest_in(spark, root, turn.folder)
     if generation in (done := last.get("published", [])) or generation == POINTERS:
         raise quality.GateError(f"{generation} is published already")
-    history = read_years(spark, root, last.get("paths", {}))
+    folder = f"{generation}.{uuid.uuid4().hex[:12]}"
+    folders = last.get("folders", {}) | {generation: folder}
+    _put(spark, f"{root}/{folder}/{SINCE}", str(turn.number))
+    history = read_years(spark, root, last.get("paths", {}), folders)
     gone = series.purge(history, list(purged))[1] if purged else None
     years = series.touched_years(working) if gone is None else series.touched_years(working).union(gone).distinct()
     years = sorted(r[0] for r in years.collect())
@@ -121,47 +234,54 @@ def publish(spark: SparkSession, root: str, generation: str, tables: dict[str, D
     repeated = [quality.duplicate_keys(df, KEYS[t]).limit(1).select(F.lit(t).alias("table")) for t, df in checked.items() if df is not None]
     if found := sorted(r["table"] for r in reduce(DataFrame.union, repeated).collect()):
         raise quality.GateError(f"{', '.join(found)}: repeated keys")
-    target = f"{root}/{generation}"
+    target = f"{root}/{folder}"
     for name in DECLARED:
         tables[name].write.mode("overwrite").parquet(f"{target}/{name}")
     written = {n: spark.read.parquet(f"{target}/{n}") for n in DECLARED}
-    touched = read_years(spark, root, {y: g for y, g in last.get("paths", {}).items() if int(y) in years})
+    touched = read_years(spark, root, {y: g for y, g in last.get("paths", {}).items() if int(y) in years}, folders)
     # as many files for a year as its size asks for
     folded = series.with_year(series.fold_history(working, touched, list(purged)).select(COLUMNS)).hint("rebalance", "year")
     folded.write.mode("overwrite").partitionBy("year").parquet(f"{target}/series")
     own = {n.partition("=")[2]: generation for n in _names(spark, f"{target}/series") if n.startswith("year=")}
     paths = {y: g for y, g in last.get("paths", {}).items() if int(y) not in years} | own
-    prints = {str(r["year"]): f"{r['rows']}:{r['fingerprint']}" for r in quality.fingerprint(series.with_year(read_years(spark, root, own)), ["year"]).collect()}
+    prints = {str(r["year"]): f"{r['rows']}:{r['fingerprint']}" for r in quality.fingerprint(series.with_year(read_years(spark, root, own, folders)), ["year"]).collect()}
     if not allow_regression:
         kept = touched.filter(~F.col("metric").isin(list(purged))) if purged else touched
-        was, now = old | {"series": kept}, written | {"series": read_years(spark, root, own)}
+        was, now = old | {"series": kept}, written | {"series": read_years(spark, root, own, folders)}
         found = quality.regressions(quality.measures(was), quality.measures(now)).collect() if before else []
         if found:
             raise quality.GateError(f"regressions: {[tuple(r) for r in found]}")
-    series.recent(read_years(spark, root, paths), today).write.mode("overwrite").parquet(f"{target}/recent")
+    series.recent(read_years(spark, root, paths, folders), today).write.mode("overwrite").parquet(f"{target}/recent")
     same = {y: v for y, v in last.get("series", {}).items() if int(y) not in years}
     emptied = [y for y in last.get("paths", {}) if y not in paths]
     counts = {r["table"]: [r["rows"], r["fingerprint"]] for r in quality.integrity(written, DECLARED).collect()}
     changed_tables = sorted(t for t, v in counts.items() if last.get("tables", {}).get(t) != v)
     out = {
         "generation": generation, "previous": before, "published": [*done, generation], "data_through": today, "changed_years": sorted([*emptied, *(y for y, v in prints.items() if last.get("series", {}).get(y) != v)]),
-        "changed_tables": changed_tables, "years": sorted({*last.get("years", []), *map(int, paths)}), "paths": paths, "series": same | prints, "tables": counts,
+        "changed_tables": changed_tables, "years": sorted({*last.get("years", []), *map(int, paths)}), "paths": paths, "folders": folders, "series": same | prints, "tables": counts,
         "summary_previous": (before if "summary" in changed_tables else last.get("summary_previous")) if before else None,
     }
-    fs, stale = _fs(spark, f"{target}/manifest.json")
-    fs.delete(stale, False)  # of an earlier run of this generation that failed
     _put(spark, f"{target}/manifest.json", json.dumps(out, sort_keys=True))
-    _switch(spark, root, generation)
+    _switch(spark, root, turn, folder)
     return out
 
 
 def prune(spark: SparkSession, root: str) -> list[str]:
-    """Delete generations that neither the current one nor the one before it needs, for a year, a table or the previous summary; returns their names."""
-    now = manifest(spark, root)
-    past = manifest(spark, root, now["previous"]) if now.get("previous") else {}
+    """Delete folders that neither the current generation nor the one before it needs, for a year, a table or the previous summary; returns their names.
+
+    Folders of runs that may still switch stay: those that build on what is published now. A run that
+    builds on an earlier state can't switch any more.
+    """
+    number, folder = _last(spark, root)
+    now = _manifest_in(spark, root, folder)
+    folders = now.get("folders", {})
+    past = _manifest_in(spark, root, folders.get(now["previous"], now["previous"])) if now.get("previous") else {}
     needed = {m.get(k) for m in (now, past) for k in ("generation", "summary_previous")} | {g for m in (now, past) for g in m.get("paths", {}).values()}
-    unused = [n for n in _names(spark, root) if n not in needed and n != POINTERS]
-    for n in unused:
-        fs, p = _fs(spark, f"{root}/{n}")
-        fs.delete(p, True)
+    needed = {folders.get(g, g) for g in needed} | {POINTERS}
+    unused = []
+    for n in _names(spark, root):
+        fs, since = _fs(spark, f"{root}/{n}/{SINCE}")
+        if n not in needed and not (fs.exists(since) and int(_get(spark, since.toString())) >= number):
+            fs.delete(_fs(spark, f"{root}/{n}")[1], True)
+            unused.append(n)
     return unused

@@ -1,3 +1,5 @@
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,7 +91,7 @@ def test_a_metric_that_is_all_of_a_year_is_purged(spark, root, rows):
 
 def test_a_run_that_fails_at_any_step_leaves_what_was_published(spark, root, rows, monkeypatch):
     new = series_of(spark, ("r", "2024-01-05", "stars", 4))
-    for step in ("read_years", "_put", "_switch"):
+    for step in ("read_years", "_put", "_switch", "_names_it"):
         calls, real = [], getattr(publish, step)
 
         def fail(*a, step=step, calls=calls, real=real):
@@ -118,10 +120,93 @@ def test_a_first_run_that_fails_can_be_run_again(spark, tmp_path, rows):
         publish.publish(spark, root, "g1", build(spark), own, "2024-01-04")
 
 
+def test_of_runs_that_overlap_none_drops_what_another_published(spark, root, rows, monkeypatch):
+    """A whole run published at each step of another: that one stops, and made anew it has the rows of both."""
+    mine, other = ("r", "2024-01-05", "stars", 4), ("r", "2023-07-01", "stars", 9)
+    here = root.removeprefix("file://")
+    calls = []
+
+    def count(name, real):
+        def run(*a):
+            calls.append(name)
+            if len(calls) == at:
+                publish.publish(spark, place, "gA", build(spark, 220), series_of(spark, other), "2024-01-05")
+            return real(*a)
+
+        return run
+
+    def overlapped(publishing):
+        calls.clear()
+        with monkeypatch.context() as m:
+            for name in ("_names", "_put", "read_years"):
+                m.setattr(publish, name, count(name, getattr(publish, name)))
+            return publishing()
+
+    place, at = f"{root}/../plain", -1
+    shutil.copytree(here, f"{here}/../plain")
+    first = publish.begin(spark, place)
+    overlapped(lambda: publish.publish(spark, place, "gB", build(spark, 210), series_of(spark, mine), "2024-01-05", turn=first))
+    switch = len(calls)
+    assert calls[-1] == "_put" and switch > 9
+    for at in (1, switch // 2, switch):
+        place = f"{root}/../at{at}"
+        shutil.copytree(here, f"{here}/../at{at}")
+        turn = publish.begin(spark, place)
+        with pytest.raises(publish.Overtaken):
+            overlapped(lambda turn=turn: publish.publish(spark, place, "gB", build(spark, 210), series_of(spark, mine), "2024-01-05", turn=turn))
+        assert rows(publish.read_series(spark, place)) == sorted([*OLD, other], key=repr) and publish.current(spark, place) == "gA"
+        assert publish.read_table(spark, place, "summary").count() == 220
+        with pytest.raises(publish.Overtaken):  # what was read before is too old for a later try too
+            publish.publish(spark, place, "gB", build(spark, 210), series_of(spark, mine), "2024-01-05", turn=turn)
+    seen, place, at = [], f"{root}/../again", switch - 1
+    shutil.copytree(here, f"{here}/../again")
+
+    def make(turn):
+        seen.append(turn.generation)
+        return {**build(spark), "summary": publish.read_table(spark, place, "summary", turn.generation)}, series_of(spark, mine)
+
+    overlapped(lambda: publish.publish_again(spark, place, "gB", make, "2024-01-05"))
+    assert seen == ["g1", "gA"] and publish.current(spark, place) == "gB" and publish.read_table(spark, place, "summary").count() == 220
+    assert rows(publish.read_series(spark, place)) == sorted([*OLD, mine, other], key=repr)
+
+
+def test_one_name_is_given_once_whatever_the_store(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(publish, "_get", lambda spark, path: "text")
+    for scheme in ("file", "hdfs", "s3a"):
+        for i in range(3):
+            (tmp_path / f"h{i}").write_text("text")
+
+        # the way of each store, tried on local files
+        fs, target = publish._fs(spark, f"file://{tmp_path}/{scheme}")
+        monkeypatch.setattr(publish, "_scheme", lambda path, scheme=scheme: scheme)
+        got = [publish._names_it(spark, f"file://{tmp_path}/h{i}", f"file://{tmp_path}/{scheme}") for i in range(3)]
+        assert got == [True, False, False] and fs.exists(target)
+
+
+def test_prune_leaves_runs_that_may_still_switch(spark, root, rows, monkeypatch):
+    mine = series_of(spark, ("r", "2024-01-05", "stars", 4))
+    pruned = []
+
+    def switch(spark, place, turn, folder, real=publish._switch):
+        pruned.extend(publish.prune(spark, place))
+        real(spark, place, turn, folder)
+
+    with monkeypatch.context() as m:
+        m.setattr(publish, "_switch", switch)
+        publish.publish(spark, root, "g2", build(spark), mine, "2024-01-05")
+    assert pruned == [] and len(rows(publish.read_series(spark, root))) == 4
+    with monkeypatch.context() as m, pytest.raises(OSError):
+        m.setattr(publish, "_switch", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        publish.publish(spark, root, "g3", build(spark), mine, "2024-01-06")
+    assert publish.prune(spark, root) == []  # it may have been running still
+    publish.publish(spark, root, "g4", build(spark), mine, "2024-01-06")
+    assert [n.split(".")[0] for n in publish.prune(spark, root)] == ["g3"]
+
+
 def test_prune_keeps_what_two_generations_need(spark, root, rows):
     for i in (2, 3, 4):
         publish.publish(spark, root, f"g{i}", build(spark), series_of(spark, ("r", f"2024-01-{i + 3:02d}", "stars", i + 2)), "2024-01-09")
-    assert publish.prune(spark, root) == ["g2"]  # g1 has the year 2023
+    assert [n.split(".")[0] for n in publish.prune(spark, root)] == ["g2"]  # g1 has the year 2023
     assert len(rows(publish.read_series(spark, root))) == 6 and publish.read_table(spark, root, "summary", "g3").count() == 200
     assert [r["date"] for r in publish.read_series(spark, root, years=[2023]).collect()] == ["2023-05-01"]
     with pytest.raises(quality.GateError, match="already"):
