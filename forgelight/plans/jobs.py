@@ -72,13 +72,15 @@ def _onsets_of(commits: DataFrame) -> DataFrame:
 def adoption_update(
     trees: DataFrame, prs: DataFrame, commits: DataFrame, path_commits: DataFrame, revisions: DataFrame, incomplete: DataFrame,
     prev: Tables, known_silent: DataFrame, today: str, only_flagged: bool = False, searches: DataFrame | None = None, incremental: bool = False,
+    delivered: DataFrame | None = None,
 ) -> Tables:
     """Scan trees, pull requests and commits for tools and fold what is found into adoption, models and tooling.
 
     ``only_flagged``: read commits only of repositories that trees or pull requests have flagged; the
     default reads all, so that a repository which only signs commits is found. ``searches``: answers
-    of commit searches (repo_id, tool, tier, body); those that verify give exact dates, counts and
-    models, others evidence with a floor, refused ones nothing. ``incremental``: of flagged
+    of commit searches (repo_id, tool, tier, body), for agents' own accounts (A), trailers (B) and suffixes of authors (C);
+    those that verify give exact dates, counts and models, others evidence with a floor, refused ones nothing. ``delivered``: repositories (repo_id) whose commits were
+    fetched, by default those that have any; of others nothing is counted from commits, not even none. ``incremental``: of flagged
     repositories, scan only those with a tool that is not published for them and that have not been
     confirmed today; of the others, what is published is confirmed. ``canary`` of the result lists
     channels gone silent; publish first, then fail on them.
@@ -98,19 +100,21 @@ def adoption_update(
         own = commits.join(flagged, "repo_id", "left_semi")
     channels = [asked, adoption.bot_evidence(own), adoption.trailer_evidence(own), adoption.suffix_evidence(own)]
     onsets, found = _onsets_of(own), None
-    signed = own.select("repo_id", "message", F.col("committed_at").alias("date"), F.explode(adoption.trailer_tools(F.col("message"))).alias("tool"))
+    signed = own.select("repo_id", "message", F.col("committed_at").alias("date"), F.lit(True).alias("complete"), F.explode(adoption.trailer_tools(F.col("message"))).alias("tool"))
     if searches is not None:
-        found = adoption.verify_hits(ingest.search_hits(searches))
+        # bodies are parsed once for evidence, onsets, counts and models
+        found = settle(adoption.verify_hits(ingest.search_hits(searches)), "searches")
         channels.append(adoption.search_evidence(found))
         onsets = onsets.unionByName(adoption.search_onsets(found))
         # a repository whose commits are there is not counted from a page of a search too
         signed = signed.unionByName(adoption.search_messages(found).join(own.select("repo_id").distinct(), "repo_id", "left_anti").select(signed.columns))
-    evidence = adoption.assemble(*channels)
+    evidence = settle(adoption.assemble(*channels), "evidence")
     by_path = adoption.marker_onset(evidence, path_commits, markers, incomplete).withColumn("exact", F.lit(True))
     dates = by_path.unionByName(adoption.ignore_onset(revisions, markers))
-    counts = adoption.commit_counts(evidence, own)
+    counts = adoption.commit_counts(evidence, own, own.select("repo_id") if delivered is None else delivered)
     if found is not None:
         counts = counts.join(adoption.search_counts(found), ["repo_id", "tool"], "left").withColumn("assisted_commits", F.coalesce("assisted_commits", "searched")).drop("searched")
+        counts = counts.join(adoption.identity_searches(found), ["repo_id", "tool"], "left").withColumn("authored_commits", F.greatest("authored_commits", "searched")).drop("searched", "onset")
     guarded = adoption.fork_guard(evidence, trees.select("repo_id", "is_fork"), empty(spark, "repo_id string, marker string"))
     fresh = adoption.detail(guarded.join(counts, ["repo_id", "tool"], "left"), adoption.onset_map(evidence, dates, onsets, adoption.first_agent_pr(prs)), today)
     reduced = adoption.reduce_onsets(published.unionByName(fresh.drop("contradiction"), allowMissingColumns=True).unionByName(confirmed, allowMissingColumns=True))

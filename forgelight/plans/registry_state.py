@@ -68,6 +68,51 @@ def replace_models(spark, d):
     return adoption.replace_models(prior, t.filter("cast(repo_id as int) % 2 = 0"))
 
 
+#: Searches for two accounts of a tool in each customer's repository, with trailers for every third: refused, none, a hit and one whose count did not come.
+ASKED = """
+select cast(c_custkey as string) as repo_id, 'devin' as tool, 'A' as tier, case cast((c_custkey + 3 * i) % 5 as int) when 0 then 'refused' when 1 then 'none' else 'hit' end as state,
+  case cast((c_custkey + 3 * i) % 5 as int) when 1 then 0 when 2 then c_custkey % 90 + i when 3 then c_custkey % 7 + 1 end as n,
+  case when (c_custkey + 3 * i) % 5 >= 2 then '2024-0' || cast(i + 1 + c_custkey % 8 as string) || '-01T00:00:00Z' end as date
+from customer, (select 0 as i union all select 1) v
+"""
+#: Repositories of which commits were delivered, and what is in them.
+DELIVERED = "select cast(c_custkey as string) as repo_id from customer where c_custkey % 3 = 0"
+AUTHORED = "select cast(c_custkey as string) as repo_id, 'x' as message, 'devin-ai-integration[bot]' as author_email, cast(null as string) as author_login from customer, (select 1 as j union all select 2) w where c_custkey % 6 = 0"
+
+
+@query(
+    f"""
+with s as (select repo_id, tool, max(n) as n, min(date) as onset from ({ASKED}) where state <> 'refused' group by 1, 2), q as (select distinct repo_id, tool from ({ASKED}) union select distinct repo_id, 'aider' from ({ASKED})),
+a as (select repo_id, count(*) as own from ({AUTHORED}) group by 1)
+select q.repo_id, q.tool, s.onset, case when s.repo_id is not null then coalesce(s.n, case when s.onset is not null then 1 else 0 end) end as searched,
+  case when d.repo_id is not null then case when q.tool = 'devin' then coalesce(a.own, 0) else 0 end end as committed,
+  greatest(case when s.repo_id is not null then coalesce(s.n, case when s.onset is not null then 1 else 0 end) end, case when d.repo_id is not null then case when q.tool = 'devin' then coalesce(a.own, 0) else 0 end end) as authored_commits
+from q left join s on s.repo_id = q.repo_id and s.tool = q.tool left join ({DELIVERED}) d on d.repo_id = q.repo_id left join a on a.repo_id = q.repo_id
+"""
+)
+def identity_searches(spark, d):
+    """Counts by searches for accounts and by commits, with null where neither was answered; a tool that was not searched for has those of commits alone."""
+    hits = derive(spark, d, ASKED)
+    asked = hits.select("repo_id", "tool").union(hits.select("repo_id", F.lit("aider")))
+    counts = adoption.commit_counts(asked, derive(spark, d, AUTHORED), derive(spark, d, DELIVERED)).select("repo_id", "tool", F.col("authored_commits").alias("committed"))
+    rows = counts.join(adoption.identity_searches(hits), ["repo_id", "tool"], "left")
+    return rows.withColumn("authored_commits", F.greatest("searched", "committed"))
+
+
+#: Pages of trailer searches: k % 4 + 1 commits on a page, of a total that is larger for every third repository, null for every fifth.
+PAGES_SQL = "select cast(c_custkey as varchar) as repo_id, i, c_custkey % 3 = 0 and c_custkey % 5 <> 0 as cut, c_custkey as k from customer, (values (0), (1), (2), (3)) v(i) where i <= c_custkey % 4"
+
+
+@query(f"select repo_id, 'aider' as tool, 'acme' as provider, 'm' || i % 2 as family, cast(null as varchar) as version, cast(null as varchar) as context_window, count(*) as commits, min('2024-01-0' || (i + 1) || 'T00:00:00Z') as first_seen, max('2024-01-0' || (i + 1) || 'T00:00:00Z') as last_seen, cast(not bool_or(cut) as int) as window_complete from ({PAGES_SQL}) group by repo_id, i % 2")
+def model_windows(spark, d):
+    """Models named on the pages of searches, and whether the page holds all that the search counted."""
+    item = """concat('{"commit":{"message":"x\\\\nCo-authored-by: aider (acme/m', i % 2, ') <aider@aider.chat>","author":{"name":"A"},"committer":{"date":"2024-01-0', i + 1, 'T00:00:00Z"}}}')"""
+    total = "case when k % 5 = 0 then '' when k % 3 = 0 then concat('\"total_count\":', k % 4 + 2, ',') else concat('\"total_count\":', k % 4 + 1, ',') end"
+    body = f"""concat('{{', {total}, '"items":[', concat_ws(',', transform(sequence(0L, k % 4), i -> {item})), ']}}')"""
+    raw = derive(spark, d, "select c_custkey as k, cast(c_custkey as string) as repo_id, 'aider' as tool, 'B' as tier from customer").withColumn("body", F.expr(body))
+    return adoption.model_tally(adoption.search_messages(adoption.verify_hits(ingest.search_hits(raw))))
+
+
 #: Markers of which brands are tools, some of them ambient.
 RULES = "select distinct p_type as entry, lower(p_brand) as tool, 'root' as location, false as agnostic, p_size % 5 = 0 as ambient from part"
 FIXED_RULES = sorted({("A", t) for t in rules.BOTS.values()} | {("B", r[0]) for r in [*rules.CO_AUTHORS, *rules.SIGNATURES]} | {("C", r[0]) for r in rules.AUTHOR_SUFFIXES} | {("PR", t) for t in rules.PR_AGENTS.values()})

@@ -35,7 +35,7 @@ TREE = (
 )
 PRS = f"struct<data:map<string,struct<pullRequests:struct<{PAGE_INFO},nodes:array<struct<createdAt:string,author:struct<login:string,`__typename`:string>>>>>>>"
 SEARCH = (
-    "struct<total_count:long,message:string,items:array<struct<commit:struct<message:string,author:struct<name:string,date:string>>>>>"
+    "struct<total_count:long,message:string,items:array<struct<commit:struct<message:string,author:struct<name:string,date:string>,committer:struct<date:string>>>>,_corrupt_record:string>"
 )
 HISTORY = "struct<data:struct<node:struct<history:struct<nodes:array<struct<oid:string,committedDate:string,file:struct<text:string>>>>>>>"
 
@@ -175,15 +175,20 @@ def pull_requests(raw: DataFrame, requests: DataFrame) -> DataFrame:
 def search_hits(raw: DataFrame) -> DataFrame:
     """Commit searches (repo_id, tool, tier, body) with their state.
 
-    refused: no JSON, or no total (count null); none: measured, 0; hit: total, first message, author
-    and date, and all messages of the page.
+    refused: no JSON object, or a message and no total (count null); none: measured, 0, no commit on the page;
+    hit: first message, author and date, all messages of the page, and the total, or how many are on the page where none is
+    given. Dates are those of committing; where a response has none, of authorship.
     """
     r = raw.withColumn("r", F.from_json("body", SEARCH, {"mode": "PERMISSIVE"}))
-    total = F.col("r.total_count")
-    first = F.try_element_at("r.items", F.lit(1))["commit"]
-    state = F.when(total.isNull(), "refused").when(total == 0, "none").otherwise("hit")
-    items = F.transform(F.coalesce("r.items", F.array().cast("array<struct<commit:struct<message:string,author:struct<name:string,date:string>>>>")), lambda i: F.struct(i["commit"]["message"].alias("message"), i["commit"]["author"]["date"].alias("date")))
-    return r.select("repo_id", "tool", "tier", state.alias("state"), total.alias("n"), first["message"].alias("message"), first["author"]["name"].alias("author"), instant(first["author"]["date"]).alias("date"), items.alias("page"))
+    total, items = F.col("r.total_count"), F.filter("r.items", lambda i: i["commit"].isNotNull())
+    n = F.coalesce(F.size(items), F.lit(0))
+    date = lambda c: F.coalesce(c["committer"]["date"], c["author"]["date"])
+    first = F.try_element_at(items, F.lit(1))["commit"]
+    unread = F.col("body").isNull() | F.col("r").isNull() | F.col("r._corrupt_record").isNotNull()
+    state = F.when(unread | (total.isNull() & F.col("r.message").isNotNull()), "refused").when((n <= 0) | (total == 0), "none").otherwise("hit")
+    page = F.coalesce(F.transform(items, lambda i: F.struct(i["commit"]["message"].alias("message"), date(i["commit"]).alias("date"))), F.array().cast("array<struct<message:string,date:string>>"))
+    count = F.when(F.col("state") == "none", F.lit(0).cast("long")).when(F.col("state") == "hit", F.coalesce(total, n.cast("long")))
+    return r.withColumn("state", state).select("repo_id", "tool", "tier", "state", count.alias("n"), *[F.when(F.col("state") == "hit", x).alias(c) for c, x in (("message", first["message"]), ("author", first["author"]["name"]), ("date", instant(date(first))))], page.alias("page"))
 
 
 def path_commits(raw: DataFrame) -> DataFrame:

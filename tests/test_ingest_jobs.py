@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from forgelight import schemas
-from forgelight.operators import tooling
+from forgelight.operators import adoption, tooling
 from forgelight.plans import jobs
 from forgelight.sources import ingest
 from forgelight.streaming import gauge_stream
@@ -129,6 +129,39 @@ def test_adoption_update_with_searches_and_incremental_runs(spark):
     assert again["s"]["evidence_tiers"] == ["B", "D"] and again["t"]["last_confirmed_date"] == "2024-05-01"
 
 
+def test_identity_searches_in_four_states_and_what_is_stored(spark):
+    """Refused, none, a hit without its count, a hit; a stored flag falls only where a zero was measured."""
+    e = lambda s: schemas.empty(spark, s)
+    names = ["refused", "none", "uncounted", "hit", "both", "delivered", "silent"]
+    trees = spark.createDataFrame([(r, [], [], [], [], False) for r in names], "repo_id string, root_entries array<string>, github_entries array<string>, gitignore_lines array<string>, rbuildignore_lines array<string>, is_fork boolean")
+    page = lambda total, day: f'{{{total}"items":[{{"commit":{{"message":"m","author":{{"name":"A","date":"2020-01-01"}},"committer":{{"date":"{day}"}}}}}}]}}'
+    asked = [
+        ("refused", '{"message":"API rate limit"}'), ("none", '{"total_count":0,"items":[]}'), ("uncounted", page("", "2024-02-01T00:00:00Z")),
+        ("hit", page('"total_count":12,', "2024-03-05T01:00:00Z")), ("hit", page('"total_count":9,', "2024-03-01T00:00:00Z")), ("hit", "<html>"), ("both", '{"total_count":0,"items":[]}'), ("both", None),
+    ]
+    searches = spark.createDataFrame([(r, "devin", "A", b) for r, b in asked], "repo_id string, tool string, tier string, body string")
+    prs = spark.createDataFrame([(r, "devin-ai-integration", "2025-01-01T00:00:00Z") for r in names], "repo_id string, login string, created_at string")
+    commits = spark.createDataFrame([(r, "2024-01-01T00:00:00Z", "x", w, None, "A") for r, w in (("both", "Devin-AI-integration[bot]"), ("both", "Devin-AI-integration[bot]"), ("delivered", "me@x.org"))], "repo_id string, committed_at string, message string, author_email string, author_login string, author string")
+    stored = spark.createDataFrame([(r, "devin", "2024-06-01T00:00:00Z", 0, ["PR"], ["m"], 1, None, None, "2024-04-01") for r in names], schemas.ADOPTION)
+    prev = {"adoption": stored, "models": e(schemas.MODELS), "tooling": e(tooling.schema()), "repos": e(schemas.REPOS)}
+    got = jobs.adoption_update(trees, prs, commits, e("repo_id string, path string, committed_at string"), e("repo_id string, file string, n int, committed_at string, lines array<string>"), e("repo_id string, path string"), prev, e("tier string, tool string, status string, reason string, recorded_on string"), "2024-05-01", searches=searches)
+    rows = {r["repo_id"]: (r["authored"], r["authored_commits"], r["first_seen_date"], r["first_seen_censored"], "A" in r["evidence_tiers"]) for r in got["adoption"].collect()}
+    assert rows == {
+        "refused": (1, None, "2024-06-01T00:00:00Z", 0, False), "none": (0, 0, "2024-06-01T00:00:00Z", 0, False), "uncounted": (1, 1, "2024-02-01T00:00:00Z", 0, True), "hit": (1, 12, "2024-03-01T00:00:00Z", 0, True),
+        "both": (1, 2, "2024-01-01T00:00:00Z", 0, True), "delivered": (0, 0, "2024-06-01T00:00:00Z", 0, False), "silent": (1, None, "2024-06-01T00:00:00Z", 0, False),
+    }
+
+
+def test_pages_that_hold_less_than_was_counted(spark):
+    item = '{"commit":{"message":"Co-authored-by: aider (acme/m) <aider@aider.chat>","committer":{"date":"2024-01-01"}}}'
+    bodies = {"all": (2, 2), "cut": (3, 2), "open": (None, 2)}
+    raw = [(r, "aider", "B", f'{{{"" if n is None else f"""\"total_count\":{n},"""}"items":[{",".join([item] * k)}]}}') for r, (n, k) in bodies.items()]
+    raw += [("two", "aider", "B", raw[0][3]), ("two", "aider", "B", raw[1][3])]
+    found = adoption.verify_hits(ingest.search_hits(spark.createDataFrame(raw, "repo_id string, tool string, tier string, body string")))
+    got = {r["repo_id"]: (r["commits"], r["window_complete"]) for r in adoption.model_tally(adoption.search_messages(found)).collect()}
+    assert got == {"all": (2, 1), "cut": (2, 0), "open": (2, 1), "two": (4, 0)}
+
+
 def test_stream_is_safe_to_replay(spark, tmp_path, rows):
     root = f"file://{tmp_path}/out"
     schema = "repo_id string, metric string, value long, date string"
