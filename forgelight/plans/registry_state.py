@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import rules, schemas
 from ..operators import adoption, health, quality, resolve, series
 from ..schemas import ADOPTION, conform, empty
-from ..scratch import new_path
+from ..scratch import new_path, settle
 from ..sources import ingest, publish
 from ..streaming import gauge_stream
 from . import inputs, jobs
@@ -327,12 +327,36 @@ def read_published(spark, d):
 
 # ---- the stream ----
 
+FEED = f"select repo_id, date, metric, value // 3 as value from ({CUMULATIVE})"
+FED_SQL = "select repo_id, date, metric, value from (select *, lag(value) over (partition by repo_id, metric order by date) as prev from ({feed})) where prev is null or value <> prev"
 
-@query(f"select repo_id, date, metric, value from (select *, lag(value) over (partition by repo_id, metric order by date) as prev from (select repo_id, date, metric, value // 3 as value from ({CUMULATIVE}))) where prev is null or value <> prev")
+
+def _streamed(spark, d, batches, compact=gauge_stream.COMPACT) -> DataFrame:
+    """What a stream makes of batches of a feed that arrive one after the other, with a restart before each; a row without a repository ends it."""
+    root, source, checkpoint = (new_path(spark, n) for n in ("stream", "feed", "stream-checkpoint"))
+    schema = "repo_id string, metric string, value long, date string"
+    end = batches[0].sparkSession.createDataFrame([(None, None, None, "2024-12-31")], schema)
+    for i, rows in enumerate([*batches, end]):
+        rows.select("repo_id", "metric", F.col("value").cast("long"), "date").write.parquet(f"{source}/{i}")
+        feed = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source)
+        gauge_stream.run(feed, root, checkpoint, "2 days", compact).awaitTermination()
+    return gauge_stream.read_series(spark, root)
+
+
+@query(FED_SQL.format(feed=FEED))
 def gauge_stream_series(spark, d):
     """The cumulative series as a feed in three batches of days: what changes from day to day stays."""
-    feed = series.cumulative_series(derive(spark, d, inputs.ITEMS)).withColumn("value", F.floor(F.col("value") / 3))
-    root = new_path(spark, "stream")
-    for i, days in enumerate(("date < '2024-01-10'", "date >= '2024-01-10' and date < '2024-01-20'", "date >= '2024-01-20'")):
-        gauge_stream.apply_batch(root, feed.filter(days), i)
-    return gauge_stream.read_series(spark, root)
+    feed = settle(series.cumulative_series(derive(spark, d, inputs.ITEMS)).withColumn("value", F.floor(F.col("value") / 3)), "feed")
+    return _streamed(spark, d, [feed.filter(days) for days in ("date < '2024-01-10'", "date >= '2024-01-10' and date < '2024-01-20'", "date >= '2024-01-20'")])
+
+
+@query(FED_SQL.format(feed=FEED))
+def gauge_stream_overlap(spark, d):
+    """The same feed in batches that overlap in time: each day's values arrive in two of them, those of odd repositories a batch late, the morning's last."""
+    feed = settle(series.cumulative_series(derive(spark, d, inputs.ITEMS)).withColumn("value", F.floor(F.col("value") / 3)), "feed")
+    day = F.datediff("date", F.lit("2024-01-01"))
+    evening = feed.withColumn("batch", day + F.col("repo_id").cast("int") % 2).withColumn("date", F.concat("date", F.lit("T20:00:00Z")))
+    morning = feed.withColumns({"value": F.col("value") + 100, "batch": day + 1}).withColumn("date", F.concat("date", F.lit("T06:00:00Z")))
+    rows = settle(evening.unionByName(morning), "feed")
+    edges = [-1000, 8, 16, 24, 10000]
+    return _streamed(spark, d, [rows.filter((F.col("batch") >= a) & (F.col("batch") < b)).drop("batch") for a, b in zip(edges, edges[1:])], compact=2)

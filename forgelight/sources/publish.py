@@ -99,7 +99,12 @@ def _put(spark: SparkSession, path: str, text: str) -> None:
 
 
 def _get(spark: SparkSession, path: str) -> str:
-    return spark.read.text(path, wholetext=True).first()[0]
+    fs, p = _fs(spark, path)
+    opened = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(opened)).decode()
+    finally:
+        opened.close()
 
 
 def _last(spark: SparkSession, root: str) -> tuple[int, str | None]:

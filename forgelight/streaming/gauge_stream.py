@@ -1,88 +1,149 @@
-"""The gauge feed as a stream: the change-only series and current values, kept by micro-batches."""
+"""The gauge feed as a stream: a change-only series, decided in event time from Spark's state store."""
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators import series
+from ..operators import quality, series
 from ..schemas import LATEST, SERIES, empty
-from ..scratch import forget, settle
+from ..sources import publish
+from ..sources.ingest import instant
 
-#: Current values with the day on which each was measured.
-DATED = f"{LATEST}, date string"
-#: Batches after which all current values are written together again; those in between write only theirs.
+#: Batches, or merged folders of one level, that are merged into one folder of the next level.
 COMPACT = 16
+#: What is kept for each (repo_id, metric): the last value that is final, and of each day that is not final yet the newest instant and its value.
+STATE = "known boolean, value long, days array<string>, instants array<string>, values array<long>"
+#: Names the stream that a root belongs to.
+OWNER = "_stream"
+DAY_MS = 86_400_000
+
+
+def _end_of(day: str) -> int:
+    """The first millisecond after a day, in UTC."""
+    return int(datetime.strptime(day, "%Y-%m-%d").replace(tzinfo=timezone.utc).timestamp() * 1000) + DAY_MS
+
+
+def fold(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Take new values of one (repo_id, metric), and give rows of the days that the watermark has passed and whose value differs from the one before."""
+    repo, metric = key
+    known, value, pending = False, None, {}
+    if state.exists:
+        known, value, days, instants, values = state.get
+        pending = dict(zip(days, zip(instants, values, strict=True), strict=True))
+    if not state.hasTimedOut:
+        for chunk in chunks:
+            for at, new in zip(chunk["date"], chunk["value"], strict=True):
+                if not pd.isna(new):
+                    pending[at[:10]] = max(pending.get(at[:10], ("", 0)), (at, int(new)))
+    now = state.getCurrentWatermarkMs()
+    rows = []
+    if repo is not None:
+        for day in sorted(d for d in pending if _end_of(d) <= now):
+            new = pending.pop(day)[1]
+            if not known or new != value:
+                rows.append((repo, day, metric, new))
+            known, value = True, new
+        days = sorted(pending)
+        state.update((known, value, days, [pending[d][0] for d in days], [pending[d][1] for d in days]))
+        if days:
+            state.setTimeoutTimestamp(max(_end_of(days[0]) - 1, now + 1))
+    yield pd.DataFrame(rows, columns=[c.split()[0] for c in SERIES.split(", ")])
+
+
+def changes(feed: DataFrame, delay: str) -> DataFrame:
+    """Series rows of a streaming feed (repo_id, metric, value, date), each once, when its day is final.
 
+    ``date`` is a day or a full instant, as ISO text; of several values of one day that of the last
+    instant stands, of equal instants the largest. A day is final when the watermark, the newest instant seen less
+    ``delay``, has passed its end; until then values may come in any order and batch. Values that the watermark has passed
+    are left out, and Spark's progress counts them (numRowsDroppedByWatermark). A row without a repo_id
+    only moves the time on: one a day lets days become final while nothing else is measured. Null values and dates that are none are left out.
+    What is kept of a key is one value and its days that are not final.
+    """
+    at = F.try_to_timestamp(instant(F.col("date")))
+    rows = feed.select("repo_id", "metric", F.col("value").cast("long").alias("value"), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("date"), at.alias("at"))
+    rows = rows.filter("at is not null").withWatermark("at", delay)
+    return rows.groupBy("repo_id", "metric").applyInPandasWithState(fold, SERIES, STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
-def _versions(spark: SparkSession, root: str) -> tuple:
-    """The file system, and for each batch whose current values are there whether these are all ("full") or its own ("part")."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/latest")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
-    return fs, {int(n.split("-")[0]): n.split("-")[1] for n in names if n.endswith(("-full", "-part"))}
 
+def _claim(spark: SparkSession, root: str) -> None:
+    """The root belongs to the stream that wrote to it first, known by the id in its checkpoint; another one stops."""
+    mine = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "-"
+    fs, owner = publish._fs(spark, f"{root}/{OWNER}")
+    if not fs.exists(owner):
+        try:
+            publish._put(spark, f"{root}/{OWNER}", mine)
+        except quality.GateError:  # another stream was quicker
+            pass
+    if (whose := publish._get(spark, owner.toString())) != mine:
+        raise ValueError(f"{root} holds the tables of the stream {whose}, not of {mine}: a new stream, or one that lost its checkpoint, needs a folder of its own")
 
-def _before(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    """Current values after the batch before, from the last full version on. A gap stops, as does a new stream over the tables of another."""
-    _, there = _versions(spark, root)
-    start = max((n for n, kind in there.items() if n < batch_id and kind == "full"), default=0)
-    if lost := [n for n in range(start, batch_id) if n not in there]:
-        raise ValueError(f"current values of batches {lost} are gone from {root}: batch {batch_id} can't tell what has changed")
-    if not batch_id and there.keys() - {0}:
-        raise ValueError(f"{root} holds the tables of a stream that has gone on to batch {max(there)}")
-    parts = [spark.read.schema(DATED).parquet(f"{root}/latest/{n}-{there[n]}").withColumn("batch", F.lit(n)) for n in range(start, batch_id)]
-    if not parts:
-        return empty(spark, DATED)
-    return reduce(DataFrame.union, parts).groupBy(*series.LATEST_KEY).agg(F.max_by(F.struct("value", "date"), "batch").alias("x")).select(*series.LATEST_KEY, "x.*")
 
+def _parts(spark: SparkSession, root: str) -> list[tuple[int, int, int]]:
+    """(level, first, last batch) of the folders of the series that are whole."""
+    found = publish._names(spark, f"{root}/series")
+    parts = [tuple(map(int, n.split("-"))) for n in found]
+    done = lambda p: (x := publish._fs(spark, f"{root}/series/{_name(p)}/_SUCCESS"))[0].exists(x[1])
+    return [p for p in parts if done(p)]
 
-def apply_batch(root: str, batch: DataFrame, batch_id: int, compact: int = COMPACT) -> None:
-    """Fold one micro-batch of (repo_id, metric, value, date) into the tables under root.
 
-    ``date`` is a day or a full instant, as ISO text; of several values of one day that of the last
-    instant stands, of equal instants the largest. The current value is that of the newest day,
-    however late others arrive. A value of an earlier day than the current one gets its row in the
-    series, and the current value is stated again for its own day, since it is a change again now;
-    days in between whose value was as before are not known any more. The batch writes its changes
-    to its own folder of the series and the current values of its keys, or, every ``compact``
-    batches, of all keys; a batch that runs again writes the same. Versions before the last but one
-    full one are deleted.
+def _name(part: tuple[int, int, int]) -> str:
+    return f"{part[0]:02d}-{part[1]:09d}-{part[2]:09d}"
+
+
+def _current(parts: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of folders, those that no merged one of a higher level covers."""
+    return [p for p in parts if not any(q[0] > p[0] and q[1] <= p[1] and p[2] <= q[2] for q in parts)]
+
+
+def append_batch(root: str, batch: DataFrame, batch_id: int, compact: int = COMPACT) -> None:
+    """Write a batch of series rows to its own folder; a batch that runs again writes the same one.
+
+    Every ``compact`` batches their folders are merged into one, every ``compact`` of those into one of the next level, and so on: so
+    there are at most some ``2 * compact`` folders a level, and a row is written once a level. Folders that were merged stay until the next merge of
+    their level, for those who read them just then.
     """
     spark = batch.sparkSession
-    key = series.LATEST_KEY
-    daily = batch.groupBy(*key, F.substring("date", 1, 10).alias("date")).agg(F.max_by("value", F.struct("date", "value")).alias("value"))
-    latest = _before(spark, root, batch_id)
-    rows = daily.join(latest.select(*key, F.col("value").alias("old"), F.col("date").alias("since")), key, "left")
-    late = F.coalesce(F.col("date") < F.col("since"), F.lit(False))
-    last = F.lag("value").over(Window.partitionBy(*key, "late").orderBy("date"))
-    rows = settle(rows.withColumn("late", late).withColumn("prev", F.coalesce(last, "old")), "gauge-batch")
-    changed = rows.filter("late or not value <=> prev").select("repo_id", "date", "metric", "value", F.lit(1).alias("rank"))
-    again = rows.filter("late").select("repo_id", F.col("since").alias("date"), "metric", F.col("old").alias("value"), F.lit(0).alias("rank")).distinct()
-    changed = changed.union(again).groupBy(*series.KEY).agg(F.max_by("value", "rank").alias("value"))
-    changed.select([c.split()[0] for c in SERIES.split(", ")]).write.mode("overwrite").parquet(f"{root}/series/batch={batch_id}")
-    newest = rows.groupBy(*key).agg(F.max_by(F.struct("value", "date"), F.when(F.col("late"), "").otherwise(F.col("date"))).alias("x"), F.max(F.struct("since", "old")).alias("o"))
-    newest = newest.select(*key, F.when(F.col("x.date") >= F.coalesce("o.since", F.lit("")), F.col("x")).otherwise(F.struct(F.col("o.old").alias("value"), F.col("o.since").alias("date"))).alias("x")).select(*key, "x.*")
-    full = batch_id % compact == compact - 1
-    whole = series.upsert_replace(latest, newest, key) if full else newest
-    whole.write.mode("overwrite").parquet(f"{root}/latest/{batch_id}-{'full' if full else 'part'}")
-    forget(rows)
-    if full:
-        fs, there = _versions(spark, root)
-        kept = max((n for n, kind in there.items() if kind == "full" and n < batch_id), default=0)
-        for n in [n for n in there if n < kept]:
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/latest/{n}-{there[n]}"), True)
-
-
-def run(feed: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Start the stream over what is available; feed: a streaming table of (repo_id, metric, value, date)."""
-    return feed.writeStream.foreachBatch(lambda b, i: apply_batch(root, b, i)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    _claim(spark, root)
+    batch.write.mode("overwrite").parquet(f"{root}/series/{_name((0, batch_id, batch_id))}")
+    size, level = compact, 0
+    while (batch_id + 1) % size == 0:
+        first = batch_id + 1 - size
+        parts = [p for p in _parts(spark, root) if p[0] == level and p[1] >= first]
+        if parts:
+            merged = spark.read.schema(SERIES).parquet(*[f"{root}/series/{_name(p)}" for p in parts])
+            merged.hint("rebalance").write.mode("overwrite").parquet(f"{root}/series/{_name((level + 1, first, batch_id))}")
+            fs = publish._fs(spark, root)[0]
+            for p in _parts(spark, root):
+                if p[0] == level and p[2] < first:
+                    fs.delete(publish._fs(spark, f"{root}/series/{_name(p)}")[1], True)
+        size, level = size * compact, level + 1
+
+
+def run(feed: DataFrame, root: str, checkpoint: str, delay: str = "2 days", compact: int = COMPACT) -> StreamingQuery:
+    """Start the stream over what is available; feed: a streaming table of (repo_id, metric, value, date), see changes().
+
+    State and watermark are in the checkpoint, from which a later run goes on; the series is under root (read_series). For
+    many keys set Spark's RocksDB state store.
+    """
+    out = changes(feed, delay).writeStream.foreachBatch(lambda b, i: append_batch(root, b, i, compact))
+    return out.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def read_series(spark: SparkSession, root: str) -> DataFrame:
-    """The series so far; of rows of one key that of the latest batch stands."""
-    rows = spark.read.parquet(f"{root}/series")
-    return rows.groupBy(*series.KEY).agg(F.max_by("value", "batch").alias("value")).select([c.split()[0] for c in SERIES.split(", ")])
+    """The series so far, of all days that are final."""
+    parts = _current(_parts(spark, root))
+    return spark.read.schema(SERIES).parquet(*[f"{root}/series/{_name(p)}" for p in parts]) if parts else empty(spark, SERIES)
+
+
+def read_latest(spark: SparkSession, root: str) -> DataFrame:
+    """The current value of each (repo_id, metric), as of the days that are final."""
+    rows = read_series(spark, root).groupBy(*series.LATEST_KEY).agg(F.max_by("value", "date").alias("value"))
+    return rows.select([c.split()[0] for c in LATEST.split(", ")])

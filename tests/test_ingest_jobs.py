@@ -162,42 +162,50 @@ def test_pages_that_hold_less_than_was_counted(spark):
     assert got == {"all": (2, 1), "cut": (2, 0), "open": (2, 1), "two": (4, 0)}
 
 
-def test_stream_is_safe_to_replay(spark, tmp_path, rows):
-    root = f"file://{tmp_path}/out"
-    schema = "repo_id string, metric string, value long, date string"
-    feed = spark.createDataFrame([("r", "stars", 1, "2024-01-01"), ("r", "stars", 1, "2024-01-02"), ("r", "stars", 2, "2024-01-03")], schema)
-    feed.write.parquet(f"{tmp_path}/in")
-    gauge_stream.run(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), root, f"{tmp_path}/cp").awaitTermination()
-    want = [("r", "2024-01-01", "stars", 1), ("r", "2024-01-03", "stars", 2)]
+def test_stream_decides_days_in_event_time(spark, tmp_path, rows):
+    """Late and repeated values, two of a day, a restart, a batch that runs again, and a new stream over the root of another."""
+    root, schema = f"file://{tmp_path}/out", "repo_id string, metric string, value long, date string"
+    went = []
+
+    def feed(*r, checkpoint="cp", place=root):
+        spark.createDataFrame([(k, None if k is None else "stars", v, d) for k, v, d in r], schema).coalesce(1).write.parquet(f"{tmp_path}/in/{len(went)}")
+        went.append(r)
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+        q = gauge_stream.run(stream, place, f"{tmp_path}/{checkpoint}", "2 days", compact=2)
+        q.awaitTermination()
+        return q
+
+    feed(("r", 3, "2024-01-01T20:00:00Z"), ("r", 5, "2024-01-01T08:00:00Z"), ("r", 3, "2024-01-03"), ("q", 0, "2024-01-02"), ("r", None, "2024-01-02"), ("r", 9, "no day"))
+    assert rows(gauge_stream.read_series(spark, root)) == []  # 2024-01-01 is not final: the watermark is its first instant
+    feed(("r", 7, "2024-01-02"), ("r", 8, "2024-01-02"), ("r", 4, "2024-01-04T12:00:00Z"), ("r", 3, "2024-01-01T20:00:00Z"))  # late, within two days
+    assert rows(gauge_stream.read_series(spark, root)) == [("r", "2024-01-01", "stars", 3)]
+    feed(("r", 4, "2024-01-06"), ("r", 1, "2024-01-01T23:00:00Z"))  # the second one comes after the watermark
+    want = [("q", "2024-01-02", "stars", 0), ("r", "2024-01-01", "stars", 3), ("r", "2024-01-02", "stars", 8), ("r", "2024-01-03", "stars", 3)]
+    assert rows(gauge_stream.read_series(spark, root)) == want
+    feed((None, None, "2024-01-20"))
+    want = sorted([*want, ("r", "2024-01-04", "stars", 4)])
     assert rows(gauge_stream.read_series(spark, root)) == want
-    gauge_stream.apply_batch(root, feed, 0)
+    assert rows(gauge_stream.read_latest(spark, root)) == [("q", "stars", 0), ("r", "stars", 4)]
+    last = max(p[2] for p in gauge_stream._parts(spark, root))
+    assert len(gauge_stream._parts(spark, root)) <= 4 * (last + 1).bit_length()
+    with pytest.raises(Exception, match="holds the tables of the stream"):
+        feed(("r", 99, "2024-02-01"), checkpoint="other")
     assert rows(gauge_stream.read_series(spark, root)) == want
-    gauge_stream.apply_batch(root, spark.createDataFrame([("r", "stars", 2, "2024-01-04"), ("q", "forks", 0, "2024-01-04")], schema), 1)
-    assert rows(gauge_stream.read_series(spark, root)) == [("q", "2024-01-04", "forks", 0), *want]
+    feed((None, None, "2024-02-10"))  # the first stream goes on
+    assert rows(gauge_stream.read_series(spark, root)) == sorted([*want, ("r", "2024-02-01", "stars", 99)])
 
 
-def test_stream_keeps_the_newest_value_on_late_data(spark, tmp_path, rows):
+def test_batches_are_merged_and_may_run_again(spark, tmp_path, rows):
     root = f"file://{tmp_path}/out"
-    feed = lambda *r: spark.createDataFrame([("r", "stars", v, d) for v, d in r], "repo_id string, metric string, value long, date string")
-    gauge_stream.apply_batch(root, feed((3, "2024-01-01T08:00:00Z"), (5, "2024-01-01T20:00:00Z"), (5, "2024-01-03")), 0)
-    gauge_stream.apply_batch(root, feed((10, "2024-01-05")), 1)
-    late = feed((7, "2024-01-02"))
-    gauge_stream.apply_batch(root, late, 2)
-    want = [("r", "2024-01-01", "stars", 5), ("r", "2024-01-02", "stars", 7), ("r", "2024-01-05", "stars", 10)]
-    assert rows(gauge_stream.read_series(spark, root)) == want
-    gauge_stream.apply_batch(root, late, 2, compact=2)
-    gauge_stream.apply_batch(root, feed((10, "2024-01-06")), 3, compact=2)
-    assert rows(gauge_stream.read_series(spark, root)) == want
-    assert rows(spark.read.parquet(f"{root}/latest/3-full")) == [("r", "stars", 10, "2024-01-06")]
-    gauge_stream.apply_batch(root, spark.createDataFrame([("q", "forks", 1, "2024-01-07")], late.schema), 4, compact=2)
-    gauge_stream.apply_batch(root, feed((11, "2024-01-08")), 5, compact=2)
-    assert rows(spark.read.parquet(f"{root}/latest/5-full")) == [("q", "forks", 1, "2024-01-07"), ("r", "stars", 11, "2024-01-08")]
-    assert sorted(p.name for p in (tmp_path / "out" / "latest").iterdir()) == ["3-full", "4-part", "5-full"]
-    assert rows(gauge_stream.read_series(spark, root)) == sorted([*want, ("r", "2024-01-08", "stars", 11), ("q", "2024-01-07", "forks", 1)])
-    with pytest.raises(ValueError, match="gone from"):
-        gauge_stream.apply_batch(root, late, 9)
-    with pytest.raises(ValueError, match="gone on"):
-        gauge_stream.apply_batch(root, late, 0)
+    batch = lambda i: spark.createDataFrame([("r", f"2024-01-{i + 1:02d}", "stars", i)], schemas.SERIES)
+    for i in range(27):
+        gauge_stream.append_batch(root, batch(i), i, compact=3)
+        if i in (5, 8, 11, 26):
+            gauge_stream.append_batch(root, batch(i), i, compact=3)
+        assert gauge_stream.read_series(spark, root).count() == i + 1
+        assert len(gauge_stream._current(gauge_stream._parts(spark, root))) <= 2 * 3
+    assert gauge_stream._current(gauge_stream._parts(spark, root)) == [(3, 0, 26)] and len(gauge_stream._parts(spark, root)) <= 3 * 2 * 3
+    assert rows(gauge_stream.read_series(spark, root)) == [("r", f"2024-01-{i + 1:02d}", "stars", i) for i in range(27)]
 
 
 def test_requests_carry_their_own_answer_alone(spark, rows):
