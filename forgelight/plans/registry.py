@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -783,7 +784,7 @@ select 'n' || k as node_id, 'o' || s_nationkey || '/r' || k as name_with_owner,
   case when k % 4 <> 0 then k % 5 + 4 end as prs_closed, k % 5 as prs_merged, k % 5 + 6 as releases_total, k * 11 as size_kb, case when k % 4 <> 0 then 'MIT' end as license, case when k % 9 <> 0 then 'a,b' || k % 4 end as topics,
   cast(k % 2 = 0 as int) as is_archived, cast(k % 3 = 0 as int) as is_fork, 0 as is_mirror, case when k % 4 <> 0 then 1 end as is_disabled, '2020-01-0' || (1 + k % 9) || 'T00:00:00Z' as created_at, case when k % 4 <> 0 then '2024-01-02T00:00:00Z' end as pushed_at,
   '2024-01-03T00:00:00Z' as updated_at, case when k % 4 <> 0 then '2023-0' || (1 + k % 9) || '-01T00:00:00Z' end as last_release_at, case when k % 4 <> 0 then 'v' || k end as last_release_tag, case when k % 4 <> 0 then 'R' end as language
-from (select *, s_suppkey as k from supplier) where k % 6 <> 0
+from (select *, s_suppkey as k from supplier)
 """
 )
 def gauge_rows(spark, d):
@@ -792,13 +793,13 @@ def gauge_rows(spark, d):
       {total("mergedPRs")}, {total("releases", 6)}, ',"diskUsage":', k * 11, ',"licenseInfo":', case when hole then 'null' else '{{"spdxId":"MIT"}}' end, ',"repositoryTopics":{{"nodes":[', case when k % 9 = 0 then '' else concat('{{"topic":{{"name":"a"}}}},{{"topic":{{"name":"b', k % 4, '"}}}}') end, ']}}',
       ',"isArchived":', archived, ',"isFork":', k % 3 = 0, ',"isMirror":false', case when hole then '' else ',"isDisabled":true,"pushedAt":"2024-01-02T00:00:00Z"' end, ',"createdAt":"2020-01-0', 1 + k % 9, 'T00:00:00Z","updatedAt":"2024-01-03T00:00:00Z"',
       case when hole then ',"latestRelease":null' else concat(',"latestRelease":{{"tagName":"v', k, '","publishedAt":"2023-0', 1 + k % 9, '-01T00:00:00Z","isPrerelease":false}},"primaryLanguage":{{"name":"R"}}') end, '}},null')"""
-    return ingest.gauges(_bodies(spark, d, f"select * from ({GAUGE_ROWS}) x where k % 6 <> 0", item, ('{"data":{"nodes":[', "]}}"), "batch"))
+    return ingest.gauges(_bodies(spark, d, GAUGE_ROWS, item, ('{"data":{"nodes":[', "]}}"), "batch"))[0]
 
 
 @query("select 'n' || s_suppkey as node_id, case when s_suppkey % 4 <> 0 then s_suppkey * 7 end as commits_total, case when s_suppkey % 4 <> 0 then '2024-01-0' || (1 + s_suppkey % 9) || 'T00:00:00Z' end as last_commit_date from supplier")
 def commit_total_rows(spark, d):
     item = """concat('{"id":"', id, '","defaultBranchRef":', case when hole then 'null' else concat('{"target":{"history":{"totalCount":', stars, '},"last":{"nodes":[{"committedDate":"2024-01-0', 1 + cast(substring(id, 2) as bigint) % 9, 'T00:00:00Z"}]}}}') end, '}')"""
-    return ingest.commit_totals(_bodies(spark, d, GAUGE_ROWS, item, ('{"data":{"nodes":[', "]}}"), "batch"))
+    return ingest.commit_totals(_bodies(spark, d, GAUGE_ROWS, item, ('{"data":{"nodes":[', "]}}"), "batch"))[0]
 
 
 PAGES = """
@@ -844,7 +845,7 @@ def identity_rows(spark, d):
 def tree_rows(spark, d):
     item = """concat('"r', k, '":', case when k % 3 <> 0 then concat('{"isFork":', k % 2 = 0, ',"root":{"entries":[{"name":"R"},{"name":"f', k, '"}]},"github":{"entries":[{"name":"workflows"}]},"claude":{"entries":[{"name":"skills"}]},"inst":{"entries":[{"name":"skills"}]},"gitignore":{"text":"a\\\\nb"}}') else 'null' end)"""
     raw = _bodies(spark, d, f"select c_custkey as k, {BATCH} as batch from customer", item, ('{"data":{', "}}"), "batch")
-    rows = ingest.trees(raw, derive(spark, d, REQUESTS))
+    rows = ingest.trees(raw, derive(spark, d, REQUESTS))[0]
     return rows.select("repo_id", F.array_join("root_entries", ",").alias("root_entries"), F.array_join("github_entries", ",").alias("github_entries"), F.array_join("gitignore_lines", ",").alias("gitignore"), "is_fork")
 
 
@@ -852,7 +853,7 @@ def tree_rows(spark, d):
 def pull_request_rows(spark, d):
     item = """concat('"r', k, '":', case when k % 3 <> 0 then '{"pullRequests":{"pageInfo":{"hasNextPage":false},"nodes":[{"createdAt":"2024-01-01T00:00:00Z","author":{"login":"cursor","__typename":"Bot"}},{"createdAt":"2024-01-02T00:00:00Z","author":null}]}}' else 'null' end)"""
     raw = _bodies(spark, d, f"select c_custkey as k, {BATCH} as batch from customer", item, ('{"data":{', "}}"), "batch")
-    return ingest.pull_requests(raw, derive(spark, d, REQUESTS))
+    return ingest.pull_requests(raw, derive(spark, d, REQUESTS))[0]
 
 
 @query("select cast(c_custkey as varchar) as repo_id, case c_custkey % 4 when 0 then 'refused' when 1 then 'refused' when 2 then 'none' else 'hit' end as state, case c_custkey % 4 when 2 then 0 when 3 then c_custkey end as n, case when c_custkey % 4 = 3 then 'fix' end as message, case when c_custkey % 4 = 3 then '2024-01-05T00:00:00Z' end as date from customer")
@@ -871,7 +872,7 @@ HISTORY_SQL = "select c_custkey as k, i from customer, (values (1), (2), (3)) v(
 @query(f"select cast(k as varchar) as repo_id, 'p' || k % 7 as path, i || 'x' || k as oid, '2024-0' || i || '-0' || (1 + k % 9) || 'T00:00:00Z' as committed_at from ({HISTORY_SQL})")
 def path_commit_rows(spark, d):
     raw = derive(spark, d, "select c_custkey as k, cast(c_custkey as string) as repo_id, concat('p', c_custkey % 7) as path from customer").withColumn("body", F.expr(HISTORY_BODY))
-    return ingest.path_commits(raw)
+    return ingest.path_commits(raw)[0]
 
 
 @query(
@@ -879,4 +880,42 @@ def path_commit_rows(spark, d):
 )
 def file_revision_rows(spark, d):
     raw = derive(spark, d, "select c_custkey as k, cast(c_custkey as string) as repo_id, 'gitignore' as file from customer").withColumn("body", F.expr(HISTORY_BODY))
-    return ingest.file_revisions(raw).withColumn("lines", F.array_join("lines", ","))
+    return ingest.file_revisions(raw)[0].withColumn("lines", F.array_join("lines", ","))
+
+
+#: A response cut off, one that is a page of HTML, one that is not there, one with a fault of the service; k % 20 decides, as batch % 20 does.
+BROKEN = """case {by} % 20 when 3 then substring(body, 1, length(body) - 10) when 4 then '<html>sorry</html>' when 5 then null when 6 then concat(substring(body, 1, length(body) - 1), ',"errors":[{{"type":"TIMEOUT"}}]}}') when 7 then concat(substring(body, 1, length(body) - 1), ',"errors":[{{"type":"NOT_FOUND","path":["r3"]}}]}}') else body end"""
+
+
+@query(
+    """
+with kinds(kind) as (values ('gauges'), ('commits'), ('trees'), ('pull_requests'), ('path_commits'), ('file_revisions')), c as (select c_custkey as k, c_custkey % 20 in (3, 4, 5, 6) as bad from customer)
+select kind, 'github.com/a/' || k as repo_id, case when bad then 'deferred' else 'read' end as state from c, kinds where bad or kind in ('gauges', 'commits', 'trees') or (kind = 'pull_requests' and k % 3 <> 0) or (kind in ('path_commits', 'file_revisions') and k % 4 <> 0)
+union all select 'quarantined ' || reason, null, cast(count(*) as varchar) from (select distinct c_custkey % 20 + 20 * (c_custkey // 1000) as batch, case c_custkey % 20 when 3 then 'not as declared' when 4 then 'not as declared' when 5 then 'no body' else 'error' end as reason from customer where c_custkey % 20 in (3, 4, 5, 6)) group by reason
+"""
+)
+def deferred_repositories(spark, d):
+    """Of each reader the repositories that it read, and those it deferred because their response can't be used; of the bodies set aside, how many by reason."""
+    requests = derive(spark, d, REQUESTS)
+
+    def bodies(item, wrap):
+        raw = _bodies(spark, d, f"select c_custkey as k, {BATCH} as batch from customer", item, wrap, "batch")
+        return raw.withColumn("body", F.expr(BROKEN.format(by="batch")))
+
+    nodes = bodies("""concat('{"id":"n', k, '","stargazerCount":', k, '}')""", ('{"data":{"nodes":[', "]}}"))
+    tree = bodies("""concat('"r', k, '":', case when k % 3 = 0 then 'null' else '{"isFork":false}' end)""", ('{"data":{', "}}"))
+    pulls = bodies("""concat('"r', k, '":', case when k % 3 = 0 then 'null' else '{"pullRequests":{"nodes":[{"createdAt":"2024"},{"createdAt":"2023"}]}}' end)""", ('{"data":{', "}}"))
+    pages = derive(spark, d, "select c_custkey as k, concat('github.com/a/', c_custkey) as repo_id, 'p' as path, 'f' as file from customer").withColumn("body", F.expr(HISTORY_BODY)).withColumn("body", F.expr(BROKEN.format(by="k")))
+    whole = pages.select("repo_id", "path", "file", F.lit('{"data":{"node":{"history":{"nodes":[]}}}}').alias("body")).unionByName(pages.select("repo_id", "path", "file", "body"))
+    found = {
+        "gauges": ingest.gauges(nodes, requests), "commits": ingest.commit_totals(nodes, requests), "trees": ingest.trees(tree, requests), "pull_requests": ingest.pull_requests(pulls, requests),
+        "path_commits": ingest.path_commits(whole), "file_revisions": ingest.file_revisions(whole),
+    }
+    by_node = F.concat(F.lit("github.com/a/"), F.substring("node_id", 2, 20))
+    parts = [
+        rows.select(F.lit(kind).alias("kind"), (by_node if "node_id" in rows.columns else F.col("repo_id")).alias("repo_id"), F.lit(state).alias("state")).distinct()
+        for kind, both in found.items() for rows, state in zip(both, ("read", "deferred"), strict=True)
+    ]
+    reasons = ingest.quarantined(tree, "trees").groupBy("reason").agg(F.count("*").cast("string").alias("state"))
+    parts.append(reasons.select(F.concat(F.lit("quarantined "), "reason").alias("kind"), F.lit(None).cast("string").alias("repo_id"), "state"))
+    return reduce(DataFrame.union, parts)

@@ -79,12 +79,54 @@ def stanzas(spark: SparkSession, paths: list[str], origin: str) -> DataFrame:
     return metadata(rows.filter("package is not null").drop("file"), origin)
 
 
-def gauges(raw: DataFrame) -> DataFrame:
-    """Responses (body) to one row for each repository: counters, licence, topics, flags and times; a missing counter is null."""
-    n = raw.select(F.inline(F.from_json("body", GAUGE)["data"]["nodes"])).filter("id is not null")
+#: Schema of a response by kind of reader.
+RESPONSES = {"gauges": GAUGE, "commits": COMMITS, "trees": TREE, "pull_requests": PRS, "history": HISTORY}
+ERRORS = "errors:array<struct<type:string,path:array<string>>>"
+
+
+def _parsed(raw: DataFrame, kind: str) -> DataFrame:
+    """Responses with ``r``, the body as declared, and ``reason``, why it can't be used; null if it can."""
+    schema = f"struct<{ERRORS},_corrupt_record:string,{RESPONSES[kind].removeprefix('struct<')}"
+    r = raw.withColumn("r", F.from_json("body", schema, {"mode": "PERMISSIVE"}))
+    fault = F.coalesce(F.size("r.errors"), F.lit(0)) > 0
+    return r.withColumn(
+        "reason",
+        F.when(F.col("body").isNull(), "no body").when(F.col("r").isNull() | F.col("r._corrupt_record").isNotNull(), "not as declared")
+        .when(fault & ~only_not_found(F.col("r.errors")), "error").when(F.col("r.data").isNull(), "no data"),
+    )
+
+
+def quarantined(raw: DataFrame, kind: str) -> DataFrame:
+    """Responses of a kind (see RESPONSES) that can't be used, with their bodies and the ``reason``: to be kept and looked at.
+
+    A body that is null, cut off or otherwise no JSON as declared, one with an error other than not-found of an alias, one without data.
+    """
+    return _parsed(raw, kind).filter("reason is not null").drop("r")
+
+
+def _readable(raw: DataFrame, kind: str) -> DataFrame:
+    return _parsed(raw, kind).filter("reason is null").drop("body", "reason")
+
+
+def _not_read(raw: DataFrame, good: DataFrame, kind: str, requests: DataFrame | None) -> DataFrame:
+    """(repo_id) of requests (batch, repo_id) whose batch has no response that can be used; without requests, what identifies the responses that can't."""
+    if requests is None:
+        return quarantined(raw, kind).drop("body", "reason")
+    return requests.join(good.select("batch").distinct(), "batch", "left_anti").select("repo_id")
+
+
+def gauges(raw: DataFrame, requests: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, deferred) of responses (body and, for requests, batch).
+
+    A row for each repository: counters, licence, topics, flags and times; a missing counter is null. Deferred:
+    repositories of requests (batch, repo_id) whose response is not there or can't be used (see quarantined); they keep
+    what was measured before. Without requests, deferred names the responses themselves by their other columns.
+    """
+    good = _readable(raw, "gauges")
+    n = good.select(F.inline(F.col("r.data.nodes"))).filter("id is not null")
     total = lambda c: F.col(f"{c}.totalCount")
     flag = lambda c: F.col(c).cast("int")
-    return n.select(
+    rows = n.select(
         F.col("id").alias("node_id"), F.col("nameWithOwner").alias("name_with_owner"), F.col("stargazerCount").alias("stars"), F.col("forkCount").alias("forks"),
         total("watchers").alias("watchers"), total("issues_open").alias("issues_open"), total("issues_closed").alias("issues_closed"), total("prs_open").alias("prs_open"),
         total("prs_closed").alias("prs_closed"), total("mergedPRs").alias("prs_merged"), total("releases").alias("releases_total"), F.col("diskUsage").alias("size_kb"),
@@ -93,13 +135,16 @@ def gauges(raw: DataFrame) -> DataFrame:
         F.col("createdAt").alias("created_at"), F.col("pushedAt").alias("pushed_at"), F.col("updatedAt").alias("updated_at"), F.col("latestRelease.publishedAt").alias("last_release_at"),
         F.col("latestRelease.tagName").alias("last_release_tag"), F.col("primaryLanguage.name").alias("language"),
     )
+    return rows, _not_read(raw, good, "gauges", requests)
 
 
-def commit_totals(raw: DataFrame) -> DataFrame:
-    """Responses (body) to (node_id, commits_total, last_commit_date); null where there is no default branch."""
-    n = raw.select(F.inline(F.from_json("body", COMMITS)["data"]["nodes"])).filter("id is not null")
+def commit_totals(raw: DataFrame, requests: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, deferred) of responses: (node_id, commits_total, last_commit_date), null where there is no default branch; deferred as of gauges()."""
+    good = _readable(raw, "commits")
+    n = good.select(F.inline(F.col("r.data.nodes"))).filter("id is not null")
     target = "defaultBranchRef.target"
-    return n.select(F.col("id").alias("node_id"), F.col(f"{target}.history.totalCount").alias("commits_total"), F.try_element_at(F.col(f"{target}.last.nodes"), F.lit(1))["committedDate"].alias("last_commit_date"))
+    rows = n.select(F.col("id").alias("node_id"), F.col(f"{target}.history.totalCount").alias("commits_total"), F.try_element_at(F.col(f"{target}.last.nodes"), F.lit(1))["committedDate"].alias("last_commit_date"))
+    return rows, _not_read(raw, good, "commits", requests)
 
 
 def connection_items(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -150,26 +195,30 @@ def identities(raw: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFram
     return got, requests.join(good.select("batch"), "batch", "left_anti").select("repo_id")
 
 
-def trees(raw: DataFrame, requests: DataFrame) -> DataFrame:
-    """(repo_id, root_entries, github_entries, gitignore_lines, rbuildignore_lines, is_fork, parent) of tree responses.
+def trees(raw: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, deferred) of tree responses (batch, body) to requests (batch, alias, repo_id).
 
-    Names of subtrees are written below them (dir/name); a repository that is gone has no entries and a null fork flag.
+    Rows: (repo_id, root_entries, github_entries, gitignore_lines, rbuildignore_lines, is_fork, parent). Names of subtrees are written below
+    them (dir/name); a repository that is gone has no entries and a null fork flag. One whose response can't be used (see
+    quarantined) is neither gone nor empty: it has no row and is deferred.
     """
-    r = raw.select("batch", F.from_json("body", TREE)["data"].alias("data"))
-    rows = _answers(r, requests)
+    good = _readable(raw, "trees").select("batch", F.col("r.data").alias("data"))
+    rows = _answers(good, requests)
     none = F.array().cast("array<string>")
     names = lambda c, pre="": F.coalesce(F.transform(F.col(f"x.{c}.entries"), lambda e: F.concat(F.lit(pre), e["name"])), none)
     root = F.concat(names("root"), *[names(s, f"{SUBTREE_NAMES[s]}/") for s in SUBTREES])
     lines = lambda c: F.coalesce(F.split(F.col(f"x.{c}.text"), r"\r?\n"), none)
-    return rows.select("repo_id", root.alias("root_entries"), names("github").alias("github_entries"), lines("gitignore").alias("gitignore_lines"), lines("rbuildignore").alias("rbuildignore_lines"), F.col("x.isFork").alias("is_fork"), F.col("x.parent.nameWithOwner").alias("parent"))
+    found = rows.select("repo_id", root.alias("root_entries"), names("github").alias("github_entries"), lines("gitignore").alias("gitignore_lines"), lines("rbuildignore").alias("rbuildignore_lines"), F.col("x.isFork").alias("is_fork"), F.col("x.parent.nameWithOwner").alias("parent"))
+    return found, _not_read(raw, good, "trees", requests)
 
 
-def pull_requests(raw: DataFrame, requests: DataFrame) -> DataFrame:
-    """(repo_id, login, typename, created_at, has_next) of pull-request responses."""
-    r = raw.select("batch", F.from_json("body", PRS)["data"].alias("data"))
-    x = _answers(r, requests).select("repo_id", F.col("x.pullRequests").alias("p"))
+def pull_requests(raw: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, deferred) of pull-request responses: (repo_id, login, typename, created_at, has_next); deferred as of trees()."""
+    good = _readable(raw, "pull_requests").select("batch", F.col("r.data").alias("data"))
+    x = _answers(good, requests).select("repo_id", F.col("x.pullRequests").alias("p"))
     rows = x.select("repo_id", F.col("p.pageInfo.hasNextPage").alias("has_next"), F.explode("p.nodes").alias("n"))
-    return rows.select("repo_id", F.col("n.author.login").alias("login"), F.col("n.author.__typename").alias("typename"), F.col("n.createdAt").alias("created_at"), "has_next")
+    found = rows.select("repo_id", F.col("n.author.login").alias("login"), F.col("n.author.__typename").alias("typename"), F.col("n.createdAt").alias("created_at"), "has_next")
+    return found, _not_read(raw, good, "pull_requests", requests)
 
 
 def search_hits(raw: DataFrame) -> DataFrame:
@@ -191,16 +240,28 @@ def search_hits(raw: DataFrame) -> DataFrame:
     return r.withColumn("state", state).select("repo_id", "tool", "tier", "state", count.alias("n"), *[F.when(F.col("state") == "hit", x).alias(c) for c, x in (("message", first["message"]), ("author", first["author"]["name"]), ("date", instant(date(first))))], page.alias("page"))
 
 
-def path_commits(raw: DataFrame) -> DataFrame:
-    """History pages (repo_id, path, body) to (repo_id, path, oid, committed_at)."""
-    rows = raw.select("repo_id", "path", F.explode(F.from_json("body", HISTORY)["data"]["node"]["history"]["nodes"]).alias("n"))
-    return rows.select("repo_id", "path", F.col("n.oid").alias("oid"), F.col("n.committedDate").alias("committed_at"))
+def _history(raw: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(pages, deferred) of history pages: those of keys of which every page can be used, with ``nodes``, and the other keys."""
+    deferred = quarantined(raw, "history").select(key).distinct()
+    pages = _readable(raw, "history").select(*key, F.col("r.data.node.history.nodes").alias("nodes"))
+    return pages.join(deferred, key, "left_anti"), deferred
+
+
+def path_commits(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, deferred) of history pages (repo_id, path, body): (repo_id, path, oid, committed_at), and the (repo_id, path) with a page that can't be used.
+
+    The page that is missing may be the oldest, so of such a path no commit is given; deferred is what marker_onset takes as incomplete.
+    """
+    pages, deferred = _history(raw, ["repo_id", "path"])
+    rows = pages.select("repo_id", "path", F.explode("nodes").alias("n"))
+    return rows.select("repo_id", "path", F.col("n.oid").alias("oid"), F.col("n.committedDate").alias("committed_at")), deferred
 
 
-def file_revisions(raw: DataFrame) -> DataFrame:
-    """Ignore-file pages (repo_id, file, body), newest first, to (repo_id, file, n, oid, committed_at, lines); n rises with time."""
-    rows = raw.select("repo_id", "file", F.posexplode(F.from_json("body", HISTORY)["data"]["node"]["history"]["nodes"]).alias("i", "n"))
-    return rows.select("repo_id", "file", (-F.col("i")).alias("n"), F.col("n.oid").alias("oid"), F.col("n.committedDate").alias("committed_at"), F.split("n.file.text", r"\r?\n").alias("lines"))
+def file_revisions(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, deferred) of ignore-file pages (repo_id, file, body), newest first: (repo_id, file, n, oid, committed_at, lines), where n rises with time, and the (repo_id, file) with a page that can't be used."""
+    pages, deferred = _history(raw, ["repo_id", "file"])
+    rows = pages.select("repo_id", "file", F.posexplode("nodes").alias("i", "n"))
+    return rows.select("repo_id", "file", (-F.col("i")).alias("n"), F.col("n.oid").alias("oid"), F.col("n.committedDate").alias("committed_at"), F.split("n.file.text", r"\r?\n").alias("lines")), deferred
 
 
 def read_published(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -162,6 +162,23 @@ def test_pages_that_hold_less_than_was_counted(spark):
     assert got == {"all": (2, 1), "cut": (2, 0), "open": (2, 1), "two": (4, 0)}
 
 
+def test_responses_that_cannot_be_used_are_set_aside(spark, rows):
+    good = '{"data":{"nodes":[{"id":"n1","stargazerCount":5},null]}}'
+    bodies = {1: good, 2: good[:-20], 3: None, 4: "<html>", 5: '{"data":null}', 6: '{"errors":[{"type":"FORBIDDEN","path":["x"]}],"data":{"nodes":[]}}', 7: '{"data":{"nodes":[{"id":"n7","stargazerCount":"many"}]}}', 8: "", 9: "[]"}
+    raw = spark.createDataFrame(list(bodies.items()), "batch long, body string")
+    requests = spark.createDataFrame([(b, f"r{b}") for b in (*bodies, 10)], "batch long, repo_id string")
+    found, deferred = ingest.gauges(raw, requests)
+    assert rows(found.select("node_id", "stars")) == [("n1", 5)]
+    assert rows(deferred) == sorted([(f"r{b}",) for b in (*range(2, 10), 10)], key=repr)
+    assert {r["batch"]: r["reason"] for r in ingest.quarantined(raw, "gauges").collect()} == {2: "not as declared", 3: "no body", 4: "not as declared", 5: "no data", 6: "error", 7: "not as declared", 8: "not as declared", 9: "not as declared"}
+    assert rows(ingest.gauges(raw)[1]) == [(b,) for b in range(2, 10)]
+    pages = spark.createDataFrame([("a", "p", '{"data":{"node":{"history":{"nodes":[{"oid":"1","committedDate":"2024"}]}}}}'), ("a", "p", "cut {"), ("b", "p", '{"data":{"node":{"history":{"nodes":[{"oid":"2","committedDate":"2023"}]}}}}')], "repo_id string, path string, body string")
+    commits, missing = ingest.path_commits(pages)
+    assert rows(commits.select("repo_id", "oid")) == [("b", "2")] and rows(missing) == [("a", "p")]
+    for reader in (ingest.commit_totals, ingest.gauges):
+        assert reader(raw.limit(0), requests)[1].count() == 10 and reader(raw.limit(0))[0].count() == 0
+
+
 def test_stream_decides_days_in_event_time(spark, tmp_path, rows):
     """Late and repeated values, two of a day, a restart, a batch that runs again, and a new stream over the root of another."""
     root, schema = f"file://{tmp_path}/out", "repo_id string, metric string, value long, date string"
@@ -215,9 +232,10 @@ def test_requests_carry_their_own_answer_alone(spark, rows):
     got, deferred = ingest.identities(raw, asked)
     assert rows(got.select("repo_id", "node_id", "owner", "status")) == [("1a", "n1", "o", "active"), ("1b", None, None, "gone"), ("1c", None, None, "gone")]
     assert rows(deferred) == [("2a",), ("3a",), ("4a",)]
-    found = ingest.trees(raw, asked)
-    assert rows(found.select("repo_id", "is_fork")) == [("1a", True), ("1b", None), ("1c", None), ("2a", None), ("3a", None)]
-    prs = ingest.pull_requests(spark.createDataFrame([(1, '{"data":{"a":{"pullRequests":{"pageInfo":{"hasNextPage":false},"nodes":[{"createdAt":"d","author":null}]}},"b":null}}')], "batch long, body string"), asked)
+    found, left = ingest.trees(raw, asked)
+    assert rows(found.select("repo_id", "is_fork")) == [("1a", True), ("1b", None), ("1c", None)]
+    assert rows(left) == [("2a",), ("3a",), ("4a",)]  # a fault of the service, junk, no response: none of them is gone
+    prs, _ = ingest.pull_requests(spark.createDataFrame([(1, '{"data":{"a":{"pullRequests":{"pageInfo":{"hasNextPage":false},"nodes":[{"createdAt":"d","author":null}]}},"b":null}}')], "batch long, body string"), asked)
     assert rows(prs.select("repo_id", "created_at")) == [("1a", "d")]
     for joined in (got, found, prs):
         assert "try_element_at" not in joined._jdf.queryExecution().analyzed().toString()
