@@ -34,7 +34,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of texts with 0.8 of their five-word shingles in common, found by fingerprints of 7 or fewer differing bits."""
+    """One document, that with the smallest id, of each group of texts with 0.8 of their five-word shingles in common, found by fingerprints of 9 or fewer differing bits."""
     return simhash.deduplicate_copies(docs.select(COLUMNS))
 
 

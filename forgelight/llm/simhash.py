@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections import deque
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import accumulate, repeat
 
 import numpy as np
@@ -137,6 +139,8 @@ KEYED = "key long, used long, fp long"
 OUT = "key long, used long, a long, b long"
 #: A signature of more fingerprints than this is cut again by signatures of their other bits, before it is compared in blocks.
 RECUT = 1 << 18
+#: Cuts after the first; by then the segments leave few bits in which fingerprints could differ.
+MAX_CUTS, NEVER = 3, 1 << 62
 
 
 def _keyed(n: int, names: list[str], plain: bool = False) -> Callable:
@@ -225,8 +229,9 @@ def _in_blocks(rows: DataFrame, max_run: int) -> DataFrame:
 def _compared(nodes: DataFrame, n: int, schema: str, compare: Callable, out: str, max_run: int, recut: int, plain: bool = False) -> DataFrame:
     """What ``compare`` (with the longest run that it may take) finds among nodes (fp, ...) of equal signature: rows whose b is not null.
 
-    Runs that are too long come back without b. Up to ``recut`` rows, they are dealt to tasks in
-    blocks that meet two and two; longer ones are cut once more by signatures of the bits not yet used.
+    Nodes may have a ``key`` from the start: only those of one key meet then. Runs that are too long come back without b. Up to ``recut`` rows, they are dealt to tasks in
+    blocks that meet two and two; longer ones are cut again and again by signatures of the bits not yet used, until
+    they are no longer so, or MAX_CUTS times: what is alike in all those segments is dealt in blocks however much it is.
     """
     names = [c.split()[0] for c in schema.split(", ")]
     back = [F.col("a").alias("fp") if c == "fp" and "fp" not in out else c for c in names]
@@ -240,16 +245,20 @@ def _compared(nodes: DataFrame, n: int, schema: str, compare: Callable, out: str
         sizes = settle(hot.groupBy("key").agg(F.count("*").alias("n")), "simhash-sizes")
         return settle(join_by_key(hot, sizes.withColumn("size", F.col("n")), "key"), "simhash-hot")
 
-    zero = F.lit(0).cast("long")
-    made = settle(signed(nodes.withColumns({"key": zero, "used": zero})), "simhash-runs")
-    found, hot = made, long_runs(made)
-    if hot is not None:
-        again = settle(signed(hot.filter(F.col("size") > recut)), "simhash-runs")
-        still = long_runs(again)
-        rest = hot.filter(F.col("size") <= recut)
-        rest = rest if still is None else rest.union(still.select(rest.columns))
-        found = made.union(again).union(grouped(_in_blocks(rest, max_run).select(names)).mapInArrow(compare(None), out))
-    return found.filter("b is not null")
+    started = nodes if "key" in nodes.columns else nodes.withColumn("key", F.lit(0).cast("long"))
+    made = settle(signed(started.withColumn("used", F.lit(0).cast("long"))), "simhash-runs")
+    found, hot, blocks = [made], long_runs(made), []
+    for cut in range(MAX_CUTS + 1):
+        if hot is None:
+            break
+        longer = F.col("size") > (recut if cut < MAX_CUTS else F.lit(NEVER))
+        blocks.append(hot.filter(~longer).select(*names, "size"))
+        again = settle(signed(hot.filter(longer)), "simhash-runs")
+        found.append(again)
+        hot = long_runs(again)
+    if blocks:
+        found.append(grouped(_in_blocks(reduce(DataFrame.union, blocks), max_run).select(names)).mapInArrow(compare(None), out))
+    return reduce(DataFrame.union, found).filter("b is not null")
 
 
 def near_links(nodes: DataFrame, bits: int = 3, max_run: int = MAX_RUN, small: int = 2, recut: int = RECUT) -> DataFrame:
@@ -260,9 +269,10 @@ def near_links(nodes: DataFrame, bits: int = 3, max_run: int = MAX_RUN, small: i
     its bits as a wildcard; equal signatures meet by a shuffle on them and are verified. Of a
     signature's verified links a spanning forest is kept, which has the same components. Signatures
     of over ``max_run`` fingerprints are compared in blocks of that size, two at a time in a task; those
-    of over ``recut`` are first cut again by signatures of their other bits.
+    of over ``recut`` are first cut again by signatures of their other bits. With a column ``key``, only nodes of one key are linked; a
+    fingerprint may have several.
     """
-    found = _compared(nodes.select("fp"), cuts(bits), KEYED, lambda most: _links_of_runs(bits, most, small), OUT, max_run, recut)
+    found = _compared(nodes.select("fp", *({"key"} & set(nodes.columns))), cuts(bits), KEYED, lambda most: _links_of_runs(bits, most, small), OUT, max_run, recut)
     return found.select("a", "b")
 
 
@@ -287,26 +297,51 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 3, id_col: str
     return join_by_key(rows, whole, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _hashes(text_col: str) -> list:
+    """128 bits that a text is known by: two hashes of different seeds."""
+    return [F.xxhash64(text_col).alias("h1"), F.xxhash64(F.lit(1), text_col).alias("h2")]
+
+
+def distinct_texts(docs: DataFrame, describe: Callable, schema: str, id_col: str, text_col: str) -> DataFrame:
+    """(text_id, h1, h2, first, ...) of each distinct text: a number of its own, its hashes, its smallest id (null if it has none), and what ``describe`` makes of it.
+
+    describe: for mapInArrow over (id, h1, h2, text); schema: of what it gives in place of the text.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), *_hashes(text_col), F.col(text_col).alias("text")).mapInArrow(describe, f"id long, h1 long, h2 long, {schema}")
+    names = [c.split()[0] for c in schema.split(", ")]
+    texts = rows.groupBy("h1", "h2").agg(F.min("id").alias("first"), *[F.first(c).alias(c) for c in names])
+    # numbers are drawn before they are written: they stay what they are
+    return settle(texts.withColumn("text_id", F.monotonically_increasing_id()), "simhash-texts")
+
+
+def first_of_each(docs: DataFrame, texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Of the rows of each root in texts (h1, h2, first, root) the one with the smallest id; of rows with a null id, all."""
+    least = texts.filter("first is not null").groupBy("root").agg(F.min(F.struct(F.col("first").alias("__id"), F.col("h1").alias("__h1"), F.col("h2").alias("__h2"))).alias("k"))
+    keep = settle(least.select("k.*"), "simhash-keep")
+    h1, h2 = _hashes(text_col)
+    rows = docs.withColumns({"__i": F.col(id_col), "__a": h1, "__b": h2})
+    kept = rows.join(keep, (F.col("__i") == F.col("__id")) & (F.col("__a") == F.col("__h1")) & (F.col("__b") == F.col("__h2")), "left_semi").dropDuplicates(["__i", "__a", "__b"])
+    return kept.drop("__i", "__a", "__b").union(docs.filter(F.col(id_col).isNull()))
+
+
 def deduplicate(docs: DataFrame, width: int = 3, bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Keep one document of each component of near-duplicates: the one with the smallest id.
 
     All columns are kept; cases are as in :func:`near_duplicates`. Ids may repeat over unlike texts: a
-    row is known by its id and text, so every component keeps one row of its own. Rows with a null id
+    row is known by its id and 128 bits of hashes of its text, so every component keeps one row of its own. Rows with a null id
     cannot be told from each other and are all kept.
     """
-    hashed = docs.select(F.xxhash64(text_col).alias("text_id"), F.col(text_col).alias("text"))
-    found = near_duplicates(hashed, width, bits, "text_id", "text").select(F.col("doc_id").alias("text_id"), F.col("component_id").alias("root")).distinct()
-    return first_of_each(docs, found, id_col, text_col)
+    bound_batches(docs.sparkSession)
 
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.fromiter((fingerprint(words_of(t.as_py()), width) for t in batch.column(3).cast(pa.large_binary())), "u8", batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found.view("i8"))], ["id", "h1", "h2", "fp"])
 
-def first_of_each(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Of the rows of each root in found (text_id, root), and of each text that is not in it, the one with the smallest id; of rows with a null id, all."""
-    ids = docs.filter(F.col(id_col).isNotNull()).groupBy(F.xxhash64(text_col).alias("text_id")).agg(F.min(id_col).alias("__id"))
-    ids = ids.join(found, "text_id", "left").groupBy(F.coalesce("root", "text_id").alias("root")).agg(F.min(F.struct("__id", F.col("text_id").alias("__text"))).alias("k"))
-    keep = settle(ids.select("k.*"), "simhash-keep")
-    rows = docs.withColumn("__t", F.xxhash64(text_col))
-    kept = rows.join(keep, (F.col(id_col) == F.col("__id")) & (F.col("__t") == F.col("__text")), "left_semi").dropDuplicates([id_col, "__t"]).drop("__t")
-    return kept.union(docs.filter(F.col(id_col).isNull()))
+    texts = distinct_texts(docs, describe, "fp long", id_col, text_col)
+    member = settle(components(near_links(texts.select("fp").distinct(), bits)), "simhash-members")
+    roots = texts.join(member, texts.fp == member.node, "left").withColumn("root", F.coalesce("root", "fp"))
+    return first_of_each(docs, roots, id_col, text_col)
 
 
 #: Five-word shingles that two texts have in common, of those that either has, to be copies; bits by which their fingerprints may differ.
@@ -325,16 +360,38 @@ def parity_map(hashes: np.ndarray) -> bytes:
     return np.packbits((np.bincount(bucket, minlength=MAP_BITS) & 1).astype(bool)).tobytes()
 
 
+def described(width: int, shingle: int) -> Callable:
+    """For mapInArrow over (id, h1, h2, text): the fingerprint of the text's shingles of ``width`` words, and the number and parity map of the distinct ones of ``shingle`` words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [words_of(t.as_py()) for t in batch.column(3).cast(pa.large_binary())]
+            fp = np.fromiter((fingerprint(w, width) for w in words), "u8", len(words))
+            sets = [np.unique(shingles(w, shingle)) for w in words]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fp.view("i8")), pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(parity_map, sets)), pa.binary())], ["id", "h1", "h2", "fp", "n", "map"])
+
+    return run
+
+
 def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
-    """(text_id, n, hashes, map) of rows (text_id, text): the distinct hashes of the text's shingles, their number and parity map."""
+    """(text_id, n, hashes) of rows (text_id, text): the distinct hashes of the text's shingles, and their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.unique(shingles(words_of(t.as_py()), width)) for t in batch.column(1).cast(pa.large_binary())]
-            columns = [pa.array([len(f) for f in found], pa.int64()), pa.array([f.view("i8") for f in found], pa.list_(pa.int64())), pa.array(list(map(parity_map, found)), pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["text_id", "n", "hashes", "map"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(f) for f in found], pa.int64()), pa.array([f.view("i8") for f in found], pa.list_(pa.int64()))], ["text_id", "n", "hashes"])
+
+    return texts.select("text_id", "text").mapInArrow(run, "text_id long, n long, hashes array<long>")
+
 
-    return texts.select("text_id", "text").mapInArrow(run, "text_id long, n long, hashes array<long>, map binary")
+def in_bands(nodes: DataFrame, least: float) -> DataFrame:
+    """Nodes (n, ...) twice, under the ``key`` of their band of set sizes and of the next one.
+
+    Sets of a similarity of ``least`` or more differ in size by a factor of 1 / least at most. A band
+    spans such a factor, so they are in one band or in two neighbours, and meet under the key of the larger.
+    """
+    band = F.when(F.col("n") > 0, F.floor(F.log("n") / F.lit(math.log(1 / least) * (1 + 1e-9)))).otherwise(F.lit(-2)).cast("long")
+    return nodes.withColumn("key", F.explode(F.array(band * 2, band * 2 + 2)))
 
 
 def resembling(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -472,39 +529,39 @@ def possible_copies(nodes: DataFrame, bits: int, least: float, whole: bool, max_
     """Pairs (a, b), a < b, of text_id in nodes NODES that may be copies (see Run).
 
     ``whole``: every such pair of unlike parts. Else some that connect what the segments as they are
-    (without wildcards) bring together.
+    (without wildcards) bring together. Texts meet under signatures of a band of set sizes only (see in_bands).
     """
     compare = lambda most: _pairs_of_runs(bits, least, most, whole)
-    return _compared(nodes.select(NODES), cuts(bits), ACROSS, compare, ACROSS_OUT, max_run, recut, plain=not whole).select("a", "b").distinct()
+    return _compared(in_bands(nodes.select(NODES), least), cuts(bits), ACROSS, compare, ACROSS_OUT, max_run, recut, plain=not whole).select("a", "b").distinct()
 
 
 def copies(docs: DataFrame, width: int, bits: int, shingle: int, least: float, id_col: str, text_col: str) -> DataFrame:
-    """(text_id, root) of each text that is a near copy of another: the component of verified links that it is in.
+    """(text_id, h1, h2, first, root) of each distinct text; root is that of the component of verified links that it is in, or its own number.
 
-    text_id is the hash of the text. Two texts are linked if their fingerprints differ by ``bits`` or
+    Two texts are linked if their fingerprints differ by ``bits`` or
     fewer and the Jaccard similarity of their sets of ``shingle`` words is ``least`` or more. All such
-    links count, but not all pairs of a large group are made: maps of the sets' parities rule out
+    links count, but not all pairs of a large group are made: only texts of like set sizes meet; maps of the sets' parities rule out
     nearly all that are no copies; forests of the rest are verified first; then, of what these leave
     apart, every pair between two parts.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_id"), F.col(text_col).alias("text"))
-    texts = settle(fingerprints(rows, width, "text_id", "text").withColumnRenamed("doc_id", "text_id").distinct(), "simhash-texts")
-    counts = settle(texts.groupBy("fp").agg(F.count("*").alias("n")), "simhash-nodes")
+    texts = distinct_texts(docs, described(width, shingle), "fp long, n long, map binary", id_col, text_col)
+    counts = settle(in_bands(texts.select("fp", "n"), least).groupBy("fp", "key").agg(F.count("*").alias("n")), "simhash-nodes")
     linked = near_links(counts, bits).select(F.explode(F.array("a", "b")).alias("fp"))
     linked = settle(linked.union(counts.filter("n > 1").select("fp")).distinct(), "simhash-linked")
     near = settle(texts.join(linked, "fp", "left_semi"), "simhash-near")
 
-    one = rows.groupBy("text_id").agg(F.min("id").alias("id")).join(near.select("text_id"), "text_id", "left_semi")
-    one = one.select(F.col("text_id").alias("t"), F.col("id").alias("i"))
-    chosen = rows.join(one, (rows.text_id == one.t) & rows.id.eqNullSafe(one.i), "left_semi").dropDuplicates(["text_id"])
-    sets = settle(shingle_sets(chosen, shingle), "simhash-sets")
-    nodes = settle(near.join(sets.select("text_id", "n", "map"), "text_id").withColumn("part", F.col("text_id")).select(NODES), "simhash-nodes")
+    one = near.select(F.col("text_id").alias("t"), F.col("first").alias("i"), F.col("h1").alias("a"), F.col("h2").alias("b"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), *_hashes(text_col), F.col(text_col).alias("text"))
+    chosen = rows.join(one, (F.col("h1") == F.col("a")) & (F.col("h2") == F.col("b")) & F.col("id").eqNullSafe(F.col("i"))).dropDuplicates(["t"])
+    sets = settle(shingle_sets(chosen.select(F.col("t").alias("text_id"), "text"), shingle), "simhash-sets")
+    nodes = near.withColumn("part", F.col("text_id")).select(NODES)
 
     verified = settle(resembling(settle(possible_copies(nodes, bits, least, whole=False), "simhash-forest"), sets, least), "simhash-verified")
     part = settle(components(verified).select(F.col("node").alias("text_id"), F.col("root").alias("p")), "simhash-parts")
     apart = settle(nodes.join(part, "text_id", "left").withColumn("part", F.coalesce("p", "part")).select(NODES), "simhash-parts")
     more = settle(resembling(settle(possible_copies(apart, bits, least, whole=True), "simhash-rest"), sets, least), "simhash-verified")
-    return settle(components(verified.union(more)), "simhash-members").select(F.col("node").alias("text_id"), "root")
+    member = settle(components(verified.union(more)), "simhash-members").select(F.col("node").alias("text_id"), "root")
+    return texts.select("text_id", "h1", "h2", "first").join(member, "text_id", "left").withColumn("root", F.coalesce("root", "text_id"))
 
 
 def deduplicate_copies(
@@ -512,9 +569,8 @@ def deduplicate_copies(
 ) -> DataFrame:
     """Keep one document of each group of near copies, as :func:`copies` links them: that with the smallest id.
 
-    All columns are kept. Ids may repeat over unlike texts: a row is known by its id and text. Rows with
-    a null id are all kept. Lowers the session's Arrow batch limits where they are larger (common.bound_batches).
+    All columns are kept. Ids may repeat over unlike texts: a row is known by its id and 128 bits of hashes of its text. Rows with
+    a null id are all kept. Null, empty and blank texts are copies of each other; no row in, no row out. Lowers the session's Arrow batch limits where they are larger (common.bound_batches).
     """
     bound_batches(docs.sparkSession)
-    found = copies(docs, width, bits, shingle, least, id_col, text_col)
-    return first_of_each(docs, found, id_col, text_col)
+    return first_of_each(docs, copies(docs, width, bits, shingle, least, id_col, text_col), id_col, text_col)

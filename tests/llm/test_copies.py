@@ -31,7 +31,7 @@ def kept(rows, bits, width=simhash.COPY_WIDTH):
     for i in range(len(rows)):
         for j in range(i):
             alike = len(sets[i] & sets[j]) / len(sets[i] | sets[j]) if sets[i] | sets[j] else 1
-            if (fps[i] ^ fps[j]).bit_count() <= bits and alike >= 0.8:
+            if (int(fps[i]) ^ int(fps[j])).bit_count() <= bits and alike >= 0.8:
                 a, b = group[i], group[j]
                 group = [b if g == a else g for g in group]
     best = {}
@@ -87,7 +87,51 @@ def test_a_similarity_that_is_just_met_counts():
         assert len(np.intersect1d(a, b)) / len(np.union1d(a, b)) == 0.8
         maps = [simhash.parity_map(a), simhash.parity_map(b)]
         run = simhash.Run(9, 0.8, 2, 0, np.array([5, 7]), np.array([1, 2]), np.array([n, n]), maps, np.array([1, 2]))
-        assert [tuple(map(int, p)) for p in run.across()] == [(0, 1)] and len(list(run.forest())) == 1
+        assert [tuple(x.item() for x in p) for p in run.across()] == [(0, 1)] and len(list(run.forest())) == 1
+
+
+def test_an_empty_table_and_very_long_texts(spark):
+    r = np.random.default_rng(6)
+    long = list(r.choice([f"w{i}" for i in range(50_000)], 200_000))
+    near = ["edit" if i % 5000 == 7 else w for i, w in enumerate(long)]
+    rows = [(1, " ".join(long)), (2, " ".join(near)), (3, "x" * 300_000), (4, " ".join(long[:150_000])), (5, None), (6, " "), (7, "")]
+    docs = spark.createDataFrame([(*x, "clash", 1) for x in rows], "doc_id long, text string, root string, h1 int")
+    got = simhash.deduplicate_copies(docs)
+    assert sorted(x["doc_id"] for x in got.collect()) == [1, 3, 4, 5] and got.columns == docs.columns
+    assert simhash.deduplicate_copies(docs.limit(0)).collect() == [] and simhash.deduplicate(docs.limit(0)).collect() == []
+
+
+def test_sets_of_like_size_share_a_key(spark):
+    n = list(range(400)) + [10**6, 1_250_000, 8 * 10**8, 10**9]
+    keys = {}
+    for x in simhash.in_bands(spark.createDataFrame([(i,) for i in n], "n long"), 0.8).collect():
+        keys.setdefault(x["n"], set()).add(x["key"])
+    for a in n:
+        assert len(keys[a]) == 2
+        for b in n:
+            if min(a, b) >= 0.8 * max(a, b):
+                assert keys[a] & keys[b], (a, b)
+
+
+def test_runs_are_cut_until_they_are_short(spark):
+    """Fingerprints that share most bits: every link of brute force connects, however small the runs must be."""
+    r = np.random.default_rng(9)
+    fps = list({int(sum(1 << int(b) for b in r.choice(20, int(k), replace=False))) for k in r.integers(0, 9, 300)})
+    want = {(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 3}
+    nodes = spark.createDataFrame([(f,) for f in fps], "fp long")
+    for most, recut in ((8192, 1 << 18), (20, 40)):
+        links = simhash.near_links(nodes, 3, max_run=most, recut=recut).collect()
+        assert all((x["a"] ^ x["b"]).bit_count() <= 3 for x in links)
+        group = {f: f for f in fps}
+
+        def root(f, group=group):
+            while group[f] != f:
+                f = group[f]
+            return f
+
+        for x in links:
+            group[root(x["a"])] = root(x["b"])
+        assert all(root(fps[i]) == root(fps[j]) for i, j in want)
 
 
 def test_an_id_over_two_texts_keeps_the_one_that_is_no_copy(spark):
