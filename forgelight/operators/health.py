@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,16 +69,31 @@ def response_medians(repos: DataFrame, items: DataFrame, today: str, k: int = RE
     return repos.select("repo_id").distinct().join(found, "repo_id", "left")
 
 
-def trend(series: DataFrame, today: str, metric: str = "stars", days: int = 30) -> DataFrame:
+def first_year(today: str, days: int = 30) -> int:
+    """The first year whose rows trend() reads beside a closing table: that of the day ``days`` ago."""
+    return (date.fromisoformat(today) - timedelta(days=days)).year
+
+
+def trend(series: DataFrame, today: str, metric: str = "stars", days: int = 30, closing: DataFrame | None = None) -> DataFrame:
     """(repo_id, trend_30d): percent change against the value that held ``days`` ago, or the first later one.
 
     Null with fewer than two rows, or if the earlier value is 0. One aggregation, no window.
+    With ``closing``, the closing table (see series.closing) of all years before first_year(), the series need hold no rows of those years: what is
+    read does not grow with the history.
     """
     cutoff = F.date_format(F.date_sub(F.lit(today).cast("date"), days), "yyyy-MM-dd")
-    base = F.coalesce(F.max_by("value", F.when(F.col("date") <= cutoff, F.col("date"))), F.min_by("value", "date"))
-    got = series.filter(F.col("metric") == metric).groupBy("repo_id")
-    got = got.agg(base.alias("base"), F.max_by("value", "date").alias("now"), F.count("*").alias("n"))
-    change = 100.0 * (F.col("now") - F.col("base")) / F.nullif(F.col("base"), F.lit(0))
+    got = series.filter(F.col("metric") == metric).groupBy("repo_id").agg(
+        F.max_by("value", F.when(F.col("date") <= cutoff, F.col("date"))).alias("held"), F.min_by("value", "date").alias("head"),
+        F.max_by("value", "date").alias("now"), F.count("*").alias("n"),
+    )
+    if closing is not None:
+        old = closing.filter(F.col("metric") == metric).select("repo_id", "last_value", F.col("n").alias("m"))
+        got = got.join(old, "repo_id", "full_outer").select(
+            "repo_id", F.coalesce("held", "last_value").alias("held"), "head", F.coalesce("now", "last_value").alias("now"),
+            (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"),
+        )
+    base = F.coalesce("held", "head")
+    change = 100.0 * (F.col("now") - base) / F.nullif(base, F.lit(0))
     return got.select("repo_id", F.when(F.col("n") >= 2, change).alias("trend_30d"))
 
 
@@ -99,19 +116,28 @@ def summary(
     rollups: DataFrame,
     today: str,
     full_history: bool = False,
+    closing: DataFrame | None = None,
 ) -> DataFrame:
     """One row for each (package, origin) with what is known of its repository.
 
+    With ``closing`` (see trend) the series holds rows from first_year() on only; the cadence needs the full history.
+
     Release facts: the last date is the later of the series' and the carried one; the cadence is
     computed from the series only if that holds the full history, else carried. Dates at which the
     number of releases changed count as releases. Empty inputs give a typed empty table.
     """
     wide = latest.groupBy("repo_id").pivot("metric", SUMMARY_METRICS).agg(F.first("value"))
     changes = series.filter("metric = 'releases_total'").select("repo_id", "date")
-    facts = release_facts(changes).toDF("repo_id", "__last", "__cadence")
+    if full_history and closing is not None:
+        raise ValueError("the cadence of releases needs the full history, not a closing table")
+    if closing is None:
+        facts = release_facts(changes).toDF("repo_id", "__last", "__cadence")
+    else:
+        old = closing.filter("metric = 'releases_total'").select("repo_id", F.col("last_date").alias("date"))
+        facts = changes.union(old).groupBy("repo_id").agg(F.substring(F.max("date"), 1, 10).alias("__last"))
     dims = repos.select("repo_id", "first_seen", "last_seen")
     links = repo_packages.groupBy("package", "origin").agg(F.min("repo_id").alias("repo_id"))
-    rows = links.join(wide, "repo_id", "left").join(trend(series, today), "repo_id", "left")
+    rows = links.join(wide, "repo_id", "left").join(trend(series, today, closing=closing), "repo_id", "left")
     rows = rows.join(conform(attributes, ATTRIBUTES).drop("full_history"), "repo_id", "left").join(facts, "repo_id", "left")
     rows = rows.join(conform(rollups, ROLLUPS), "repo_id", "left").join(dims, "repo_id", "left")
     cadence = F.col("__cadence") if full_history else F.col("median_days_between_releases")

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schemas import CLOSING
+
 KEY = ["repo_id", "date", "metric"]
 LATEST_KEY = ["repo_id", "metric"]
 
@@ -83,6 +85,14 @@ def with_year(series: DataFrame) -> DataFrame:
     return series.withColumn("year", F.substring("date", 1, 4).cast("int"))
 
 
+def closing(rows: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """The closing table of a year: of each (repo_id, metric) the last row and how many there are, in rows of that year and in the closing table ``before``."""
+    one = rows.groupBy("repo_id", "metric").agg(F.max("date").alias("last_date"), F.max_by("value", "date").alias("last_value"), F.count("*").alias("n"))
+    both = one if before is None else one.unionByName(before.select(one.columns))
+    got = both.groupBy("repo_id", "metric").agg(F.max("last_date").alias("last_date"), F.max_by("last_value", "last_date").alias("last_value"), F.sum("n").alias("n"))
+    return got.select([c.split()[0] for c in CLOSING.split(", ")])
+
+
 def year_rows(series: DataFrame, year: int) -> DataFrame:
     """Rows of one year; where the table is partitioned by year, others are not read."""
     rows = series.filter(F.col("year") == year) if "year" in series.columns else series

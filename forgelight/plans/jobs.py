@@ -18,7 +18,8 @@ def daily_update(packages: DataFrame, gauges: DataFrame, prev: Tables, today: st
     """Resolve packages, update the dimension, and fold a day's gauges into series, latest and summary.
 
     prev: repos, latest, series, summary, adoption and state of the last build. With no measured
-    repository nothing is written over: all values stay as they were.
+    repository nothing is written over: all values stay as they were. If prev has ``closing`` (as
+    publish.read_state gives it), its series holds the last years only, and what is read does not grow with the history.
     """
     resolved = settle(resolve.resolve_packages(packages), "resolved")
     repos, links = resolve.repo_index(resolved)
@@ -41,7 +42,7 @@ def daily_update(packages: DataFrame, gauges: DataFrame, prev: Tables, today: st
     rolled = adoption.rollups(conform(prev["adoption"], ADOPTION))
     return prev | {
         "repos": dim, "repo_packages": links, "latest": latest, "series": whole, "working": working,
-        "summary": health.summary(links, latest, whole, attributes, dim, rolled, today), "state": series.go_live(prev["state"], today),
+        "summary": health.summary(links, latest, whole, attributes, dim, rolled, today, closing=prev.get("closing")), "state": series.go_live(prev["state"], today),
     }
 
 

@@ -15,7 +15,7 @@ from ..sources import ingest, publish
 from ..streaming import gauge_stream
 from . import inputs, jobs
 from .inputs import derive
-from .registry import CUMULATIVE, FORKS, RESOLVED_SQL, TALLY, TODAY, _text, query
+from .registry import CUMULATIVE, FORKS, RESOLVED_SQL, SUMMARY_ITEMS, SUMMARY_SQL, TALLY, TODAY, _summary, _text, query
 
 # ---- onsets and models ----
 
@@ -263,6 +263,17 @@ def publish_overlap(spark, d):
     return publish.read_series(spark, root)
 
 
+@query(SUMMARY_SQL + "select * from summary")
+def package_summary_asof(spark, d):
+    """The summary from published history of several years, by the closing table and the rows of the last years: files of others are not opened."""
+    s = series.cumulative_series(derive(spark, d, SUMMARY_ITEMS))
+    root = new_path(spark, "asof")
+    publish.publish(spark, root, "g1", _build(spark, d), s, TODAY)
+    state = publish.read_state(spark, root, TODAY)
+    assert all(int(f.split("year=")[1][:4]) >= 2024 for f in state["series"].inputFiles())
+    return _summary(spark, d, state["series"], closing=state["closing"])
+
+
 _ROWS = {"summary": "customer", "repos": f"({inputs.OLD_REPOS})", "latest": f"({inputs.BEFORE})", "rule_inventory": "(select distinct event_type from events)"}
 
 

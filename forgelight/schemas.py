@@ -13,6 +13,8 @@ REPOS = (
 )
 REPO_PACKAGES = "repo_id string, package string, origin string, resolved_from string"
 SERIES = "repo_id string, date string, metric string, value long"
+#: What is known of each (repo_id, metric) at the end of a year, of all rows up to then.
+CLOSING = "repo_id string, metric string, last_date string, last_value long, n long"
 LATEST = "repo_id string, metric string, value long"
 ITEMS = "repo_id string, metric string, created string, closed string"
 ATTRIBUTES = (

@@ -16,8 +16,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import quality, series
-from ..schemas import KEYS, SERIES, empty
+from ..operators import health, quality, series
+from ..schemas import CLOSING, KEYS, SERIES, empty
 
 #: Tables that a build must hold, besides the series.
 DECLARED = ["summary", "repos", "repo_packages", "latest", "adoption", "models", "tooling", "rule_inventory", "silent_channels", "state"]
@@ -180,6 +180,29 @@ def read_series(spark: SparkSession, root: str, generation: str | None = None, y
     return read_years(spark, root, {y: g for y, g in m.get("paths", {}).items() if years is None or int(y) in years}, m.get("folders", {}))
 
 
+def read_closing(spark: SparkSession, root: str, year: int, generation: str | None = None) -> DataFrame:
+    """The closing table (see series.closing) of all years up to ``year``."""
+    m = manifest(spark, root, generation)
+    return _closing(spark, root, m.get("closings", {}), m.get("folders", {}), year + 1)
+
+
+def _closing(spark: SparkSession, root: str, closings: dict[str, str], folders: dict[str, str], before: int) -> DataFrame:
+    """The last closing table of a year before ``before``."""
+    last = max((int(y) for y in closings if int(y) < before), default=None)
+    if last is None:
+        return empty(spark, CLOSING)
+    generation = closings[str(last)]
+    return spark.read.schema(CLOSING).parquet(f"{root}/{folders.get(generation, generation)}/closing/year={last}")
+
+
+def read_state(spark: SparkSession, root: str, today: str) -> dict[str, DataFrame]:
+    """What a daily run builds on: all declared tables, the closing table of the years before the last ones, and the series of those last years, two at most. The files of older years are not opened."""
+    first, m = health.first_year(today), manifest(spark, root)
+    tables = {t: read_table(spark, root, t) for t in DECLARED}
+    last = [int(y) for y in m.get("paths", {}) if int(y) >= first]
+    return tables | {"series": read_series(spark, root, years=last), "closing": read_closing(spark, root, first - 1)}
+
+
 def publish_again(
     spark: SparkSession, root: str, generation: str, build: Callable[[Turn], tuple[dict[str, DataFrame], DataFrame]], today: str, attempts: int = 3, **options
 ) -> dict:
@@ -257,13 +280,21 @@ def publish(spark: SparkSession, root: str, generation: str, tables: dict[str, D
         if found:
             raise quality.GateError(f"regressions: {[tuple(r) for r in found]}")
     series.recent(read_years(spark, root, paths, folders), today).write.mode("overwrite").parquet(f"{target}/recent")
+    # closing tables from the first year on that has changed; each follows from the one before
+    closings = {y: g for y, g in last.get("closings", {}).items() if y in paths}
+    first = min([*years, *(int(y) for y in paths if y not in closings)], default=None)
+    for year in sorted(int(y) for y in paths if first is not None and int(y) >= first):
+        rows = read_years(spark, root, {str(year): paths[str(year)]}, folders)
+        made = series.closing(rows, _closing(spark, root, closings, folders, year))
+        made.write.mode("overwrite").parquet(f"{target}/closing/year={year}")
+        closings[str(year)] = generation
     same = {y: v for y, v in last.get("series", {}).items() if int(y) not in years}
     emptied = [y for y in last.get("paths", {}) if y not in paths]
     counts = {r["table"]: [r["rows"], r["fingerprint"]] for r in quality.integrity(written, DECLARED).collect()}
     changed_tables = sorted(t for t, v in counts.items() if last.get("tables", {}).get(t) != v)
     out = {
         "generation": generation, "previous": before, "published": [*done, generation], "data_through": today, "changed_years": sorted([*emptied, *(y for y, v in prints.items() if last.get("series", {}).get(y) != v)]),
-        "changed_tables": changed_tables, "years": sorted({*last.get("years", []), *map(int, paths)}), "paths": paths, "folders": folders, "series": same | prints, "tables": counts,
+        "changed_tables": changed_tables, "years": sorted({*last.get("years", []), *map(int, paths)}), "paths": paths, "folders": folders, "closings": closings, "series": same | prints, "tables": counts,
         "summary_previous": (before if "summary" in changed_tables else last.get("summary_previous")) if before else None,
     }
     _put(spark, f"{target}/manifest.json", json.dumps(out, sort_keys=True))
@@ -281,7 +312,7 @@ def prune(spark: SparkSession, root: str) -> list[str]:
     now = _manifest_in(spark, root, folder)
     folders = now.get("folders", {})
     past = _manifest_in(spark, root, folders.get(now["previous"], now["previous"])) if now.get("previous") else {}
-    needed = {m.get(k) for m in (now, past) for k in ("generation", "summary_previous")} | {g for m in (now, past) for g in m.get("paths", {}).values()}
+    needed = {m.get(k) for m in (now, past) for k in ("generation", "summary_previous")} | {g for m in (now, past) for k in ("paths", "closings") for g in m.get(k, {}).values()}
     needed = {folders.get(g, g) for g in needed} | {POINTERS}
     unused = []
     for n in _names(spark, root):

@@ -1,10 +1,11 @@
+import random
 import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from forgelight import rules, schemas
-from forgelight.operators import adoption, quality, series, tooling
+from forgelight.operators import adoption, health, quality, series, tooling
 from forgelight.sources import publish
 
 
@@ -216,3 +217,28 @@ def test_prune_keeps_what_two_generations_need(spark, root, rows):
 def test_touched_years(spark, rows):
     a = spark.createDataFrame([("r", "2023-05-01", "stars", 1)], schemas.SERIES)
     assert rows(series.touched_years(a, a)) == [(2023,)]
+
+
+def test_closing_tables_say_what_the_whole_history_says(spark, tmp_path, rows):
+    """Trends and last releases from closing tables and the last years' rows, after a year long past was changed too."""
+    r, root = random.Random(5), f"file://{tmp_path}/asof"
+    days = [f"{y}-{m:02d}-{d:02d}" for y in range(2019, 2025) if y != 2021 for m in (1, 2, 12) for d in (1, 15, 28)]
+    first = {(f"r{i}", day, m): r.randint(0, 9) for i in range(40) for m in ("stars", "releases_total") for day in r.sample(days, r.randint(0, 6))}
+    second = {("r1", "2020-06-01", "stars"): 77, ("r2", "2024-03-01", "stars"): 5, ("new", "2020-12-31", "releases_total"): 1}
+    publish.publish(spark, root, "g1", build(spark), series_of(spark, *[(*k, v) for k, v in first.items()]), "2024-02-20")
+    m = publish.publish(spark, root, "g2", build(spark), series_of(spark, *[(*k, v) for k, v in second.items()]), "2024-03-02")
+    assert m["closings"] == {"2019": "g1", "2020": "g2", "2022": "g2", "2023": "g2", "2024": "g2"}
+    whole = publish.read_series(spark, root)
+    for today in ("2024-03-02", "2024-01-20", "2023-12-01", "2022-01-10", "2019-01-05", "2030-01-01"):
+        upto = health.first_year(today)
+        state = publish.read_state(spark, root, today)
+        assert {int(f.split("year=")[1][:4]) >= upto for f in state["series"].inputFiles()} <= {True}
+        want = {x[0]: x[1] for x in rows(health.trend(whole, today))}
+        assert {x[0]: x[1] for x in rows(health.trend(state["series"], today, closing=state["closing"]))} == want
+    links = spark.createDataFrame([(f"r{i}", f"p{i}", "cran", "url") for i in range(40)] + [("new", "pn", "cran", "url")], schemas.REPO_PACKAGES)
+    e = lambda s: schemas.empty(spark, s)
+    make = lambda s, **k: rows(health.summary(links, e(schemas.LATEST), s, e(schemas.ATTRIBUTES), e(schemas.REPOS), e(schemas.ROLLUPS), "2024-03-02", **k))
+    state = publish.read_state(spark, root, "2024-03-02")
+    assert make(state["series"], closing=state["closing"]) == make(whole)
+    with pytest.raises(ValueError, match="full history"):
+        make(state["series"], closing=state["closing"], full_history=True)
