@@ -717,13 +717,13 @@ from customer where c_custkey % 200 % 2 = 0
 """
 
 
-def _summary(spark, d, recent=None, full_history=False, closing=None):
+def _summary(spark, d, recent=None, full_history=False, closing=None, links=lambda rows: rows):
     s = series.cumulative_series(derive(spark, d, SUMMARY_ITEMS))
     latest = s.groupBy("repo_id", "metric").agg(F.max_by("value", "date").alias("value"))
-    links = derive(spark, d, "select concat('pkg', c_custkey) as package, 'cran' as origin, cast(c_custkey % 200 as string) as repo_id from customer")
+    linked = derive(spark, d, "select concat('pkg', c_custkey) as package, 'cran' as origin, cast(c_custkey % 200 as string) as repo_id from customer")
     repos = derive(spark, d, "select distinct cast(c_custkey % 200 as string) as repo_id, '2024-01-01' as first_seen, '2024-02-14' as last_seen from customer")
     rolled = adoption.rollups(adoption.reduce_onsets(_adoption(spark, d)).withColumn("agnostic", F.col("tool") == "error"))
-    return health.summary(links, latest, s if recent is None else recent, derive(spark, d, SUMMARY_ATTRIBUTES), repos, rolled, TODAY, full_history, closing)
+    return health.summary(links(linked), latest, s if recent is None else recent, derive(spark, d, SUMMARY_ATTRIBUTES), repos, rolled, TODAY, full_history, closing)
 
 
 SUMMARY_SQL = f"""

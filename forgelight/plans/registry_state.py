@@ -316,7 +316,7 @@ select package, 'bioc' as origin, case when p_size % 4 <> 0 then 'https://a.org/
 """
 )
 def stanza_packages(spark, d):
-    """Three files of one name, one of them with CRLF, whose packages overlap; each is written in the order of its keys."""
+    """Three folders of one name, the files of one of them with CRLF, whose packages overlap; each is written in the order of its keys."""
     root, paths = new_path(spark, "stanzas"), []
     text = """concat('Package: ', package, '\\n', case when p_size % 4 <> 0 then concat('URL: https://a.org/', k, ',\\n    https://b.org/', p_size, '\\n') else '' end, 'Title: ', p_name, '\\n', case when p_size % 3 = 0 then concat('BugReports: https://bugs.org/', k, '\\n') else '' end)"""
     for i in range(3):
@@ -324,10 +324,36 @@ def stanza_packages(spark, d):
         end = "\r\n" if i == 1 else "\n"
         value = F.regexp_replace(F.rtrim("value"), "\n", end)
         paths.append(f"{root}/{i}/VIEWS")
-        rows.orderBy("k").coalesce(1).select(value.alias("value")).write.option("lineSep", end + end).text(paths[-1])
+        rows.orderBy("k").select(value.alias("value")).write.option("lineSep", end + end).text(paths[-1])
     return ingest.stanzas(spark, paths, "bioc").drop("ord")
 
 
+@query("select p_size % 5 = 4 as broken, case when p_size % 5 = 4 then 'no stanza' end as refused, case when p_size % 5 <> 4 then 'pkg' || p_partkey end as package from part where p_size % 5 <> 4 union select true, 'no stanza', null from part where p_size % 5 = 4")
+def stanza_refusal(spark, d):
+    """Parts in five sources by size; what one of them sends are pages without a stanza. All together are refused, the others are read."""
+    root = new_path(spark, "refused")
+    parts = derive(spark, d, "select p_size % 5 as of, p_size % 5 = 4 as broken, p_partkey, p_name from part")
+    line = F.when(F.col("broken"), F.concat(F.lit("<p>Package sorry, "), "p_name", F.lit("</p>"))).otherwise(F.concat(F.lit("Package: pkg"), F.col("p_partkey"), F.lit("\nTitle: "), F.col("p_name")))
+    for i in range(5):
+        parts.filter(F.col("of") == i).select(line.alias("value")).write.option("lineSep", "\n\n").text(f"{root}/{i}")
+    try:
+        ingest.stanzas(spark, [f"{root}/{i}" for i in range(5)], "bioc")
+        said = None
+    except ValueError as e:
+        said = "no stanza" if str(e) == f"no stanza in {[f'{root}/4']}" else str(e)
+    read = ingest.stanzas(spark, [f"{root}/{i}" for i in range(4)], "bioc")
+    broken = parts.filter("broken").select("broken", F.lit(said).alias("refused"), F.lit(None).cast("string").alias("package")).distinct()
+    return read.select(F.lit(False).alias("broken"), F.lit(None).cast("string").alias("refused"), "package").union(broken)
+
+
+@query(SUMMARY_SQL + "select * from summary where package is null")
+def empty_summary(spark, d):
+    """No package: a summary without rows, typed as any other."""
+    none = _summary(spark, d, links=lambda rows: rows.filter("package is null"))
+    assert none.dtypes == _summary(spark, d).dtypes
+    return none
+
+
 @query("select cast(s_suppkey as varchar) as repo_id, 'stars' as metric, cast(s_nationkey as bigint) as value from supplier")
 def read_published(spark, d):
     """A table of an older build, without a column and with narrower types, read back as declared; one that is not there is empty."""

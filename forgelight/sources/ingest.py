@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.resolve import first_per_package
 from ..schemas import PACKAGE_INPUT, conform, empty
+from ..scratch import settle
 
 TOTAL = "struct<totalCount:long>"
 GAUGE = (
@@ -51,32 +56,59 @@ def metadata(table: DataFrame, origin: str) -> DataFrame:
     return conform(first_per_package(table.withColumn("origin", F.lit(origin))), PACKAGE_INPUT)
 
 
+#: Lines of one stanza at most: what has more is no file of stanzas.
+MAX_LINES = 100_000
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow over (file, start, value), the lines of a task in order: add a line's number in its split and how many empty lines are before it there."""
+    split, rows, empty_ = None, 0, 0
+    for batch in batches:
+        names = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        blank = pc.equal(pc.utf8_length(pc.utf8_trim(batch.column(2), " \t\r")), 0).to_pylist()
+        at, before = [], []
+        for name, none in zip(names, blank, strict=True):
+            if name != split:
+                split, rows, empty_ = name, 0, 0
+            at.append(rows)
+            before.append(empty_)
+            rows, empty_ = rows + 1, empty_ + none
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at, pa.int64()), pa.array(before, pa.int64()), pa.array(blank, pa.bool_())], ["file", "start", "value", "row", "before", "blank"])
+
+
 def stanzas(spark: SparkSession, paths: list[str], origin: str) -> DataFrame:
     """Packages of files of stanzas, parted by empty lines: the first stanza of each package by file order and place.
 
     Lines may end with LF or CRLF; continuation lines are joined to theirs; missing fields are null.
-    Files are told apart by their place in ``paths``, so they may have one name. A file without any
+    A path may be one file or a folder of files, read in the order of their names; a file's end ends a stanza. A file without any
     stanza that has a Package field, an empty one included, is no such file (an error page, say), and
-    reading it fails.
+    reading it fails, as it does for a stanza of over MAX_LINES lines.
+
+    Files are read in splits, by as many tasks as their size asks for. Each split counts its empty lines, the sums over the
+    splits before it number its stanzas, and a stanza that goes on in the next split is put together by its number.
     """
-    parts = []
-    for i, path in enumerate(paths):
-        # Spark cuts at LF LF; what holds other empty lines, as files with CRLF do, is cut once more
-        text = spark.read.option("lineSep", "\n\n").text(path)
-        text = text.select(F.lit(i).alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"), "value")
-        plain = F.regexp_replace("value", r"\r\n?", "\n")
-        parts.append(text.select("file", "start", "row", F.posexplode(F.split(plain, r"\n[ \t]*(?:\n[ \t]*)+")).alias("part", "stanza")))
-    if not parts:
+    if not paths:
         raise ValueError("no files of stanzas")
-    unfolded = F.regexp_replace("stanza", r"\n[ \t]+", " ")
+    texts = [spark.read.text(path).select("value", F.regexp_replace("_metadata.file_path", "^([^:/]+):/+", "$1:/").alias("name"), F.col("_metadata.file_block_start").alias("start")) for path in paths]
+    files = [(i, re.sub("^([^:/]+):/+", r"\1:/", n)) for i, t in enumerate(texts) for n in sorted(t.inputFiles())]
+    order = spark.createDataFrame([(i, n, k) for k, (i, n) in enumerate(files)], "path int, name string, file int")
+    lines = reduce(DataFrame.union, [t.withColumn("path", F.lit(i)) for i, t in enumerate(texts)]).join(F.broadcast(order), ["path", "name"])
+    lines = settle(lines.select("file", "start", "value").mapInArrow(_counted, "file int, start long, value string, row long, before long, blank boolean"), "stanza-lines")
+    splits = lines.groupBy("file", "start").agg(F.count_if("blank").alias("n"))
+    splits = splits.withColumn("earlier", F.sum("n").over(Window.partitionBy("file").orderBy("start")) - F.col("n")).drop("n")
+    lines = lines.filter("not blank").join(F.broadcast(splits), ["file", "start"]).withColumn("stanza", F.col("earlier") + F.col("before"))
+    if not lines.groupBy("file", "stanza").count().filter(F.col("count") > MAX_LINES).isEmpty():
+        raise ValueError(f"a stanza of more than {MAX_LINES} lines in {paths}")
+    whole = lines.groupBy("file", "stanza").agg(F.array_sort(F.collect_list(F.struct("start", "row", "value"))).alias("x"))
+    text = whole.select("file", "stanza", F.array_join(F.transform("x", lambda r: r["value"]), "\n").alias("stanza_text"))
+    unfolded = F.regexp_replace("stanza_text", r"\n[ \t]+", " ")
     field = lambda name: F.nullif(F.trim(F.regexp_extract(unfolded, rf"(?m)^{name}:[ \t]*(.*)$", 1)), F.lit(""))
-    # of a file, rows in order of their split and place; of a row, its parts
-    order = F.col("file") * F.lit(1 << 56) + (F.col("start") + F.col("row") % F.lit(1 << 33)) * F.lit(1 << 20) + F.col("part")
-    rows = reduce(DataFrame.union, parts).select("file", order.alias("ord"), field("Package").alias("package"), field("URL").alias("url_raw"), field("BugReports").alias("bugreports_raw"))
-    good = {r["file"] for r in rows.filter("package is not null").select("file").distinct().collect()}  # as many as files were named
+    rows = text.select("file", (F.col("file") * F.lit(1 << 40) + F.col("stanza")).alias("ord"), field("Package").alias("package"), field("URL").alias("url_raw"), field("BugReports").alias("bugreports_raw"))
+    rows = rows.filter("package is not null")
+    good = {files[r["file"]][0] for r in rows.select("file").distinct().collect()}  # as many as files were named
     if bad := [p for i, p in enumerate(paths) if i not in good]:
         raise ValueError(f"no stanza in {bad}")
-    return metadata(rows.filter("package is not null").drop("file"), origin)
+    return metadata(rows.drop("file"), origin)
 
 
 #: Schema of a response by kind of reader.

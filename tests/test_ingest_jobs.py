@@ -162,6 +162,32 @@ def test_pages_that_hold_less_than_was_counted(spark):
     assert got == {"all": (2, 1), "cut": (2, 0), "open": (2, 1), "two": (4, 0)}
 
 
+def test_stanzas_over_splits(spark, tmp_path, monkeypatch):
+    """A file with CRLF in many splits, whose edges fall anywhere: the same rows as of one split, read by many tasks."""
+    made = []
+    for i in range(400):
+        own = [f"Package: p{i % 350}", f"Title: {'long ' * (i % 7)}", f"URL: https://a.org/{i},", f"    https://b.org/{i}", f"\thttps://c.org/{i}"][: 5 if i % 3 else 2]
+        made.append("\r\n".join(own + [f"BugReports: https://bugs.org/{i}"] * (i % 4 == 0)))
+    (tmp_path / "VIEWS").write_bytes(("\r\n \t\r\n" + "\r\n\r\n\r\n".join(made) + "\r\n\r\n").encode())
+    seen, real = [], ingest.settle
+    monkeypatch.setattr(ingest, "settle", lambda df, name: seen.append(df.rdd.getNumPartitions()) or real(df, name))
+    read = lambda: sorted(map(tuple, ingest.stanzas(spark, [str(tmp_path / "VIEWS")], "bioc").collect()), key=repr)
+    one = read()
+    assert len(one) == 350 and ("p1", "bioc", "https://a.org/1, https://b.org/1 https://c.org/1", None) in [r[:4] for r in one]
+    for size in ("1000", "137"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            assert read() == one
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert seen[0] == 1 and seen[1] > 10 and seen[2] > 100
+    monkeypatch.setattr(ingest, "MAX_LINES", 3)
+    with pytest.raises(ValueError, match="more than 3 lines"):
+        read()
+
+
 def test_responses_that_cannot_be_used_are_set_aside(spark, rows):
     good = '{"data":{"nodes":[{"id":"n1","stargazerCount":5},null]}}'
     bodies = {1: good, 2: good[:-20], 3: None, 4: "<html>", 5: '{"data":null}', 6: '{"errors":[{"type":"FORBIDDEN","path":["x"]}],"data":{"nodes":[]}}', 7: '{"data":{"nodes":[{"id":"n7","stargazerCount":"many"}]}}', 8: "", 9: "[]"}
