@@ -37,9 +37,9 @@ def letters_of(text: str) -> np.ndarray:
     else:
         code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
         keep = ((code >= 0x61) & (code <= 0x7A)) | ((code >= 0xC0) & (code < 0x250) & (code != 0xD7) & (code != 0xF7))
-        for other in np.unique(code[code >= 0x250]).tolist():
-            if chr(other).isalpha():
-                keep |= code == other
+        high = code >= 0x250
+        found, place = np.unique(code[high], return_inverse=True)
+        keep[high] = np.array([chr(c).isalpha() for c in found.tolist()], bool)[place]
         for one in (0xAA, 0xB5, 0xBA):
             keep |= code == one
     return np.where(keep, code, 0).astype("u4")
@@ -166,7 +166,8 @@ def train(docs: DataFrame, allowed: Callable[[Column], Column], seed: int = 11,
         idf[r["i"]] = np.log((1 + r["n"]) / (1 + r["x"])) + 1
 
     def centres(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        found = [v for v in map(vector_of, part["text"]) if v is not None]
+        # in one order, for rows come as they are shuffled
+        found = [v for v in map(vector_of, sorted(part["text"].dropna())) if v is not None]
         if not found:
             return pd.DataFrame({"lang": [], "centre": [], "distances": []})
         x = unit(np.array(found) * idf)
