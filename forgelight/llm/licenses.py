@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import license_texts
-from .common import bound_batches, settle
+from .common import bound_batches, join_by_key, settle
 from .license_texts import EQUIVALENT
 
 WORD = re.compile(r"[^\W_]+")
 #: A line that only says whose copyright it is, of which year.
 COPYRIGHT = re.compile(r"(?i)\W*(?:(?:portions\s+)?copyrights?\b|©|\(c\)).*(?:\d{4}|©|\(c\)|<year>|\[year\]|\[yyyy\]).*|\W*all rights reserved\W*")
+#: The same of no year: names alone after the word, none of them one that licence texts put there.
+HOLDER = re.compile(r"\W*(?:Portions )?Copyright (?:by )?(?!.*\b(?i:notices?|licen[cs]e\w*|laws?|rights?|holders?|owners?|acts?|statements?|grants?)\b)(?:(?:[A-Z][\w.'\u2019&-]*|&),?\s*){1,6}")
 #: Marks of a comment or list before the first word of a line.
 BULLET = re.compile(r"^\s*(?:\(?(?:\d{1,2}|[a-z])[.)]\s+|[*\-#/;]+\s+)")
 #: Rows of a table of known digests that may be broadcast.
@@ -25,7 +27,7 @@ MAX_BROADCAST = 100_000
 
 def line_words(line: str) -> list[str]:
     """Canonical words of a line: case, punctuation, list marks and equivalent spellings do not matter; a copyright line has none."""
-    if ("opyright" in line or "OPYRIGHT" in line or "(c)" in line or "(C)" in line or "©" in line or "eserved" in line or "ESERVED" in line) and COPYRIGHT.fullmatch(line.strip()):
+    if ("opyright" in line or "OPYRIGHT" in line or "(c)" in line or "(C)" in line or "©" in line or "eserved" in line or "ESERVED" in line) and (COPYRIGHT.fullmatch(line.strip()) or HOLDER.fullmatch(line.strip())):
         return []
     return [EQUIVALENT.get(w, w) for w in WORD.findall(BULLET.sub("", line.lower()))]
 
@@ -57,6 +59,14 @@ def known_digests(texts: DataFrame) -> DataFrame:
     return found.filter("n_words > 0").groupBy("digest").agg(F.min(F.struct("license", "n_words", "head", "tail")).alias("x")).select("digest", "x.*")
 
 
+def _named(rows: DataFrame, names: DataFrame, small: bool) -> DataFrame:
+    """Rows with the license of their digest, null if it is not known. A large table is joined to each digest once, and frequent ones are broadcast back."""
+    if small:
+        return rows.join(F.broadcast(names), "digest", "left")
+    found = rows.groupBy("digest").agg(F.count("*").alias("n")).join(names, "digest", "left")
+    return join_by_key(rows, settle(found, "license-digests"), "digest")
+
+
 def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Find known licences in documents: by the digest of the whole canonical text, and of each of its lines and paragraphs.
 
@@ -113,7 +123,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, digest string, parts array<string>")
     rows = settle(rows.withColumn("u", F.monotonically_increasing_id()), "license-rows")
     names = known.select("digest", "license")
-    names = F.broadcast(names) if small else names
-    hits = rows.select("u", F.explode("parts").alias("digest")).join(names, "digest").groupBy("u").agg(F.array_sort(F.collect_set("license")).alias("notices"))
-    out = rows.join(names, "digest", "left").join(hits, "u", "left")
+    parts = rows.select("u", F.explode("parts").alias("digest"))
+    hits = _named(parts, names, small).filter("license is not null").groupBy("u").agg(F.array_sort(F.collect_set("license")).alias("notices"))
+    out = _named(rows, names, small).join(hits, "u", "left")
     return out.select("doc_id", "digest", "license", F.coalesce("notices", F.array().cast("array<string>")).alias("notices"))

@@ -331,7 +331,7 @@ def test_every_known_text_is_found_whole(spark):
     assert not any(got[i][0] for i, _ in rows if i >= 1000)
 
 
-def test_licences(spark, tmp_path):
+def test_licences(spark, tmp_path, monkeypatch):
     mit = dict(reversed(license_texts.KNOWN))["MIT"]
     apache = next(t for _, t in license_texts.KNOWN if "you may not use this file" in t)
     wrapped = "prose here\n\nReleased under\nthe MIT License.\n\nmore prose"
@@ -341,6 +341,13 @@ def test_licences(spark, tmp_path):
     want = [(1, "MIT", ()), (2, None, ()), (3, None, ("MIT",)), (4, None, ()), (5, None, ()), (6, "MIT", ("MIT",)), (6, "MIT", ("MIT",)), (7, None, ("MIT",)), (8, None, ("CC-BY-4.0",)), (9, "Apache-2.0", ()), (None, None, ())]
     assert sorted(((r["doc_id"], r["license"], tuple(r["notices"])) for r in got.collect()), key=repr) == sorted(want, key=repr)
     assert licenses.scan(df.limit(0)).count() == 0
+    with monkeypatch.context() as m:  # by joins to each digest once
+        m.setattr(licenses, "MAX_BROADCAST", 0)
+        assert sorted(((r["doc_id"], r["license"], tuple(r["notices"])) for r in licenses.scan(df).collect()), key=repr) == sorted(want, key=repr)
+    lines = ["Copyright Jane Doe", "Copyright by The R Foundation, Inc.", "  Copyright O'Neil & Sons", "Copyright 2024 x", "Copyright law of a land", "COPYRIGHT NOTICE", "copyright holder", "Copyright Holder", "Copyright Jane Doe grants you"]
+    assert [licenses.line_words(x) == [] for x in lines] == [True] * 4 + [False] * 5
+    named = licenses.scan(spark.createDataFrame([(i, f"{x}\n\n{mit}") for i, x in enumerate(lines[:4])], "doc_id long, text string"))
+    assert {r["license"] for r in named.collect()} == {"MIT"}
     own = spark.createDataFrame([("Own-1", "My own terms"), (None, "no name"), ("Own-2", None), ("Own-0", "my OWN terms.")], "license string, text string")
     own.write.parquet(f"{tmp_path}/known")
     table = licenses.known_digests(licenses.known_texts(spark, f"{tmp_path}/known"))
