@@ -151,10 +151,10 @@ TREE_ENTRIES = [
 
 #: Trees: entries of a repository's root and .github folder, and lines of ignore files, one to a row; most are no marker.
 ENTRIES = f"""
-select cast(l_suppkey as string) as repo_id, case cast(l_partkey % 3 as int) when 0 then 'github' else 'root' end as place,
-       case case when l_partkey % 5 = l_suppkey % 5 then cast((l_partkey + l_orderkey) % {len(TREE_ENTRIES) * 2} as int) end
-         {' '.join(f"when {i} then '{e}'" for i, e in enumerate(TREE_ENTRIES))} else 'f' || cast(l_partkey as string) end as entry
-from lineitem
+select l.repo_id, l.place, coalesce(v.entry, 'f' || cast(l.l_partkey as string)) as entry
+from (select cast(l_suppkey as string) as repo_id, case cast(l_partkey % 3 as int) when 0 then 'github' else 'root' end as place, l_partkey,
+        case when l_partkey % 5 = l_suppkey % 5 then cast((l_partkey + l_orderkey) % {len(TREE_ENTRIES) * 2} as int) end as pick from lineitem) l
+  left join (values {', '.join(f"({i}, '{e}')" for i, e in enumerate(TREE_ENTRIES))}) v(i, entry) on v.i = l.pick
 """
 IGNORE_LINES = r"""
 select cast(l_suppkey as string) as repo_id, case when l_partkey % 2 = 0 then 'gitignore' else 'rbuildignore' end as file,
