@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bound_batches, forget, join_by_key, settle
@@ -54,7 +54,8 @@ IP = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-
 CARD = re.compile(r"(?<![\w.])\d(?:[ \-]?\d){12,18}(?!\w|\.\d)")
 #: How the numbers of card issuers begin, and their lengths.
 ISSUER = re.compile(r"4(?:\d{12}|\d{15}|\d{18})|(?:5[1-5]|2(?:22[1-9]|2[3-9]\d|[3-6]\d\d|7[01]\d|720))\d*(?<=^.{16})|3[47]\d{13}|3(?:0[0-5]|[68]\d)\d{11}|35(?:2[89]|[3-8]\d)\d{12}|6(?:011|4[4-9]\d|5\d\d|2\d\d)\d{12,15}")
-SSN = re.compile(r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])")
+#: No number is given out with an area of 000, 666 or 9xx, a group of 00 or a serial of 0000.
+SSN = re.compile(r"(?<![\w\-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w\-])")
 IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
 SECRET_WORDS = ("token", "secret", "password", "passwd", "api_key", "api-key", "apikey")
 SECRET = re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key)\b\s{0,9}[:=]\s{0,9}[\"']?([A-Za-z0-9_\-]{12,})")
@@ -350,13 +351,13 @@ def redrawn(entities: DataFrame, key: bytes) -> DataFrame:
         return pd.Series([surrogate(key, *x) for x in zip(kind, value, attempt, strict=True)], dtype=object)
 
     now = settle(entities.withColumn("attempt", F.lit(0)).withColumn("new", draw("kind", "value", "attempt")), "pii-draws")
-    real = entities.select(F.col("kind").alias("k"), F.col("value").alias("v"))
-    order = Window.partitionBy("kind", "new").orderBy("attempt", "value")
+    real = entities.select("kind", F.col("value").alias("new"), F.lit(True).alias("real"))
     while True:
-        ranked = now.withColumn("place", F.row_number().over(order))
-        met = ranked.join(real, (F.col("kind") == F.col("k")) & (F.col("new") == F.col("v")), "left")
-        again = (F.col("place") > 1) | F.col("k").isNotNull()
-        judged = settle(met.select("kind", "value", "attempt", "new", again.alias("again")), "pii-draws")
+        # one entity keeps each surrogate, if that is no entity itself; grouped before anything meets, for many draw the same one
+        first = now.groupBy("kind", "new").agg(F.min(F.struct("attempt", "value")).alias("first"))
+        kept = first.join(real, ["kind", "new"], "left").filter("real is null").select("kind", "first.value", F.lit(False).alias("lost"))
+        judged = now.join(kept, ["kind", "value"], "left").select("kind", "value", "attempt", "new", F.coalesce("lost", F.lit(True)).alias("again"))
+        judged = settle(judged, "pii-draws")
         forget(now)
         if judged.filter("again").isEmpty():
             return judged.filter("attempt > 0").select("kind", "value", "attempt")
