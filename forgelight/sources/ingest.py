@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from ..functions.rows import once
 from ..operators.resolve import first_per_package
 from ..schemas import PACKAGE_INPUT, conform, empty
 from ..scratch import settle
@@ -259,9 +260,13 @@ def search_hits(raw: DataFrame) -> DataFrame:
     refused: no JSON object, or a message and no total (count null); none: measured, 0, no commit on the page;
     hit: first message, author and date, all messages of the page, and the total, or how many are on the page where none is
     given. Dates are those of committing; where a response has none, of authorship.
+
+    Responses are dealt out by repository and tool before they are parsed, and each is parsed once.
     """
-    r = raw.withColumn("r", F.from_json("body", SEARCH, {"mode": "PERMISSIVE"}))
-    total, items = F.col("r.total_count"), F.filter("r.items", lambda i: i["commit"].isNotNull())
+    tasks = int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # said, for bodies shuffle small and take long to parse
+    r = once(raw.repartition(tasks, "repo_id", "tool"), r=F.from_json("body", SEARCH, {"mode": "PERMISSIVE"}))
+    r = once(r, items=F.filter("r.items", lambda i: i["commit"].isNotNull()))
+    total, items = F.col("r.total_count"), F.col("items")
     n = F.coalesce(F.size(items), F.lit(0))
     date = lambda c: F.coalesce(c["committer"]["date"], c["author"]["date"])
     first = F.try_element_at(items, F.lit(1))["commit"]
