@@ -63,7 +63,7 @@ def adoption_detail(spark, d):
 @query(f"with t as ({TALLY}), p as (select * replace (commits * 10 as commits, 0 as window_complete) from t where cast(repo_id as int) % 3 <> 1), n as (select * from t where cast(repo_id as int) % 2 = 0) select * from n union all select * from p where repo_id not in (select repo_id from n)")
 def replace_models(spark, d):
     commits = derive(spark, d, inputs.COMMITS).withColumn("tool", F.explode(adoption.trailer_tools(F.col("message")))).withColumnRenamed("committed_at", "date")
-    t = adoption.model_tally(commits)
+    t = settle(adoption.model_tally(commits), "tally")
     prior = t.filter("cast(repo_id as int) % 3 <> 1").withColumns({"commits": F.col("commits") * 10, "window_complete": F.lit(0)})
     return adoption.replace_models(prior, t.filter("cast(repo_id as int) % 2 = 0"))
 
