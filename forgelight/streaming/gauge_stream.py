@@ -2,75 +2,70 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from datetime import datetime, timezone
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import quality, series
 from ..schemas import LATEST, SERIES, empty
+from ..scratch import forget, settle
 from ..sources import publish
 from ..sources.ingest import instant
 
 #: Batches, or merged folders of one level, that are merged into one folder of the next level.
 COMPACT = 16
-#: What is kept for each (repo_id, metric): the last value that is final, and of each day that is not final yet the newest instant and its value.
-STATE = "known boolean, value long, days array<string>, instants array<string>, values array<long>"
 #: Names the stream that a root belongs to.
 OWNER = "_stream"
-DAY_MS = 86_400_000
-
-
-def _end_of(day: str) -> int:
-    """The first millisecond after a day, in UTC."""
-    return int(datetime.strptime(day, "%Y-%m-%d").replace(tzinfo=timezone.utc).timestamp() * 1000) + DAY_MS
-
-
-def fold(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Take new values of one (repo_id, metric), and give rows of the days that the watermark has passed and whose value differs from the one before."""
-    repo, metric = key
-    known, value, pending = False, None, {}
-    if state.exists:
-        known, value, days, instants, values = state.get
-        pending = dict(zip(days, zip(instants, values, strict=True), strict=True))
-    if not state.hasTimedOut:
-        for chunk in chunks:
-            for at, new in zip(chunk["date"], chunk["value"], strict=True):
-                if not pd.isna(new):
-                    pending[at[:10]] = max(pending.get(at[:10], ("", 0)), (at, int(new)))
-    now = state.getCurrentWatermarkMs()
-    rows = []
-    if repo is not None:
-        for day in sorted(d for d in pending if _end_of(d) <= now):
-            new = pending.pop(day)[1]
-            if not known or new != value:
-                rows.append((repo, day, metric, new))
-            known, value = True, new
-        days = sorted(pending)
-        state.update((known, value, days, [pending[d][0] for d in days], [pending[d][1] for d in days]))
-        if days:
-            state.setTimeoutTimestamp(max(_end_of(days[0]) - 1, now + 1))
-    yield pd.DataFrame(rows, columns=[c.split()[0] for c in SERIES.split(", ")])
-
-
-def changes(feed: DataFrame, delay: str) -> DataFrame:
-    """Series rows of a streaming feed (repo_id, metric, value, date), each once, when its day is final.
+#: Folder of the values that are final and last, a table for a batch.
+KNOWN = "known"
+
+
+def final_days(feed: DataFrame, delay: str) -> DataFrame:
+    """(repo_id, metric, date, value) of each day of a streaming feed (repo_id, metric, value, date), once, when it is final.
 
     ``date`` is a day or a full instant, as ISO text; of several values of one day that of the last
     instant stands, of equal instants the largest. A day is final when the watermark, the newest instant seen less
-    ``delay``, has passed its end; until then values may come in any order and batch. Values that the watermark has passed
+    ``delay``, has passed its end; until then values may come in any order and batch. Values of days that are final
     are left out, and Spark's progress counts them (numRowsDroppedByWatermark). A row without a repo_id
-    only moves the time on: one a day lets days become final while nothing else is measured. Null values and dates that are none are left out.
-    What is kept of a key is one value and its days that are not final.
+    only moves the time on: one a day lets days become final while nothing else is measured. Dates that are none are left out;
+    rows without a repo_id and days without any value come out as nulls, for a filter here would pass below the watermark (see changes()).
     """
     at = F.try_to_timestamp(instant(F.col("date")))
-    rows = feed.select("repo_id", "metric", F.col("value").cast("long").alias("value"), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("date"), at.alias("at"))
-    rows = rows.filter("at is not null").withWatermark("at", delay)
-    return rows.groupBy("repo_id", "metric").applyInPandasWithState(fold, SERIES, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    rows = feed.select("repo_id", "metric", F.col("value").cast("long").alias("value"), at.alias("at")).filter("at is not null").withWatermark("at", delay)
+    last = F.max(F.when(F.col("value").isNotNull(), F.struct("at", "value"))).alias("last")
+    # windows of a day are UTC days in any session's time zone
+    day = F.date_from_unix_date((F.unix_seconds("window.start") / 86_400).cast("int")).cast("string")
+    return rows.groupBy(F.window("at", "1 day"), "repo_id", "metric").agg(last).select("repo_id", "metric", day.alias("date"), F.col("last.value").alias("value"))
+
+
+def changes(days: DataFrame, known: DataFrame) -> DataFrame:
+    """Series rows of final days whose value differs from that of the day before, or, for the first of them, from the known one (repo_id, metric, value)."""
+    both = days.unionByName(known.withColumn("date", F.lit("")))  # before any day
+    in_order = Window.partitionBy("repo_id", "metric").orderBy("date")
+    rows = both.withColumn("before", F.lag("value").over(in_order)).filter("date <> '' and (before is null or value <> before)")
+    return rows.select([c.split()[0] for c in SERIES.split(", ")])
+
+
+def take_days(root: str, days: DataFrame, batch_id: int, compact: int = COMPACT) -> None:
+    """Write what changes by a batch of final days, and the values that are known after it; a batch that runs again writes the same.
+
+    The known values are a table of one row for each (repo_id, metric) seen so far; that of the batch before stays, for a batch that runs again.
+    """
+    spark = days.sparkSession
+    _claim(spark, root)
+    days = settle(days.filter("repo_id is not null and value is not null"), "days")
+    folder = f"{root}/{KNOWN}"
+    done = [n for n in publish._names(spark, folder) if int(n) < batch_id and (x := publish._fs(spark, f"{folder}/{n}/_SUCCESS"))[0].exists(x[1])]
+    known = spark.read.schema(LATEST).parquet(f"{folder}/{done[-1]}") if done else empty(spark, LATEST)
+    append_batch(root, changes(days, known), batch_id, compact)
+    if not days.isEmpty():
+        both = days.unionByName(known.withColumn("date", F.lit("")))
+        last = both.groupBy(*series.LATEST_KEY).agg(F.max_by("value", "date").alias("value"))
+        last.write.mode("overwrite").parquet(f"{folder}/{batch_id:09d}")
+    for n in done[:-1]:
+        fs, p = publish._fs(spark, f"{folder}/{n}")
+        fs.delete(p, True)
+    forget(days)
 
 
 def _claim(spark: SparkSession, root: str) -> None:
@@ -130,10 +125,10 @@ def append_batch(root: str, batch: DataFrame, batch_id: int, compact: int = COMP
 def run(feed: DataFrame, root: str, checkpoint: str, delay: str = "2 days", compact: int = COMPACT) -> StreamingQuery:
     """Start the stream over what is available; feed: a streaming table of (repo_id, metric, value, date), see changes().
 
-    State and watermark are in the checkpoint, from which a later run goes on; the series is under root (read_series). For
-    many keys set Spark's RocksDB state store.
+    Days that are not final and the watermark are in the checkpoint, from which a later run goes on; the series (read_series) and the
+    last final values are under root. For many keys set Spark's RocksDB state store.
     """
-    out = changes(feed, delay).writeStream.foreachBatch(lambda b, i: append_batch(root, b, i, compact))
+    out = final_days(feed, delay).writeStream.outputMode("append").foreachBatch(lambda b, i: take_days(root, b, i, compact))
     return out.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 

@@ -265,3 +265,23 @@ def test_requests_carry_their_own_answer_alone(spark, rows):
     assert rows(prs.select("repo_id", "created_at")) == [("1a", "d")]
     for joined in (got, found, prs):
         assert "try_element_at" not in joined._jdf.queryExecution().analyzed().toString()
+
+
+def test_final_days_are_decided_without_a_call_for_each_key(spark, tmp_path, rows):
+    """The stream's state is an aggregate by day, no Python runs for a key; what is known goes from batch to batch, and a batch may run again."""
+    schema = "repo_id string, metric string, value long, date string"
+    feed = spark.readStream.schema(schema).parquet(str(tmp_path))
+    plan = gauge_stream.final_days(feed, "2 days")._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "Python" not in plan and "Pandas" not in plan
+    root, days = f"file://{tmp_path}/out", "repo_id string, metric string, date string, value long"
+    batches = [
+        [("r", "stars", "2024-01-01", 3), ("r", "stars", "2024-01-02", 3), ("q", "stars", "2024-01-01", 0), (None, None, "2024-01-02", None)],
+        [],
+        [("r", "stars", "2024-01-03", 3), ("r", "stars", "2024-01-04", 5), ("q", "stars", "2024-01-03", None)],
+        [("q", "stars", "2024-01-05", 0), ("r", "stars", "2024-01-05", 3)],
+    ]
+    for i, b in enumerate(batches):
+        for _ in range(2):
+            gauge_stream.take_days(root, spark.createDataFrame(b, days), i)
+    assert rows(gauge_stream.read_series(spark, root)) == [("q", "2024-01-01", "stars", 0), ("r", "2024-01-01", "stars", 3), ("r", "2024-01-04", "stars", 5), ("r", "2024-01-05", "stars", 3)]
+    assert len(gauge_stream.publish._names(spark, f"{root}/{gauge_stream.KNOWN}")) == 2
