@@ -5,7 +5,7 @@ Dates are ISO text, so their order as text is that of time. Nulls mean "not meas
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..schemas import CLOSING
@@ -93,6 +93,25 @@ def closing(rows: DataFrame, before: DataFrame | None = None) -> DataFrame:
     return got.select([c.split()[0] for c in CLOSING.split(", ")])
 
 
+def closings(rows: DataFrame, before: DataFrame, years: list[int], repeated: Observation | None = None) -> DataFrame:
+    """The closing tables (see closing) of all of ``years`` at once, with a column year.
+
+    rows: all series rows of these years; before: the closing table of the years before them. Rows go once through one window by date: the last row of
+    a year stands for it, and for the years after it until there is a later one. ``repeated`` is given the number of rows whose key the row before has too.
+    """
+    closed, first, end = [c.split()[0] for c in CLOSING.split(", ")], min(years), max(years) + 1
+    own = with_year(rows).select("repo_id", "metric", F.col("date").alias("last_date"), F.col("value").alias("last_value"), F.lit(1).cast("long").alias("n"), "year")
+    by = Window.partitionBy("repo_id", "metric").orderBy("year", "last_date")
+    got = own.unionByName(before.select(*closed, F.lit(first - 1).alias("year"))).withColumns({
+        "n": F.sum("n").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)), "__end": F.coalesce(F.lead("year").over(by), F.lit(end)), "__date": F.lead("last_date").over(by),
+    })
+    if repeated is not None:
+        got = got.observe(repeated, F.count_if(F.col("last_date") == F.col("__date")).alias("rows"))
+    begin = F.greatest("year", F.lit(first))
+    held = got.filter(begin < F.col("__end")).select(*closed, F.explode(F.sequence(begin, F.col("__end") - 1)).alias("year"))
+    return held.filter(F.col("year").isin(years))
+
+
 def year_rows(series: DataFrame, year: int) -> DataFrame:
     """Rows of one year; where the table is partitioned by year, others are not read."""
     rows = series.filter(F.col("year") == year) if "year" in series.columns else series

@@ -13,7 +13,7 @@ from functools import reduce
 from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import health, quality, series
@@ -27,6 +27,8 @@ POINTERS = "pointers"
 NONE = "-"
 #: In a run's folder: the number of the pointer that it builds on.
 SINCE = "_since"
+#: In a run's folder, until the run is done: the working series.
+WORKING = "working"
 COLUMNS = [c.split()[0] for c in SERIES.split(", ")]
 
 
@@ -256,13 +258,12 @@ def publish(spark: SparkSession, root: str, generation: str, tables: dict[str, D
     _put(spark, f"{root}/{folder}/{SINCE}", str(turn.number))
     history = read_years(spark, root, last.get("paths", {}), folders)
     gone = series.purge(history, list(purged))[1] if purged else None
+    target = f"{root}/{folder}"
+    # what the build computes is computed once: gates and later steps read what was written
+    working.write.parquet(f"{target}/{WORKING}")
+    working = spark.read.schema(working.schema).parquet(f"{target}/{WORKING}")
     years = series.touched_years(working) if gone is None else series.touched_years(working).union(gone).distinct()
     years = sorted(r[0] for r in years.collect())
-    checked = {t: working if t == "series" else tables.get(t) for t in KEYS}
-    repeated = [quality.duplicate_keys(df, KEYS[t]).limit(1).select(F.lit(t).alias("table")) for t, df in checked.items() if df is not None]
-    if found := sorted(r["table"] for r in reduce(DataFrame.union, repeated).collect()):
-        raise quality.GateError(f"{', '.join(found)}: repeated keys")
-    target = f"{root}/{folder}"
     for name in DECLARED:
         tables[name].write.mode("overwrite").parquet(f"{target}/{name}")
     written = {n: spark.read.parquet(f"{target}/{n}") for n in DECLARED}
@@ -272,6 +273,20 @@ def publish(spark: SparkSession, root: str, generation: str, tables: dict[str, D
     folded.write.mode("overwrite").partitionBy("year").parquet(f"{target}/series")
     own = {n.partition("=")[2]: generation for n in _names(spark, f"{target}/series") if n.startswith("year=")}
     paths = {y: g for y, g in last.get("paths", {}).items() if int(y) not in years} | own
+    # closing tables from the first year on that has changed; keys that are repeated are seen on the way, all rows of the build being in these years
+    closings = {y: g for y, g in last.get("closings", {}).items() if y in paths}
+    first = min([*years, *(int(y) for y in paths if y not in closings)], default=None)
+    changing = sorted(int(y) for y in paths if first is not None and int(y) >= first)
+    repeated = [quality.duplicate_keys(written[t], KEYS[t]).limit(1).select(F.lit(t).alias("table")) for t in KEYS if t in written]
+    found = [r["table"] for r in reduce(DataFrame.union, repeated).collect()]
+    if changing:
+        rows = read_years(spark, root, {str(y): paths[str(y)] for y in changing}, folders)
+        made = series.closings(rows, _closing(spark, root, closings, folders, first), changing, seen := Observation())
+        made.write.mode("overwrite").partitionBy("year").parquet(f"{target}/closing")
+        closings |= {str(y): generation for y in changing}
+        found += ["series"] if seen.get["rows"] else []
+    if found:
+        raise quality.GateError(f"{', '.join(sorted(found))}: repeated keys")
     prints = {str(r["year"]): f"{r['rows']}:{r['fingerprint']}" for r in quality.fingerprint(series.with_year(read_years(spark, root, own, folders)), ["year"]).collect()}
     if not allow_regression:
         kept = touched.filter(~F.col("metric").isin(list(purged))) if purged else touched
@@ -280,14 +295,6 @@ def publish(spark: SparkSession, root: str, generation: str, tables: dict[str, D
         if found:
             raise quality.GateError(f"regressions: {[tuple(r) for r in found]}")
     series.recent(read_years(spark, root, paths, folders), today).write.mode("overwrite").parquet(f"{target}/recent")
-    # closing tables from the first year on that has changed; each follows from the one before
-    closings = {y: g for y, g in last.get("closings", {}).items() if y in paths}
-    first = min([*years, *(int(y) for y in paths if y not in closings)], default=None)
-    for year in sorted(int(y) for y in paths if first is not None and int(y) >= first):
-        rows = read_years(spark, root, {str(year): paths[str(year)]}, folders)
-        made = series.closing(rows, _closing(spark, root, closings, folders, year))
-        made.write.mode("overwrite").parquet(f"{target}/closing/year={year}")
-        closings[str(year)] = generation
     same = {y: v for y, v in last.get("series", {}).items() if int(y) not in years}
     emptied = [y for y in last.get("paths", {}) if y not in paths]
     counts = {r["table"]: [r["rows"], r["fingerprint"]] for r in quality.integrity(written, DECLARED).collect()}
@@ -297,6 +304,8 @@ def publish(spark: SparkSession, root: str, generation: str, tables: dict[str, D
         "changed_tables": changed_tables, "years": sorted({*last.get("years", []), *map(int, paths)}), "paths": paths, "folders": folders, "closings": closings, "series": same | prints, "tables": counts,
         "summary_previous": (before if "summary" in changed_tables else last.get("summary_previous")) if before else None,
     }
+    fs, done_with = _fs(spark, f"{target}/{WORKING}")
+    fs.delete(done_with, True)
     _put(spark, f"{target}/manifest.json", json.dumps(out, sort_keys=True))
     _switch(spark, root, turn, folder)
     return out

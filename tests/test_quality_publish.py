@@ -242,3 +242,16 @@ def test_closing_tables_say_what_the_whole_history_says(spark, tmp_path, rows):
     assert make(state["series"], closing=state["closing"]) == make(whole)
     with pytest.raises(ValueError, match="full history"):
         make(state["series"], closing=state["closing"], full_history=True)
+
+
+def counted(spark, df, column):
+    """The rows with a column that counts how often it is computed, and the count."""
+    n = spark.sparkContext.accumulator(0)
+    return df.withColumn(column, F.udf(lambda x: n.add(1) or x)(column)), n
+
+
+def test_a_working_series_is_computed_once(spark, root, rows):
+    new, n = counted(spark, series_of(spark, ("r", "2024-01-05", "stars", 4), ("r", "2023-05-02", "forks", 2)), "repo_id")
+    publish.publish(spark, root, "g2", build(spark), new, "2024-01-05")
+    assert n.value == 2 and len(rows(publish.read_series(spark, root))) == 5
+    assert publish._names(spark, f"{root}/{publish._folder(spark, root, None)}/{publish.WORKING}") == []
