@@ -2,6 +2,7 @@ import random
 import shutil
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from forgelight import rules, schemas
@@ -244,6 +245,32 @@ def test_closing_tables_say_what_the_whole_history_says(spark, tmp_path, rows):
         make(state["series"], closing=state["closing"], full_history=True)
 
 
+def test_closings_of_several_years_in_one_pass(spark, tmp_path, rows):
+    """As one closing table made from the other, over years without rows and after others; keys that two rows have are counted; a publication makes them in one write."""
+    r, years = random.Random(8), [2019, 2020, 2022, 2023]
+    days = [f"{y}-{m:02d}-{d:02d}" for y in years for m in (1, 6, 12) for d in (1, 31)]
+    drawn = {(f"r{i}", day, m): r.choice([None, *range(9)]) for i in range(30) for m in ("stars", "forks") for day in r.sample(days, r.randint(0, 5))}
+    before = series.closing(series_of(spark, ("r1", "2018-05-01", "stars", 4), ("old", "2017-01-01", "stars", 6), ("old", "2018-01-01", "stars", None)))
+    whole, chained, want = series_of(spark, *[(*k, v) for k, v in drawn.items()]), before, []
+    for y in years:
+        chained = spark.createDataFrame(series.closing(series.year_rows(whole, y), chained).collect(), schemas.CLOSING)
+        want += [(*x, y) for x in rows(chained)]
+    seen = Observation()
+    assert rows(series.closings(whole, before, years, seen)) == sorted(want, key=repr) and seen.get["rows"] == 0
+    assert rows(series.closings(whole.limit(0), before, [2019, 2022])) == [(*x, y) for x in rows(before) for y in (2019, 2022)]
+    twice = Observation()
+    series.closings(whole.union(whole.limit(2)), before, years, twice).collect()
+    assert twice.get["rows"] == 2
+    root = f"file://{tmp_path}/closings"
+    publish.publish(spark, root, "g1", build(spark), whole, "2024-01-01")
+    folder = publish._folder(spark, root, None)
+    assert publish._names(spark, f"{root}/{folder}/closing") == [f"year={y}" for y in years] and (tmp_path / "closings" / folder / "closing" / "_SUCCESS").exists()
+    chained = None
+    for y in years:
+        chained = spark.createDataFrame(series.closing(series.year_rows(whole, y), chained).collect(), schemas.CLOSING)
+        assert rows(publish.read_closing(spark, root, y)) == rows(chained)
+
+
 def counted(spark, df, column):
     """The rows with a column that counts how often it is computed, and the count."""
     n = spark.sparkContext.accumulator(0)
