@@ -282,3 +282,17 @@ def test_a_working_series_is_computed_once(spark, root, rows):
     publish.publish(spark, root, "g2", build(spark), new, "2024-01-05")
     assert n.value == 2 and len(rows(publish.read_series(spark, root))) == 5
     assert publish._names(spark, f"{root}/{publish._folder(spark, root, None)}/{publish.WORKING}") == []
+
+
+def test_tables_are_computed_once_and_their_keys_are_checked(spark, root, rows):
+    tables = build(spark)
+    tables["summary"], n = counted(spark, tables["summary"], "package")
+    publish.publish(spark, root, "g2", tables, series_of(spark, ("r", "2024-01-05", "stars", 4)), "2024-01-05")
+    assert n.value == 200
+    links, again = [("r", "p", "cran", "url")], ("r", "2024-01-06", "stars", 4)
+    tables["repo_packages"] = spark.createDataFrame(links * 2, schemas.REPO_PACKAGES)
+    with pytest.raises(quality.GateError, match="^repo_packages: repeated keys"):
+        publish.publish(spark, root, "g3", tables, series_of(spark), "2024-01-06")
+    with pytest.raises(quality.GateError, match="^repo_packages, series: repeated keys"):
+        publish.publish(spark, root, "g3", tables, series_of(spark, again, again), "2024-01-06")
+    assert publish.current(spark, root) == "g2" and len(rows(publish.read_series(spark, root))) == 4
